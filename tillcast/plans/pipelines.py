@@ -1,0 +1,44 @@
+"""Compositions L1-L5 over the retail inputs."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from tillcast.config import RunParams
+from tillcast.operators import clean, daily
+from tillcast.sources.fixtures import RetailInputs
+
+
+def product_master(inp: RetailInputs, p: RunParams) -> DataFrame:
+    return clean.product_master(
+        inp.products,
+        inp.departments,
+        inp.item_map,
+        inp.dept_map,
+        p.override_rules,
+        p.null_safe,
+        p.broadcast_max_rows,
+    )
+
+
+def transaction_master(inp: RetailInputs, p: RunParams) -> DataFrame:
+    """L1."""
+    return clean.transaction_master(
+        inp.transactions,
+        inp.products,
+        inp.departments,
+        inp.item_map,
+        inp.dept_map,
+        p.override_rules,
+        p.null_safe,
+        p.broadcast_max_rows,
+    )
+
+
+def daily_quantity(inp: RetailInputs, p: RunParams) -> DataFrame:
+    return daily.daily_totals(transaction_master(inp, p))
+
+
+def daily_top_items(inp: RetailInputs, p: RunParams) -> DataFrame:
+    """L2."""
+    return daily.daily_top_items(daily_quantity(inp, p), p.start_year, p.end_year, p.top_n)
