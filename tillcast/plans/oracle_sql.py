@@ -97,6 +97,47 @@ daily_top AS (
 """
 
 
+H = 30  # horizon of the fixture train_end (2000-03-31 -> 2000-04-30)
+K = P.iqr_k
+EPS = "2.220446049250313e-16"
+
+
+def _capped(name: str, base: str) -> str:
+    """L3 over ``base``: calendar, IQR flag, month median, cap."""
+    return f"""{name} AS (
+  select * exclude (q1, q3), cast(case when anomaly then typical else quantity end as double) as quantity_cap
+  from (
+    select c.*, median(quantity) over (partition by branch, ite_desc_std, month) as typical
+    from (
+      select b.*, coalesce(quantity < q1 - {K} * (q3 - q1) or quantity > q3 + {K} * (q3 - q1), false) as anomaly
+      from (
+        select d.*, cast(isodow(date) - 1 as integer) as dayofweek, cast(month(date) as integer) as month,
+          cast(weekofyear(date) as integer) as week,
+          quantile_cont(quantity, 0.25) over (partition by branch, ite_desc_std) as q1,
+          quantile_cont(quantity, 0.75) over (partition by branch, ite_desc_std) as q3
+        from {base} d) b) c))"""
+
+
+STEPS += f""",
+daily_top_y AS (
+  select * from daily_top where date between make_date({Y0}, 1, 1) and make_date({Y1}, 12, 31)
+),
+{_capped("capped_y", "daily_top_y")},
+{_capped("capped_all", "daily_top")},
+fser AS (select branch, ite_desc_std, date, quantity_cap from capped_all),
+test_part AS (
+  select branch, ite_desc_std, date, quantity_cap from (
+    select f.*, row_number() over (partition by branch, ite_desc_std order by date) as rn
+    from fser f where date >= date '{TRAIN_END}') where rn <= {H}
+),
+pairs AS (
+  select t.branch, t.ite_desc_std, t.quantity_cap as y, c.typical as f
+  from test_part t join capped_all c using (branch, ite_desc_std, date)
+  where t.quantity_cap is not null and c.typical is not null
+)
+"""
+
+
 def _with(select: str) -> str:
     return f"WITH {adapter_cte_sql()},\n{STEPS.strip()}\n{select}"
 
@@ -116,6 +157,39 @@ SELECTS: dict[str, str] = {
     "branch_item_totals": "select * from totals",
     "top_items": "select * from top",
     "daily_top_items": "select * from daily_top",
+    "calendar_features": """select d.*, cast(isodow(date) - 1 as integer) as dayofweek,
+        cast(month(date) as integer) as month, cast(weekofyear(date) as integer) as week from daily_top d""",
+    "iqr_flags": f"""select *, coalesce(quantity < q1 - {K} * (q3 - q1) or quantity > q3 + {K} * (q3 - q1), false) as anomaly
+        from (select d.*, quantile_cont(quantity, 0.25) over w as q1, quantile_cont(quantity, 0.75) over w as q3
+              from daily_top d window w as (partition by branch, ite_desc_std))""",
+    "zscore_flags": f"""select branch, ite_desc_std, date, quantity, round(mean, 6) as mean, round(std, 6) as std,
+          coalesce(abs(quantity - mean) / nullif(std, 0) > {P.z_k}, false) as anomaly
+        from (select d.*, avg(quantity) over w as mean, stddev_samp(quantity) over w as std
+              from daily_top d window w as (partition by branch, ite_desc_std))""",
+    "seasonal_median": """select branch, ite_desc_std, cast(month(date) as integer) as month,
+        median(quantity) as typical from daily_top_y group by all""",
+    "capped_daily": "select * from capped_y",
+    "forecast_horizon": """select distinct date as train_end,
+        cast(date_diff('day', date, last_day(date + 1)) as integer) as horizon from clean_tx where date is not null""",
+    "forecast_calendar": f"""select l.branch, l.ite_desc_std, l.last_date, cast(l.last_date + cast(1 + t.i as integer) as date) as date,
+          cast(t.i + 1 as integer) as step
+        from (select branch, ite_desc_std, max(date) as last_date from fser where date <= date '{TRAIN_END}' group by all) l
+        cross join (select range as i from range(0, {H})) t""",
+    "train_test_cut": f"""select *, 'train' as part from fser where date <= date '{TRAIN_END}'
+        union all select *, 'test' as part from test_part""",
+    "lag_features": """select d.*, lag(quantity, 1) over w as quantity_lag1, lag(quantity, 7) over w as quantity_lag7
+        from daily_top d window w as (partition by branch, ite_desc_std order by date)""",
+    "series_difference": """select f.*, quantity_cap - lag(quantity_cap, 1) over
+        (partition by branch, ite_desc_std order by date) as quantity_cap_diff from fser f""",
+    "forecast_metrics": f"""select branch, ite_desc_std, round(avg(abs(y - f)), 6) as mae,
+          cast(cast(avg(abs(y - f) / greatest(abs(y), {EPS})) * 100.0 as float) as double) as mape, count(*) as n
+        from pairs group by all""",
+    "masked_metrics": f"""select branch, ite_desc_std,
+          round(avg(case when abs(y) > {P.mape_threshold} then abs(y - f) end), 6) as mae,
+          cast(cast(avg(case when abs(y) > {P.mape_threshold} then abs(y - f) / greatest(abs(y), {EPS}) end) as float) as double) as mape,
+          round(sqrt(avg(case when abs(y) > {P.mape_threshold} then (y - f) * (y - f) end)), 6) as rmse,
+          count(case when abs(y) > {P.mape_threshold} then 1 end) as n
+        from pairs group by all""",
 }
 
 

@@ -42,3 +42,21 @@ def daily_quantity(inp: RetailInputs, p: RunParams) -> DataFrame:
 def daily_top_items(inp: RetailInputs, p: RunParams) -> DataFrame:
     """L2."""
     return daily.daily_top_items(daily_quantity(inp, p), p.start_year, p.end_year, p.top_n)
+
+
+def capped_daily(inp: RetailInputs, p: RunParams, years: bool = True) -> DataFrame:
+    """L3 on the daily top items; ``years`` applies the run's year range
+    (the notebook default), otherwise all dates are kept."""
+    from tillcast.operators.outliers import cap_outliers
+
+    base = daily_top_items(inp, p)
+    if years:
+        return cap_outliers(base, k=p.iqr_k, start_year=p.start_year, end_year=p.end_year)
+    return cap_outliers(base, k=p.iqr_k)
+
+
+def forecast_series(inp: RetailInputs, p: RunParams) -> DataFrame:
+    """The capped series the forecaster works on: (branch, item, date, quantity_cap)."""
+    return capped_daily(inp, p, years=False).select(
+        "branch", "ite_desc_std", "date", "quantity_cap"
+    )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillcast.config import FIXTURE
-from tillcast.operators import clean, daily
+from tillcast.operators import clean, daily, forecast, outliers
 from tillcast.plans import pipelines as L
 from tillcast.sources.fixtures import retail_inputs
 
@@ -78,6 +78,92 @@ def q_daily_top_items(spark, sf_dir):
     return L.daily_top_items(_inputs(spark, sf_dir), P)
 
 
+def q_calendar_features(spark, sf_dir):
+    return outliers.calendar_features(q_daily_top_items(spark, sf_dir))
+
+
+def q_iqr_flags(spark, sf_dir):
+    return outliers.flag_anomalies(q_daily_top_items(spark, sf_dir), "iqr", k=P.iqr_k, keep_stats=True)
+
+
+def q_zscore_flags(spark, sf_dir):
+    out = outliers.flag_anomalies(q_daily_top_items(spark, sf_dir), "z", k=P.z_k, keep_stats=True)
+    return out.withColumns({"mean": F.round("mean", 6), "std": F.round("std", 6)})
+
+
+def _daily_top_in_years(spark, sf_dir):
+    return daily.year_range(q_daily_top_items(spark, sf_dir), P.start_year, P.end_year)
+
+
+def q_seasonal_median(spark, sf_dir):
+    return outliers.seasonal_median(_daily_top_in_years(spark, sf_dir))
+
+
+def q_capped_daily(spark, sf_dir):
+    return L.capped_daily(_inputs(spark, sf_dir), P)
+
+
+def _series(spark, sf_dir):
+    return L.forecast_series(_inputs(spark, sf_dir), P)
+
+
+def _horizon():
+    return forecast.horizon_for(P.train_end)
+
+
+def q_forecast_horizon(spark, sf_dir):
+    return forecast.horizons(q_clean_transactions(spark, sf_dir))
+
+
+def q_forecast_calendar(spark, sf_dir):
+    return forecast.forecast_calendar(_series(spark, sf_dir), P.train_end, _horizon(), "last_date")
+
+
+def q_train_test_cut(spark, sf_dir):
+    return forecast.train_test_cut(_series(spark, sf_dir), P.train_end, _horizon())
+
+
+def q_lag_features(spark, sf_dir):
+    return forecast.lag_features(q_daily_top_items(spark, sf_dir), "quantity", P.lags)
+
+
+def q_series_difference(spark, sf_dir):
+    return forecast.series_difference(_series(spark, sf_dir), "quantity_cap")
+
+
+def _test_and_typical(spark, sf_dir):
+    capped = L.capped_daily(_inputs(spark, sf_dir), P, years=False)
+    series = capped.select("branch", "ite_desc_std", "date", "quantity_cap")
+    test = forecast.train_test_cut(series, P.train_end, _horizon()).where(F.col("part") == "test")
+    pred = capped.select("branch", "ite_desc_std", "date", F.col("typical").alias("forecast"))
+    return test, pred
+
+
+def q_forecast_metrics(spark, sf_dir):
+    """J7 + A9 with the seasonal median as the prediction (oracle-checkable)."""
+    test, pred = _test_and_typical(spark, sf_dir)
+    return forecast.forecast_metrics(test, pred, "quantity_cap")
+
+
+def q_masked_metrics(spark, sf_dir):
+    test, pred = _test_and_typical(spark, sf_dir)
+    return forecast.masked_metrics(test, pred, "quantity_cap", P.mape_threshold)
+
+
+def q_arima_forecast(spark, sf_dir):
+    return forecast.arima_forecast(
+        _series(spark, sf_dir), P.train_end, _horizon(), "quantity_cap", P.arima_order
+    )
+
+
+def q_forecast_evaluation(spark, sf_dir):
+    """T4: ARIMA forecasts scored against the test part."""
+    series = _series(spark, sf_dir)
+    fc = forecast.arima_forecast(series, P.train_end, _horizon(), "quantity_cap", P.arima_order)
+    test = forecast.train_test_cut(series, P.train_end, _horizon()).where(F.col("part") == "test")
+    return forecast.forecast_metrics(test, fc, "quantity_cap")
+
+
 QUERIES: dict[str, Query] = {
     "clean_transactions": q_clean_transactions,
     "source_filter": q_source_filter,
@@ -91,6 +177,20 @@ QUERIES: dict[str, Query] = {
     "branch_item_totals": q_branch_item_totals,
     "top_items": q_top_items,
     "daily_top_items": q_daily_top_items,
+    "calendar_features": q_calendar_features,
+    "iqr_flags": q_iqr_flags,
+    "zscore_flags": q_zscore_flags,
+    "seasonal_median": q_seasonal_median,
+    "capped_daily": q_capped_daily,
+    "forecast_horizon": q_forecast_horizon,
+    "forecast_calendar": q_forecast_calendar,
+    "train_test_cut": q_train_test_cut,
+    "lag_features": q_lag_features,
+    "series_difference": q_series_difference,
+    "forecast_metrics": q_forecast_metrics,
+    "masked_metrics": q_masked_metrics,
+    "arima_forecast": q_arima_forecast,
+    "forecast_evaluation": q_forecast_evaluation,
 }
 
 

@@ -33,7 +33,11 @@ def get_session(
     ``master`` is only for local runs and tests; on a cluster leave it unset
     and let spark-submit decide.
     """
-    builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    builder = (
+        SparkSession.builder.appName(app_name)
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+    )
     if master:
         builder = builder.master(master)
     for k, v in _SQL_CONF.items():
