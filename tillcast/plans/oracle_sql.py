@@ -138,6 +138,31 @@ pairs AS (
 """
 
 
+def _dict(c: str) -> str:
+    return f"""dict_{c} AS (
+  select v, cast(dense_rank() over (order by v) - 1 as integer) as code
+  from (select distinct coalesce(cast({c} as varchar), 'None') as v from ml_split where not is_test))"""
+
+
+STEPS += f""",
+ml_split AS (
+  select l.l_orderkey, l.l_linenumber, p.p_type, p.p_brand, l.l_returnflag,
+    cast(p.p_size as double) as p_size, l.l_quantity, l.l_extendedprice as target,
+    substr(md5(concat_ws('|', cast(l.l_orderkey as varchar), cast(l.l_linenumber as varchar), '{P.seed}')), 1, 8)
+      < '{format(int(P.test_fraction * 2**32), "08x")}' as is_test
+  from lineitem l join part p on p.p_partkey = l.l_partkey
+),
+{_dict("p_type")},
+{_dict("p_brand")},
+{_dict("l_returnflag")},
+report AS (
+  select quantity as y, typical as f,
+    case when date <= date '{TRAIN_END}' then 'reference' else 'current' end as dataset
+  from capped_all where quantity is not null and typical is not null
+)
+"""
+
+
 def _with(select: str) -> str:
     return f"WITH {adapter_cte_sql()},\n{STEPS.strip()}\n{select}"
 
@@ -184,6 +209,31 @@ SELECTS: dict[str, str] = {
     "forecast_metrics": f"""select branch, ite_desc_std, round(avg(abs(y - f)), 6) as mae,
           cast(cast(avg(abs(y - f) / greatest(abs(y), {EPS})) * 100.0 as float) as double) as mape, count(*) as n
         from pairs group by all""",
+    "hash_split": "select l_orderkey, l_linenumber, is_test from ml_split",
+    "label_encode": """select s.l_orderkey, s.l_linenumber, s.p_type, s.p_brand, s.l_returnflag,
+          coalesce(a.code, -1) as p_type_idx, coalesce(b.code, -1) as p_brand_idx,
+          coalesce(c.code, -1) as l_returnflag_idx
+        from ml_split s
+        left join dict_p_type a on a.v = coalesce(cast(s.p_type as varchar), 'None')
+        left join dict_p_brand b on b.v = coalesce(cast(s.p_brand as varchar), 'None')
+        left join dict_l_returnflag c on c.v = coalesce(cast(s.l_returnflag as varchar), 'None')""",
+    "regression_report": """select dataset, count(*) as n, round(avg(f - y), 6) as mean_error,
+          round(avg(abs(y - f)), 6) as mae,
+          cast(cast(avg(abs(y - f) / greatest(abs(y), 2.220446049250313e-16)) as float) as double) as mape,
+          round(sqrt(avg((y - f) * (y - f))), 6) as rmse,
+          round(1.0 - sum((y - f) * (y - f)) / nullif(sum(y * y) - sum(y) * sum(y) / count(y), 0), 6) as r2
+        from report group by dataset""",
+    "error_histogram": """select dataset, bin, count(*) as n,
+          case when bin > 0 then -50.0 + (bin - 1) * 5.0 end as bin_lo,
+          case when bin <= 20 then -50.0 + bin * 5.0 end as bin_hi
+        from (select dataset, cast(case when f - y < -50.0 then 0 when f - y >= 50.0 then 21
+                else floor(((f - y) - -50.0) / 5.0) + 1 end as integer) as bin from report)
+        group by dataset, bin""",
+    "dup_keys": """select branch, incode, dep_code, count(*) as n_rows, count(distinct ite_desc) as n_ite_desc
+        from pm group by branch, incode, dep_code having count(*) > 1""",
+    "unmatched_depts": """select dept_name_std, count(*) as n_products from pm p
+        where not exists (select 1 from v_dept_map m where m.dep_desc = p.dept_name_std)
+        group by dept_name_std""",
     "masked_metrics": f"""select branch, ite_desc_std,
           round(avg(case when abs(y) > {P.mape_threshold} then abs(y - f) end), 6) as mae,
           cast(cast(avg(case when abs(y) > {P.mape_threshold} then abs(y - f) / greatest(abs(y), {EPS}) end) as float) as double) as mape,

@@ -60,3 +60,25 @@ def forecast_series(inp: RetailInputs, p: RunParams) -> DataFrame:
     return capped_daily(inp, p, years=False).select(
         "branch", "ite_desc_std", "date", "quantity_cap"
     )
+
+
+ML_KEYS = ("l_orderkey", "l_linenumber")
+ML_STRINGS = ("p_type", "p_brand", "l_returnflag")
+ML_NUMBERS = ("p_size", "l_quantity")
+
+
+def ml_frame(tables: dict[str, DataFrame]) -> DataFrame:
+    """Tabular regression input: item attributes -> extended price."""
+    from pyspark.sql import functions as F
+
+    li, part = tables["lineitem"], tables["part"]
+    return li.join(part, li.l_partkey == part.p_partkey).select(
+        "l_orderkey",
+        "l_linenumber",
+        "p_type",
+        "p_brand",
+        "l_returnflag",
+        F.col("p_size").cast("double").alias("p_size"),
+        "l_quantity",
+        F.col("l_extendedprice").alias("target"),
+    )

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillcast.config import FIXTURE
-from tillcast.operators import clean, daily, forecast, outliers
+from tillcast.operators import clean, daily, forecast, ml, outliers, quality
 from tillcast.plans import pipelines as L
-from tillcast.sources.fixtures import retail_inputs
+from tillcast.sources.fixtures import load_tables, retail_inputs
 
 P = FIXTURE
 Query = Callable[[SparkSession, str], DataFrame]
@@ -164,6 +164,107 @@ def q_forecast_evaluation(spark, sf_dir):
     return forecast.forecast_metrics(test, fc, "quantity_cap")
 
 
+# ---------------------------------------------------------------- L5: ML path
+def _ml_split(spark, sf_dir):
+    frame = L.ml_frame(load_tables(spark, sf_dir, ("lineitem", "part")))
+    return ml.hash_split(frame, L.ML_KEYS, P.test_fraction, P.seed)
+
+
+def q_hash_split(spark, sf_dir):
+    return _ml_split(spark, sf_dir).select(*L.ML_KEYS, "is_test")
+
+
+def _encoded(spark, sf_dir):
+    split = _ml_split(spark, sf_dir)
+    enc = ml.fit_label_encoder(split.where(~F.col("is_test")), L.ML_STRINGS)
+    return ml.apply_label_encoder(split, enc, L.ML_STRINGS, broadcast_max_rows=P.broadcast_max_rows)
+
+
+def q_label_encode(spark, sf_dir):
+    """Codes fitted on the training part, applied to every row."""
+    return _encoded(spark, sf_dir).select(
+        *L.ML_KEYS, *L.ML_STRINGS, *[f"{c}_idx" for c in L.ML_STRINGS]
+    )
+
+
+ML_FEATURES = [f"{c}_idx" for c in L.ML_STRINGS] + list(L.ML_NUMBERS)
+_MODELS: dict[str, tuple] = {}
+
+
+def _trained(spark, sf_dir):
+    """Train once per input folder and session; later queries reuse it."""
+    key = f"{id(spark)}:{sf_dir}"
+    if key not in _MODELS:
+        data = _encoded(spark, sf_dir)
+        from tillcast.session import materialize
+
+        data = materialize(data, "ml-encoded")
+        model = ml.train_gbt(
+            data.where(~F.col("is_test")), ML_FEATURES, "target", "gbt", P.n_trees, P.seed
+        )
+        _MODELS[key] = (model, data)
+    return _MODELS[key]
+
+
+def q_gbt_predict(spark, sf_dir):
+    """M3, M4: GBT trained on the training part, one prediction per test row."""
+    model, data = _trained(spark, sf_dir)
+    return ml.predict(model, data.where(F.col("is_test")), [*L.ML_KEYS, "target"])
+
+
+def q_model_scores(spark, sf_dir):
+    """Train and test scores with the model parameters."""
+    model, data = _trained(spark, sf_dir)
+    scored = model.transform(data).withColumn(
+        "dataset", F.when(F.col("is_test"), "test").otherwise("train")
+    )
+    return ml.regression_scores(scored, "target", "dataset").withColumns(
+        {"n_estimators": F.lit(P.n_trees), "random_state": F.lit(P.seed)}
+    )
+
+
+def q_feature_importance(spark, sf_dir):
+    model, _ = _trained(spark, sf_dir)
+    return ml.feature_importance(model, ML_FEATURES)
+
+
+def _report_frame(spark, sf_dir):
+    capped = L.capped_daily(_inputs(spark, sf_dir), P, years=False)
+    return capped.withColumn(
+        "dataset",
+        F.when(F.col("date") <= F.lit(P.train_end), "reference").otherwise("current"),
+    )
+
+
+def q_regression_report(spark, sf_dir):
+    """A11, A12 on the seasonal median as the prediction of daily quantity."""
+    return ml.regression_report(_report_frame(spark, sf_dir), "quantity", "typical")
+
+
+def q_error_histogram(spark, sf_dir):
+    return ml.error_histogram(_report_frame(spark, sf_dir), "quantity", "typical", -50.0, 50.0, 20)
+
+
+def q_batch_score(spark, sf_dir):
+    """M8: classifier fitted on the training part of the embeddings, every
+    row scored to an integer class."""
+    emb = load_tables(spark, sf_dir, ("embeddings",))["embeddings"]
+    width = len(emb.select("embedding").first()[0])
+    split = ml.hash_split(emb, ["vec_id"], P.test_fraction, P.seed)
+    model = ml.train_classifier(split.where(~F.col("is_test")), "embedding", width)
+    return ml.batch_score(model, emb, "embedding", width, ["vec_id"])
+
+
+# ---------------------------------------------------------------- quality
+def q_dup_keys(spark, sf_dir):
+    return quality.duplicate_keys(q_item_dept_flags(spark, sf_dir))
+
+
+def q_unmatched_depts(spark, sf_dir):
+    inp = _inputs(spark, sf_dir)
+    return quality.unmatched_departments(L.product_master(inp, P), inp.dept_map)
+
+
 QUERIES: dict[str, Query] = {
     "clean_transactions": q_clean_transactions,
     "source_filter": q_source_filter,
@@ -191,6 +292,16 @@ QUERIES: dict[str, Query] = {
     "masked_metrics": q_masked_metrics,
     "arima_forecast": q_arima_forecast,
     "forecast_evaluation": q_forecast_evaluation,
+    "hash_split": q_hash_split,
+    "label_encode": q_label_encode,
+    "gbt_predict": q_gbt_predict,
+    "model_scores": q_model_scores,
+    "feature_importance": q_feature_importance,
+    "regression_report": q_regression_report,
+    "error_histogram": q_error_histogram,
+    "batch_score": q_batch_score,
+    "dup_keys": q_dup_keys,
+    "unmatched_depts": q_unmatched_depts,
 }
 
 
