@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tillcast.config import ACTIVE_STATUS, IGNORE_FLAG, PREFIX_TO_DEPARTMENT, OverrideRule
 from tillcast.functions import scalar as S
 from tillcast.operators.joins import broadcast_if_bounded, equi_join
+from tillcast.session import materialize
 
 MASTER_COLUMNS = (
     "data_id",
@@ -144,12 +145,13 @@ def join_transactions(
 ) -> DataFrame:
     """Transactions left-joined to the product master on (branch, code, dep).
 
-    The product side is a catalogue (items x branches): it is broadcast when
-    its bounded count allows, so the fact table is never shuffled for this
-    join and a hot item cannot skew it. Past the bound the join shuffles and
-    AQE splits skewed partitions.
+    The product side is a catalogue (items x branches). It is written once
+    to the checkpoint folder (so the size check and the join share one
+    computation), then broadcast when its bounded count allows: the fact
+    table is never shuffled for this join and a hot item cannot skew it.
+    Past the bound the join shuffles and AQE splits skewed partitions.
     """
-    pm = products.withColumnRenamed("incode", "ite_code")
+    pm = materialize(products.withColumnRenamed("incode", "ite_code"), "product-master")
     pm = broadcast_if_bounded(pm, broadcast_max_rows)
     return equi_join(
         tx, pm, ["branch", "ite_code", "dep_code"], how="left", null_safe=null_safe
