@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 from tillcast.config import RunParams
 from tillcast.operators import clean, daily
+from tillcast.session import materialize
 from tillcast.sources.fixtures import RetailInputs
 
 
@@ -40,8 +41,12 @@ def daily_quantity(inp: RetailInputs, p: RunParams) -> DataFrame:
 
 
 def daily_top_items(inp: RetailInputs, p: RunParams) -> DataFrame:
-    """L2."""
-    return daily.daily_top_items(daily_quantity(inp, p), p.start_year, p.end_year, p.top_n)
+    """L2. ``daily`` feeds both the item choice and the semi join, so it is
+    written once to the checkpoint folder: otherwise the year filter is
+    pushed below one copy of the aggregate and the fact table is scanned
+    twice. Daily totals are far smaller than the transactions."""
+    d = materialize(daily_quantity(inp, p), "daily")
+    return daily.daily_top_items(d, p.start_year, p.end_year, p.top_n)
 
 
 def capped_daily(inp: RetailInputs, p: RunParams, years: bool = True) -> DataFrame:
@@ -55,11 +60,13 @@ def capped_daily(inp: RetailInputs, p: RunParams, years: bool = True) -> DataFra
     return cap_outliers(base, k=p.iqr_k)
 
 
-def forecast_series(inp: RetailInputs, p: RunParams) -> DataFrame:
-    """The capped series the forecaster works on: (branch, item, date, quantity_cap)."""
-    return capped_daily(inp, p, years=False).select(
-        "branch", "ite_desc_std", "date", "quantity_cap"
-    )
+def forecast_series(inp: RetailInputs, p: RunParams, write: bool = False) -> DataFrame:
+    """The capped series the forecaster works on: (branch, item, date, quantity_cap).
+
+    ``write=True`` stores it in the checkpoint folder first, for callers
+    that read it more than once (fit and score)."""
+    s = capped_daily(inp, p, years=False).select("branch", "ite_desc_std", "date", "quantity_cap")
+    return materialize(s, "series") if write else s
 
 
 ML_KEYS = ("l_orderkey", "l_linenumber")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tillcast.config import FIXTURE
 from tillcast.operators import clean, daily, forecast, ml, outliers, quality
 from tillcast.plans import pipelines as L
+from tillcast.session import materialize
 from tillcast.sources.fixtures import load_tables, retail_inputs
 
 P = FIXTURE
@@ -132,7 +133,7 @@ def q_series_difference(spark, sf_dir):
 
 
 def _test_and_typical(spark, sf_dir):
-    capped = L.capped_daily(_inputs(spark, sf_dir), P, years=False)
+    capped = materialize(L.capped_daily(_inputs(spark, sf_dir), P, years=False), "capped")
     series = capped.select("branch", "ite_desc_std", "date", "quantity_cap")
     test = forecast.train_test_cut(series, P.train_end, _horizon()).where(F.col("part") == "test")
     pred = capped.select("branch", "ite_desc_std", "date", F.col("typical").alias("forecast"))
@@ -158,7 +159,7 @@ def q_arima_forecast(spark, sf_dir):
 
 def q_forecast_evaluation(spark, sf_dir):
     """T4: ARIMA forecasts scored against the test part."""
-    series = _series(spark, sf_dir)
+    series = L.forecast_series(_inputs(spark, sf_dir), P, write=True)
     fc = forecast.arima_forecast(series, P.train_end, _horizon(), "quantity_cap", P.arima_order)
     test = forecast.train_test_cut(series, P.train_end, _horizon()).where(F.col("part") == "test")
     return forecast.forecast_metrics(test, fc, "quantity_cap")
@@ -195,10 +196,7 @@ def _trained(spark, sf_dir):
     """Train once per input folder and session; later queries reuse it."""
     key = f"{id(spark)}:{sf_dir}"
     if key not in _MODELS:
-        data = _encoded(spark, sf_dir)
-        from tillcast.session import materialize
-
-        data = materialize(data, "ml-encoded")
+        data = materialize(_encoded(spark, sf_dir), "ml-encoded")
         model = ml.train_gbt(
             data.where(~F.col("is_test")), ML_FEATURES, "target", "gbt", P.n_trees, P.seed
         )
