@@ -139,3 +139,17 @@ def test_arima_job_rows_and_partition_independence(spark):
         per.setdefault(item, []).append(d)
     assert set(per) == {"a", "b"}  # 'late' has no training rows
     assert all(len(v) == 31 and min(v) == dt.date(2024, 3, 1) for v in per.values())
+
+
+def test_l4_composition(spark):
+    from tillcast.config import ForecastConfig
+    from tillcast.plans.pipelines import forecast_and_evaluate
+
+    rng = np.random.default_rng(11)
+    vals = list(np.cumsum(rng.normal(size=90)) + 40)
+    df = gapless(spark, dt.date(2024, 1, 1), 90, vals)
+    fc, ev = forecast_and_evaluate(df, ForecastConfig(train_end=dt.date(2024, 2, 29)))
+    assert fc.count() == 31
+    row = ev.first()
+    # horizon 31 (02-29 is a month end): test rows 02-29 .. 03-30, forecasts from 03-01 -> 30 pairs
+    assert row.n == 30 and row.mae >= 0

@@ -122,3 +122,24 @@ def test_batch_score_ints_and_width_check(spark):
     bad = spark.createDataFrame([(1, [1.0, 2.0], 0)], "vec_id long, embedding array<float>, label int")
     with pytest.raises(Exception, match="must have 4 values"):
         ml.batch_score(model, bad, "embedding", 4, ["vec_id"]).collect()
+
+
+def test_permutation_importance_finds_the_signal(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, float(a), float(b), float(10 * a)) for i, (a, b) in enumerate(rng.random((400, 2)))]
+    df = spark.createDataFrame(rows, "k long, a double, b double, target double")
+    model = ml.train_gbt(df, ["a", "b"], n_trees=10)
+    imp = {r.feature: r.rmse_increase for r in ml.permutation_importance(model, df, ["a", "b"], ["k"], rows_per_bucket=50).collect()}
+    assert imp["a"] > 1.0 and abs(imp["b"]) < 0.2
+
+
+def test_l5_composition(spark, frame):
+    from tillcast.config import RunParams
+    from tillcast.plans.pipelines import train_predict_report
+
+    framed = frame.withColumn("cat", F.when(F.col("feature1") > 0.5, "hi").otherwise("lo"))
+    out = train_predict_report(framed, ["ts"], ["cat"], ["feature2"], RunParams(n_trees=3))
+    n_test = ml.hash_split(framed, ["ts"]).where(F.col("is_test")).count()
+    assert out["predictions"].count() == n_test
+    assert {r.dataset for r in out["scores"].collect()} == {"train", "test"}
+    assert {r.dataset for r in out["report"].collect()} == {"train", "test"}

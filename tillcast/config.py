@@ -124,3 +124,21 @@ FIXTURE = RunParams(
 # Column names of the series every forecasting step works on.
 SERIES_KEYS = ("branch", "ite_desc_std")
 DATE_COL = "date"
+
+
+@dataclass(frozen=True)
+class ForecastConfig:
+    """T5: one forecasting run (order, train end, column names, modes)."""
+
+    order: tuple[int, int, int] = (1, 1, 1)
+    train_end: dt.date = dt.date(2024, 3, 31)
+    date_col: str = DATE_COL
+    branch_col: str = "branch"
+    item_col: str = "ite_desc_std"
+    quant_col: str = "quantity_cap"
+    start_mode: str = "train_end"
+    eval_mode: str = "reference"
+
+    @property
+    def keys(self) -> tuple[str, str]:
+        return (self.branch_col, self.item_col)

@@ -89,3 +89,66 @@ def ml_frame(tables: dict[str, DataFrame]) -> DataFrame:
         "l_quantity",
         F.col("l_extendedprice").alias("target"),
     )
+
+
+def forecast_and_evaluate(series: DataFrame, cfg) -> tuple[DataFrame, DataFrame]:
+    """L4: T1 -> T3 -> (F4, W5) -> T4. Returns (forecasts, evaluation).
+
+    ``series`` is read twice (fit and score); pass a written table.
+    """
+    from pyspark.sql import functions as F
+
+    from tillcast.operators import forecast
+
+    h = forecast.horizon_for(cfg.train_end)
+    fc = forecast.arima_forecast(
+        series, cfg.train_end, h, cfg.quant_col, cfg.order, cfg.start_mode, cfg.keys, cfg.date_col
+    )
+    test = forecast.train_test_cut(
+        series, cfg.train_end, h, cfg.keys, cfg.date_col, cfg.eval_mode
+    ).where(F.col("part") == "test")
+    ev = forecast.forecast_metrics(test, fc, cfg.quant_col, keys=cfg.keys, date_col=cfg.date_col)
+    return fc, ev
+
+
+def train_predict_report(
+    frame: DataFrame,
+    keys,
+    strings,
+    numbers,
+    p: RunParams,
+    target: str = "target",
+    algorithm: str = "gbt",
+) -> dict:
+    """M2 -> M1 (fit on train only) -> M3 -> M4 -> M5, M6, A12.
+
+    Returns a dict of the fitted model and the result frames. The encoded
+    frame is written once: training reads it many times and scoring,
+    scores and importance read it again.
+    """
+    from pyspark.sql import functions as F
+
+    from tillcast.operators import ml
+
+    ml.require_target(frame, target)
+    split = ml.hash_split(frame, keys, p.test_fraction, p.seed)
+    enc = ml.fit_label_encoder(split.where(~F.col("is_test")), strings)
+    data = materialize(
+        ml.apply_label_encoder(split, enc, strings, broadcast_max_rows=p.broadcast_max_rows),
+        "ml-encoded",
+    )
+    features = [f"{c}_idx" for c in strings] + list(numbers)
+    model = ml.train_gbt(data.where(~F.col("is_test")), features, target, algorithm, p.n_trees, p.seed)
+    scored = model.transform(data).withColumn(
+        "dataset", F.when(F.col("is_test"), "test").otherwise("train")
+    )
+    return {
+        "model": model,
+        "data": data,
+        "features": features,
+        "predictions": scored.where(F.col("is_test")).select(*keys, target, "prediction"),
+        "scores": ml.regression_scores(scored, target, "dataset").withColumns(
+            {"n_estimators": F.lit(p.n_trees), "random_state": F.lit(p.seed)}
+        ),
+        "report": ml.regression_report(scored, target, "prediction", "dataset"),
+    }

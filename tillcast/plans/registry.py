@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.config import FIXTURE
+from tillcast.config import FIXTURE, ForecastConfig
 from tillcast.operators import clean, daily, forecast, ml, outliers, quality
 from tillcast.plans import pipelines as L
 from tillcast.session import materialize
@@ -151,18 +151,20 @@ def q_masked_metrics(spark, sf_dir):
     return forecast.masked_metrics(test, pred, "quantity_cap", P.mape_threshold)
 
 
+FORECAST = ForecastConfig(order=P.arima_order, train_end=P.train_end)
+
+
 def q_arima_forecast(spark, sf_dir):
+    """One ARIMA per (branch, item) series, horizon to the end of next month."""
     return forecast.arima_forecast(
-        _series(spark, sf_dir), P.train_end, _horizon(), "quantity_cap", P.arima_order
+        _series(spark, sf_dir), FORECAST.train_end, _horizon(), FORECAST.quant_col, FORECAST.order
     )
 
 
 def q_forecast_evaluation(spark, sf_dir):
-    """T4: ARIMA forecasts scored against the test part."""
+    """T4 / L4: ARIMA forecasts scored against the test part."""
     series = L.forecast_series(_inputs(spark, sf_dir), P, write=True)
-    fc = forecast.arima_forecast(series, P.train_end, _horizon(), "quantity_cap", P.arima_order)
-    test = forecast.train_test_cut(series, P.train_end, _horizon()).where(F.col("part") == "test")
-    return forecast.forecast_metrics(test, fc, "quantity_cap")
+    return L.forecast_and_evaluate(series, FORECAST)[1]
 
 
 # ---------------------------------------------------------------- L5: ML path
@@ -189,41 +191,34 @@ def q_label_encode(spark, sf_dir):
 
 
 ML_FEATURES = [f"{c}_idx" for c in L.ML_STRINGS] + list(L.ML_NUMBERS)
-_MODELS: dict[str, tuple] = {}
+_MODELS: dict[str, dict] = {}
 
 
-def _trained(spark, sf_dir):
-    """Train once per input folder and session; later queries reuse it."""
+def _trained(spark, sf_dir) -> dict:
+    """Run L5 once per input folder and session; the ML queries share it."""
     key = f"{id(spark)}:{sf_dir}"
     if key not in _MODELS:
-        data = materialize(_encoded(spark, sf_dir), "ml-encoded")
-        model = ml.train_gbt(
-            data.where(~F.col("is_test")), ML_FEATURES, "target", "gbt", P.n_trees, P.seed
-        )
-        _MODELS[key] = (model, data)
+        frame = L.ml_frame(load_tables(spark, sf_dir, ("lineitem", "part")))
+        _MODELS[key] = L.train_predict_report(frame, L.ML_KEYS, L.ML_STRINGS, L.ML_NUMBERS, P)
     return _MODELS[key]
 
 
 def q_gbt_predict(spark, sf_dir):
     """M3, M4: GBT trained on the training part, one prediction per test row."""
-    model, data = _trained(spark, sf_dir)
-    return ml.predict(model, data.where(F.col("is_test")), [*L.ML_KEYS, "target"])
+    return _trained(spark, sf_dir)["predictions"]
 
 
 def q_model_scores(spark, sf_dir):
     """Train and test scores with the model parameters."""
-    model, data = _trained(spark, sf_dir)
-    scored = model.transform(data).withColumn(
-        "dataset", F.when(F.col("is_test"), "test").otherwise("train")
-    )
-    return ml.regression_scores(scored, "target", "dataset").withColumns(
-        {"n_estimators": F.lit(P.n_trees), "random_state": F.lit(P.seed)}
-    )
+    return _trained(spark, sf_dir)["scores"]
 
 
 def q_feature_importance(spark, sf_dir):
-    model, _ = _trained(spark, sf_dir)
-    return ml.feature_importance(model, ML_FEATURES)
+    """M6: impurity importance and permutation importance (RMSE increase)."""
+    t = _trained(spark, sf_dir)
+    test = t["data"].where(F.col("is_test")).drop("is_test")
+    perm = ml.permutation_importance(t["model"], test, t["features"], L.ML_KEYS, "target", P.seed)
+    return ml.feature_importance(t["model"], t["features"]).join(perm, on="feature", how="left")
 
 
 def _report_frame(spark, sf_dir):
