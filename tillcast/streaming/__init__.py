@@ -1,0 +1,9 @@
+"""Incremental form of the daily totals.
+
+The original pipeline has no streaming operator. ``daily_stream`` runs the
+same A1 operator (``operators.daily.daily_totals``) over transaction-master
+files as they arrive, with a watermark on the business date, so a day is
+written once it can no longer change.
+"""
+
+from tillcast.streaming.daily import daily_stream, start_daily_stream  # noqa: F401

@@ -1,0 +1,48 @@
+"""A1 on a stream: daily totals of arriving transaction-master files."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from tillcast.operators.daily import daily_totals
+from tillcast.sources.schemas import MASTER
+
+
+def daily_stream(spark: SparkSession, master_dir: str, lateness: str = "2 days") -> DataFrame:
+    """Streaming daily totals per (branch, item, date).
+
+    Rows may arrive up to ``lateness`` after later days; in append mode a
+    day's total is emitted once the watermark passes it, and it is final.
+    The aggregation keeps one running sum per open (branch, item, day), so
+    state is bounded by the open days, not by the volume.
+    """
+    src = spark.readStream.schema(MASTER).parquet(master_dir)
+    timed = src.withColumn("day_ts", F.col("date").cast("timestamp")).withWatermark("day_ts", lateness)
+    totals = daily_totals(timed, keys=("branch", "ite_desc_std", "day_ts"))
+    return totals.select(
+        "branch", "ite_desc_std", F.col("day_ts").cast("date").alias("date"), "quantity"
+    )
+
+
+def start_daily_stream(
+    spark: SparkSession,
+    master_dir: str,
+    output_dir: str,
+    checkpoint_location: str,
+    lateness: str = "2 days",
+    available_now: bool = True,
+    interval: str = "1 minute",
+) -> StreamingQuery:
+    """Write finished days as Parquet. ``checkpoint_location`` must be on the
+    shared file system so a restarted query resumes where it stopped."""
+    writer = (
+        daily_stream(spark, master_dir, lateness)
+        .writeStream.format("parquet")
+        .outputMode("append")
+        .option("path", output_dir)
+        .option("checkpointLocation", checkpoint_location)
+    )
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
+    return writer.start()
