@@ -39,70 +39,140 @@ def check_order(order: tuple[int, int, int]) -> tuple[int, int, int]:
 
 
 def neg_profile_loglik(w: np.ndarray, phi: np.ndarray, theta: np.ndarray) -> np.ndarray:
-    """``n*ln(S/n) + sum(ln r)`` for every (phi[i], theta[i]) at once."""
+    """``n*ln(S/n) + sum(ln r)`` for one series and every (phi[i], theta[i])."""
+    return neg_profile_loglik_many(w[None, :], np.array([len(w)]), phi[None, :], theta[None, :])[0]
+
+
+def _live_counts(n: np.ndarray, T: int) -> np.ndarray:
+    """For lengths sorted in descending order: how many series are live at t."""
+    return np.searchsorted(-n, -np.arange(T), side="left")
+
+
+def neg_profile_loglik_many(
+    w: np.ndarray, n: np.ndarray, phi: np.ndarray, theta: np.ndarray
+) -> np.ndarray:
+    """The same for S series at once.
+
+    ``w`` is (S, T) padded on the right with series sorted by length
+    (longest first), ``n`` the lengths (S,), ``phi`` and ``theta`` (S, G)
+    grids; returns (S, G). One pass over time, vectorised over series and
+    grid points; at step t only the still-live prefix of series is updated.
+    """
     th2 = theta * theta
     r = (1.0 + 2.0 * theta * phi + th2) / (1.0 - phi * phi)
     x = np.zeros_like(phi)
     s = np.zeros_like(phi)
     logr = np.zeros_like(phi)
-    for wt in w:
-        e = wt - x
-        s += e * e / r
-        logr += np.log(r)
-        x = phi * wt + (theta / r) * e
-        r = 1.0 + th2 - th2 / r
-    n = len(w)
+    live = _live_counts(n, w.shape[1])
+    for t in range(w.shape[1]):
+        k = live[t]
+        wt = w[:k, t : t + 1]
+        rk, xk = r[:k], x[:k]
+        e = wt - xk
+        s[:k] += e * e / rk
+        logr[:k] += np.log(rk)
+        x[:k] = phi[:k] * wt + (theta[:k] / rk) * e
+        r[:k] = 1.0 + th2[:k] - th2[:k] / rk
+    nn = n[:, None].astype(float)
     with np.errstate(divide="ignore", invalid="ignore"):
-        return n * np.log(s / n) + logr
+        return nn * np.log(s / nn) + logr
+
+
+def one_step_state_many(w: np.ndarray, n: np.ndarray, phi: np.ndarray, theta: np.ndarray) -> np.ndarray:
+    """One-step prediction ``x_{T+1}`` per series at its fitted (phi, theta);
+    same layout as ``neg_profile_loglik_many`` with one grid point."""
+    return _state(w, n, phi[:, None], theta[:, None])[:, 0]
+
+
+def _state(w, n, phi, theta):
+    th2 = theta * theta
+    r = (1.0 + 2.0 * theta * phi + th2) / (1.0 - phi * phi)
+    x = np.zeros_like(phi)
+    live = _live_counts(n, w.shape[1])
+    for t in range(w.shape[1]):
+        k = live[t]
+        wt = w[:k, t : t + 1]
+        rk = r[:k]
+        e = wt - x[:k]
+        x[:k] = phi[:k] * wt + (theta[:k] / rk) * e
+        r[:k] = 1.0 + th2[:k] - th2[:k] / rk
+    return x
 
 
 def one_step_state(w: np.ndarray, phi: float, theta: float) -> float:
     """The one-step prediction ``x_{T+1}`` after all observations."""
-    r = (1.0 + 2.0 * theta * phi + theta * theta) / (1.0 - phi * phi)
-    x = 0.0
-    for wt in w:
-        e = wt - x
-        x = phi * wt + (theta / r) * e
-        r = 1.0 + theta * theta - theta * theta / r
-    return x
+    return float(one_step_state_many(w[None, :], np.array([len(w)]), np.array([phi]), np.array([theta]))[0])
 
 
-def fit_arma11(w: np.ndarray, use_phi: bool, use_theta: bool) -> tuple[float, float]:
-    """Grid-and-zoom maximum likelihood for (phi, theta) in [-0.99, 0.99]."""
+def _axis(center: np.ndarray, half: float, use: bool) -> np.ndarray:
+    if not use:
+        return np.zeros((len(center), 1))
+    steps = np.linspace(-half, half, GRID)[None, :]
+    return np.clip(center[:, None] + steps, -LIMIT, LIMIT)
+
+
+def fit_arma11_many(w: np.ndarray, n: np.ndarray, use_phi: bool, use_theta: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Grid-and-zoom maximum likelihood for every series of ``w``."""
+    S = w.shape[0]
     if not use_phi and not use_theta:
-        return 0.0, 0.0
-    c_phi, c_th, half = 0.0, 0.0, LIMIT
-    best = (0.0, 0.0)
+        return np.zeros(S), np.zeros(S)
+    c_phi, c_th, half = np.zeros(S), np.zeros(S), LIMIT
     for _ in range(ZOOMS + 1):
-        ph = np.clip(np.linspace(c_phi - half, c_phi + half, GRID), -LIMIT, LIMIT) if use_phi else np.zeros(1)
-        th = np.clip(np.linspace(c_th - half, c_th + half, GRID), -LIMIT, LIMIT) if use_theta else np.zeros(1)
-        pp, tt = np.meshgrid(ph, th, indexing="ij")
-        pp, tt = pp.ravel(), tt.ravel()
-        f = neg_profile_loglik(w, pp, tt)
+        ph, th = _axis(c_phi, half, use_phi), _axis(c_th, half, use_theta)
+        pp = np.repeat(ph, th.shape[1], axis=1)
+        tt = np.tile(th, (1, ph.shape[1]))
+        f = neg_profile_loglik_many(w, n, pp, tt)
         f = np.where(np.isfinite(f), f, np.inf)
-        i = int(np.argmin(f))
-        best = (float(pp[i]), float(tt[i]))
-        c_phi, c_th = best
+        i = np.argmin(f, axis=1)
+        rows = np.arange(S)
+        c_phi, c_th = pp[rows, i], tt[rows, i]
         half = 2.0 * half / (GRID - 1)
-    return best
+    return c_phi, c_th
 
 
-def forecast_values(y: np.ndarray, horizon: int, order=(1, 1, 1)) -> tuple[np.ndarray, str, float, float]:
-    """Forecast ``horizon`` steps after ``y`` (ordered, no gaps assumed).
+def fit_arma11(w: np.ndarray, use_phi: bool, use_theta: bool) -> tuple[float, float]:
+    phi, theta = fit_arma11_many(w[None, :], np.array([len(w)]), use_phi, use_theta)
+    return float(phi[0]), float(theta[0])
 
-    Returns (values, status, phi, theta). Too-short or zero-variance series
-    give a flat forecast at the last value with status 'flat'.
-    """
+
+def forecast_many(ys: list[np.ndarray], horizon: int, order=(1, 1, 1)) -> list[tuple[np.ndarray, str, float, float]]:
+    """Forecast ``horizon`` steps after each series in ``ys`` (each ordered,
+    positional). Too-short or zero-variance series get a flat forecast at
+    their last value with status 'flat'. Returns (values, status, phi, theta)
+    per series, in input order."""
     p, d, q = check_order(order)
-    y = np.asarray(y, dtype=float)
-    if len(y) == 0 or horizon <= 0:
-        return np.zeros(0), STATUS_FLAT, 0.0, 0.0
-    w = np.diff(y) if d == 1 else y - y.mean()
-    if len(w) < MIN_DIFFS or not np.isfinite(w).all() or np.var(w) == 0.0:
-        return np.full(horizon, y[-1]), STATUS_FLAT, 0.0, 0.0
-    phi, theta = fit_arma11(w, p == 1, q == 1)
-    x1 = one_step_state(w, phi, theta)
-    steps = x1 * phi ** np.arange(horizon)
-    if d == 1:
-        return y[-1] + np.cumsum(steps), STATUS_OK, phi, theta
-    return y.mean() + steps, STATUS_OK, phi, theta
+    out: list = [None] * len(ys)
+    fit_idx, ws = [], []
+    for i, y in enumerate(ys):
+        y = np.asarray(y, dtype=float)
+        if len(y) == 0 or horizon <= 0:
+            out[i] = (np.zeros(0), STATUS_FLAT, 0.0, 0.0)
+            continue
+        w = np.diff(y) if d == 1 else y - y.mean()
+        if len(w) < MIN_DIFFS or not np.isfinite(w).all() or np.var(w) == 0.0:
+            out[i] = (np.full(horizon, y[-1]), STATUS_FLAT, 0.0, 0.0)
+            continue
+        fit_idx.append(i)
+        ws.append(w)
+    if ws:
+        by_len = sorted(range(len(ws)), key=lambda j: -len(ws[j]))  # live series form a prefix
+        fit_idx = [fit_idx[j] for j in by_len]
+        ws = [ws[j] for j in by_len]
+        n = np.array([len(w) for w in ws])
+        W = np.zeros((len(ws), int(n.max())))
+        for j, w in enumerate(ws):
+            W[j, : len(w)] = w
+        phi, theta = fit_arma11_many(W, n, p == 1, q == 1)
+        x1 = one_step_state_many(W, n, phi, theta)
+        powers = np.arange(horizon)
+        for j, i in enumerate(fit_idx):
+            y = np.asarray(ys[i], dtype=float)
+            steps = x1[j] * phi[j] ** powers
+            vals = y[-1] + np.cumsum(steps) if d == 1 else y.mean() + steps
+            out[i] = (vals, STATUS_OK, float(phi[j]), float(theta[j]))
+    return out
+
+
+def forecast_values(y: np.ndarray, horizon: int, order=(1, 1, 1)) -> tuple[np.ndarray, str, float, float]:
+    """Single-series form of ``forecast_many``."""
+    return forecast_many([np.asarray(y, dtype=float)], horizon, order)[0]

@@ -194,12 +194,20 @@ def arima_forecast(
     start_mode: str = "train_end",
     keys: Sequence[str] = SERIES_KEYS,
     date_col: str = DATE_COL,
+    num_buckets: int | None = None,
+    chunk: int = 64,
 ) -> DataFrame:
-    """One ARIMA fit per series with ``applyInPandas``.
+    """One ARIMA fit per series, run as a grouped pandas job.
+
+    Only training rows (date <= train_end) are shuffled. Series are hashed
+    into buckets (default: ``spark.sql.shuffle.partitions``, at least twice
+    the cores), one ``applyInPandas`` call per bucket; inside, the series
+    are fitted ``chunk`` at a time with one vectorised NumPy pass. A series
+    has at most one row per day, so a bucket holds about
+    ``series / buckets`` calendars, never the transaction volume. The
+    shuffle has an explicit partition count, which AQE does not coalesce:
+    the work is CPU per series, not bytes.
 
-    Only training rows (date <= train_end) are shuffled, grouped by the
-    series key; each group is one series of at most one row per day, so a
-    task's memory is bounded by the calendar, not by transaction volume.
     Series without training rows produce nothing; every other series gets
     exactly ``horizon`` rows (status 'flat' when it is too short to fit).
     """
@@ -207,27 +215,44 @@ def arima_forecast(
     if start_mode not in START_MODES:
         raise ValueError(f"start_mode must be one of {START_MODES}")
     keys = list(keys)
+    spark = series.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    buckets = num_buckets or max(2 * cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
     schema = (
         ", ".join(f"`{k}` string" for k in keys)
         + f", `{date_col}` date, forecast double, status string, phi double, theta double"
     )
     end = pd.Timestamp(train_end)
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(date_col)
-        y = pdf[value].astype(float).to_numpy()
-        vals, status, phi, theta = arima.forecast_values(y, horizon, order)
-        base = end if start_mode == "train_end" else pd.Timestamp(pdf[date_col].iloc[-1])
-        dates = pd.date_range(base + pd.Timedelta(days=1), periods=horizon, freq="D").date
-        out = pd.DataFrame({k: pdf[k].iloc[0] for k in keys}, index=range(horizon))
-        out[date_col] = dates
-        out["forecast"] = vals
-        out["status"] = status
-        out["phi"] = phi
-        out["theta"] = theta
-        return out
-
-    train = series.where(
-        (F.col(date_col) <= F.lit(train_end)) & F.col(value).isNotNull()
-    ).select(*keys, date_col, value)
-    return train.groupBy(*keys).applyInPandas(fit, schema=schema)
+    one_day = pd.Timedelta(days=1)
+
+    def fit_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values([*keys, date_col])
+        groups = list(pdf.groupby(keys, sort=False))
+        frames = []
+        for lo in range(0, len(groups), chunk):
+            part = groups[lo : lo + chunk]
+            results = arima.forecast_many(
+                [g[value].to_numpy(dtype=float) for _, g in part], horizon, order
+            )
+            for (key, g), (vals, status, phi, theta) in zip(part, results):
+                key = key if isinstance(key, tuple) else (key,)
+                base = end if start_mode == "train_end" else pd.Timestamp(g[date_col].iloc[-1])
+                out = pd.DataFrame({k: [v] * horizon for k, v in zip(keys, key)})
+                out[date_col] = pd.date_range(base + one_day, periods=horizon, freq="D").date
+                out["forecast"] = vals
+                out["status"] = status
+                out["phi"] = phi
+                out["theta"] = theta
+                frames.append(out)
+        if not frames:
+            return pd.DataFrame({c: [] for c in [*keys, date_col, "forecast", "status", "phi", "theta"]})
+        return pd.concat(frames, ignore_index=True)
+
+    bucket = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets))
+    train = (
+        series.where((F.col(date_col) <= F.lit(train_end)) & F.col(value).isNotNull())
+        .select(*keys, date_col, value)
+        .withColumn("_bucket", bucket)
+        .repartition(min(buckets, 2 * cores), "_bucket")
+    )
+    return train.groupBy("_bucket").applyInPandas(fit_bucket, schema=schema)
