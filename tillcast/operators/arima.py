@@ -1,8 +1,9 @@
 """Per-series ARIMA(p, d, q) with p, q <= 1 and d <= 1, in NumPy.
 
-This is the small per-group helper that ``forecast.arima_forecast`` runs
-inside ``applyInPandas``: one call sees one series (at most one value per
-day), never the whole table.
+This is the small helper that ``forecast.arima_forecast`` runs inside
+``applyInPandas``: one call sees one hash bucket of series (each at most one
+value per day), never the whole table, and fits them together, vectorised
+over series and grid points.
 
 Model: after ``d`` differences, ``w_t = phi*w_{t-1} + z_t + theta*z_{t-1}``
 without a constant (with d = 0 the series mean is removed first). The exact
