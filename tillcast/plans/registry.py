@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from tillcast.config import FIXTURE, ForecastConfig
 from tillcast.operators import clean, daily, forecast, ml, outliers, quality
 from tillcast.plans import pipelines as L
 from tillcast.session import materialize
+from tillcast.sources import jdbc
 from tillcast.sources.fixtures import load_tables, retail_inputs
 
 P = FIXTURE
@@ -28,10 +30,8 @@ def q_clean_transactions(spark, sf_dir):
 def q_source_filter(spark, sf_dir):
     """Source-side projection and predicates (strict date, branch list)."""
     tx = _inputs(spark, sf_dir).transactions
-    return tx.where(
-        (F.col("date").try_cast("date") > F.lit(f"{P.start_year}-01-01").cast("date"))
-        & F.col("branch").isin("B1", "B2")
-    ).select("data_id", "branch", "ite_code", "quantity", "dep_code", "date", "time", "type")
+    kept = jdbc.restrict_source(tx, dt.date(P.start_year, 1, 1), ["B1", "B2"])
+    return kept.select("data_id", "branch", "ite_code", "quantity", "dep_code", "date", "time", "type")
 
 
 def q_product_master(spark, sf_dir):
