@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 
 log = logging.getLogger(__name__)
 
+# Rows per round trip; the JDBC default of some drivers (10 or 0 = all) is
+# either slow or loads everything into one executor's memory.
+DEFAULT_FETCHSIZE = "10000"
+
 
 def read_queries(
     spark: SparkSession,
@@ -29,6 +33,7 @@ def read_queries(
     for i, q in enumerate(queries):
         try:
             reader = spark.read.format("jdbc").option("url", url).option("query", q)
+            reader = reader.option("fetchsize", DEFAULT_FETCHSIZE)
             for k, v in (properties or {}).items():
                 reader = reader.option(k, v)
             out[f"query_{i}"] = reader.load()
@@ -49,7 +54,7 @@ def read_partitioned(
     """S1 for the big table: ``num_partitions`` parallel range reads on a
     numeric column (bounds from one min/max query), instead of one
     connection streaming the whole table."""
-    props = dict(properties or {})
+    props = {"fetchsize": DEFAULT_FETCHSIZE, **(properties or {})}
 
     def reader():
         r = spark.read.format("jdbc").option("url", url)
