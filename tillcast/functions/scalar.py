@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from tillcast.config import OverrideRule
 
-# [-]H..:MM:SS ; anything else (``10:00``, ``x``) is not a time.
-TIME_PATTERN = r"^(-?)(\d{1,6}):([0-5]\d):([0-5]\d)$"
-SECONDS_PER_DAY = 86400
+# Duration text as pandas ``to_timedelta`` reads it: optional sign, optional
+# "N days", H:M:S with any number of digits per field, optional fraction.
+# Field widths keep the total in nanoseconds inside a signed 64-bit value.
+TIME_PATTERN = r"^\s*([-+]?)\s*(\d+\s+days?,?\s+)?(\d{1,6}):(\d{1,7}):(\d{1,9})(?:\.(\d+))?\s*$"
+NANOS_PER_DAY = 86_400_000_000_000
 
 
 def _col(c: str | Column) -> Column:
@@ -25,21 +27,30 @@ def parse_date(c: str | Column) -> Column:
 
 
 def time_of_day(c: str | Column) -> Column:
-    """Duration text -> ``HH:MM:SS`` of the day it lands on.
-
-    ``25:00:00`` wraps to ``01:00:00``; ``-01:00:00`` to ``23:00:00``;
-    text that is not ``[-]H:MM:SS`` gives null.
+    """Duration text -> the time of day it lands on after midnight.
+
+    ``25:00:00`` wraps to ``01:00:00``, ``-01:00:00`` to ``23:00:00``,
+    ``10:75:00`` carries to ``11:15:00``; a fraction is kept as
+    ``HH:MM:SS.ffffff`` (nanoseconds, then cut to microseconds, as pandas
+    does). Text that is not a duration (``10:00``, ``x``) gives null.
+    Whole-day parts do not change the time of day; with a day part the sign
+    belongs to the days only (``-1 days 02:00:00`` is 02:00:00), as in pandas.
     """
     c = _col(c)
-    part = lambda i: F.regexp_extract(c, TIME_PATTERN, i).try_cast("long")
-    sign = F.when(F.regexp_extract(c, TIME_PATTERN, 1) == "-", F.lit(-1)).otherwise(F.lit(1))
-    seconds = F.pmod(sign * (part(2) * 3600 + part(3) * 60 + part(4)), F.lit(SECONDS_PER_DAY))
-    text = F.format_string(
-        "%02d:%02d:%02d",
-        (seconds / 3600).cast("int"),
-        ((seconds % 3600) / 60).cast("int"),
-        (seconds % 60).cast("int"),
+    grp = lambda i: F.regexp_extract(c, TIME_PATTERN, i)
+    whole = grp(3).try_cast("long") * 3600 + grp(4).try_cast("long") * 60 + grp(5).try_cast("long")
+    frac = F.when(grp(6) == "", F.lit(0)).otherwise(
+        F.rpad(F.substring(grp(6), 1, 9), 9, "0").try_cast("long")
+    )
+    nanos = whole * 1_000_000_000 + frac
+    signed = F.when((grp(1) == "-") & (grp(2) == ""), -nanos).otherwise(nanos)
+    t = (F.pmod(signed, F.lit(NANOS_PER_DAY)) / 1000).cast("long")  # microseconds, floored
+    secs = (t / 1_000_000).cast("long")
+    rest = t % 1_000_000
+    base = F.format_string(
+        "%02d:%02d:%02d", (secs / 3600).cast("int"), ((secs % 3600) / 60).cast("int"), (secs % 60).cast("int")
     )
+    text = F.when(rest == 0, base).otherwise(F.concat(base, F.lit("."), F.lpad(rest.cast("string"), 6, "0")))
     return F.when(c.rlike(TIME_PATTERN), text)
 
 

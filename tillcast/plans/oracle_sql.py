@@ -15,7 +15,7 @@ P = FIXTURE
 OB = P.override_rules[0].branch  # override branch of the fixture
 Y0, Y1 = P.start_year, P.end_year
 TRAIN_END = P.train_end.isoformat()
-TIME_RE = r"^(-?)(\d{1,6}):([0-5]\d):([0-5]\d)$"
+from tillcast.functions.scalar import TIME_PATTERN as TIME_RE  # noqa: E402
 
 
 def _prefix_values() -> str:
@@ -29,15 +29,20 @@ clean_tx AS (
   select data_id, branch, ite_code, quantity, dep_code,
     try_cast(date as date) as date,
     case when regexp_matches(time, '{TIME_RE}') then
-      lpad(cast(secs // 3600 as varchar), 2, '0') || ':' ||
-      lpad(cast((secs % 3600) // 60 as varchar), 2, '0') || ':' ||
-      lpad(cast(secs % 60 as varchar), 2, '0') end as time,
+      lpad(cast((t // 1000000) // 3600 as varchar), 2, '0') || ':' ||
+      lpad(cast(((t // 1000000) % 3600) // 60 as varchar), 2, '0') || ':' ||
+      lpad(cast((t // 1000000) % 60 as varchar), 2, '0') ||
+      case when t % 1000000 = 0 then '' else '.' || lpad(cast(t % 1000000 as varchar), 6, '0') end
+    end as time,
     coalesce(type, 'D') as type
   from (
-    select *, (((case when regexp_extract(time, '{TIME_RE}', 1) = '-' then -1 else 1 end) *
-       (cast(nullif(regexp_extract(time, '{TIME_RE}', 2), '') as bigint) * 3600 +
-        cast(nullif(regexp_extract(time, '{TIME_RE}', 3), '') as bigint) * 60 +
-        cast(nullif(regexp_extract(time, '{TIME_RE}', 4), '') as bigint))) % 86400 + 86400) % 86400 as secs
+    select *, (((case when regexp_extract(time, '{TIME_RE}', 1) = '-'
+                        and regexp_extract(time, '{TIME_RE}', 2) = '' then -1 else 1 end) *
+       ((cast(nullif(regexp_extract(time, '{TIME_RE}', 3), '') as bigint) * 3600 +
+         cast(nullif(regexp_extract(time, '{TIME_RE}', 4), '') as bigint) * 60 +
+         cast(nullif(regexp_extract(time, '{TIME_RE}', 5), '') as bigint)) * 1000000000 +
+        coalesce(cast(nullif(rpad(substr(regexp_extract(time, '{TIME_RE}', 6), 1, 9), 9, '0'), '000000000') as bigint), 0)))
+       % 86400000000000 + 86400000000000) % 86400000000000 // 1000 as t
     from v_rd5000)
 ),
 pm_raw AS (
