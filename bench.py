@@ -33,26 +33,32 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
 
     from tillcast.plans import registry
+    from tillcast.sources.files import counted
 
     def run(name: str) -> tuple[float, int]:
         registry._MODELS.clear()  # gbt_predict must train every run
         t0 = time.perf_counter()
-        df = registry.QUERIES[name](spark, sf_dir)
+        df, obs = counted(registry.QUERIES[name](spark, sf_dir), name)
         df.write.format("noop").mode("overwrite").save()
-        return time.perf_counter() - t0, 0
+        return time.perf_counter() - t0, obs.get["rows"]
 
     run("transaction_master")  # warm-up
     timings: dict[str, float] = {}
+    rows: dict[str, int] = {}
     for name in HEADLINE:
         n = gbt_repeats if name == "gbt_predict" else repeats
-        runs = [run(name)[0] for _ in range(n)]
-        timings[name] = round(statistics.median(runs), 3)
+        runs = [run(name) for _ in range(n)]
+        timings[name] = round(statistics.median(r[0] for r in runs), 3)
+        rows[name] = runs[-1][1]
+    horizon = registry._horizon()
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {
         "metric": "headline_total_median",
         "value": round(sum(timings.values()), 3),
         "unit": "sec",
         "queries": timings,
+        "rows": rows,
+        "arima_series_per_sec": round(rows["arima_forecast"] / horizon / timings["arima_forecast"], 2),
         "sf": float(m.group(1)) if m else None,
         "cpus": cpus,
         "repeats": {n: (gbt_repeats if n == "gbt_predict" else repeats) for n in HEADLINE},
