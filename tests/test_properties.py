@@ -3,7 +3,6 @@
 import datetime as dt
 import re
 
-import numpy as np
 import pandas as pd
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
