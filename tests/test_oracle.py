@@ -18,4 +18,5 @@ def test_matches_oracle(spark, sf_small, con, name):
     df = E.queries()[name](spark, sf_small)
     r = compare(df, con, ORACLES[name])
     assert r["columns_match"], (r["spark_columns"], r["oracle_columns"])
+    assert r["types_match"], r["type_pairs"]
     assert r["values_match"], (r["rows"], r["only_spark"], r["only_oracle"])

@@ -229,8 +229,8 @@ SELECTS: dict[str, str] = {
           round(1.0 - sum((y - f) * (y - f)) / nullif(sum(y * y) - sum(y) * sum(y) / count(y), 0), 6) as r2
         from report group by dataset""",
     "error_histogram": """select dataset, bin, count(*) as n,
-          case when bin > 0 then -50.0 + (bin - 1) * 5.0 end as bin_lo,
-          case when bin <= 20 then -50.0 + bin * 5.0 end as bin_hi
+          case when bin > 0 then cast(-50.0 + (bin - 1) * 5.0 as double) end as bin_lo,
+          case when bin <= 20 then cast(-50.0 + bin * 5.0 as double) end as bin_hi
         from (select dataset, cast(case when f - y < -50.0 then 0 when f - y >= 50.0 then 21
                 else floor(((f - y) - -50.0) / 5.0) + 1 end as integer) as bin from report)
         group by dataset, bin""",
