@@ -38,7 +38,7 @@ times = st.one_of(
 @given(st.lists(times, min_size=1, max_size=30))
 def test_time_of_day_matches_pandas(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "t string")
-    got = [r[0] for r in df.select(S.time_of_day("t")).collect()]
+    got = [r.t for r in S.with_time_of_day(df, "t").collect()]
     assert got == [pandas_time(v) for v in values]
 
 

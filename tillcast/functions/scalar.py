@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillcast.config import OverrideRule
@@ -26,8 +26,8 @@ def parse_date(c: str | Column) -> Column:
     return _col(c).try_cast("date")
 
 
-def time_of_day(c: str | Column) -> Column:
-    """Duration text -> the time of day it lands on after midnight.
+def with_time_of_day(df: DataFrame, src: str, dst: str | None = None) -> DataFrame:
+    """Duration text in ``src`` -> the time of day it lands on after midnight.
 
     ``25:00:00`` wraps to ``01:00:00``, ``-01:00:00`` to ``23:00:00``,
     ``10:75:00`` carries to ``11:15:00``; a fraction is kept as
@@ -35,23 +35,38 @@ def time_of_day(c: str | Column) -> Column:
     does). Text that is not a duration (``10:00``, ``x``) gives null.
     Whole-day parts do not change the time of day; with a day part the sign
     belongs to the days only (``-1 days 02:00:00`` is 02:00:00), as in pandas.
+
+    Written as stacked projections so each intermediate is computed once per
+    row: inside CASE branches Spark does not share common subexpressions,
+    and a single nested expression would re-run the parse for every use.
     """
-    c = _col(c)
-    grp = lambda i: F.regexp_extract(c, TIME_PATTERN, i)
-    whole = grp(3).try_cast("long") * 3600 + grp(4).try_cast("long") * 60 + grp(5).try_cast("long")
-    frac = F.when(grp(6) == "", F.lit(0)).otherwise(
-        F.rpad(F.substring(grp(6), 1, 9), 9, "0").try_cast("long")
+    dst = dst or src
+    c = F.col(src)
+    tmp = ["__tod_tok", "__tod_neg", "__tod_hms", "__tod_sf", "__tod_us"]
+    out = df.withColumns(
+        {
+            # one regex (the validation); fields are then cut with plain splits
+            "__tod_tok": F.when(c.rlike(TIME_PATTERN), F.element_at(F.split(F.trim(c), r"\s+"), -1)),
+            "__tod_neg": F.trim(c).startswith("-") & (F.instr(c, "day") == 0),
+        }
     )
+    out = out.withColumn("__tod_hms", F.split(F.translate("__tod_tok", "+-", ""), ":"))
+    out = out.withColumn("__tod_sf", F.split(F.get("__tod_hms", 2), r"\."))
+    hms = lambda i: F.get("__tod_hms", i)  # noqa: E731  (get: null past the end, even under ANSI)
+    sf = lambda i: F.get("__tod_sf", i)
+    whole = hms(0).try_cast("long") * 3600 + hms(1).try_cast("long") * 60 + sf(0).try_cast("long")
+    frac = F.coalesce(F.rpad(F.substring(sf(1), 1, 9), 9, "0").try_cast("long"), F.lit(0))
     nanos = whole * 1_000_000_000 + frac
-    signed = F.when((grp(1) == "-") & (grp(2) == ""), -nanos).otherwise(nanos)
-    t = (F.pmod(signed, F.lit(NANOS_PER_DAY)) / 1000).cast("long")  # microseconds, floored
-    secs = (t / 1_000_000).cast("long")
-    rest = t % 1_000_000
+    signed = F.when(F.col("__tod_neg"), -nanos).otherwise(nanos)
+    out = out.withColumn("__tod_us", (F.pmod(signed, F.lit(NANOS_PER_DAY)) / 1000).cast("long"))
+    us = F.col("__tod_us")
+    secs = (us / 1_000_000).cast("long")
+    rest = us % 1_000_000
     base = F.format_string(
         "%02d:%02d:%02d", (secs / 3600).cast("int"), ((secs % 3600) / 60).cast("int"), (secs % 60).cast("int")
     )
     text = F.when(rest == 0, base).otherwise(F.concat(base, F.lit("."), F.lpad(rest.cast("string"), 6, "0")))
-    return F.when(c.rlike(TIME_PATTERN), text)
+    return out.withColumn(dst, text).drop(*tmp)
 
 
 def alpha_prefix(c: str | Column) -> Column:

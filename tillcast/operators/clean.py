@@ -33,12 +33,12 @@ def trim_column_names(df: DataFrame) -> DataFrame:
 
 def clean_transactions(tx: DataFrame, default_type: str = "D") -> DataFrame:
     """Drop unused columns, default ``type``, parse date and time."""
-    return (
+    out = (
         tx.drop("delivery", "transdate", "pos")
         .fillna({"type": default_type})
         .withColumn("date", S.parse_date("date"))
-        .withColumn("time", S.time_of_day("time"))
     )
+    return S.with_time_of_day(out, "time")
 
 
 def enrich_products(
