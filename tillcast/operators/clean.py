@@ -45,16 +45,16 @@ def enrich_products(
     products: DataFrame,
     departments: DataFrame,
     null_safe: bool = True,
-    broadcast_max_rows: int = 500_000,
 ) -> DataFrame:
     """Attach the department name, drop ids, de-duplicate.
 
     Departments repeat per ``pos``, so the join fans out; the distinct after
-    dropping ``pos`` and friends collapses it again.
+    dropping ``pos`` and friends collapses it again. This join (like J2, J3)
+    only touches the catalogue, which is written once before it meets the
+    fact table, so no hint: Spark's size threshold and AQE's measured sizes
+    pick broadcast or shuffle without an extra counting job.
     """
-    depts = broadcast_if_bounded(
-        departments.select("branch", "dept_code", "dept_name"), broadcast_max_rows
-    )
+    depts = departments.select("branch", "dept_code", "dept_name")
     joined = equi_join(
         products,
         depts,
@@ -95,24 +95,19 @@ def apply_mappings(
     item_map: DataFrame,
     dept_map: DataFrame,
     ignore: str = IGNORE_FLAG,
-    broadcast_max_rows: int = 500_000,
 ) -> DataFrame:
-    """Item and department mapping, then the flag precedence."""
-    items = broadcast_if_bounded(
-        trim_column_names(item_map).select(
-            "ite_desc",
-            "ite_desc_std",
-            F.col("cat_flag").alias("cat_flag_item"),
-            "status",
-            "food_type",
-        ),
-        broadcast_max_rows,
+    """Item and department mapping, then the flag precedence.
+
+    Catalogue-side joins: no hint (see ``enrich_products``)."""
+    items = trim_column_names(item_map).select(
+        "ite_desc",
+        "ite_desc_std",
+        F.col("cat_flag").alias("cat_flag_item"),
+        "status",
+        "food_type",
     )
-    depts = broadcast_if_bounded(
-        trim_column_names(dept_map).select(
-            F.col("dep_desc").alias("dept_name_std"), F.col("cat_flag").alias("cat_flag_dept")
-        ),
-        broadcast_max_rows,
+    depts = trim_column_names(dept_map).select(
+        F.col("dep_desc").alias("dept_name_std"), F.col("cat_flag").alias("cat_flag_dept")
     )
     out = products.join(items, on="ite_desc", how="left").join(
         depts, on="dept_name_std", how="left"
@@ -129,12 +124,11 @@ def product_master(
     dept_map: DataFrame,
     rules: Sequence[OverrideRule],
     null_safe: bool = True,
-    broadcast_max_rows: int = 500_000,
 ) -> DataFrame:
     """Products enriched with standard department, item map and flags."""
-    pm = enrich_products(products, departments, null_safe, broadcast_max_rows)
+    pm = enrich_products(products, departments, null_safe)
     pm = standardize_department(pm, rules)
-    return apply_mappings(pm, item_map, dept_map, broadcast_max_rows=broadcast_max_rows)
+    return apply_mappings(pm, item_map, dept_map)
 
 
 def join_transactions(
@@ -177,8 +171,6 @@ def transaction_master(
     broadcast_max_rows: int = 500_000,
 ) -> DataFrame:
     """L1 end to end."""
-    pm = product_master(
-        products, departments, item_map, dept_map, rules, null_safe, broadcast_max_rows
-    )
+    pm = product_master(products, departments, item_map, dept_map, rules, null_safe)
     joined = join_transactions(clean_transactions(tx), pm, null_safe, broadcast_max_rows)
     return filter_master(joined)

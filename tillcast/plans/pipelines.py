@@ -18,7 +18,6 @@ def product_master(inp: RetailInputs, p: RunParams) -> DataFrame:
         inp.dept_map,
         p.override_rules,
         p.null_safe,
-        p.broadcast_max_rows,
     )
 
 

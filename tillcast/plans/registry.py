@@ -36,7 +36,7 @@ def q_source_filter(spark, sf_dir):
 
 def q_product_master(spark, sf_dir):
     inp = _inputs(spark, sf_dir)
-    return clean.enrich_products(inp.products, inp.departments, P.null_safe, P.broadcast_max_rows)
+    return clean.enrich_products(inp.products, inp.departments, P.null_safe)
 
 
 def q_dept_prefix(spark, sf_dir):
