@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -13,13 +12,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from tillcast.session import get_session
 
-    ckpt = tempfile.mkdtemp(prefix="tillcast-test-ckpt-")
-    s = get_session(
-        "local[4]",
-        app_name="tillcast-tests",
-        shuffle_partitions=8,
-        extra_conf={"spark.checkpoint.dir": ckpt},
-    )
+    # spark.checkpoint.dir comes from the environment when it is set there;
+    # get_session only creates a scratch folder when it is unset.
+    s = get_session("local[4]", app_name="tillcast-tests", shuffle_partitions=8)
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

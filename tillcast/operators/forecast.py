@@ -13,6 +13,7 @@ from tillcast.config import DATE_COL, SERIES_KEYS
 from tillcast.functions import metrics as M
 from tillcast.functions import scalar as S
 from tillcast.operators import arima
+from tillcast.session import ship_package
 
 START_MODES = ("train_end", "last_date")
 EVAL_MODES = ("reference", "days")
@@ -216,6 +217,7 @@ def arima_forecast(
         raise ValueError(f"start_mode must be one of {START_MODES}")
     keys = list(keys)
     spark = series.sparkSession
+    ship_package(spark)  # the group function runs in the executors' Python workers
     cores = spark.sparkContext.defaultParallelism
     buckets = num_buckets or max(2 * cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
     schema = (

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,6 +51,7 @@ def get_session(
     for k, v in _SQL_CONF.items():
         spark.conf.set(k, v)
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -96,6 +98,33 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or scratch
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tillcast`` importable in the executors' Python workers.
+
+    Python code that runs inside tasks (the forecaster's group function)
+    refers to this package by name, so the executors need it. Zipped once
+    per application and added with ``addPyFile``; Spark copies the file to
+    every executor, including ones that join later.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    fd, path = tempfile.mkstemp(prefix="tillcast-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the checkpoint folder and read it back.
 
