@@ -117,8 +117,10 @@ def test_flat_for_short_or_constant():
 
 
 def test_unsupported_order():
-    with pytest.raises(ValueError):
-        arima.check_order((2, 1, 1))
+    assert arima.check_order((2, 1, 1)) == (2, 1, 1)
+    for bad in [(4, 1, 1), (1, 3, 1), (1, 1, 4), (-1, 0, 0)]:
+        with pytest.raises(ValueError):
+            arima.check_order(bad)
 
 
 def test_arima_job_rows_and_partition_independence(spark):
@@ -153,3 +155,43 @@ def test_l4_composition(spark):
     row = ev.first()
     # horizon 31 (02-29 is a month end): test rows 02-29 .. 03-30, forecasts from 03-01 -> 30 pairs
     assert row.n == 30 and row.mae >= 0
+
+
+def test_kalman_equals_innovations_for_arma11():
+    w = simulate(0.5, 0.3, 60, seed=5)
+    n = np.array([len(w)])
+    for phi, theta in [(0.5, 0.3), (-0.6, 0.2), (0.2, -0.7)]:
+        inn = arima.neg_profile_loglik(w, np.array([phi]), np.array([theta]))[0]
+        kal, _, _ = arima.kalman_negloglik_many(
+            w[None, :], n, np.array([[[phi]]]), np.array([[[theta]]])
+        )
+        assert abs(kal[0, 0] - inn) < 1e-8
+
+
+def test_recovers_ar2():
+    rng = np.random.default_rng(9)
+    z = rng.normal(size=900)
+    w = np.zeros(900)
+    for t in range(2, 900):
+        w[t] = 0.5 * w[t - 1] + 0.3 * w[t - 2] + z[t]
+    w = w[200:]
+    phi, theta = arima.fit_arma_many(w[None, :], np.array([len(w)]), 2, 0)
+    assert abs(phi[0, 0] - 0.5) < 0.1 and abs(phi[0, 1] - 0.3) < 0.1 and theta.shape == (1, 0)
+
+
+def test_second_difference_integrates_twice():
+    # (0, 2, 0) has no constant: the last first difference (29^2 - 28^2 = 57) carries on
+    y = np.array([float(t * t) for t in range(30)])
+    vals, status, *_ = arima.forecast_values(y + np.sin(np.arange(30)) * 1e-3, 3, (0, 2, 0))
+    assert status == "ok"
+    assert np.allclose(vals, [841 + 57, 841 + 2 * 57, 841 + 3 * 57], atol=0.05)
+
+
+def test_general_order_runs_in_the_job(spark):
+    rng = np.random.default_rng(4)
+    vals = list(np.cumsum(rng.normal(size=80)) + 30)
+    df = gapless(spark, dt.date(2024, 1, 1), 80, vals)
+    out = forecast.arima_forecast(df, dt.date(2024, 2, 29), 31, "quantity_cap", order=(2, 1, 2)).collect()
+    assert len(out) == 31 and all(r.status == "ok" and np.isfinite(r.forecast) for r in out)
+    with pytest.raises(ValueError):
+        forecast.arima_forecast(df, dt.date(2024, 2, 29), 31, "quantity_cap", order=(4, 1, 0))

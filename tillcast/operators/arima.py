@@ -1,4 +1,4 @@
-"""Per-series ARIMA(p, d, q) with p, q <= 1 and d <= 1, in NumPy.
+"""Per-series ARIMA(p, d, q) in NumPy: p, q up to 3, d up to 2.
 
 This is the small helper that ``forecast.arima_forecast`` runs inside
 ``applyInPandas``: one call sees one hash bucket of series (each at most one
@@ -17,6 +17,13 @@ Gaussian likelihood comes from the innovations recursion for ARMA(1,1)
 and ``n*ln(S/n) + L`` is minimised over a (phi, theta) grid that is
 refined around the best point a few times: deterministic and robust.
 Forecasts: ``w_{T+h} = phi^(h-1) * x_{T+1}``, then undo the difference.
+
+Other orders use the same concentrated likelihood computed by a Kalman
+filter on the state-space form (stationary start from the Lyapunov
+equation), searched coordinate by coordinate on zooming grids; candidates
+outside the stationary / invertible region are rejected. For ARMA(1,1) the
+two likelihoods agree exactly (tested). The ``phi`` / ``theta`` outputs
+carry the first AR / MA coefficient.
 """
 
 from __future__ import annotations
@@ -32,10 +39,17 @@ STATUS_OK = "ok"
 STATUS_FLAT = "flat"
 
 
+MAX_P = MAX_Q = 3
+MAX_D = 2
+SWEEPS = 3
+
+
 def check_order(order: tuple[int, int, int]) -> tuple[int, int, int]:
     p, d, q = (int(x) for x in order)
-    if p not in (0, 1) or d not in (0, 1) or q not in (0, 1):
-        raise ValueError(f"order {order!r} not supported: p, q and d must each be 0 or 1")
+    if not (0 <= p <= MAX_P and 0 <= q <= MAX_Q and 0 <= d <= MAX_D):
+        raise ValueError(
+            f"order {order!r} not supported: need p, q in 0..{MAX_P} and d in 0..{MAX_D}"
+        )
     return p, d, q
 
 
@@ -136,6 +150,125 @@ def fit_arma11(w: np.ndarray, use_phi: bool, use_theta: bool) -> tuple[float, fl
     return float(phi[0]), float(theta[0])
 
 
+# --------------------------------------------------------------------------
+# General ARMA(p, q): exact likelihood from the state-space form
+#   a_t = T a_{t-1} + R z_t,  w_t = a_t[0],  r = max(p, q + 1)
+#   T = [phi | shift], R = (1, theta_1, ..., theta_{r-1})
+# with the stationary initial covariance (discrete Lyapunov equation) and
+# the Kalman filter run for every series and candidate at once.
+# --------------------------------------------------------------------------
+def _state_matrices(phi: np.ndarray, theta: np.ndarray, r: int):
+    """phi (..., p), theta (..., q) -> T (..., r, r), R (..., r)."""
+    lead = phi.shape[:-1]
+    T = np.zeros(lead + (r, r))
+    T[..., : phi.shape[-1], 0] = phi
+    for i in range(r - 1):
+        T[..., i, i + 1] = 1.0
+    R = np.zeros(lead + (r,))
+    R[..., 0] = 1.0
+    R[..., 1 : 1 + theta.shape[-1]] = theta
+    return T, R
+
+
+def _roots_outside(coef: np.ndarray, sign: float) -> np.ndarray:
+    """True where 1 + sign*(c1 z + c2 z^2 + ...) has all roots outside the unit circle."""
+    out = np.ones(coef.shape[:-1], dtype=bool)
+    if coef.shape[-1] == 0:
+        return out
+    flat = coef.reshape(-1, coef.shape[-1])
+    ok = np.empty(len(flat), dtype=bool)
+    for i, c in enumerate(flat):
+        poly = np.concatenate([[1.0], sign * c])[::-1]  # highest power first
+        poly = np.trim_zeros(poly, "f")
+        ok[i] = len(poly) <= 1 or bool(np.all(np.abs(np.roots(poly)) > 1.0 + 1e-6))
+    return ok.reshape(coef.shape[:-1])
+
+
+def kalman_negloglik_many(w: np.ndarray, n: np.ndarray, phi: np.ndarray, theta: np.ndarray) -> np.ndarray:
+    """``n*ln(S/n) + sum(ln F_t)`` for S series x G candidates.
+
+    ``w`` (S, T) sorted longest first and right-padded, ``phi`` (S, G, p),
+    ``theta`` (S, G, q). Non-stationary or non-invertible candidates get inf.
+    """
+    S, G = phi.shape[:2]
+    p, q = phi.shape[-1], theta.shape[-1]
+    r = max(p, q + 1)
+    T, R = _state_matrices(phi, theta, r)
+    ok = _roots_outside(phi, -1.0) & _roots_outside(theta, 1.0)
+    # stationary covariance: vec(P) = (I - T kron T)^-1 vec(R R')
+    kron = np.einsum("...ij,...kl->...ikjl", T, T).reshape(S, G, r * r, r * r)
+    rhs = np.einsum("...i,...j->...ij", R, R).reshape(S, G, r * r)
+    eye = np.eye(r * r)
+    safe = np.where(ok[..., None, None], eye - kron, eye)
+    P = np.linalg.solve(safe, rhs[..., None])[..., 0].reshape(S, G, r, r)
+    RR = np.einsum("...i,...j->...ij", R, R)
+    a = np.zeros((S, G, r))
+    ssq = np.zeros((S, G))
+    logf = np.zeros((S, G))
+    live = _live_counts(n, w.shape[1])
+    for t in range(w.shape[1]):
+        k = live[t]
+        Pk, ak, Tk = P[:k], a[:k], T[:k]
+        F = np.maximum(Pk[..., 0, 0], 1e-300)
+        v = w[:k, t][:, None] - ak[..., 0]
+        ssq[:k] += v * v / F
+        logf[:k] += np.log(F)
+        K = np.einsum("...ij,...j->...i", Tk, Pk[..., :, 0]) / F[..., None]
+        a[:k] = np.einsum("...ij,...j->...i", Tk, ak) + K * v[..., None]
+        TPT = np.einsum("...ij,...jk,...lk->...il", Tk, Pk, Tk)
+        P[:k] = TPT + RR[:k] - np.einsum("...i,...j->...ij", K, K) * F[..., None, None]
+    nn = n[:, None].astype(float)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        f = nn * np.log(ssq / nn) + logf
+    return np.where(ok, f, np.inf), a, T
+
+
+def fit_arma_many(w: np.ndarray, n: np.ndarray, p: int, q: int) -> tuple[np.ndarray, np.ndarray]:
+    """Coordinate-wise zooming grid search for (phi_1..p, theta_1..q) per series."""
+    S, k = w.shape[0], p + q
+    x = np.zeros((S, k))
+    half = np.full(k, LIMIT)
+    for _ in range(SWEEPS):
+        for j in range(k):
+            for _zoom in range(ZOOMS // 2 + 1):
+                grid = np.clip(x[:, j : j + 1] + np.linspace(-half[j], half[j], GRID)[None, :], -2.0, 2.0)
+                cand = np.repeat(x[:, None, :], GRID, axis=1)
+                cand[:, :, j] = grid
+                f, _, _ = kalman_negloglik_many(w, n, cand[..., :p], cand[..., p:])
+                f = np.where(np.isfinite(f), f, np.inf)
+                best = np.argmin(f, axis=1)
+                x[:, j] = grid[np.arange(S), best]
+                half[j] = max(2.0 * half[j] / (GRID - 1), 1e-3)
+            half[j] = LIMIT / 2
+    return x[:, :p], x[:, p:]
+
+
+def _forecast_general(ws: list[np.ndarray], horizon: int, p: int, q: int):
+    n = np.array([len(w) for w in ws])
+    W = np.zeros((len(ws), int(n.max())))
+    for j, w in enumerate(ws):
+        W[j, : len(w)] = w
+    phi, theta = fit_arma_many(W, n, p, q)
+    _, a, T = kalman_negloglik_many(W, n, phi[:, None, :], theta[:, None, :])
+    a, T = a[:, 0], T[:, 0]
+    steps = np.zeros((len(ws), horizon))
+    for h in range(horizon):
+        steps[:, h] = a[:, 0]
+        a = np.einsum("sij,sj->si", T, a)
+    return steps, phi, theta
+
+
+def _undo_difference(y: np.ndarray, w_forecast: np.ndarray, d: int) -> np.ndarray:
+    """Integrate ``d`` times, starting from the last observed levels."""
+    levels = [y]
+    for _ in range(d):
+        levels.append(np.diff(levels[-1]))
+    out = w_forecast
+    for k in range(d, 0, -1):
+        out = levels[k - 1][-1] + np.cumsum(out)
+    return out
+
+
 def forecast_many(ys: list[np.ndarray], horizon: int, order=(1, 1, 1)) -> list[tuple[np.ndarray, str, float, float]]:
     """Forecast ``horizon`` steps after each series in ``ys`` (each ordered,
     positional). Too-short or zero-variance series get a flat forecast at
@@ -149,12 +282,22 @@ def forecast_many(ys: list[np.ndarray], horizon: int, order=(1, 1, 1)) -> list[t
         if len(y) == 0 or horizon <= 0:
             out[i] = (np.zeros(0), STATUS_FLAT, 0.0, 0.0)
             continue
-        w = np.diff(y) if d == 1 else y - y.mean()
-        if len(w) < MIN_DIFFS or not np.isfinite(w).all() or np.var(w) == 0.0:
+        w = np.diff(y, n=d) if d >= 1 else y - y.mean()
+        if len(w) < max(MIN_DIFFS, p + q + 1) or not np.isfinite(w).all() or np.var(w) == 0.0:
             out[i] = (np.full(horizon, y[-1]), STATUS_FLAT, 0.0, 0.0)
             continue
         fit_idx.append(i)
         ws.append(w)
+    if ws and (p > 1 or q > 1):
+        by_len = sorted(range(len(ws)), key=lambda j: -len(ws[j]))
+        fit_idx = [fit_idx[j] for j in by_len]
+        ws = [ws[j] for j in by_len]
+        steps, phi, theta = _forecast_general(ws, horizon, p, q)
+        for j, i in enumerate(fit_idx):
+            y = np.asarray(ys[i], dtype=float)
+            vals = _undo_difference(y, steps[j], d) if d >= 1 else y.mean() + steps[j]
+            out[i] = (vals, STATUS_OK, float(phi[j][0]) if p else 0.0, float(theta[j][0]) if q else 0.0)
+        return out
     if ws:
         by_len = sorted(range(len(ws)), key=lambda j: -len(ws[j]))  # live series form a prefix
         fit_idx = [fit_idx[j] for j in by_len]
@@ -169,7 +312,7 @@ def forecast_many(ys: list[np.ndarray], horizon: int, order=(1, 1, 1)) -> list[t
         for j, i in enumerate(fit_idx):
             y = np.asarray(ys[i], dtype=float)
             steps = x1[j] * phi[j] ** powers
-            vals = y[-1] + np.cumsum(steps) if d == 1 else y.mean() + steps
+            vals = _undo_difference(y, steps, d) if d >= 1 else y.mean() + steps
             out[i] = (vals, STATUS_OK, float(phi[j]), float(theta[j]))
     return out
 
