@@ -9,6 +9,8 @@ NO_ORACLE = {
     "model_scores",
     "feature_importance",
     "batch_score",
+    "event_forecast",
+    "event_forecast_evaluation",
 }
 
 

@@ -214,6 +214,8 @@ SELECTS: dict[str, str] = {
     "forecast_metrics": f"""select branch, ite_desc_std, round(avg(abs(y - f)), 6) as mae,
           cast(cast(avg(abs(y - f) / greatest(abs(y), {EPS})) * 100.0 as float) as double) as mape, count(*) as n
         from pairs group by all""",
+    "event_daily": """select event_type, cast(ts as date) as date, round(coalesce(sum(value), 0.0), 6) as value
+        from events where event_type is not null and ts is not null group by all""",
     "hash_split": "select l_orderkey, l_linenumber, is_test from ml_split",
     "label_encode": """select s.l_orderkey, s.l_linenumber, s.p_type, s.p_brand, s.l_returnflag,
           coalesce(a.code, -1) as p_type_idx, coalesce(b.code, -1) as p_brand_idx,

@@ -167,6 +167,43 @@ def q_forecast_evaluation(spark, sf_dir):
     return L.forecast_and_evaluate(series, FORECAST)[1]
 
 
+# ---------------------------------------------------------------- gapless series (events)
+EVENT_KEYS = ["event_type"]
+EVENT_TRAIN_END = dt.date(2024, 1, 20)
+
+
+def q_event_daily(spark, sf_dir):
+    """A1 on the events table: daily total value per event type (gapless series)."""
+    ev = load_tables(spark, sf_dir, ("events",))["events"]
+    d = daily.daily_totals(
+        ev.select("event_type", F.col("ts").cast("date").alias("date"), "value"),
+        keys=("event_type", "date"),
+        value="value",
+    )
+    return d.withColumn("value", F.round("value", 6))
+
+
+def _event_series(spark, sf_dir):
+    return materialize(q_event_daily(spark, sf_dir), "event-series")
+
+
+def q_event_forecast(spark, sf_dir):
+    """T3 on gapless series, where positions and calendar days coincide."""
+    h = forecast.horizon_for(EVENT_TRAIN_END)
+    return forecast.arima_forecast(
+        _event_series(spark, sf_dir), EVENT_TRAIN_END, h, "value", P.arima_order, keys=EVENT_KEYS
+    )
+
+
+def q_event_forecast_evaluation(spark, sf_dir):
+    """T4 on the gapless event series."""
+    series = _event_series(spark, sf_dir)
+    h = forecast.horizon_for(EVENT_TRAIN_END)
+    fc = forecast.arima_forecast(series, EVENT_TRAIN_END, h, "value", P.arima_order, keys=EVENT_KEYS)
+    test = forecast.train_test_cut(series, EVENT_TRAIN_END, h, keys=EVENT_KEYS).where(F.col("part") == "test")
+    return forecast.forecast_metrics(test, fc, "value", keys=EVENT_KEYS)
+
+
 # ---------------------------------------------------------------- L5: ML path
 def _ml_split(spark, sf_dir):
     frame = L.ml_frame(load_tables(spark, sf_dir, ("lineitem", "part")))
@@ -285,6 +322,9 @@ QUERIES: dict[str, Query] = {
     "masked_metrics": q_masked_metrics,
     "arima_forecast": q_arima_forecast,
     "forecast_evaluation": q_forecast_evaluation,
+    "event_daily": q_event_daily,
+    "event_forecast": q_event_forecast,
+    "event_forecast_evaluation": q_event_forecast_evaluation,
     "hash_split": q_hash_split,
     "label_encode": q_label_encode,
     "gbt_predict": q_gbt_predict,
