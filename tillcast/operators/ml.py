@@ -314,7 +314,26 @@ def train_classifier(
     df: DataFrame, column: str, width: int, label: str = "label", max_iter: int = 50
 ) -> PipelineModel:
     lr = LogisticRegression(featuresCol="features", labelCol=label, maxIter=max_iter, family="multinomial")
-    return PipelineModel(stages=[lr.fit(vector_input(df, column, width))])
+    fitted = PipelineModel(stages=[lr.fit(vector_input(df, column, width))])
+    return without_summary(fitted)
+
+
+def without_summary(model: PipelineModel) -> PipelineModel:
+    """The same model, saved to the checkpoint folder and loaded back.
+
+    A freshly fitted classifier keeps its training summary, which holds the
+    session; the scoring closure would carry it into every task (and fails
+    to serialize once the session has used observations). A loaded model
+    has no summary.
+    """
+    import uuid
+
+    from tillcast.session import checkpoint_dir
+
+    spark = SparkSession.getActiveSession()
+    path = f"{checkpoint_dir(spark).rstrip('/')}/models/{uuid.uuid4().hex}"
+    model.write().save(path)
+    return PipelineModel.load(path)
 
 
 def batch_score(model: PipelineModel, df: DataFrame, column: str, width: int, keys: Sequence[str]) -> DataFrame:

@@ -28,11 +28,10 @@ log = logging.getLogger(__name__)
 
 
 def _stage(spark: SparkSession, df: DataFrame, out_dir: str, name: str, csv: bool = False) -> DataFrame:
-    df, obs = files.counted(df, name)
     path = f"{out_dir.rstrip('/')}/{name}"
     files.write_parquet(df, path)
-    log.info("%s: %d rows -> %s", name, obs.get["rows"], path)
     back = spark.read.parquet(path)
+    log.info("%s: %d rows -> %s", name, back.count(), path)  # count from Parquet footers
     if csv:
         files.write_csv(back, f"{path}_csv")
     return back
