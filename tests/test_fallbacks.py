@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tillcast.config import FIXTURE
 from tillcast.operators import ml
-from tillcast.plans import pipelines as L
+from tillcast.plans import compositions as L
 from tillcast.sources import fixtures
 
 

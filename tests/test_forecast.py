@@ -145,7 +145,7 @@ def test_arima_job_rows_and_partition_independence(spark):
 
 def test_l4_composition(spark):
     from tillcast.config import ForecastConfig
-    from tillcast.plans.pipelines import forecast_and_evaluate
+    from tillcast.plans.compositions import forecast_and_evaluate
 
     rng = np.random.default_rng(11)
     vals = list(np.cumsum(rng.normal(size=90)) + 40)

@@ -135,7 +135,7 @@ def test_permutation_importance_finds_the_signal(spark):
 
 def test_l5_composition(spark, frame):
     from tillcast.config import RunParams
-    from tillcast.plans.pipelines import train_predict_report
+    from tillcast.plans.compositions import train_predict_report
 
     framed = frame.withColumn("cat", F.when(F.col("feature1") > 0.5, "hi").otherwise("lo"))
     out = train_predict_report(framed, ["ts"], ["cat"], ["feature2"], RunParams(n_trees=3))

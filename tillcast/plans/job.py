@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillcast.config import FIXTURE, ForecastConfig, RunParams
 from tillcast.operators import daily, outliers
-from tillcast.plans import pipelines as L
+from tillcast.plans import compositions as L
 from tillcast.sources import files
 from tillcast.sources.fixtures import RetailInputs, retail_inputs
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tillcast.config import FIXTURE, ForecastConfig
 from tillcast.operators import clean, daily, forecast, ml, outliers, quality
-from tillcast.plans import pipelines as L
+from tillcast.plans import compositions as L
 from tillcast.session import materialize
 from tillcast.sources import jdbc
 from tillcast.sources.fixtures import load_tables, retail_inputs
