@@ -29,3 +29,13 @@ def test_package_is_shipped_once(spark):
     # a Python task can import the package
     names = spark.sparkContext.parallelize([0], 1).map(lambda _: __import__("tillcast").__name__).collect()
     assert names == ["tillcast"]
+
+
+def test_drop_materialized_removes_written_tables(spark):
+    import os
+
+    df = session.materialize(spark.range(3), "gone")
+    local = ["/" + f.split(":", 1)[-1].lstrip("/") for f in df.inputFiles()]
+    assert all(os.path.exists(f) for f in local)
+    assert session.drop_materialized(spark, "gone") == 1
+    assert not any(os.path.exists(f) for f in local)

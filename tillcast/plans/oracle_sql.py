@@ -207,6 +207,9 @@ SELECTS: dict[str, str] = {
         cross join (select range as i from range(0, {H})) t""",
     "train_test_cut": f"""select *, 'train' as part from fser where date <= date '{TRAIN_END}'
         union all select *, 'test' as part from test_part""",
+    "train_test_cut_days": f"""select *, 'train' as part from fser where date <= date '{TRAIN_END}'
+        union all select *, 'test' as part from fser
+        where date > date '{TRAIN_END}' and date <= date '{TRAIN_END}' + {H}""",
     "lag_features": """select d.*, lag(quantity, 1) over w as quantity_lag1, lag(quantity, 7) over w as quantity_lag7
         from daily_top d window w as (partition by branch, ite_desc_std order by date)""",
     "series_difference": """select f.*, quantity_cap - lag(quantity_cap, 1) over

@@ -124,6 +124,11 @@ def q_train_test_cut(spark, sf_dir):
     return forecast.train_test_cut(_series(spark, sf_dir), P.train_end, _horizon())
 
 
+def q_train_test_cut_days(spark, sf_dir):
+    """F4 with the day-based test part (end < date <= end + horizon)."""
+    return forecast.train_test_cut(_series(spark, sf_dir), P.train_end, _horizon(), eval_mode="days")
+
+
 def q_lag_features(spark, sf_dir):
     return forecast.lag_features(q_daily_top_items(spark, sf_dir), "quantity", P.lags)
 
@@ -316,6 +321,7 @@ QUERIES: dict[str, Query] = {
     "forecast_horizon": q_forecast_horizon,
     "forecast_calendar": q_forecast_calendar,
     "train_test_cut": q_train_test_cut,
+    "train_test_cut_days": q_train_test_cut_days,
     "lag_features": q_lag_features,
     "series_difference": q_series_difference,
     "forecast_metrics": q_forecast_metrics,

@@ -137,9 +137,33 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     root = checkpoint_dir(spark).rstrip("/")
     path = f"{root}/tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.parquet(path)
 
 
+_WRITTEN: dict[str, list[str]] = {}
+
+
+def drop_materialized(spark: SparkSession, name: str | None = None) -> int:
+    """Delete the tables this application wrote with ``materialize`` (only
+    those called ``name`` when given).
+
+    Call it once the results that read them have been consumed; returns the
+    number of folders removed. Spark's own checkpoint cleaner does not know
+    about these tables.
+    """
+    sc = spark.sparkContext
+    written = _WRITTEN.get(sc.applicationId, [])
+    match = lambda p: name is None or p.rsplit("/", 1)[-1].rsplit("-", 1)[0] == name
+    paths = [p for p in written if match(p)]
+    _WRITTEN[sc.applicationId] = [p for p in written if not match(p)]
+    jvm = sc._jvm
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        hp.getFileSystem(sc._jsc.hadoopConfiguration()).delete(hp, True)
+    return len(paths)
+
+
 def local_scratch(prefix: str = "tillcast-") -> str:
     """A fresh scratch folder for tests and local tools (never used on a cluster)."""
     base = os.environ.get("TILLCAST_SCRATCH", tempfile.gettempdir())
