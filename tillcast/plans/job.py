@@ -80,7 +80,7 @@ def run_pipeline(
 
 
 def main(argv: list[str] | None = None) -> None:
-    from tillcast.session import get_session
+    from tillcast.session import drop_materialized, get_session
 
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     ap.add_argument("--sf-dir", required=True, help="folder with the driver's Parquet tables")
@@ -100,6 +100,7 @@ def main(argv: list[str] | None = None) -> None:
     print("Evaluation Summary (MAE, MAPE%):")
     for row in files.evaluation_summary(out["evaluation"]).collect():
         print(row.line)
+    drop_materialized(spark)  # outputs live in --out; intermediates are no longer read
 
 
 if __name__ == "__main__":
