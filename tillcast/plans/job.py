@@ -32,6 +32,8 @@ def _stage(spark: SparkSession, df: DataFrame, out_dir: str, name: str, csv: boo
     files.write_parquet(df, path)
     back = spark.read.parquet(path)
     log.info("%s: %d rows -> %s", name, back.count(), path)  # count from Parquet footers
+    if log.isEnabledFor(logging.INFO):  # S8: first rows of each stage, in a fixed order
+        log.info("[data: %s]\n%s", name, files.preview(back, back.columns[:3], 5))
     if csv:
         files.write_csv(back, f"{path}_csv")
     return back
