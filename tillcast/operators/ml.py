@@ -46,7 +46,8 @@ def fit_label_encoder(df: DataFrame, columns: Sequence[str], name: str = "labels
     Distinct values are range-partitioned and sorted; each value's code is
     its position inside its partition plus the number of values of the same
     column in earlier partitions. The per-partition counts have one row per
-    (partition, column), so that table is tiny and broadcast. The ranked
+    (partition, column): at most ``spark.sql.shuffle.partitions`` x columns
+    rows whatever the data size, so broadcasting it is safe. The ranked
     values are written to the checkpoint folder once, so both uses see the
     same ids and a lost executor cannot renumber them.
     """
