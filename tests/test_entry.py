@@ -9,6 +9,7 @@ NO_ORACLE = {
     "model_scores",
     "feature_importance",
     "batch_score",
+    "evaluation_summary",
     "event_forecast",
     "event_forecast_evaluation",
 }

@@ -12,7 +12,7 @@ from tillcast.config import FIXTURE, ForecastConfig
 from tillcast.operators import clean, daily, forecast, ml, outliers, quality
 from tillcast.plans import compositions as L
 from tillcast.session import materialize
-from tillcast.sources import jdbc
+from tillcast.sources import files, jdbc
 from tillcast.sources.fixtures import load_tables, retail_inputs
 
 P = FIXTURE
@@ -172,6 +172,11 @@ def q_forecast_evaluation(spark, sf_dir):
     return L.forecast_and_evaluate(series, FORECAST)[1]
 
 
+def q_evaluation_summary(spark, sf_dir):
+    """One line per series, MAE and MAPE to two decimals, ordered."""
+    return files.evaluation_summary(q_forecast_evaluation(spark, sf_dir))
+
+
 # ---------------------------------------------------------------- gapless series (events)
 EVENT_KEYS = ["event_type"]
 EVENT_TRAIN_END = dt.date(2024, 1, 20)
@@ -328,6 +333,7 @@ QUERIES: dict[str, Query] = {
     "masked_metrics": q_masked_metrics,
     "arima_forecast": q_arima_forecast,
     "forecast_evaluation": q_forecast_evaluation,
+    "evaluation_summary": q_evaluation_summary,
     "event_daily": q_event_daily,
     "event_forecast": q_event_forecast,
     "event_forecast_evaluation": q_event_forecast_evaluation,
