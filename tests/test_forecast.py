@@ -195,3 +195,57 @@ def test_general_order_runs_in_the_job(spark):
     assert len(out) == 31 and all(r.status == "ok" and np.isfinite(r.forecast) for r in out)
     with pytest.raises(ValueError):
         forecast.arima_forecast(df, dt.date(2024, 2, 29), 31, "quantity_cap", order=(4, 1, 0))
+
+
+def test_arima_query_matches_brute_force_on_small_fixture(spark, sf_small):
+    """The Spark job equals fitting each series one by one on the driver."""
+    import __spark_entry__ as E
+    from tillcast.config import FIXTURE
+    from tillcast.plans import compositions as L
+    from tillcast.sources.fixtures import retail_inputs
+
+    got = {
+        (r.branch, r.ite_desc_std, r.date): r.forecast
+        for r in E.queries()["arima_forecast"](spark, sf_small).collect()
+    }
+    series = L.forecast_series(retail_inputs(spark, sf_small), FIXTURE).toPandas()
+    train = series[series["date"] <= FIXTURE.train_end].sort_values("date")
+    h = forecast.horizon_for(FIXTURE.train_end)
+    want = {}
+    for (b, item), g in train.groupby(["branch", "ite_desc_std"]):
+        vals, *_ = arima.forecast_values(g["quantity_cap"].to_numpy(float), h, FIXTURE.arima_order)
+        for i, v in enumerate(vals):
+            want[(b, item, FIXTURE.train_end + dt.timedelta(days=i + 1))] = v
+    assert set(got) == set(want)
+    assert max(abs(got[k] - want[k]) for k in want) < 1e-9
+
+
+def test_forecast_evaluation_matches_brute_force_on_small_fixture(spark, sf_small):
+    import __spark_entry__ as E
+    from tillcast.config import FIXTURE
+    from tillcast.plans import compositions as L
+    from tillcast.sources.fixtures import retail_inputs
+
+    got = {(r.branch, r.ite_desc_std): (r.mae, r.mape, r.n)
+           for r in E.queries()["forecast_evaluation"](spark, sf_small).collect()}
+    series = L.forecast_series(retail_inputs(spark, sf_small), FIXTURE).toPandas().sort_values("date")
+    end, h = FIXTURE.train_end, forecast.horizon_for(FIXTURE.train_end)
+    want = {}
+    for (b, item), g in series.groupby(["branch", "ite_desc_std"]):
+        train = g[g["date"] <= end]
+        if train.empty:
+            continue
+        vals, *_ = arima.forecast_values(train["quantity_cap"].to_numpy(float), h, FIXTURE.arima_order)
+        fc = {end + dt.timedelta(days=i + 1): v for i, v in enumerate(vals)}
+        test = g[g["date"] >= end].head(h)  # D6: first h rows from train_end on
+        pairs = [(y, fc[d]) for d, y in zip(test["date"], test["quantity_cap"]) if d in fc]
+        if not pairs:
+            continue
+        y = np.array([p[0] for p in pairs])
+        f = np.array([p[1] for p in pairs])
+        err = np.abs(y - f)
+        want[(b, item)] = (err.mean(), (err / np.maximum(np.abs(y), 2.220446049250313e-16)).mean() * 100, len(pairs))
+    assert set(got) == set(want)
+    for k, (mae, mape, n) in want.items():
+        assert got[k][2] == n and abs(got[k][0] - mae) < 1e-6
+        assert abs(got[k][1] - mape) <= 1e-6 * max(1.0, abs(mape))
