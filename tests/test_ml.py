@@ -143,3 +143,18 @@ def test_l5_composition(spark, frame):
     assert out["predictions"].count() == n_test
     assert {r.dataset for r in out["scores"].collect()} == {"train", "test"}
     assert {r.dataset for r in out["report"].collect()} == {"train", "test"}
+
+
+def test_batch_score_matches_numpy_on_small_fixture(spark, sf_small):
+    """Scores from the Spark job equal argmax(W x + b) computed directly."""
+    emb = spark.read.parquet(f"{sf_small}/embeddings.parquet")
+    width = len(emb.first().embedding)
+    model = ml.train_classifier(emb, "embedding", width, max_iter=20)
+    lr = model.stages[-1]
+    W = lr.coefficientMatrix.toArray()
+    b = lr.interceptVector.toArray()
+    got = {r.vec_id: r.prediction for r in ml.batch_score(model, emb, "embedding", width, ["vec_id"]).collect()}
+    rows = emb.collect()
+    X = np.array([np.array(r.embedding, dtype=float) for r in rows])
+    want = dict(zip([r.vec_id for r in rows], np.argmax(X @ W.T + b, axis=1).tolist()))
+    assert got == want
