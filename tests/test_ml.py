@@ -158,3 +158,16 @@ def test_batch_score_matches_numpy_on_small_fixture(spark, sf_small):
     X = np.array([np.array(r.embedding, dtype=float) for r in rows])
     want = dict(zip([r.vec_id for r in rows], np.argmax(X @ W.T + b, axis=1).tolist()))
     assert got == want
+
+
+def test_exact_quantiles_match_numpy_across_partitions(spark):
+    rng = np.random.default_rng(12)
+    a = rng.normal(size=2000)
+    b = rng.integers(0, 5, size=7).astype(float)  # ties and a tiny group
+    rows = [("a", float(v)) for v in a] + [("b", float(v)) for v in b] + [("a", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(9)
+    probs = [0.0, 0.05, 0.5, 0.95, 1.0]
+    got = {(r.g, r.p): r.quantile for r in ml.exact_quantiles(df, "v", "g", probs).collect()}
+    for g, vals in [("a", a), ("b", b)]:
+        for p in probs:
+            assert abs(got[(g, p)] - np.quantile(vals, p)) < 1e-12, (g, p)

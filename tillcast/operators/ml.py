@@ -222,9 +222,9 @@ def regression_report(
 ) -> DataFrame:
     """Quality of ``prediction`` per dataset (e.g. reference vs current).
 
-    One aggregate pass; no global percentile (that would hold a whole
-    dataset's values in one group), the error distribution is the
-    histogram of ``error_histogram`` instead.
+    One aggregate pass for the moments; the error quantiles (p05, p50,
+    p95) come from ``exact_quantiles``, which never holds a dataset in one
+    task. ``error_histogram`` gives the full distribution.
     """
     y, p = F.col(target), F.col(prediction)
     out = df.where(y.isNotNull() & p.isNotNull()).groupBy(dataset).agg(
@@ -235,12 +235,61 @@ def regression_report(
         M.rmse(y, p).alias("rmse"),
         M.r2(y, p).alias("r2"),
     )
+    probs = {"p05": 0.05, "p50": 0.5, "p95": 0.95}
+    errors = df.where(y.isNotNull() & p.isNotNull()).select(dataset, (p - y).alias("_err"))
+    q = exact_quantiles(errors, "_err", dataset, list(probs.values()), name="report-errors")
+    wide = q.groupBy(dataset).agg(
+        *[F.first(F.when(F.col("p") == v, F.col("quantile")), ignorenulls=True).alias(k) for k, v in probs.items()]
+    )
+    out = out.join(wide, on=dataset, how="left")
     rounded = out.withColumns(
-        {c: F.round(c, digits) for c in ("mean_error", "mae", "rmse", "r2")}
+        {c: F.round(c, digits) for c in ("mean_error", "mae", "rmse", "r2", *probs)}
     )
     return rounded.withColumn("mape", F.col("mape").cast("float").cast("double"))
 
 
+def exact_quantiles(
+    df: DataFrame, value: str, group: str, probs: Sequence[float], name: str = "quantiles"
+) -> DataFrame:
+    """Exact linear-interpolation quantiles of ``value`` per ``group``.
+
+    No group is gathered in one task: values are range-partitioned and
+    sorted, each gets its rank from its position in the partition plus a
+    per-(partition, group) offset (a table of at most shuffle partitions x
+    groups rows), and only the two ranks around each quantile are fetched.
+    Returns (group, p, quantile).
+    """
+    vals = df.select(group, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    ranked = (
+        vals.repartitionByRange(group, "_v")
+        .sortWithinPartitions(group, "_v")
+        .withColumn("_id", F.monotonically_increasing_id())
+    )
+    ranked = materialize(ranked, f"{name}-ranked").withColumn(
+        "_pid", F.shiftright("_id", _PARTITION_SHIFT)
+    )
+    counts = ranked.groupBy("_pid", group).agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
+    before = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumns(
+        {"_offset": F.coalesce(F.sum("_n").over(before), F.lit(0)), "_total": F.sum("_n").over(Window.partitionBy(group))}
+    )
+    ranks = ranked.join(F.broadcast(offsets), on=["_pid", group]).select(
+        group, "_v", (F.col("_offset") + F.col("_id") - F.col("_first")).alias("_rank")
+    )
+    pos = (F.col("_total") - 1) * F.col("p")
+    targets = (
+        offsets.select(group, "_total").distinct()
+        .withColumn("p", F.explode(F.array(*[F.lit(float(q)) for q in probs])))
+        .withColumns({"_lo": F.floor(pos), "_hi": F.ceil(pos), "_frac": pos - F.floor(pos)})
+    )
+    lo = ranks.select(group, F.col("_rank").alias("_lo"), F.col("_v").alias("_vlo"))
+    hi = ranks.select(group, F.col("_rank").alias("_hi"), F.col("_v").alias("_vhi"))
+    picked = targets.join(lo, on=[group, "_lo"]).join(hi, on=[group, "_hi"])
+    return picked.select(
+        group, "p", (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias("quantile")
+    )
+
+
 def error_histogram(
     df: DataFrame,
     target: str,

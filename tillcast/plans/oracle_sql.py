@@ -231,7 +231,9 @@ SELECTS: dict[str, str] = {
           round(avg(abs(y - f)), 6) as mae,
           cast(cast(avg(abs(y - f) / greatest(abs(y), 2.220446049250313e-16)) as float) as double) as mape,
           round(sqrt(avg((y - f) * (y - f))), 6) as rmse,
-          round(1.0 - sum((y - f) * (y - f)) / nullif(sum(y * y) - sum(y) * sum(y) / count(y), 0), 6) as r2
+          round(1.0 - sum((y - f) * (y - f)) / nullif(sum(y * y) - sum(y) * sum(y) / count(y), 0), 6) as r2,
+          round(quantile_cont(f - y, 0.05), 6) as p05, round(quantile_cont(f - y, 0.5), 6) as p50,
+          round(quantile_cont(f - y, 0.95), 6) as p95
         from report group by dataset""",
     "error_histogram": """select dataset, bin, count(*) as n,
           case when bin > 0 then cast(-50.0 + (bin - 1) * 5.0 as double) end as bin_lo,
