@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -12,7 +11,6 @@ from pyspark.errors import AnalysisException
 
 from tillcast.sources.schemas import DEPT_MAP_COLUMNS, ITEM_MAP_COLUMNS
 
-log = logging.getLogger(__name__)
 
 
 def _csv(spark: SparkSession, path: str, **options) -> DataFrame:
