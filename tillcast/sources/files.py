@@ -12,7 +12,6 @@ from pyspark.errors import AnalysisException
 from tillcast.sources.schemas import DEPT_MAP_COLUMNS, ITEM_MAP_COLUMNS
 
 
-
 def _csv(spark: SparkSession, path: str, **options) -> DataFrame:
     try:
         return spark.read.options(header=True, **options).csv(path)
