@@ -1,0 +1 @@
+"""Column expressions (built-in Spark functions only): parsing, lookups, calendar, metrics."""

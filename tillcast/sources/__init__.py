@@ -1,0 +1 @@
+"""Schemas, fixture adapter views, JDBC and file sources and sinks."""
