@@ -243,6 +243,8 @@ SELECTS: dict[str, str] = {
         group by dataset, bin""",
     "dup_keys": """select branch, incode, dep_code, count(*) as n_rows, count(distinct ite_desc) as n_ite_desc
         from pm group by branch, incode, dep_code having count(*) > 1""",
+    "dept_key_repeats": """select branch, dept_code, count(*) as n_rows, count(distinct dept_name) as n_dept_name
+        from v_rd1800 group by branch, dept_code having count(*) > 1""",
     "unmatched_depts": """select dept_name_std, count(*) as n_products from pm p
         where not exists (select 1 from v_dept_map m where m.dep_desc = p.dept_name_std)
         group by dept_name_std""",

@@ -300,6 +300,13 @@ def q_dup_keys(spark, sf_dir):
     return quality.duplicate_keys(q_item_dept_flags(spark, sf_dir))
 
 
+def q_dept_key_repeats(spark, sf_dir):
+    """D3: department keys with several rows (J1 fans out on them; A6 collapses
+    the repeats whose name is the same)."""
+    depts = _inputs(spark, sf_dir).departments
+    return quality.duplicate_keys(depts, keys=("branch", "dept_code"), detail="dept_name")
+
+
 def q_unmatched_depts(spark, sf_dir):
     inp = _inputs(spark, sf_dir)
     return quality.unmatched_departments(L.product_master(inp, P), inp.dept_map)
@@ -346,6 +353,7 @@ QUERIES: dict[str, Query] = {
     "error_histogram": q_error_histogram,
     "batch_score": q_batch_score,
     "dup_keys": q_dup_keys,
+    "dept_key_repeats": q_dept_key_repeats,
     "unmatched_depts": q_unmatched_depts,
 }
 
