@@ -205,6 +205,8 @@ SELECTS: dict[str, str] = {
           cast(t.i + 1 as integer) as step
         from (select branch, ite_desc_std, max(date) as last_date from fser where date <= date '{TRAIN_END}' group by all) l
         cross join (select range as i from range(0, {H})) t""",
+    "series_keys": """select branch, ite_desc_std, min(date) as first_date, max(date) as last_date,
+          count(*) as n_days from fser group by branch, ite_desc_std""",
     "train_test_cut": f"""select *, 'train' as part from fser where date <= date '{TRAIN_END}'
         union all select *, 'test' as part from test_part""",
     "train_test_cut_days": f"""select *, 'train' as part from fser where date <= date '{TRAIN_END}'

@@ -120,6 +120,15 @@ def q_forecast_calendar(spark, sf_dir):
     return forecast.forecast_calendar(_series(spark, sf_dir), P.train_end, _horizon(), "last_date")
 
 
+def q_series_keys(spark, sf_dir):
+    """The forecast series (distinct keys) with their span and length."""
+    return _series(spark, sf_dir).groupBy("branch", "ite_desc_std").agg(
+        F.min("date").alias("first_date"),
+        F.max("date").alias("last_date"),
+        F.count(F.lit(1)).alias("n_days"),
+    )
+
+
 def q_train_test_cut(spark, sf_dir):
     return forecast.train_test_cut(_series(spark, sf_dir), P.train_end, _horizon())
 
@@ -332,6 +341,7 @@ QUERIES: dict[str, Query] = {
     "capped_daily": q_capped_daily,
     "forecast_horizon": q_forecast_horizon,
     "forecast_calendar": q_forecast_calendar,
+    "series_keys": q_series_keys,
     "train_test_cut": q_train_test_cut,
     "train_test_cut_days": q_train_test_cut_days,
     "lag_features": q_lag_features,
