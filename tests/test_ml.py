@@ -142,7 +142,8 @@ def test_l5_composition(spark, frame):
     n_test = ml.hash_split(framed, ["ts"]).where(F.col("is_test")).count()
     assert out["predictions"].count() == n_test
     assert {r.dataset for r in out["scores"].collect()} == {"train", "test"}
-    assert {r.dataset for r in out["report"].collect()} == {"train", "test"}
+    report = ml.regression_report(out["scored"], "target", "prediction", "dataset")
+    assert {r.dataset for r in report.collect()} == {"train", "test"}
 
 
 def test_batch_score_matches_numpy_on_small_fixture(spark, sf_small):
