@@ -32,14 +32,13 @@ FEATURES = ("x_words", "x_word_length", "x_symbols", "x_dup_lines", "x_repeats",
 # Smallest standard deviation of each feature in an estimate: what a text may
 # differ by even where a group's texts are all alike (log words, log length of
 # a word, log symbols a word, and the shares of lines, words and letters).
-FLOORS = (1.0, 0.08, 0.10, 0.12, 0.08, 0.06)
+FLOORS = (1.0, 0.08, 0.06, 0.20, 0.12, 0.06)
 SUBSET = 0.75
 STEPS = 3
 MIN_GROUP = 200
-# Squared distance beyond which a vector is an outlier: the 1 - 2e-7 quantile
-# of chi-square with six degrees of freedom, times the consistency factor that
-# a three-quarter subset of normal data needs.
-CUTOFF = 42.0 * 1.9
+# Squared distance beyond which a vector is an outlier: the 0.9995 quantile of
+# chi-square with six degrees of freedom.
+CUTOFF = 24.1
 BINS_PER_DOUBLING = 8
 
 
