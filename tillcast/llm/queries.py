@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillcast.llm import langid, mixing, piece, quality, toxicity
+from tillcast.llm import extract, langid, mixing, piece, quality, topk, toxicity, warc
 from tillcast.llm.common import table
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -18,6 +18,14 @@ def piece_model() -> bytes:
     return piece.read_model(public_tokenizers.path(PIECE_MODEL))
 
 
+def q_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"))
+
+
+def q_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract_text(table(spark, sf_dir, "pages"))
+
+
 def q_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
@@ -38,10 +46,17 @@ def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.detect(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def q_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_warc": q_warc,
     "op3_quality": q_quality,
+    "op4_extract": q_extract,
     "op5_sentencepiece": q_sentencepiece,
     "op7_language": q_language,
+    "op8_topk": q_topk,
     "op9_mixing": q_mixing,
     "op10_toxicity": q_toxicity,
 }
@@ -80,4 +95,35 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
-ORACLE_SQL: dict[str, str] = {"op9_mixing": MIXING_SQL}
+WARC_SQL = """
+WITH held AS (
+  SELECT page_id, coalesce(html, '') AS payload, strlen(coalesce(html, ''))::BIGINT AS payload_bytes FROM pages
+), firsts AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload) AS first FROM held
+)
+SELECT page_id, payload_bytes, sha1(payload) AS payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM firsts
+"""
+
+TOPK_SQL = """
+WITH usable AS (
+  SELECT vec_id, row_number() OVER () AS uid, embedding FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS (
+  SELECT vec_id, uid, unnest(range(len(embedding))) AS i, unnest(embedding) AS x FROM usable
+), whole AS (
+  SELECT vec_id, uid, i, floor(256 * x::DOUBLE)::BIGINT AS n FROM parts
+), scored AS (
+  SELECT q.vec_id AS query_id, q.uid AS query_uid, c.vec_id, c.uid, sum(q.n * c.n)::BIGINT AS score
+  FROM whole q JOIN whole c ON q.i = c.i AND q.uid <> c.uid
+  WHERE q.vec_id % 50 = 0 GROUP BY ALL
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_uid ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_warc": WARC_SQL, "op8_topk": TOPK_SQL, "op9_mixing": MIXING_SQL}
