@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillcast.llm import extract, langid, mixing, piece, quality, topk, toxicity, warc
+from tillcast.llm import bagminhash, extract, langid, mixing, piece, quality, topk, toxicity, warc
 from tillcast.llm.common import table
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -34,6 +34,10 @@ def q_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece.encode_digests(table(spark, sf_dir, "documents"), piece_model())
 
 
+def q_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bagminhash.near_classes(table(spark, sf_dir, "documents"))
+
+
 def q_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": q_quality,
     "op4_extract": q_extract,
     "op5_sentencepiece": q_sentencepiece,
+    "op6_bagminhash": q_near_duplicates,
     "op7_language": q_language,
     "op8_topk": q_topk,
     "op9_mixing": q_mixing,
