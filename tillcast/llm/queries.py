@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillcast.llm import bagminhash, extract, langid, mixing, piece, quality, topk, toxicity, warc
+from tillcast.llm import bagminhash, extract, langid, mixing, pii, piece, quality, topk, toxicity, warc
 from tillcast.llm.common import table
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -18,6 +18,10 @@ def piece_model() -> bytes:
     return piece.read_model(public_tokenizers.path(PIECE_MODEL))
 
 
+def q_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.span_report(table(spark, sf_dir, "documents"))
+
+
 def q_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf_dir, "pages"))
 
@@ -55,6 +59,7 @@ def q_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": q_pii,
     "op2_warc": q_warc,
     "op3_quality": q_quality,
     "op4_extract": q_extract,
