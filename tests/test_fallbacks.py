@@ -1,13 +1,8 @@
-"""The paths taken past the broadcast bound and for single-split inputs
-give the same rows as the default paths."""
+"""Shuffled joins give the same rows as broadcast ones."""
 
 import collections
-import dataclasses
-
-from pyspark.sql import functions as F
 
 from tillcast.config import FIXTURE
-from tillcast.operators import ml
 from tillcast.plans import compositions as L
 from tillcast.sources import fixtures
 
@@ -24,7 +19,7 @@ def test_master_without_broadcast_equals_broadcast(spark, sf_small):
     try:
         for k in keys:
             spark.conf.set(k, "-1")
-        b_df = L.transaction_master(inp, dataclasses.replace(FIXTURE, broadcast_max_rows=0))
+        b_df = L.transaction_master(inp, FIXTURE)
         b = rows(b_df)
         plan = b_df._jdf.queryExecution().executedPlan().toString()
     finally:
@@ -32,22 +27,3 @@ def test_master_without_broadcast_equals_broadcast(spark, sf_small):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
     assert a == b
-
-
-def test_label_encoder_without_broadcast(spark):
-    df = spark.createDataFrame([("b",), ("a",), (None,), ("c",)], "s string")
-    enc = ml.fit_label_encoder(df, ["s"])
-    a = ml.apply_label_encoder(df, enc, ["s"])
-    b = ml.apply_label_encoder(df, enc, ["s"], broadcast_max_rows=0)
-    assert rows(a) == rows(b)
-
-
-def test_spread_keeps_rows_and_adds_tasks(spark, sf_small):
-    path = f"{sf_small}/lineitem.parquet"
-    raw = spark.read.parquet(path)
-    spread = fixtures.spread(raw, size_bytes=1, min_bytes=0)
-    cores = spark.sparkContext.defaultParallelism
-    if raw.rdd.getNumPartitions() < cores:
-        assert spread.rdd.getNumPartitions() == cores
-    assert spread.count() == raw.count()
-    assert spread.agg(F.sum("l_quantity")).first()[0] == raw.agg(F.sum("l_quantity")).first()[0]

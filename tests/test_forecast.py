@@ -235,7 +235,9 @@ def test_forecast_evaluation_matches_brute_force_on_small_fixture(spark, sf_smal
         train = g[g["date"] <= end]
         if train.empty:
             continue
-        vals, *_ = arima.forecast_values(train["quantity_cap"].to_numpy(float), h, FIXTURE.arima_order)
+        vals, status, *_ = arima.forecast_values(train["quantity_cap"].to_numpy(float), h, FIXTURE.arima_order)
+        if status != "ok":
+            continue
         fc = {end + dt.timedelta(days=i + 1): v for i, v in enumerate(vals)}
         test = g[g["date"] >= end].head(h)  # D6: first h rows from train_end on
         pairs = [(y, fc[d]) for d, y in zip(test["date"], test["quantity_cap"]) if d in fc]
@@ -249,3 +251,47 @@ def test_forecast_evaluation_matches_brute_force_on_small_fixture(spark, sf_smal
     for k, (mae, mape, n) in want.items():
         assert got[k][2] == n and abs(got[k][0] - mae) < 1e-6
         assert abs(got[k][1] - mape) <= 1e-6 * max(1.0, abs(mape))
+
+
+def many_series(spark, n, days=20):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(n).withColumn("d", F.explode(F.sequence(F.lit(0), F.lit(days - 1))))
+    return rows.select(
+        F.concat(F.lit("B"), (F.col("id") % 5).cast("string")).alias("branch"),
+        F.concat(F.lit("item"), F.col("id").cast("string")).alias("ite_desc_std"),
+        F.date_add(F.lit("2024-01-01").cast("date"), F.col("d")).alias("date"),
+        (F.sin(F.col("id") + F.col("d") * F.col("d")) + F.col("d")).alias("quantity_cap"),
+    )
+
+
+def test_every_task_gets_its_share_of_series(spark):
+    from pyspark.sql import functions as F
+
+    fc = forecast.arima_forecast(many_series(spark, 200), dt.date(2024, 1, 31), 2, "quantity_cap", num_partitions=8)
+    per = [r["n"] for r in fc.groupBy(F.spark_partition_id().alias("p")).agg(F.countDistinct("ite_desc_std").alias("n")).collect()]
+    assert sum(per) == 200 and len(per) == 8 and max(per) <= 2 * 200 / 8
+
+
+def test_a_poisoned_series_leaves_the_others_unchanged(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    clean = many_series(spark, 12)
+    bad = clean.withColumn("quantity_cap", F.when(F.col("ite_desc_std") == "item3", F.lit(float("inf"))).otherwise(F.col("quantity_cap")))
+    run = lambda df: {
+        (r.ite_desc_std, r.date): (r.forecast, r.status)
+        for r in forecast.arima_forecast(df, dt.date(2024, 1, 31), 3, "quantity_cap", num_partitions=2).collect()
+    }
+    a, b = run(clean), run(bad)
+    assert all(a[k] == b[k] for k in a if k[0] != "item3")
+    assert {b[k][1] for k in b if k[0] == "item3"} == {"failed"}
+
+
+def test_null_keys_and_key_types_are_kept(spark):
+    rows = [(None, dt.date(2024, 1, d), float(d % 3)) for d in range(1, 15)]
+    rows += [(7, dt.date(2024, 1, d), float(d % 4)) for d in range(1, 15)]
+    df = spark.createDataFrame(rows, "k int, date date, v double")
+    fc = forecast.arima_forecast(df, dt.date(2024, 1, 31), 2, "v", keys=["k"], num_partitions=3)
+    assert dict(fc.dtypes)["k"] == "int"
+    assert sorted(((r.k or 0), r.status) for r in fc.collect()) == [(0, "ok")] * 2 + [(7, "ok")] * 2
+    assert forecast.arima_forecast(df.where("k = 99"), dt.date(2024, 1, 31), 2, "v", keys=["k"]).count() == 0

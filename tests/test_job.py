@@ -1,16 +1,21 @@
 """The end-to-end job writes every stage and its outputs agree with the queries."""
 
+import datetime as dt
 import os
 
 from tillcast.config import FIXTURE
-from tillcast.plans.job import run_pipeline
+from tillcast.operators import forecast
+from tillcast.plans import compositions as L
+from tillcast.plans import job
 from tillcast.plans.registry import q_daily_top_items
+from tillcast.sources import files, jdbc
 from tillcast.sources.fixtures import retail_inputs
+from pyspark.sql import functions as F
 
 
 def test_job_writes_every_stage(spark, sf_small, tmp_path):
     out = str(tmp_path / "run")
-    tables = run_pipeline(spark, retail_inputs(spark, sf_small), FIXTURE, out)
+    tables = job.run_pipeline(spark, retail_inputs(spark, sf_small), FIXTURE, out)
     for name in ["transaction_master", "daily", "daily_top_items", "flagged", "capped", "forecasts", "evaluation"]:
         assert os.path.isdir(os.path.join(out, name)), name
     for name in ["daily_top_items", "flagged", "capped", "forecasts"]:
@@ -18,3 +23,45 @@ def test_job_writes_every_stage(spark, sf_small, tmp_path):
     assert sorted(tables["daily_top_items"].collect()) == sorted(q_daily_top_items(spark, sf_small).collect())
     fc = tables["forecasts"]
     assert fc.count() == 30 * fc.select("branch", "ite_desc_std").distinct().count()
+
+
+def test_job_inputs_from_paths_equal_the_query(spark, sf_small, tmp_path):
+    inp = retail_inputs(spark, sf_small)
+    for name in ("transactions", "products", "departments"):
+        files.write_parquet(getattr(inp, name), str(tmp_path / name))
+    files.write_csv(inp.item_map, str(tmp_path / "items"))
+    files.write_csv(inp.dept_map.withColumn("remarks", F.lit(None).cast("string")), str(tmp_path / "depts"))
+    back = job.read_inputs(
+        spark, *[str(tmp_path / n) for n in ("transactions", "products", "departments", "items", "depts")]
+    )
+    got = L.daily_top_items(back, FIXTURE).collect()
+    assert sorted(got) == sorted(q_daily_top_items(spark, sf_small).collect())
+
+
+def test_source_restriction_reaches_the_scan(spark, sf_small, tmp_path):
+    tx = retail_inputs(spark, sf_small).transactions
+    for name, frame in (("text", tx), ("date", tx.withColumn("date", F.col("date").try_cast("date")))):
+        path = str(tmp_path / name)
+        files.write_parquet(frame, path)
+        kept = jdbc.restrict_source(spark.read.parquet(path), dt.date(1998, 1, 1), ["B1", "B2"])
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        pushed = plan[plan.index("PushedFilters") :].split("\n")[0]
+        assert "date" in pushed.replace("IsNotNull(date)", "") and "In(branch" in pushed
+        want = tx.where((F.col("date").try_cast("date") > "1998-01-01") & F.col("branch").isin("B1", "B2"))
+        assert kept.count() == want.count()
+
+
+def test_evaluation_never_fits(spark, sf_small, tmp_path):
+    from tillcast.plans.registry import FORECAST
+
+    series = L.forecast_series(retail_inputs(spark, sf_small), FIXTURE, write=True)
+    h = forecast.horizon_for(FORECAST.train_end)
+    path = str(tmp_path / "fc")
+    files.write_parquet(L.forecasts(series, FORECAST, h), path)
+    ev = L.evaluation(series, spark.read.parquet(path), FORECAST, h)
+    assert "InPandas" not in ev._jdf.queryExecution().executedPlan().toString()
+
+
+def test_arguments_cover_the_run_parameters():
+    a = job.arguments().parse_args(["--out", "x", "--since", "2022-01-01", "--branches", "A,B", "--top-n", "3"])
+    assert (a.start_year, a.end_year, a.top_n, a.since) == (2023, 2024, 3, dt.date(2022, 1, 1))

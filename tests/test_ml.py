@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tillcast.functions import metrics as M
 from tillcast.operators import ml
 
 
@@ -129,7 +130,7 @@ def test_permutation_importance_finds_the_signal(spark):
     rows = [(i, float(a), float(b), float(10 * a)) for i, (a, b) in enumerate(rng.random((400, 2)))]
     df = spark.createDataFrame(rows, "k long, a double, b double, target double")
     model = ml.train_gbt(df, ["a", "b"], n_trees=10)
-    imp = {r.feature: r.rmse_increase for r in ml.permutation_importance(model, df, ["a", "b"], ["k"], rows_per_bucket=50).collect()}
+    imp = {r.feature: r.rmse_increase for r in ml.permutation_importance(model, df, ["a", "b"], ["k"]).collect()}
     assert imp["a"] > 1.0 and abs(imp["b"]) < 0.2
 
 
@@ -172,3 +173,45 @@ def test_exact_quantiles_match_numpy_across_partitions(spark):
     for g, vals in [("a", a), ("b", b)]:
         for p in probs:
             assert abs(got[(g, p)] - np.quantile(vals, p)) < 1e-12, (g, p)
+
+
+def test_r2_of_large_targets(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    y = 1e9 + rng.normal(size=500) * 2
+    p = y + 0.5 * np.sign(rng.normal(size=500))
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(y, p)], "y double, p double")
+    got = df.agg(M.r2(F.col("y"), F.col("p"))).first()[0]
+    want = 1 - ((y - p) ** 2).sum() / ((y - y.mean()) ** 2).sum()
+    assert abs(got - want) < 1e-9
+
+
+def test_quantile_tasks_stay_even_on_ties(spark):
+    from tillcast.session import materialize
+
+    df = spark.range(40_000).select(
+        F.lit("g").alias("g"), F.when(F.col("id") % 5 < 4, 0.0).otherwise(F.col("id").cast("double")).alias("v")
+    )
+    got = {r.p: r.quantile for r in ml.exact_quantiles(df, "v", "g", [0.5, 0.9]).collect()}
+    import numpy as np
+
+    want = np.quantile([r.v for r in df.collect()], [0.5, 0.9])
+    assert np.allclose([got[0.5], got[0.9]], want)
+    counted = materialize(df.groupBy("g", "v").count().repartitionByRange(8, "g", "v").withColumn("t", F.spark_partition_id()), "ties")
+    sizes = [r["n"] for r in counted.groupBy("t").agg(F.count("*").alias("n")).collect()]
+    assert max(sizes) <= 2 * sum(sizes) / len(sizes)
+
+
+def test_algorithms_differ():
+    params = [tuple(sorted(ml.ALGORITHMS[a].items())) for a in ml.ALGORITHMS]
+    assert len(set(params)) == len(params)
+
+
+def test_scoring_survives_drop_of_written_tables(spark, sf_small):
+    from tillcast.plans import registry
+    from tillcast.session import drop_materialized
+
+    registry.q_prediction_counts(spark, sf_small).collect()
+    drop_materialized(spark)
+    assert registry.q_prediction_counts(spark, sf_small).count() == 2

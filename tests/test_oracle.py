@@ -4,8 +4,9 @@ import pytest
 
 import __spark_entry__ as E
 from tillcast.plans.compare import compare, duckdb_connection
+from tillcast.plans.oracle_sql import oracle_sql
 
-ORACLES = E.oracle_sql()
+ORACLES = oracle_sql()
 
 
 @pytest.fixture(scope="module")

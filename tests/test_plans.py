@@ -35,10 +35,14 @@ def test_top_items_limits_before_the_shuffle(q):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
-def test_arima_group_map_has_its_own_sized_shuffle(q):
+def test_arima_streams_series_from_one_sized_shuffle(q):
     plan = executed(q("arima_forecast"))
-    assert "FlatMapGroupsInPandas" in plan
-    assert re.search(r"Exchange hashpartitioning\(_bucket#\d+L?, \d+\), REPARTITION_BY_NUM", plan)
+    assert "MapInPandas" in plan and "FlatMapGroupsInPandas" not in plan
+    assert re.search(r"Exchange hashpartitioning\(branch#\d+, ite_desc_std#\d+, \d+\), REPARTITION_BY_NUM", plan)
+
+
+def test_evaluation_reads_the_written_forecasts(q):
+    assert "InPandas" not in executed(q("forecast_evaluation"))
 
 
 def test_no_python_udf_in_cleaning(q):

@@ -6,7 +6,6 @@ sources/    schemas, fixture adapter views, JDBC / CSV / Parquet readers and wri
 functions/  column expressions (parsing, lookups, calendar, metrics)
 operators/  DataFrame -> DataFrame steps (clean, daily, outliers, forecast, ml, quality)
 plans/      compositions of operators (L1-L5) and the query / oracle registry
-streaming/  incremental form of the daily totals
 """
 
 from tillcast.session import get_session, checkpoint_dir, materialize  # noqa: F401

@@ -109,8 +109,6 @@ class RunParams:
     seed: int = 42
     n_trees: int = 100
     null_safe: bool = True
-    # Largest dimension table (rows) that may be broadcast after a bounded count.
-    broadcast_max_rows: int = 500_000
 
 
 # Values used with the driver's test tables (FIXTURES.md section 2).

@@ -28,7 +28,7 @@ def rmse(y: Column, p: Column) -> Column:
 
 def r2(y: Column, p: Column) -> Column:
     """1 - SS_res / SS_tot in one pass (null when the target is constant)."""
-    n = F.count(y)
     ss_res = F.sum((y - p) * (y - p))
-    ss_tot = F.sum(y * y) - F.sum(y) * F.sum(y) / n
+    # var_pop keeps centred sums, so large targets do not cancel
+    ss_tot = F.var_pop(y) * F.count(y)
     return F.lit(1.0) - F.try_divide(ss_res, ss_tot)

@@ -1,9 +1,9 @@
 """Per-series ARIMA(p, d, q) in NumPy: p, q up to 3, d up to 2.
 
 This is the small helper that ``forecast.arima_forecast`` runs inside
-``applyInPandas``: one call sees one hash bucket of series (each at most one
-value per day), never the whole table, and fits them together, vectorised
-over series and grid points.
+``mapInPandas``: one call sees a chunk of series (each at most one value per
+day), never the whole table, and fits them together, vectorised over series
+and grid points.
 
 Model: after ``d`` differences, ``w_t = phi*w_{t-1} + z_t + theta*z_{t-1}``
 without a constant (with d = 0 the series mean is removed first). The exact
@@ -37,6 +37,7 @@ MIN_DIFFS = 3
 
 STATUS_OK = "ok"
 STATUS_FLAT = "flat"
+STATUS_FAILED = "failed"
 
 
 MAX_P = MAX_Q = 3
@@ -269,7 +270,31 @@ def _undo_difference(y: np.ndarray, w_forecast: np.ndarray, d: int) -> np.ndarra
     return out
 
 
-def forecast_many(ys: list[np.ndarray], horizon: int, order=(1, 1, 1)) -> list[tuple[np.ndarray, str, float, float]]:
+def forecast_guarded(
+    ys: list[np.ndarray], horizon: int, order=(1, 1, 1), coefficients: tuple[float, float] | None = None
+) -> list[tuple[np.ndarray, str, float, float]]:
+    """``forecast_many`` where a series that cannot be fitted is reported as
+    'failed' with NaN forecasts and leaves the others as they are."""
+    none = (np.full(horizon, np.nan), STATUS_FAILED, np.nan, np.nan)
+    sound = [i for i, y in enumerate(ys) if np.isfinite(y).all()]
+    out = [none] * len(ys)
+    try:
+        results = forecast_many([ys[i] for i in sound], horizon, order, coefficients)
+    except Exception:  # one of them: find it by fitting each alone
+        results = []
+        for i in sound:
+            try:
+                results += forecast_many([ys[i]], horizon, order, coefficients)
+            except Exception:
+                results.append(none)
+    for i, r in zip(sound, results):
+        out[i] = r if np.isfinite(r[0]).all() else none
+    return out
+
+
+def forecast_many(
+    ys: list[np.ndarray], horizon: int, order=(1, 1, 1), coefficients: tuple[float, float] | None = None
+) -> list[tuple[np.ndarray, str, float, float]]:
     """Forecast ``horizon`` steps after each series in ``ys`` (each ordered,
     positional). Too-short or zero-variance series get a flat forecast at
     their last value with status 'flat'. Returns (values, status, phi, theta)
@@ -306,7 +331,11 @@ def forecast_many(ys: list[np.ndarray], horizon: int, order=(1, 1, 1)) -> list[t
         W = np.zeros((len(ws), int(n.max())))
         for j, w in enumerate(ws):
             W[j, : len(w)] = w
-        phi, theta = fit_arma11_many(W, n, p == 1, q == 1)
+        if coefficients is None:
+            phi, theta = fit_arma11_many(W, n, p == 1, q == 1)
+        else:  # given, zero where the order has no such term
+            phi = np.full(len(ws), coefficients[0] * (p == 1))
+            theta = np.full(len(ws), coefficients[1] * (q == 1))
         x1 = one_step_state_many(W, n, phi, theta)
         powers = np.arange(horizon)
         for j, i in enumerate(fit_idx):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tillcast.config import ACTIVE_STATUS, IGNORE_FLAG, PREFIX_TO_DEPARTMENT, OverrideRule
 from tillcast.functions import scalar as S
-from tillcast.operators.joins import broadcast_if_bounded, equi_join
+from tillcast.operators.joins import equi_join
 from tillcast.session import materialize
 
 MASTER_COLUMNS = (
@@ -135,18 +135,15 @@ def join_transactions(
     tx: DataFrame,
     products: DataFrame,
     null_safe: bool = True,
-    broadcast_max_rows: int = 500_000,
 ) -> DataFrame:
     """Transactions left-joined to the product master on (branch, code, dep).
 
-    The product side is a catalogue (items x branches). It is written once
-    to the checkpoint folder (so the size check and the join share one
-    computation), then broadcast when its bounded count allows: the fact
-    table is never shuffled for this join and a hot item cannot skew it.
-    Past the bound the join shuffles and AQE splits skewed partitions.
+    The product side is a catalogue (items x branches). It is written once to
+    the checkpoint folder, so Spark plans the join from its real size in
+    bytes: below the session's broadcast threshold the fact table is not
+    shuffled; beyond it the join shuffles and AQE splits skewed partitions.
     """
     pm = materialize(products.withColumnRenamed("incode", "ite_code"), "product-master")
-    pm = broadcast_if_bounded(pm, broadcast_max_rows)
     return equi_join(
         tx, pm, ["branch", "ite_code", "dep_code"], how="left", null_safe=null_safe
     )
@@ -168,9 +165,8 @@ def transaction_master(
     dept_map: DataFrame,
     rules: Sequence[OverrideRule],
     null_safe: bool = True,
-    broadcast_max_rows: int = 500_000,
 ) -> DataFrame:
     """L1 end to end."""
     pm = product_master(products, departments, item_map, dept_map, rules, null_safe)
-    joined = join_transactions(clean_transactions(tx), pm, null_safe, broadcast_max_rows)
+    joined = join_transactions(clean_transactions(tx), pm, null_safe)
     return filter_master(joined)

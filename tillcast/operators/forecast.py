@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -195,66 +196,73 @@ def arima_forecast(
     start_mode: str = "train_end",
     keys: Sequence[str] = SERIES_KEYS,
     date_col: str = DATE_COL,
-    num_buckets: int | None = None,
+    num_partitions: int | None = None,
     chunk: int = 64,
+    coefficients: tuple[float, float] | None = None,
 ) -> DataFrame:
-    """One ARIMA fit per series, run as a grouped pandas job.
+    """One ARIMA fit per series, in tasks that stream whole series.
 
-    Only training rows (date <= train_end) are shuffled. Series are hashed
-    into buckets (default: ``spark.sql.shuffle.partitions``, at least twice
-    the cores), one ``applyInPandas`` call per bucket; inside, the series
-    are fitted ``chunk`` at a time with one vectorised NumPy pass. A series
-    has at most one row per day, so a bucket holds about
-    ``series / buckets`` calendars, never the transaction volume. The
-    shuffle has an explicit partition count, which AQE does not coalesce:
-    the work is CPU per series, not bytes.
+    Only training rows (date <= train_end) are shuffled, once, by series.
+    Each task sorts its rows by series and date and reads them as a stream;
+    ``chunk`` whole series at a time are fitted in one vectorised NumPy pass,
+    so memory holds one chunk however many series there are. The shuffle has
+    an explicit partition count, which AQE does not coalesce: the work is CPU
+    per series, not bytes.
 
+    ``coefficients`` (phi, theta) are used instead of a fit when given.
     Series without training rows produce nothing; every other series gets
-    exactly ``horizon`` rows (status 'flat' when it is too short to fit).
+    ``horizon`` rows. ``status`` is 'ok', 'flat' (too short to fit: the last
+    value) or 'failed' (null forecasts; the other series are unaffected).
+    A null key is a key of its own.
     """
     arima.check_order(order)
     if start_mode not in START_MODES:
         raise ValueError(f"start_mode must be one of {START_MODES}")
     keys = list(keys)
     spark = series.sparkSession
-    ship_package(spark)  # the group function runs in the executors' Python workers
-    cores = spark.sparkContext.defaultParallelism
-    buckets = num_buckets or max(2 * cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ship_package(spark)  # the function runs in the executors' Python workers
+    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    types = {f.name: f.dataType.simpleString() for f in series.schema.fields}
+    columns = [*keys, date_col, "forecast", "status", "phi", "theta"]
     schema = (
-        ", ".join(f"`{k}` string" for k in keys)
+        ", ".join(f"`{k}` {types[k]}" for k in keys)
         + f", `{date_col}` date, forecast double, status string, phi double, theta double"
     )
-    end = pd.Timestamp(train_end)
-    one_day = pd.Timedelta(days=1)
-
-    def fit_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([*keys, date_col])
-        groups = list(pdf.groupby(keys, sort=False))
-        frames = []
-        for lo in range(0, len(groups), chunk):
-            part = groups[lo : lo + chunk]
-            results = arima.forecast_many(
-                [g[value].to_numpy(dtype=float) for _, g in part], horizon, order
-            )
-            for (key, g), (vals, status, phi, theta) in zip(part, results):
-                key = key if isinstance(key, tuple) else (key,)
-                base = end if start_mode == "train_end" else pd.Timestamp(g[date_col].iloc[-1])
-                out = pd.DataFrame({k: [v] * horizon for k, v in zip(keys, key)})
-                out[date_col] = pd.date_range(base + one_day, periods=horizon, freq="D").date
-                out["forecast"] = vals
-                out["status"] = status
-                out["phi"] = phi
-                out["theta"] = theta
-                frames.append(out)
-        if not frames:
-            return pd.DataFrame({c: [] for c in [*keys, date_col, "forecast", "status", "phi", "theta"]})
-        return pd.concat(frames, ignore_index=True)
-
-    bucket = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets))
+    one_day = dt.timedelta(days=1)
+
+    def fitted(waiting: list[tuple[tuple, list, object]]) -> pd.DataFrame:
+        results = arima.forecast_guarded([np.array(v, dtype=float) for _, v, _ in waiting], horizon, order, coefficients)
+        rows = []
+        for (key, _, last), (vals, status, phi, theta) in zip(waiting, results):
+            base = train_end if start_mode == "train_end" else last
+            rows += [(*key, base + one_day * (h + 1), vals[h], status, phi, theta) for h in range(horizon)]
+        out = pd.DataFrame(rows, columns=columns)
+        return out.astype({"forecast": float, "phi": float, "theta": float})
+
+    def fit_stream(frames):
+        waiting: list[tuple[tuple, list, object]] = []
+        for frame in frames:
+            clean = frame[keys].astype(object).where(frame[keys].notna(), None)
+            for key, day, v in zip(zip(*[clean[k] for k in keys]), frame[date_col], frame[value]):
+                if not waiting or waiting[-1][0] != key:
+                    if len(waiting) >= chunk:
+                        yield fitted(waiting)
+                        waiting = []
+                    waiting.append((key, [], None))
+                waiting[-1][1].append(v)
+                waiting[-1] = (key, waiting[-1][1], day)
+        if waiting:
+            yield fitted(waiting)
+
     train = (
         series.where((F.col(date_col) <= F.lit(train_end)) & F.col(value).isNotNull())
         .select(*keys, date_col, value)
-        .withColumn("_bucket", bucket)
-        .repartition(min(buckets, 2 * cores), "_bucket")
+        .repartition(parts, *keys)
+        .sortWithinPartitions(*keys, date_col)
     )
-    return train.groupBy("_bucket").applyInPandas(fit_bucket, schema=schema)
+    return train.mapInPandas(fit_stream, schema=schema)
+
+
+def scored_only(forecasts: DataFrame) -> DataFrame:
+    """Forecasts of series that were really fitted: flat and failed ones do not count."""
+    return forecasts.where(F.col("status") == arima.STATUS_OK)

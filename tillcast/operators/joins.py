@@ -1,25 +1,10 @@
-"""Join helpers: bounded broadcast and null-safe equi-joins."""
+"""Join helpers: null-safe equi-joins."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan),
-    so it costs little on a dimension table and never scans a big one fully.
-    Beyond the bound the frame is returned as is and Spark plans a
-    shuffle join (AQE may still switch to broadcast from measured sizes).
-    Use it for dimension-like inputs only; for frames derived from the fact
-    table leave the choice to AQE instead of paying for a second pass.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
 
 
 def equi_join(

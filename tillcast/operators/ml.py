@@ -7,6 +7,7 @@ the split is a hash predicate, and training/scoring are ``pyspark.ml``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -19,10 +20,13 @@ from pyspark.sql import functions as F
 
 from tillcast.functions import metrics as M
 from tillcast.functions import scalar as S
-from tillcast.operators.joins import broadcast_if_bounded
-from tillcast.session import materialize
+from tillcast.session import checkpoint_dir, materialize, remember_written
 
-ALGORITHMS = ("gbt", "xgboost", "lightgbm")
+ALGORITHMS: dict[str, dict] = {
+    "gbt": {"maxDepth": 5, "stepSize": 0.1, "maxBins": 32, "minInstancesPerNode": 1},
+    "xgboost": {"maxDepth": 6, "stepSize": 0.3, "maxBins": 256, "minInstancesPerNode": 1},
+    "lightgbm": {"maxDepth": 5, "stepSize": 0.1, "maxBins": 255, "minInstancesPerNode": 20},
+}
 _PARTITION_SHIFT = 33  # monotonically_increasing_id keeps the partition index above bit 33
 
 
@@ -45,33 +49,34 @@ def fit_label_encoder(df: DataFrame, columns: Sequence[str], name: str = "labels
 
     Distinct values are range-partitioned and sorted; each value's code is
     its position inside its partition plus the number of values of the same
-    column in earlier partitions. The per-partition counts have one row per
-    (partition, column): at most ``spark.sql.shuffle.partitions`` x columns
-    rows whatever the data size, so broadcasting it is safe. The ranked
-    values are written to the checkpoint folder once, so both uses see the
-    same ids and a lost executor cannot renumber them.
+    column in earlier partitions.
     """
     pairs = F.array(
         *[F.struct(F.lit(c).alias("column"), S.category_text(c).alias("value")) for c in columns]
     )
     values = df.select(F.explode(pairs).alias("kv")).select("kv.*").distinct()
-    ranked = (
-        values.repartitionByRange("column", "value")
-        .sortWithinPartitions("column", "value")
-        .withColumn("_id", F.monotonically_increasing_id())
-    )
-    ranked = materialize(ranked, f"{name}-ranked")
+    ranked = with_rank(values, ["column"], ["value"], f"{name}-ranked")
+    return ranked.select("column", "value", F.col("rank").cast("int").alias("code"))
+
+
+def with_rank(df: DataFrame, groups: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+    """Adds ``rank``: 0, 1, ... in ``order`` within each of ``groups``, without
+    gathering a group in one task.
+
+    Rows are range-partitioned and sorted; a row's rank is its position in its
+    partition plus the number of rows of its group in earlier partitions (a
+    table of one row per partition and group). The sorted rows are written
+    once, so a lost executor cannot renumber them.
+    """
+    groups = list(groups)
+    ranked = df.repartitionByRange(*groups, *order).sortWithinPartitions(*groups, *order)
+    ranked = materialize(ranked.withColumn("_id", F.monotonically_increasing_id()), name)
     ranked = ranked.withColumn("_pid", F.shiftright("_id", _PARTITION_SHIFT))
-    counts = ranked.groupBy("_pid", "column").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first")
-    )
-    before = Window.partitionBy("column").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    return ranked.join(F.broadcast(offsets), on=["_pid", "column"]).select(
-        "column",
-        "value",
-        (F.col("_offset") + F.col("_id") - F.col("_first")).cast("int").alias("code"),
-    )
+    counts = ranked.groupBy("_pid", *groups).agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
+    before = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    joined = ranked.join(offsets, on=["_pid", *groups])
+    return joined.withColumn("rank", F.col("_offset") + F.col("_id") - F.col("_first")).drop("_pid", "_id", "_offset", "_first")
 
 
 def apply_label_encoder(
@@ -80,7 +85,6 @@ def apply_label_encoder(
     columns: Sequence[str],
     suffix: str = "_idx",
     unseen: int = -1,
-    broadcast_max_rows: int = 500_000,
 ) -> DataFrame:
     """M1 transform: add ``{col}{suffix}``; values not seen at fit get ``unseen``."""
     out = df
@@ -88,7 +92,6 @@ def apply_label_encoder(
         codes = encoder.where(F.col("column") == c).select(
             F.col("value").alias(f"__v_{c}"), F.col("code").alias(f"{c}{suffix}")
         )
-        codes = broadcast_if_bounded(codes, broadcast_max_rows)
         out = (
             out.withColumn(f"__v_{c}", S.category_text(c))
             .join(codes, on=f"__v_{c}", how="left")
@@ -108,11 +111,12 @@ def gbt_pipeline(
 ) -> Pipeline:
     """M3: assembler + gradient-boosted trees with squared loss.
 
-    The names 'xgboost' and 'lightgbm' are accepted and give the same
-    data-parallel GBT; anything else is an error.
+    ``algorithm`` sets tree depth, step size, bins and smallest leaf to the
+    published defaults of the library of that name (``ALGORITHMS``); the
+    trees themselves are Spark's. Anything else is an error.
     """
     if algorithm not in ALGORITHMS:
-        raise ValueError(f"algorithm must be one of {ALGORITHMS}, got {algorithm!r}")
+        raise ValueError(f"algorithm must be one of {tuple(ALGORITHMS)}, got {algorithm!r}")
     return Pipeline(
         stages=[
             VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep"),
@@ -120,6 +124,7 @@ def gbt_pipeline(
                 featuresCol="features",
                 labelCol=target,
                 maxIter=n_trees,
+                **ALGORITHMS[algorithm],
                 lossType="squared",
                 seed=seed,
                 checkpointInterval=10,
@@ -172,44 +177,36 @@ def permutation_importance(
     keys: Sequence[str],
     target: str = "target",
     seed: int = 42,
-    rows_per_bucket: int = 1_000_000,
 ) -> DataFrame:
     """M6: increase in RMSE when one feature's values are permuted.
 
-    The permutation is a cyclic shift inside hash buckets of about
-    ``rows_per_bucket`` rows, ordered by a hash of the row key: every value
-    moves to another row, the column's distribution is unchanged, and no
-    bucket grows with the data. All features are permuted in one window
-    pass, written once, then scored one feature at a time.
+    Rows are ranked by a hash of their key and each takes the values of the
+    next rank (the last those of the first): every value moves to another
+    row whatever the size of the table, and rows that tie in key and values
+    are interchangeable. One row per feature and one unchanged are scored by
+    one transform and summed by one aggregate.
     """
-    import math
-
-    n = data.count()
-    buckets = max(1, math.ceil(n / rows_per_bucket))
     order = F.xxhash64(*[F.col(k) for k in keys], F.lit(seed))
-    w = Window.partitionBy("_bucket").orderBy("_order")
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    shifted = data.withColumns({"_order": order, "_bucket": F.pmod(order, F.lit(buckets))})
-    shifted = shifted.withColumns(
-        {
-            f"__perm_{c}": F.coalesce(F.lead(F.struct(c)).over(w), F.first(F.struct(c)).over(whole))[c]
-            for c in features
-        }
+    columns = list(dict.fromkeys([*features, target]))
+    rows = data.select(*keys, *columns).withColumns({"_all": F.lit(0), "_order": order})
+    ranked = with_rank(rows, ["_all"], ["_order", *keys, *columns], "permuted").drop("_all", "_order")
+    ranked = materialize(ranked, "permuted-ranked")
+    total = F.lit(ranked.count())
+    donors = ranked.select(
+        F.pmod(F.col("rank") - 1, total).alias("rank"), *[F.col(c).alias(f"__perm_{c}") for c in features]
     )
-    shifted = materialize(shifted, "permuted")
-
-    def rmse_of(df: DataFrame) -> float:
-        pred = model.transform(df)
-        return pred.agg(M.rmse(F.col(target), F.col("prediction"))).first()[0]
-
-    base_cols = [c for c in data.columns]
-    base = rmse_of(shifted.select(*base_cols))
-    rows = []
-    for c in features:
-        swapped = shifted.select(*[F.col(f"__perm_{c}").alias(c) if x == c else F.col(x) for x in base_cols])
-        rows.append((c, float(rmse_of(swapped) - base)))
-    spark = data.sparkSession
-    return spark.createDataFrame(rows, "feature string, rmse_increase double")
+    paired = ranked.join(donors, on="rank")
+    names = F.array(F.lit(""), *[F.lit(c) for c in features])
+    each = paired.withColumn("feature", F.explode(names))
+    swapped = each.select(
+        "feature",
+        target,
+        *[F.when(F.col("feature") == c, F.col(f"__perm_{c}")).otherwise(F.col(c)).alias(c) for c in features if c != target],
+    )
+    scored = model.transform(swapped).groupBy("feature").agg(M.rmse(F.col(target), F.col("prediction")).alias("rmse"))
+    base = F.max(F.when(F.col("feature") == "", F.col("rmse"))).over(Window.partitionBy(F.lit(0)))
+    out = scored.withColumn("rmse_increase", F.col("rmse") - base)  # one row a feature
+    return out.where(F.col("feature") != "").select("feature", "rmse_increase")
 
 
 # --------------------------------------------------------------------------- A12
@@ -222,12 +219,13 @@ def regression_report(
 ) -> DataFrame:
     """Quality of ``prediction`` per dataset (e.g. reference vs current).
 
-    One aggregate pass for the moments; the error quantiles (p05, p50,
-    p95) come from ``exact_quantiles``, which never holds a dataset in one
-    task. ``error_histogram`` gives the full distribution.
+    The frame is written once; one aggregate gives the moments, and the error
+    quantiles (p05, p50, p95) come from ``exact_quantiles``.
+    ``error_histogram`` gives the full distribution.
     """
     y, p = F.col(target), F.col(prediction)
-    out = df.where(y.isNotNull() & p.isNotNull()).groupBy(dataset).agg(
+    df = materialize(df.where(y.isNotNull() & p.isNotNull()).select(dataset, target, prediction), "report")
+    out = df.groupBy(dataset).agg(
         F.count(F.lit(1)).alias("n"),
         F.avg(p - y).alias("mean_error"),
         M.mae(y, p).alias("mae"),
@@ -236,7 +234,7 @@ def regression_report(
         M.r2(y, p).alias("r2"),
     )
     probs = {"p05": 0.05, "p50": 0.5, "p95": 0.95}
-    errors = df.where(y.isNotNull() & p.isNotNull()).select(dataset, (p - y).alias("_err"))
+    errors = df.select(dataset, (p - y).alias("_err"))
     q = exact_quantiles(errors, "_err", dataset, list(probs.values()), name="report-errors")
     wide = q.groupBy(dataset).agg(
         *[F.first(F.when(F.col("p") == v, F.col("quantile")), ignorenulls=True).alias(k) for k, v in probs.items()]
@@ -253,40 +251,45 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact linear-interpolation quantiles of ``value`` per ``group``.
 
-    No group is gathered in one task: values are range-partitioned and
-    sorted, each gets its rank from its position in the partition plus a
-    per-(partition, group) offset (a table of at most shuffle partitions x
-    groups rows), and only the two ranks around each quantile are fetched.
-    Returns (group, p, quantile).
+    Values are counted first, so a value that most rows share is one row.
+    The distinct values are range-partitioned and sorted; running counts
+    within a partition plus the totals of the earlier partitions give each
+    value's range of ranks, and one pass picks the values at the ranks around
+    every quantile. Returns (group, p, quantile).
     """
-    vals = df.select(group, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    ranked = (
-        vals.repartitionByRange(group, "_v")
-        .sortWithinPartitions(group, "_v")
-        .withColumn("_id", F.monotonically_increasing_id())
-    )
-    ranked = materialize(ranked, f"{name}-ranked").withColumn(
-        "_pid", F.shiftright("_id", _PARTITION_SHIFT)
+    counted = (
+        df.select(F.col(group).alias("_g"), F.col(value).cast("double").alias("_v"))
+        .where(F.col("_v").isNotNull())
+        .groupBy("_g", "_v")
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
-    counts = ranked.groupBy("_pid", group).agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
-    before = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumns(
-        {"_offset": F.coalesce(F.sum("_n").over(before), F.lit(0)), "_total": F.sum("_n").over(Window.partitionBy(group))}
+    counted = counted.repartitionByRange("_g", "_v").withColumn("_pid", F.spark_partition_id())
+    counted = materialize(counted, f"{name}-counts")
+    parts = counted.groupBy("_pid", "_g").agg(F.sum("_n").alias("_in"))
+    before = Window.partitionBy("_g").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.withColumns(
+        {"_offset": F.coalesce(F.sum("_in").over(before), F.lit(0)), "_total": F.sum("_in").over(Window.partitionBy("_g"))}
+    ).select(F.col("_pid").alias("_op"), F.col("_g").alias("_og"), "_offset", "_total")
+    inside = Window.partitionBy("_pid", "_g").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranged = counted.withColumn("_upto", F.sum("_n").over(inside)).join(
+        offsets, (F.col("_pid") == F.col("_op")) & F.col("_g").eqNullSafe(F.col("_og"))
     )
-    ranks = ranked.join(F.broadcast(offsets), on=["_pid", group]).select(
-        group, "_v", (F.col("_offset") + F.col("_id") - F.col("_first")).alias("_rank")
+    first = F.col("_offset") + F.col("_upto") - F.col("_n")  # rank of the value's first row
+    after = F.col("_offset") + F.col("_upto")
+    position = (F.col("_total") - 1) * F.col("p")
+    asked = ranged.withColumns({"_first": first, "_after": after}).withColumn(
+        "p", F.explode(F.array(*[F.lit(float(q)) for q in probs]))
     )
-    pos = (F.col("_total") - 1) * F.col("p")
-    targets = (
-        offsets.select(group, "_total").distinct()
-        .withColumn("p", F.explode(F.array(*[F.lit(float(q)) for q in probs])))
-        .withColumns({"_lo": F.floor(pos), "_hi": F.ceil(pos), "_frac": pos - F.floor(pos)})
+    asked = asked.withColumns({"_lo": F.floor(position), "_hi": F.ceil(position), "_frac": position - F.floor(position)})
+    holds = lambda rank: (F.col("_first") <= F.col(rank)) & (F.col(rank) < F.col("_after"))
+    around = asked.where(holds("_lo") | holds("_hi"))
+    picked = around.groupBy("_g", "p").agg(
+        F.max(F.when(holds("_lo"), F.col("_v"))).alias("_vlo"),
+        F.max(F.when(holds("_hi"), F.col("_v"))).alias("_vhi"),
+        F.max("_frac").alias("_frac"),
     )
-    lo = ranks.select(group, F.col("_rank").alias("_lo"), F.col("_v").alias("_vlo"))
-    hi = ranks.select(group, F.col("_rank").alias("_hi"), F.col("_v").alias("_vhi"))
-    picked = targets.join(lo, on=[group, "_lo"]).join(hi, on=[group, "_hi"])
     return picked.select(
-        group, "p", (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias("quantile")
+        F.col("_g").alias(group), "p", (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias("quantile")
     )
 
 
@@ -374,19 +377,40 @@ def without_summary(model: PipelineModel) -> PipelineModel:
     A freshly fitted classifier keeps its training summary, which holds the
     session; the scoring closure would carry it into every task (and fails
     to serialize once the session has used observations). A loaded model
-    has no summary.
+    has no summary. ``drop_materialized`` removes the folder.
     """
-    import uuid
+    root = model_root(SparkSession.getActiveSession(), uuid.uuid4().hex)
+    save_version(model, root)
+    return load_latest(root)
 
-    from tillcast.session import checkpoint_dir
 
-    spark = SparkSession.getActiveSession()
-    path = f"{checkpoint_dir(spark).rstrip('/')}/models/{uuid.uuid4().hex}"
-    model.write().save(path)
-    return PipelineModel.load(path)
+def model_root(spark: SparkSession, name: str) -> str:
+    """A folder for saved versions under the checkpoint folder."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/models/{name}"
+    remember_written(spark, root)
+    return root
 
 
 def batch_score(model: PipelineModel, df: DataFrame, column: str, width: int, keys: Sequence[str]) -> DataFrame:
     """M8: float vectors in, one integer class per row out, keyed by ``keys``."""
     scored = model.transform(vector_input(df, column, width))
     return scored.select(*keys, F.col("prediction").cast("int").alias("prediction"))
+
+
+def score_latest(root: str, df: DataFrame, column: str, width: int, keys: Sequence[str]) -> DataFrame:
+    """M7, M8: load the latest saved version, then score with it."""
+    return batch_score(load_latest(root), df, column, width, keys)
+
+
+def linear_classes(df: DataFrame, column: str, weights: Sequence[Sequence[float]], keys: Sequence[str]) -> DataFrame:
+    """M8 with given weights: the class whose weights have the largest product
+    with the vector (the smallest class on ties); a null vector has none."""
+    x = F.col(column).cast("array<double>")
+    scores = F.array(
+        *[
+            F.aggregate(F.zip_with(x, F.array(*[F.lit(float(v)) for v in w]), lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
+            for w in weights
+        ]
+    )
+    best = F.array_position("_scores", F.array_max("_scores")) - 1
+    return df.withColumn("_scores", scores).select(*keys, best.cast("int").alias("prediction"))

@@ -31,7 +31,6 @@ def transaction_master(inp: RetailInputs, p: RunParams) -> DataFrame:
         inp.dept_map,
         p.override_rules,
         p.null_safe,
-        p.broadcast_max_rows,
     )
 
 
@@ -90,24 +89,48 @@ def ml_frame(tables: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def forecast_and_evaluate(series: DataFrame, cfg) -> tuple[DataFrame, DataFrame]:
-    """L4: T1 -> T3 -> (F4, W5) -> T4. Returns (forecasts, evaluation).
+def forecasts(series: DataFrame, cfg, horizon: int, coefficients: tuple[float, float] | None = None) -> DataFrame:
+    """T3 for one run configuration."""
+    from tillcast.operators import forecast
 
-    ``series`` is read twice (fit and score); pass a written table.
-    """
+    return forecast.arima_forecast(
+        series,
+        cfg.train_end,
+        horizon,
+        cfg.quant_col,
+        cfg.order,
+        cfg.start_mode,
+        cfg.keys,
+        cfg.date_col,
+        coefficients=coefficients,
+    )
+
+
+def evaluation(series: DataFrame, fc: DataFrame, cfg, horizon: int) -> DataFrame:
+    """Written forecasts against the test part. Series that were
+    not fitted (flat, failed) are left out, as a failed series is."""
     from pyspark.sql import functions as F
 
     from tillcast.operators import forecast
 
-    h = forecast.horizon_for(cfg.train_end)
-    fc = forecast.arima_forecast(
-        series, cfg.train_end, h, cfg.quant_col, cfg.order, cfg.start_mode, cfg.keys, cfg.date_col
+    cut = forecast.train_test_cut(series, cfg.train_end, horizon, cfg.keys, cfg.date_col, cfg.eval_mode)
+    test = cut.where(F.col("part") == "test")
+    return forecast.forecast_metrics(
+        test, forecast.scored_only(fc), cfg.quant_col, keys=cfg.keys, date_col=cfg.date_col
     )
-    test = forecast.train_test_cut(
-        series, cfg.train_end, h, cfg.keys, cfg.date_col, cfg.eval_mode
-    ).where(F.col("part") == "test")
-    ev = forecast.forecast_metrics(test, fc, cfg.quant_col, keys=cfg.keys, date_col=cfg.date_col)
-    return fc, ev
+
+
+def forecast_and_evaluate(
+    series: DataFrame, cfg, coefficients: tuple[float, float] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """L4: T1 -> T3 -> T4. Returns (forecasts, evaluation); the forecasts are
+    written, so a series is fitted once. ``series`` is read twice (fit and
+    score); pass a written table."""
+    from tillcast.operators import forecast
+
+    h = forecast.horizon_for(cfg.train_end)
+    fc = materialize(forecasts(series, cfg, h, coefficients), "forecasts")
+    return fc, evaluation(series, fc, cfg, h)
 
 
 def train_predict_report(
@@ -133,10 +156,7 @@ def train_predict_report(
     ml.require_target(frame, target)
     split = ml.hash_split(frame, keys, p.test_fraction, p.seed)
     enc = ml.fit_label_encoder(split.where(~F.col("is_test")), strings)
-    data = materialize(
-        ml.apply_label_encoder(split, enc, strings, broadcast_max_rows=p.broadcast_max_rows),
-        "ml-encoded",
-    )
+    data = materialize(ml.apply_label_encoder(split, enc, strings), "ml-encoded")
     features = [f"{c}_idx" for c in strings] + list(numbers)
     model = ml.train_gbt(data.where(~F.col("is_test")), features, target, algorithm, p.n_trees, p.seed)
     scored = model.transform(data).withColumn(

@@ -6,7 +6,15 @@ failed stage can be rerun from the previous output and the lineage of each
 stage starts at files. CSV copies are written where the original pipeline
 wrote CSV (daily top items, flagged, capped, forecasts).
 
-    python -m tillcast.plans.job --sf-dir /root/testdata/sf0.01 --out /shared/run1
+Inputs are database queries, or Parquet / CSV paths, and the two mapping CSVs:
+
+    python -m tillcast.plans.job --out /shared/run1 \\
+        --jdbc-url jdbc:... --jdbc-option user=... --jdbc-option password=... \\
+        --transactions 'select * from rd5000' --products 'select * from rd5500' \\
+        --departments 'select * from rd1800' \\
+        --item-map items.csv --dept-map departments.csv --since 2022-01-01 --branches A,B
+
+or the driver's test tables: ``--sf-dir /root/testdata/sf0.01``.
 """
 
 from __future__ import annotations
@@ -19,21 +27,21 @@ import logging
 from pyspark.sql import DataFrame, SparkSession
 
 from tillcast.config import FIXTURE, ForecastConfig, RunParams
-from tillcast.operators import daily, outliers
+from tillcast.operators import daily, forecast, outliers
 from tillcast.plans import compositions as L
-from tillcast.sources import files
+from tillcast.sources import files, jdbc
 from tillcast.sources.fixtures import RetailInputs, retail_inputs
 
 log = logging.getLogger(__name__)
 
 
 def _stage(spark: SparkSession, df: DataFrame, out_dir: str, name: str, csv: bool = False) -> DataFrame:
+    """Write a stage, counting its rows on the way (S7), and read it back."""
     path = f"{out_dir.rstrip('/')}/{name}"
-    files.write_parquet(df, path)
+    watched, seen = files.counted(df, name)
+    files.write_parquet(watched, path)
+    log.info("%s: %d rows -> %s", name, seen.get["rows"], path)
     back = spark.read.parquet(path)
-    log.info("%s: %d rows -> %s", name, back.count(), path)  # count from Parquet footers
-    if log.isEnabledFor(logging.INFO):  # S8: first rows of each stage, in a fixed order
-        log.info("[data: %s]\n%s", name, files.preview(back, back.columns[:3], 5))
     if csv:
         files.write_csv(back, f"{path}_csv")
     return back
@@ -67,9 +75,11 @@ def run_pipeline(
             "series",
         )
     cfg = ForecastConfig(order=p.arima_order, train_end=p.train_end)
-    fc, ev = L.forecast_and_evaluate(series, cfg)
-    forecasts = _stage(spark, fc, out_dir, "forecasts", csv=True)
-    evaluation = _stage(spark, ev, out_dir, "evaluation")
+    h = forecast.horizon_for(cfg.train_end)
+    forecasts = _stage(spark, L.forecasts(series, cfg, h), out_dir, "forecasts", csv=True)
+    evaluation = _stage(spark, L.evaluation(series, forecasts, cfg, h), out_dir, "evaluation")
+    if log.isEnabledFor(logging.INFO):  # S8: the last stage has one row a series
+        log.info("[data: evaluation]\n%s", files.preview(evaluation, evaluation.columns[:2], 5))
     return {
         "transaction_master": master,
         "daily": day,
@@ -81,26 +91,99 @@ def run_pipeline(
     }
 
 
-def main(argv: list[str] | None = None) -> None:
-    from tillcast.session import drop_materialized, get_session
-
+def read_inputs(
+    spark: SparkSession,
+    transactions: str,
+    products: str,
+    departments: str,
+    item_map: str,
+    dept_map: str,
+    since: dt.date | None = None,
+    branches: list[str] | None = None,
+    jdbc_url: str | None = None,
+    jdbc_options: dict[str, str] | None = None,
+) -> RetailInputs:
+    """The five inputs, the transactions restricted at their source.
+
+    With ``jdbc_url`` the first three are queries, else paths of Parquet
+    folders or CSV files. Credentials come from the caller's options.
+    """
+    if jdbc_url:
+        tables = list(jdbc.read_queries(spark, jdbc_url, [transactions, products, departments], jdbc_options).values())
+    else:
+        tables = [_read_path(spark, p) for p in (transactions, products, departments)]
+    if since is not None or branches:
+        tables[0] = jdbc.restrict_source(tables[0], since, branches)
+    maps = files.read_mappings(spark, dept_map, item_map)
+    return RetailInputs(*tables, maps["item"], maps["department"])
+
+
+def _read_path(spark: SparkSession, path: str) -> DataFrame:
+    return files.read_csv(spark, path) if path.rstrip("/").endswith(".csv") else spark.read.parquet(path)
+
+
+def arguments() -> argparse.ArgumentParser:
+    d = RunParams()
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    ap.add_argument("--sf-dir", required=True, help="folder with the driver's Parquet tables")
     ap.add_argument("--out", required=True, help="output folder (shared file system on a cluster)")
-    ap.add_argument("--train-end", default=FIXTURE.train_end.isoformat())
-    ap.add_argument("--order", default="1,1,1", help="ARIMA p,d,q")
+    ap.add_argument("--sf-dir", help="folder with the driver's Parquet tables, in place of the inputs below")
+    for name in ("transactions", "products", "departments"):
+        ap.add_argument(f"--{name}", help="Parquet folder or CSV path; with --jdbc-url a query")
+    ap.add_argument("--item-map", help="item mapping CSV")
+    ap.add_argument("--dept-map", help="department mapping CSV")
+    ap.add_argument("--jdbc-url")
+    ap.add_argument("--jdbc-option", action="append", default=[], metavar="KEY=VALUE")
+    ap.add_argument("--since", type=dt.date.fromisoformat, help="only transactions after this date")
+    ap.add_argument("--branches", help="only these branches, comma-separated")
+    ap.add_argument("--override-branch", help="branch of the department overrides")
+    ap.add_argument("--start-year", type=int, default=d.start_year)
+    ap.add_argument("--end-year", type=int, default=d.end_year)
+    ap.add_argument("--top-n", type=int, default=d.top_n)
+    ap.add_argument("--iqr-k", type=float, default=d.iqr_k)
+    ap.add_argument("--order", default=",".join(map(str, d.arima_order)), help="ARIMA p,d,q")
+    ap.add_argument("--train-end", type=dt.date.fromisoformat, default=d.train_end)
+    ap.add_argument("--forecast-years", action="store_true", help="forecast from the year range alone")
     ap.add_argument("--master", default=None, help="only for local runs")
+    return ap
+
+
+def main(argv: list[str] | None = None) -> None:
+    from tillcast.config import default_override_rules
+    from tillcast.session import drop_materialized, get_session
+
+    ap = arguments()
     args = ap.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
-    spark = get_session(args.master)
-    p = dataclasses.replace(
-        FIXTURE,
-        train_end=dt.date.fromisoformat(args.train_end),
+    p = RunParams(
+        start_year=args.start_year,
+        end_year=args.end_year,
+        top_n=args.top_n,
+        iqr_k=args.iqr_k,
         arima_order=tuple(int(x) for x in args.order.split(",")),
+        train_end=args.train_end,
     )
-    out = run_pipeline(spark, retail_inputs(spark, args.sf_dir), p, args.out)
+    if args.override_branch:
+        p = dataclasses.replace(p, override_rules=tuple(default_override_rules(args.override_branch)))
+    needed = ("transactions", "products", "departments", "item_map", "dept_map")
+    if not args.sf_dir and not all(getattr(args, n) for n in needed):
+        ap.error("give --sf-dir, or all of " + ", ".join("--" + n.replace("_", "-") for n in needed))
+    spark = get_session(args.master)
+    if args.sf_dir:
+        inp = retail_inputs(spark, args.sf_dir)
+        if not args.override_branch:
+            p = dataclasses.replace(p, override_rules=FIXTURE.override_rules)
+    else:
+        inp = read_inputs(
+            spark,
+            *[getattr(args, n) for n in needed],
+            since=args.since,
+            branches=args.branches.split(",") if args.branches else None,
+            jdbc_url=args.jdbc_url,
+            jdbc_options=dict(x.split("=", 1) for x in args.jdbc_option),
+        )
+    out = run_pipeline(spark, inp, p, args.out, args.forecast_years)
     print("Evaluation Summary (MAE, MAPE%):")
-    for row in files.evaluation_summary(out["evaluation"]).collect():
+    for row in files.evaluation_summary(out["evaluation"]).collect():  # one line a series
         print(row.line)
     drop_materialized(spark)  # outputs live in --out; intermediates are no longer read
 

@@ -8,18 +8,67 @@ Computed doubles are rounded to 6 places on both sides.
 
 from __future__ import annotations
 
-from tillcast.config import FIXTURE, PREFIX_TO_DEPARTMENT
+from tillcast.config import FIXTURE
 from tillcast.sources.fixtures import adapter_cte_sql
 
 P = FIXTURE
-OB = P.override_rules[0].branch  # override branch of the fixture
+OB = "B1"  # override branch of the fixture
 Y0, Y1 = P.start_year, P.end_year
 TRAIN_END = P.train_end.isoformat()
-from tillcast.functions.scalar import TIME_PATTERN as TIME_RE  # noqa: E402
+# Sign, days, hours, minutes, seconds, fraction of a duration text.
+TIME_RE = r"^\s*([-+]?)\s*([0-9]+\s+days?,?\s+)?([0-9]{1,6}):([0-9]{1,7}):([0-9]{1,9})(?:[.]([0-9]+))?\s*$"
+
+# Prefix and department, written out here a second time so that
+# a slip in the engine's table shows.
+PREFIXES = [
+    ("ADD", "ADD ONS"),
+    ("BAH", "BIGGS AT HOME"),
+    ("BDS", "BDS"),
+    ("BEEF", "SIZZLERS"),
+    ("BEF", "SIZZLERS"),
+    ("BEV", "BEVERAGES"),
+    ("BLK", "BULK ORDER"),
+    ("BRK", "BREAKFAST"),
+    ("BL", "BIGGS LOYALTY"),
+    ("BO", "BULK ORDER"),
+    ("BS", "BURGERS AND SANDWICHES"),
+    ("BULK", "BULK ORDER"),
+    ("CHM", "CHICKEN MEALS"),
+    ("CKS", "CAKES"),
+    ("CLM", "CLASSIC MEALS"),
+    ("DEL", "FOOD PANDA"),
+    ("EVENT", "EVENT"),
+    ("F", "FUNCTION"),
+    ("FND", "BURGERS AND SANDWICHES"),
+    ("FP", "FP COFFEE"),
+    ("GB", "GO BIGG"),
+    ("KEF", "KIDS EAT FREE"),
+    ("MI", "BIGGS MERCH ITEMS"),
+    ("MOM", "MOM KNOWS BEST"),
+    ("MP", "MARKETING PROMOS"),
+    ("NES", "NESPRESSO"),
+    ("PARTY", "PARTY PACKS"),
+    ("PI", "PREMIUM ITEMS"),
+    ("PP", "PARTY PACKS"),
+    ("PREM", "PREMIUM ITEMS"),
+    ("PST", "PASTA DISHES"),
+    ("REP", "REPRESENTATION"),
+    ("RND", "RND"),
+    ("RSD", "RSD PROMOS"),
+    ("SAL", "SALAD DRESSINGS"),
+    ("SHK", "SHAKES"),
+    ("SID", "TOPSIDERS"),
+    ("SIZ", "SIZZLERS"),
+    ("SLD", "SALAD DELIGHTS"),
+    ("SUP", "SOUP"),
+    ("TEST", "TEST MARKET"),
+    ("UP", "UPGRADES"),
+    ("XTR", "EXTRAS"),
+]
 
 
 def _prefix_values() -> str:
-    rows = ", ".join(f"('{k}', '{v}')" for k, v in PREFIX_TO_DEPARTMENT.items())
+    rows = ", ".join(f"('{k}', '{v}')" for k, v in PREFIXES)
     return f"select * from (values {rows}) as t(prefix, prefix_dept)"
 
 
@@ -143,6 +192,51 @@ pairs AS (
 """
 
 
+PHI, THETA = 0.4, -0.3  # given coefficients of the fixed forecast
+
+# The innovations recursion of ARMA(1,1) on the first differences w of each
+# training series, one step a day: e = w - x, x' = phi w + theta e / r,
+# r' = 1 + theta^2 - theta^2 / r.
+STEPS += f""",
+fit_rows AS (
+  select branch, ite_desc_std, date, quantity_cap as y,
+    row_number() over w - 1 as t, quantity_cap - lag(quantity_cap) over w as w,
+    count(*) over (partition by branch, ite_desc_std) as n
+  from fser where date <= date '{TRAIN_END}' and quantity_cap is not null
+  window w as (partition by branch, ite_desc_std order by date)
+),
+fit_kind AS (
+  select branch, ite_desc_std, max(n) as n, last(y order by t) as y_last,
+    case when max(n) - 1 >= 3 and max(w) <> min(w) then 'ok' else 'flat' end as status
+  from fit_rows group by all
+),
+state AS (
+  select branch, ite_desc_std, cast(0 as bigint) as t, cast(0.0 as double) as x,
+    cast((1 + 2 * {THETA} * {PHI} + {THETA} * {THETA}) / (1 - {PHI} * {PHI}) as double) as r
+  from fit_kind
+  union all
+  select s.branch, s.ite_desc_std, s.t + 1, {PHI}::double * f.w + {THETA}::double / s.r * (f.w - s.x),
+    1 + {THETA}::double * {THETA}::double - {THETA}::double * {THETA}::double / s.r
+  from state s join fit_rows f on f.branch = s.branch and f.ite_desc_std = s.ite_desc_std and f.t = s.t + 1
+),
+ahead AS (
+  select k.branch, k.ite_desc_std, k.status, k.y_last, s.x, cast(date '{TRAIN_END}' + cast(h.h as integer) as date) as date, h.h
+  from fit_kind k join state s on s.branch = k.branch and s.ite_desc_std = k.ite_desc_std and s.t = k.n - 1
+    cross join (select range as h from range(1, {H} + 1)) h
+),
+walk_pairs AS (
+  select t.branch, t.ite_desc_std, t.quantity_cap as y, a.y_last as f
+  from test_part t join ahead a using (branch, ite_desc_std, date)
+  where a.status = 'ok' and t.quantity_cap is not null
+),
+walk_scores AS (
+  select branch, ite_desc_std, round(avg(abs(y - f)), 2) as mae,
+    cast(cast(avg(abs(y - f) / greatest(abs(y), {EPS})) * 100.0 as float) as double) as mape, count(*) as n
+  from walk_pairs group by all
+)
+"""
+
+
 def _dict(c: str) -> str:
     return f"""dict_{c} AS (
   select v, cast(dense_rank() over (order by v) - 1 as integer) as code
@@ -169,7 +263,7 @@ report AS (
 
 
 def _with(select: str) -> str:
-    return f"WITH {adapter_cte_sql()},\n{STEPS.strip()}\n{select}"
+    return f"WITH RECURSIVE {adapter_cte_sql()},\n{STEPS.strip()}\n{select}"
 
 
 SELECTS: dict[str, str] = {
@@ -219,6 +313,25 @@ SELECTS: dict[str, str] = {
     "forecast_metrics": f"""select branch, ite_desc_std, round(avg(abs(y - f)), 6) as mae,
           cast(cast(avg(abs(y - f) / greatest(abs(y), {EPS})) * 100.0 as float) as double) as mape, count(*) as n
         from pairs group by all""",
+    "arima_fixed": f"""select branch, ite_desc_std, date, status,
+          round(case when status = 'ok' then y_last + x * (1 - power({PHI}::double, h)) / (1 - {PHI}::double) else y_last end, 2) as forecast
+        from ahead""",
+    "arima_random_walk": "select branch, ite_desc_std, date, round(y_last, 2) as forecast, status from ahead",
+    "arima_random_walk_evaluation": "select * from walk_scores",
+    "arima_random_walk_listing": """select cast(row_number() over (order by branch, ite_desc_std) as integer) as place,
+          branch, ite_desc_std, mae, n from walk_scores""",
+    "csv_mappings": """select 'item' as mapping, ite_desc as name, cat_flag from v_item_map
+        union all select 'department', dep_desc, cat_flag from v_dept_map""",
+    "csv_daily": "select * from daily_top",
+    "csv_inferred": "select * from top",
+    "daily_head": "select * from daily_top order by quantity desc, branch, ite_desc_std, date limit 5",
+    "prediction_counts": """select case when is_test then 'test' else 'train' end as dataset,
+          count(*) as n_rows, count(*) as n_predictions from ml_split group by all""",
+    "batch_score_fixed": """select vec_id, cast(first(c order by s desc, c) as integer) as prediction from (
+          select vec_id, c.c, sum(x * ((c.c * 7 + i * 3) % 11 - 5)) as s
+          from (select vec_id, unnest(range(len(embedding))) as i, unnest(embedding)::double as x from embeddings)
+            cross join (select range as c from range(0, 5)) c group by all)
+        group by vec_id""",
     "event_daily": """select event_type, cast(ts as date) as date, round(coalesce(sum(value), 0.0), 6) as value
         from events where event_type is not null and ts is not null group by all""",
     "hash_split": "select l_orderkey, l_linenumber, is_test from ml_split",
@@ -233,10 +346,10 @@ SELECTS: dict[str, str] = {
           round(avg(abs(y - f)), 6) as mae,
           cast(cast(avg(abs(y - f) / greatest(abs(y), 2.220446049250313e-16)) as float) as double) as mape,
           round(sqrt(avg((y - f) * (y - f))), 6) as rmse,
-          round(1.0 - sum((y - f) * (y - f)) / nullif(sum(y * y) - sum(y) * sum(y) / count(y), 0), 6) as r2,
+          round(1.0 - sum((y - f) * (y - f)) / nullif(sum((y - ybar) * (y - ybar)), 0), 6) as r2,
           round(quantile_cont(f - y, 0.05), 6) as p05, round(quantile_cont(f - y, 0.5), 6) as p50,
           round(quantile_cont(f - y, 0.95), 6) as p95
-        from report group by dataset""",
+        from (select *, avg(y) over (partition by dataset) as ybar from report) group by dataset""",
     "error_histogram": """select dataset, bin, count(*) as n,
           case when bin > 0 then cast(-50.0 + (bin - 1) * 5.0 as double) end as bin_lo,
           case when bin <= 20 then cast(-50.0 + bin * 5.0 as double) end as bin_hi

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillcast.config import FIXTURE, ForecastConfig
 from tillcast.operators import clean, daily, forecast, ml, outliers, quality
 from tillcast.plans import compositions as L
-from tillcast.session import materialize
+from tillcast.session import checkpoint_dir, materialize, remember_written
 from tillcast.sources import files, jdbc
 from tillcast.sources.fixtures import load_tables, retail_inputs
+from tillcast.sources.schemas import DEPT_MAP_COLUMNS, ITEM_MAP_COLUMNS
 
 P = FIXTURE
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,9 +58,7 @@ def q_item_dept_flags(spark, sf_dir):
 def q_transaction_product_join(spark, sf_dir):
     inp = _inputs(spark, sf_dir)
     pm = L.product_master(inp, P)
-    return clean.join_transactions(
-        clean.clean_transactions(inp.transactions), pm, P.null_safe, P.broadcast_max_rows
-    )
+    return clean.join_transactions(clean.clean_transactions(inp.transactions), pm, P.null_safe)
 
 
 def q_transaction_master(spark, sf_dir):
@@ -170,9 +172,8 @@ FORECAST = ForecastConfig(order=P.arima_order, train_end=P.train_end)
 
 def q_arima_forecast(spark, sf_dir):
     """One ARIMA per (branch, item) series, horizon to the end of next month."""
-    return forecast.arima_forecast(
-        _series(spark, sf_dir), FORECAST.train_end, _horizon(), FORECAST.quant_col, FORECAST.order
-    )
+    series = L.forecast_series(_inputs(spark, sf_dir), P, write=True)  # else AQE may merge the tasks it feeds
+    return L.forecasts(series, FORECAST, _horizon())
 
 
 def q_forecast_evaluation(spark, sf_dir):
@@ -186,6 +187,85 @@ def q_evaluation_summary(spark, sf_dir):
     return files.evaluation_summary(q_forecast_evaluation(spark, sf_dir))
 
 
+# Given coefficients: the recursion alone, which SQL can follow step by step.
+FIXED = (0.4, -0.3)
+RANDOM_WALK = ForecastConfig(order=(0, 1, 0), train_end=P.train_end)
+
+
+def _given(spark, sf_dir, config, coefficients=None):
+    series = L.forecast_series(_inputs(spark, sf_dir), P, write=True)
+    return L.forecast_and_evaluate(series, config, coefficients)
+
+
+def _two_decimals(fc):
+    return fc.select("branch", "ite_desc_std", "date", F.round("forecast", 2).alias("forecast"), "status")
+
+
+def q_arima_fixed(spark, sf_dir):
+    """ARIMA(1,1,1) with given phi and theta."""
+    return _two_decimals(_given(spark, sf_dir, FORECAST, FIXED)[0])
+
+
+def q_arima_random_walk(spark, sf_dir):
+    """T3 with order (0, 1, 0): the last value goes on."""
+    return _two_decimals(_given(spark, sf_dir, RANDOM_WALK)[0])
+
+
+def q_arima_random_walk_evaluation(spark, sf_dir):
+    """T4, L4: the random walk scored against the test part."""
+    ev = _given(spark, sf_dir, RANDOM_WALK)[1]
+    return ev.withColumns({"mae": F.round("mae", 2)})
+
+
+def q_arima_random_walk_listing(spark, sf_dir):
+    """The evaluation as ordered numbered rows, MAE to two decimals."""
+    ev = _given(spark, sf_dir, RANDOM_WALK)[1]
+    place = F.row_number().over(Window.orderBy("branch", "ite_desc_std")).alias("place")  # one row a series
+    return ev.select(place, "branch", "ite_desc_std", F.round("mae", 2).alias("mae"), "n")
+
+
+# ---------------------------------------------------------------- files
+def _folder(spark, name):
+    path = f"{checkpoint_dir(spark).rstrip('/')}/files/{name}-{uuid.uuid4().hex}"
+    remember_written(spark, path)
+    return path
+
+
+def q_csv_mappings(spark, sf_dir):
+    """Both mapping tables written as CSV and read back as mappings."""
+    inp = _inputs(spark, sf_dir)
+    items, depts = _folder(spark, "items"), _folder(spark, "departments")
+    for df, columns, path in ((inp.item_map, ITEM_MAP_COLUMNS, items), (inp.dept_map, DEPT_MAP_COLUMNS, depts)):
+        whole = [F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns]
+        files.write_csv(df.select(*whole), path)
+    back = files.read_mappings(spark, depts, items)
+    rows = back["item"].select(F.lit("item").alias("mapping"), F.col("ite_desc").alias("name"), "cat_flag")
+    return rows.unionByName(
+        back["department"].select(F.lit("department").alias("mapping"), F.col("dep_desc").alias("name"), "cat_flag")
+    )
+
+
+def q_csv_daily(spark, sf_dir):
+    """The daily series written as CSV and read back with typed dates."""
+    path = _folder(spark, "daily")
+    files.write_csv(q_daily_top_items(spark, sf_dir), path)
+    schema = T.StructType.fromDDL("branch string, ite_desc_std string, date date, quantity double")
+    return files.read_csv(spark, path, schema)
+
+
+def q_csv_inferred(spark, sf_dir):
+    """The chosen items written as CSV and read back with inferred types."""
+    path = _folder(spark, "top")
+    files.write_csv(q_top_items(spark, sf_dir), path)
+    return files.read_csv(spark, path).withColumn("quantity", F.col("quantity").cast("double"))
+
+
+def q_daily_head(spark, sf_dir):
+    """The first five rows by quantity, branch, item and date."""
+    day = q_daily_top_items(spark, sf_dir)
+    return day.orderBy(F.col("quantity").desc(), "branch", "ite_desc_std", "date").limit(5)
+
+
 # ---------------------------------------------------------------- gapless series (events)
 EVENT_KEYS = ["event_type"]
 EVENT_TRAIN_END = dt.date(2024, 1, 20)
@@ -220,7 +300,7 @@ def q_event_forecast_evaluation(spark, sf_dir):
     h = forecast.horizon_for(EVENT_TRAIN_END)
     fc = forecast.arima_forecast(series, EVENT_TRAIN_END, h, "value", P.arima_order, keys=EVENT_KEYS)
     test = forecast.train_test_cut(series, EVENT_TRAIN_END, h, keys=EVENT_KEYS).where(F.col("part") == "test")
-    return forecast.forecast_metrics(test, fc, "value", keys=EVENT_KEYS)
+    return forecast.forecast_metrics(test, forecast.scored_only(fc), "value", keys=EVENT_KEYS)
 
 
 # ---------------------------------------------------------------- L5: ML path
@@ -236,7 +316,7 @@ def q_hash_split(spark, sf_dir):
 def _encoded(spark, sf_dir):
     split = _ml_split(spark, sf_dir)
     enc = ml.fit_label_encoder(split.where(~F.col("is_test")), L.ML_STRINGS)
-    return ml.apply_label_encoder(split, enc, L.ML_STRINGS, broadcast_max_rows=P.broadcast_max_rows)
+    return ml.apply_label_encoder(split, enc, L.ML_STRINGS)
 
 
 def q_label_encode(spark, sf_dir):
@@ -247,16 +327,12 @@ def q_label_encode(spark, sf_dir):
 
 
 ML_FEATURES = [f"{c}_idx" for c in L.ML_STRINGS] + list(L.ML_NUMBERS)
-_MODELS: dict[str, dict] = {}
 
 
-def _trained(spark, sf_dir) -> dict:
-    """Run L5 once per input folder and session; the ML queries share it."""
-    key = f"{id(spark)}:{sf_dir}"
-    if key not in _MODELS:
-        frame = L.ml_frame(load_tables(spark, sf_dir, ("lineitem", "part")))
-        _MODELS[key] = L.train_predict_report(frame, L.ML_KEYS, L.ML_STRINGS, L.ML_NUMBERS, P)
-    return _MODELS[key]
+def _trained(spark, sf_dir, params=P) -> dict:
+    """L5 over one input folder."""
+    frame = L.ml_frame(load_tables(spark, sf_dir, ("lineitem", "part")))
+    return L.train_predict_report(frame, L.ML_KEYS, L.ML_STRINGS, L.ML_NUMBERS, params)
 
 
 def q_gbt_predict(spark, sf_dir):
@@ -277,6 +353,21 @@ def q_feature_importance(spark, sf_dir):
     return ml.feature_importance(t["model"], t["features"]).join(perm, on="feature", how="left")
 
 
+FEW_TREES = dataclasses.replace(P, n_trees=5)
+
+
+def q_prediction_counts(spark, sf_dir):
+    """M2-M4: rows and predictions of each part, for a model of few trees."""
+    scored = _trained(spark, sf_dir, FEW_TREES)["scored"]
+    return scored.groupBy("dataset").agg(F.count(F.lit(1)).alias("n_rows"), F.count("prediction").alias("n_predictions"))
+
+
+def q_prediction_report(spark, sf_dir):
+    """The quality report on the model's own predictions."""
+    scored = _trained(spark, sf_dir, FEW_TREES)["scored"]
+    return ml.regression_report(scored, "target", "prediction")
+
+
 def _report_frame(spark, sf_dir):
     capped = L.capped_daily(_inputs(spark, sf_dir), P, years=False)
     return capped.withColumn(
@@ -295,13 +386,24 @@ def q_error_histogram(spark, sf_dir):
 
 
 def q_batch_score(spark, sf_dir):
-    """M8: classifier fitted on the training part of the embeddings, every
-    row scored to an integer class."""
+    """M7, M8: classifier fitted on the training part of the embeddings and
+    saved; the latest version is loaded and scores every row."""
     emb = load_tables(spark, sf_dir, ("embeddings",))["embeddings"]
     width = len(emb.select("embedding").first()[0])
     split = ml.hash_split(emb, ["vec_id"], P.test_fraction, P.seed)
-    model = ml.train_classifier(split.where(~F.col("is_test")), "embedding", width)
-    return ml.batch_score(model, emb, "embedding", width, ["vec_id"])
+    root = ml.model_root(spark, uuid.uuid4().hex)
+    ml.save_version(ml.train_classifier(split.where(~F.col("is_test")), "embedding", width), root)
+    return ml.score_latest(root, emb, "embedding", width, ["vec_id"])
+
+
+def fixed_weights(classes: int = 5, width: int = 64) -> list[list[float]]:
+    return [[float((c * 7 + i * 3) % 11 - 5) for i in range(width)] for c in range(classes)]
+
+
+def q_batch_score_fixed(spark, sf_dir):
+    """M8 with given weights, which SQL can follow."""
+    emb = load_tables(spark, sf_dir, ("embeddings",))["embeddings"]
+    return ml.linear_classes(emb, "embedding", fixed_weights(), ["vec_id"])
 
 
 # ---------------------------------------------------------------- quality
@@ -351,6 +453,14 @@ QUERIES: dict[str, Query] = {
     "arima_forecast": q_arima_forecast,
     "forecast_evaluation": q_forecast_evaluation,
     "evaluation_summary": q_evaluation_summary,
+    "arima_fixed": q_arima_fixed,
+    "arima_random_walk": q_arima_random_walk,
+    "arima_random_walk_evaluation": q_arima_random_walk_evaluation,
+    "arima_random_walk_listing": q_arima_random_walk_listing,
+    "csv_mappings": q_csv_mappings,
+    "csv_daily": q_csv_daily,
+    "csv_inferred": q_csv_inferred,
+    "daily_head": q_daily_head,
     "event_daily": q_event_daily,
     "event_forecast": q_event_forecast,
     "event_forecast_evaluation": q_event_forecast_evaluation,
@@ -359,9 +469,12 @@ QUERIES: dict[str, Query] = {
     "gbt_predict": q_gbt_predict,
     "model_scores": q_model_scores,
     "feature_importance": q_feature_importance,
+    "prediction_counts": q_prediction_counts,
+    "prediction_report": q_prediction_report,
     "regression_report": q_regression_report,
     "error_histogram": q_error_histogram,
     "batch_score": q_batch_score,
+    "batch_score_fixed": q_batch_score_fixed,
     "dup_keys": q_dup_keys,
     "dept_key_repeats": q_dept_key_repeats,
     "unmatched_depts": q_unmatched_depts,

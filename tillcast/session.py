@@ -137,13 +137,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     root = checkpoint_dir(spark).rstrip("/")
     path = f"{root}/tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    remember_written(spark, path)
     return spark.read.parquet(path)
 
 
 _WRITTEN: dict[str, list[str]] = {}
 
 
+def remember_written(spark: SparkSession, path: str) -> None:
+    """Have ``drop_materialized`` delete a folder that this application wrote."""
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+
+
 def drop_materialized(spark: SparkSession, name: str | None = None) -> int:
     """Delete the tables this application wrote with ``materialize`` (only
     those called ``name`` when given).
@@ -162,9 +167,3 @@ def drop_materialized(spark: SparkSession, name: str | None = None) -> int:
         hp = jvm.org.apache.hadoop.fs.Path(p)
         hp.getFileSystem(sc._jsc.hadoopConfiguration()).delete(hp, True)
     return len(paths)
-
-
-def local_scratch(prefix: str = "tillcast-") -> str:
-    """A fresh scratch folder for tests and local tools (never used on a cluster)."""
-    base = os.environ.get("TILLCAST_SCRATCH", tempfile.gettempdir())
-    return tempfile.mkdtemp(prefix=prefix, dir=base)

@@ -5,7 +5,7 @@ The SQL text is written once. Spark runs it with DataFrame parameters
 oracle runs the same text, braces removed, as CTEs over its own views.
 Rows planted on purpose: null ``type``, hours 24/25, unparsable dates and
 times, null quantities, null department codes on both sides, duplicates by
-``pos``, unmatched products and items, the unknown prefix ``ZZZ``.
+``pos``, items with a second description (``(alt)``), unmatched products and items, the unknown prefix ``ZZZ``.
 """
 
 from __future__ import annotations
@@ -61,7 +61,7 @@ from {{lineitem}} l join {{supplier}} s on s.s_suppkey = l.l_suppkey
     "v_rd5500": f"""
 select p.p_partkey * 100 + r.r_regionkey * 10 + x.pos as data_id,
   concat({_PREFIX_CASE}, cast(p.p_partkey as string)) as incode,
-  p.p_name as ite_desc,
+  case when p.p_partkey % 97 = 0 and x.pos = 1 then concat(p.p_name, ' (alt)') else p.p_name end as ite_desc,
   case when p.p_partkey % 211 = 0 then null else cast(p.p_size + 5 as int) end as dep_code,
   p.p_retailprice + x.pos as unit_prc,
   concat('B', cast(r.r_regionkey as string)) as branch,
@@ -105,38 +105,9 @@ def adapter_cte_sql() -> str:
     return ",\n".join(parts)
 
 
-# Inputs at least this large are spread over the cores when they arrive as
-# fewer splits than there are cores (e.g. one file with one row group).
-SPREAD_MIN_BYTES = 4 << 20
-
-
-def _path_bytes(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.getContentSummary(p).getLength()
-
-
-def spread(df: DataFrame, size_bytes: int, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
-    """Round-robin a large input that the scan would read in too few tasks.
-
-    A Parquet file with a single row group is one split, so everything up
-    to the first shuffle would run in one task. Many-file inputs on a
-    cluster already have enough splits and are returned untouched.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if size_bytes < min_bytes or df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
-
-
 def load_tables(spark: SparkSession, sf_dir: str, names=BASE_TABLES) -> dict[str, DataFrame]:
     """Read the driver's Parquet tables lazily (no rows are read here)."""
-    out = {}
-    for n in names:
-        path = f"{sf_dir.rstrip('/')}/{n}.parquet"
-        out[n] = spread(spark.read.parquet(path), _path_bytes(spark, path))
-    return out
+    return {n: spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet") for n in names}
 
 
 def adapter_view(spark: SparkSession, name: str, tables: dict[str, DataFrame]) -> DataFrame:

@@ -83,13 +83,19 @@ def read_partitioned(
 
 
 def restrict_source(
-    df: DataFrame, since: dt.date, branches: Sequence[str], date_col: str = "date"
+    df: DataFrame, since: dt.date | None, branches: Sequence[str] | None, date_col: str = "date"
 ) -> DataFrame:
     """``date > since`` (strict) and ``branch IN (...)``.
 
-    Written on plain columns so the JDBC / Parquet source receives both
-    predicates; the date text is compared as a date, bad text is dropped.
+    Both predicates reach the JDBC / Parquet source. A date column is compared
+    as it is. ISO text sorts like its dates, so text is first compared as text
+    (``>=``, pushed down), and then what comes through as a date, which drops
+    text that is no date. Either restriction may be left out (None).
     """
     d = F.col(date_col)
-    as_date = d if dict(df.dtypes)[date_col] == "date" else d.try_cast("date")
-    return df.where((as_date > F.lit(since)) & F.col("branch").isin(list(branches)))
+    kept = df.where(F.col("branch").isin(list(branches))) if branches else df
+    if since is None:
+        return kept
+    if dict(df.dtypes)[date_col] == "date":
+        return kept.where(d > F.lit(since))
+    return kept.where((d >= F.lit(since.isoformat())) & (d.try_cast("date") > F.lit(since)))
