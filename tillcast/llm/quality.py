@@ -40,6 +40,7 @@ MIN_GROUP = 200
 # chi-square with six degrees of freedom.
 CUTOFF = 24.1
 BINS_PER_DOUBLING = 8
+FINE = 64  # bins a unit for medians
 
 
 def text_statistics(texts: pd.Series) -> pd.DataFrame:
@@ -123,7 +124,7 @@ def statistic_vector() -> dict[str, Column]:
         "x_symbols": F.log1p(F.col("n_symbols") / words),
         "x_dup_lines": F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)),
         "x_repeats": F.col("n_repeat_words") / words,
-        "x_upper": F.least(F.col("n_upper") / F.col("n_letters").cast("double"), F.lit(1.0)),
+        "x_upper": F.least(F.col("n_upper") / F.greatest(F.col("n_letters"), F.lit(1)), F.lit(1.0)),
     }
 
 
@@ -167,12 +168,39 @@ def _with_distance(vectors: DataFrame, state: DataFrame) -> DataFrame:
     return joined.withColumn("distance2", total).drop("state_group", *_STATE)
 
 
+def _medians(values: DataFrame) -> DataFrame:
+    """Median of ``value`` per ``group`` and ``feature``, to the width of a bin."""
+    counted = values.groupBy("group", "feature", F.floor(F.col("value") * FINE).alias("bin")).agg(F.count("*").alias("n"))
+    by_bin = Window.partitionBy("group", "feature").orderBy("bin")
+    upto = counted.withColumn("upto", F.sum("n").over(by_bin)).withColumn(
+        "all", F.sum("n").over(Window.partitionBy("group", "feature"))
+    )
+    half = upto.where(F.col("upto") * 2 >= F.col("all"))
+    return half.groupBy("group", "feature").agg(((F.min("bin") + 0.5) / FINE).alias("median"))
+
+
+def _robust_start(vectors: DataFrame) -> DataFrame:
+    """First estimates: medians and median absolute deviations, features apart."""
+    each = vectors.select(
+        "group", F.posexplode(F.array(*[F.col(f) for f in FEATURES])).alias("feature", "value")
+    )
+    middle = stored(_medians(each), "quality_medians")
+    near = middle.select(F.col("group").alias("g"), F.col("feature").alias("f"), "median")
+    gaps = each.join(near, (F.col("group") == F.col("g")) & (F.col("feature") == F.col("f")))
+    spread = _medians(gaps.select("group", "feature", F.abs(F.col("value") - F.col("median")).alias("value")))
+    both = middle.join(spread.withColumnRenamed("median", "mad"), ["group", "feature"])
+    pick = lambda c, i: F.max(F.when(F.col("feature") == i, F.col(c)))
+    columns = [pick("median", i).alias(f"c_{i}") for i in range(_D)]
+    for i, j in _PAIRS:
+        inverse = 1 / (F.pow(pick("mad", i) * 1.4826, 2) + FLOORS[i] ** 2) if i == j else F.lit(0.0)
+        columns.append(inverse.alias(f"v_{i}_{j}"))
+    return stored(both.groupBy("group").agg(*columns), "quality_state")
+
+
 def robust_estimates(vectors: DataFrame, subset: float = SUBSET, steps: int = STEPS) -> DataFrame:
     """MCD location and inverse scatter per ``group`` of the feature columns."""
     schema = "group string, " + ", ".join(f"{s} double" for s in _STATE)
-    state = stored(
-        vectors.groupBy("group").agg(*_moments()).mapInPandas(_estimates, schema), "quality_state"
-    )
+    state = _robust_start(vectors)
     up_to = Window.partitionBy("group").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("group")
     for _ in range(steps):

@@ -91,7 +91,7 @@ WITH sized AS (
     / sum(weight) OVER (ORDER BY ratio, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
   FROM ranked
 ), final AS (
-  SELECT *, min(CASE WHEN level <= ratio THEN level END) OVER () AS lvl FROM leveled
+  SELECT *, max(CASE WHEN level <= ratio THEN level END) OVER () AS lvl FROM leveled
 ), targets AS (
   SELECT source, source_size, (CASE WHEN lvl IS NULL THEN cap ELSE least(cap, lvl * weight) END)::DOUBLE AS target FROM final
 ), placed AS (
