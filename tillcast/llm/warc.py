@@ -251,7 +251,9 @@ def read_records(index: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     headers. ``body_ok`` says that body and headers agree.
     """
     dealt = index.select("archive", "offset", "length", F.floor(F.col("offset") / range_bytes).alias("range"))
-    dealt = dealt.repartition("archive", "range").sortWithinPartitions("archive", "offset")
+    # By the bytes to fetch: the index itself is so small that AQE would make it one task.
+    tasks = max(1, -(-(index.agg(F.sum("length")).first()[0] or 0) // range_bytes))
+    dealt = dealt.repartition(int(tasks), "archive", "range").sortWithinPartitions("archive", "offset")
 
     def fetch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         opened, file = None, None
