@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,15 +42,6 @@ def keep_row(df: DataFrame, name: str = "row") -> DataFrame:
     return df.select(F.struct(*[df[f"`{c}`"] for c in df.columns]).alias(name))
 
 
-def text_of(row: str = "row", column: str = "text") -> Column:
-    """The text inside a packed row, empty for null."""
-    return F.coalesce(F.col(f"{row}.{column}"), F.lit(""))
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage, survives lost executors."""
     return materialize(df, f"llm_{name}")
-
-
-def sql_array(values: Sequence[float]) -> Column:
-    return F.array(*[F.lit(float(v)) for v in values])
