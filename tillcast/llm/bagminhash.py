@@ -13,12 +13,13 @@ are expected to be full, so nearly all shingles cost one hash.
 
 Equal texts are one class from the start. Registers are grouped in bands;
 texts that agree in a band are candidates, and candidates are verified on their
-exact multisets. In each bucket all members are compared with a few random
-centres, then with more in the next round, until every bucket lies within one
-class: a centre's comparisons are complete once made, so no candidate pair of
-different classes is left out, yet a bucket of thousands of near copies costs
-about one comparison each. Classes are the connected parts of the graph of
-verified links.
+exact multisets. In each bucket all members are compared with one centre, the
+text in the largest company, then with more in the next rounds, until every
+bucket lies within one class: a centre's comparisons are complete once made.
+A pair is spared only if an exact bound says that it is too far: two texts have
+in common at most what each of them shares with any open text. So no link is
+left out, yet a bucket of thousands of near copies costs about one comparison
+each. Classes are the connected parts of the graph of verified links.
 """
 
 from __future__ import annotations
@@ -58,14 +59,32 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return ((x >> np.uint64(11)).astype(np.float64) + 1.0) * (1.0 / (1 << 53))
 
 
+_BLANK = np.zeros(256, dtype=bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
+_BYTE = _mixed(np.arange(1, 257, dtype=np.uint64) * _GOLDEN)
+_POWER = np.cumprod(np.full(4096, 0x9E3779B97F4A7C15, dtype=np.uint64), dtype=np.uint64)
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    """A 64-bit hash of each word: its bytes' values times powers of an odd number, summed and mixed."""
+    raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), dtype=np.uint8)
+    at = np.flatnonzero(~_BLANK[raw])
+    if not len(at):
+        return np.empty(0, dtype=np.uint64)
+    starts = np.flatnonzero(np.concatenate(([True], np.diff(at) > 1)))
+    lengths = np.diff(np.concatenate((starts, [len(at)])))
+    place = np.arange(len(at)) - np.repeat(starts, lengths)
+    sums = np.add.reduceat(_BYTE[raw[at]] * _POWER[place & 4095] + (place >> 12).astype(np.uint64), starts)
+    return _mixed(sums + lengths.astype(np.uint64) * _GOLDEN)
+
+
 def shingle_hashes(text: str | None, size: int = SHINGLE) -> np.ndarray:
     """A 64-bit hash of each shingle in order; a text with fewer words is one shingle."""
-    words = (text or "").encode("utf-8", "surrogatepass").split()
-    if not words:
-        return np.empty(0, dtype=np.uint64)
-    h = pd.util.hash_array(np.array(words, dtype=object), categorize=False)
+    h = word_hashes(text)
+    if not len(h):
+        return h
     n = max(1, len(h) - size + 1)
-    out = np.full(n, np.uint64(len(words) if len(words) < size else size))
+    out = np.full(n, np.uint64(min(len(h), size)))
     for k in range(min(size, len(h))):
         out = _mixed(out * _GOLDEN + h[k : k + n])
     return out
@@ -285,41 +304,79 @@ def _linked_texts(texts_by_id: DataFrame, similarity: float, bands: int, rows: i
     multisets = stored(multisets, "near_multisets")
 
     links: DataFrame | None = None
-    labels: DataFrame | None = None
-    open_buckets = buckets.withColumn("label", F.col("uid"))
+    degree = buckets.groupBy(F.col("uid").alias("of")).agg(F.sum("members").cast("double").alias("weight"))
+    unknown = F.lit(None).cast("long")
+    open_buckets = buckets.join(degree, F.col("uid") == F.col("of")).select(
+        "band", "key", "uid", "members", "weight", F.col("uid").alias("label"), unknown.alias("size"), unknown.alias("common")
+    )
     centres_wanted, number = 1.0, 0
     while True:
-        # A few members of each bucket by a hash of this round, the first always.
-        rank = F.xxhash64("uid", "band", F.lit(number))
-        drawn = rank.bitwiseAND(F.lit((1 << 30) - 1)) / F.lit(float(1 << 30))
-        first = open_buckets.groupBy("band", "key").agg(F.min(F.struct(rank.alias("r"), F.col("uid").alias("u"))).alias("f"))
+        # The member of most weight of each bucket, and a few others by a hash of this round.
+        drawn = F.xxhash64("uid", "band", F.lit(number)).bitwiseAND(F.lit((1 << 30) - 1)) / F.lit(float(1 << 30))
+        first = open_buckets.groupBy("band", "key").agg(F.max(F.struct(F.col("weight"), F.col("uid").alias("u"))).alias("f"))
         first = first.select(F.col("band").alias("fb"), F.col("key").alias("fk"), F.col("f.u").alias("first"))
         ranked = open_buckets.join(first, (F.col("band") == F.col("fb")) & (F.col("key") == F.col("fk")))
         centre = (F.col("uid") == F.col("first")) | (drawn < (centres_wanted - 1) / F.col("members"))
-        ranked = stored(ranked.select("band", "key", "uid", "label", "members", centre.alias("centre")), "near_round")
+        ranked = stored(ranked.select(*open_buckets.columns, centre.alias("centre")), "near_round")
         centres = ranked.where("centre").select(
-            F.col("band").alias("cb"), F.col("key").alias("ck"), F.col("uid").alias("c"), F.col("label").alias("cl")
-        )
-        pairs = ranked.join(centres, (F.col("band") == F.col("cb")) & (F.col("key") == F.col("ck")))
-        pairs = pairs.where(F.col("label") != F.col("cl")).select(
-            F.least("uid", "c").alias("a"), F.greatest("uid", "c").alias("b")
+            F.col("band").alias("cb"), F.col("key").alias("ck"), F.col("uid").alias("c"), F.col("label").alias("cl"),
+            F.col("size").alias("cs"), F.col("common").alias("cc"),
         )
+        # What two texts have in common is at most what each has in common with any other.
+        most = F.least("common", "cc")
+        possible = F.coalesce(most >= F.lit(similarity) * (F.col("size") + F.col("cs") - most) - F.lit(1e-6), F.lit(True))
+        pairs = ranked.join(
+            centres,
+            (F.col("band") == F.col("cb")) & (F.col("key") == F.col("ck")) & (F.col("label") != F.col("cl")) & possible,
+        ).select(F.least("uid", "c").alias("a"), F.greatest("uid", "c").alias("b"))
         pairs = stored(pairs.distinct(), "near_pairs")
         fresh = stored(_verified(pairs, multisets, similarity), "near_verified")
         links = fresh if links is None else links.union(fresh)
         labels = connected(links)
-        rest = ranked.where(~F.col("centre")).select("band", "key", "uid", "members")
+        rest = ranked.where(~F.col("centre")).drop("centre", "label")
         rest = rest.join(labels.withColumnRenamed("id", "lid"), F.col("uid") == F.col("lid"), "left")
-        rest = rest.select("band", "key", "uid", "members", F.coalesce("label", "uid").alias("label"))
-        rest = stored(rest, "near_rest")
-        apart = rest.groupBy("band", "key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-        apart = apart.where(F.col("lo") != F.col("hi")).select("band", "key")
-        open_buckets = stored(rest.join(apart, ["band", "key"]), "near_open")
+        rest = rest.withColumn("label", F.coalesce("label", "uid")).drop("lid")
+        open_buckets = stored(_unsettled(rest), "near_open")
+        if number == 0:
+            open_buckets = _measured(open_buckets, multisets)
+        open_buckets = stored(_unsettled(_viable(open_buckets, similarity)), "near_open")
         number += 1
         centres_wanted *= 4
         if open_buckets.limit(1).count() == 0:
-            break
-    return links, labels
+            return links, labels
+
+
+def _unsettled(members: DataFrame) -> DataFrame:
+    """The buckets that still hold texts of more than one class."""
+    apart = members.groupBy("band", "key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+    return members.join(apart.where(F.col("lo") != F.col("hi")).select("band", "key"), ["band", "key"])
+
+
+def _measured(members: DataFrame, multisets: DataFrame) -> DataFrame:
+    """Adds each text's ``size`` and how much of it is ``common``: found in any other
+    text that is still open. Texts made up of common parts make the best centres."""
+    open_texts = members.select(F.col("uid").alias("open_uid")).distinct()
+    items = multisets.join(open_texts, F.col("uid") == F.col("open_uid"), "left_semi")
+    each = items.select("uid", F.explode("items").alias("item"))
+    met = each.groupBy(F.col("item").alias("met")).agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    common = each.join(met, F.col("item") == F.col("met")).groupBy(F.col("uid").alias("cu")).agg(F.count("*").alias("found"))
+    sizes = items.select(F.col("uid").alias("su"), F.size("items").cast("long").alias("n_items"))
+    known = sizes.join(common, F.col("su") == F.col("cu"), "left").select(
+        "su", "n_items", F.coalesce("found", F.lit(0)).alias("found")
+    )
+    joined = members.drop("size", "common", "weight").join(known, F.col("uid") == F.col("su"))
+    joined = joined.withColumnsRenamed({"n_items": "size", "found": "common"}).drop("su")
+    return joined.withColumn("weight", F.col("common") / F.col("size")).select(*members.columns)
+
+
+def _viable(members: DataFrame, similarity: float) -> DataFrame:
+    """Without the texts that cannot be near any other of their bucket: even a partner
+    of the smallest size there that holds all the common part would be too far."""
+    least = members.groupBy(F.col("band").alias("lb"), F.col("key").alias("lk")).agg(F.min("size").alias("least"))
+    joined = members.join(least, (F.col("band") == F.col("lb")) & (F.col("key") == F.col("lk")))
+    partner = F.greatest(F.col("least"), F.col("size") * F.lit(similarity))
+    far = F.col("common") < F.lit(similarity) * (F.col("size") + partner - F.col("common")) - F.lit(1e-6)
+    return joined.where(~far).select(*members.columns)
 
 
 def _verified(pairs: DataFrame, multisets: DataFrame, similarity: float) -> DataFrame:
@@ -328,7 +385,7 @@ def _verified(pairs: DataFrame, multisets: DataFrame, similarity: float) -> Data
     two = multisets.select(F.col("uid").alias("ub"), F.col("items").alias("xb"))
     held = pairs.join(one, F.col("a") == F.col("ua")).join(two, F.col("b") == F.col("ub"))
     small, large = F.least(F.size("xa"), F.size("xb")), F.greatest(F.size("xa"), F.size("xb"))
-    held = held.where(small >= large * F.lit(similarity))
+    held = held.where(small >= large * F.lit(similarity) - F.lit(1e-6))
     common = F.size(F.array_intersect("xa", "xb"))
     jaccard = common / (F.size("xa") + F.size("xb") - common)
     return held.select("a", "b", jaccard.alias("similarity")).where(F.col("similarity") >= similarity)
