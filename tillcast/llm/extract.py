@@ -281,13 +281,20 @@ def extract_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float
     prepare(pages.sparkSession)
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
     parse = F.pandas_udf(_parse, _PARSED)
-    parsed = stored(pages.select("page_id", "url", host.alias("host"), parse("html").alias("p")), "extract_parsed")
-    seen = parsed.select("host", "p.main", F.explode("p.marks").alias("mark")).distinct()
+    # Pages are parsed twice, once for the marks and once for the texts: the
+    # texts are as large as the pages, and are not written in between.
+    parsed = pages.select("page_id", "url", host.alias("host"), parse("html").alias("p"))
+    marks = stored(parsed.select("host", "p.main", "p.marks"), "extract_marks")
+    seen = marks.select("host", "main", F.explode("marks").alias("mark")).distinct()
     counts = seen.groupBy("host", "mark").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
-    sizes = parsed.select("host", "p.main").distinct().groupBy("host").agg(F.count("*").alias("pages"))
+    sizes = marks.select("host", "main").distinct().groupBy("host").agg(F.count("*").alias("pages"))
     recurring = counts.join(sizes, "host").where(F.col("n") >= F.col("pages") * min_share)
     lists = recurring.groupBy(F.col("host").alias("at_host")).agg(F.collect_set("mark").alias("template"))
-    joined = parsed.join(lists, parsed["host"] == lists["at_host"], "left")
+    # Pages without a marked block need no list; a key of their own spreads them.
+    marked = F.exists("p.blocks", lambda b: F.size(b["marks"]) > 0)
+    own = F.concat(F.lit("\n"), F.xxhash64("page_id", "p.main").cast("string"))
+    keyed = parsed.withColumn("key", F.when(marked, F.col("host")).otherwise(own))
+    joined = keyed.join(lists, keyed["key"] == lists["at_host"], "left")
     none = F.array().cast("array<bigint>")
     kept = F.filter("p.blocks", lambda b: ~F.arrays_overlap(b["marks"], F.coalesce("template", none)))
     text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n\n")
