@@ -55,3 +55,29 @@ def test_estimates_follow_a_plain_concentration(spark):
     state = quality.robust_estimates(df, steps=4).first()
     centre = np.array([state[f"c_{i}"] for i in range(d)])
     assert np.abs(centre).max() < 0.35  # the cluster far away has no say
+
+
+def test_the_scatter_of_the_texts_sets_the_scale(spark):
+    rng = np.random.default_rng(5)
+    d = len(quality.FEATURES)
+    spread = np.array([0.5, 0.02, 0.01, 0.02, 0.02, 0.003])
+    rows = [("g", *map(float, v)) for v in rng.normal(size=(4000, d)) * spread]
+    df = spark.createDataFrame(rows, "group string, " + ", ".join(f"{f} double" for f in quality.FEATURES))
+    state = quality.robust_estimates(df).first()
+    found = np.array([state[f"v_{i}_{i}"] for i in range(d)]) ** -0.5
+    assert np.abs(found / spread - 1).max() < 0.1  # fixed floors gave 0.08 for 0.02, 0.06 for 0.003
+
+
+def test_a_small_gap_is_an_outlier_among_texts_that_are_alike(spark):
+    clean = [(i, words(300 + i % 90, i), "en", "a") for i in range(400)]
+    odd = [(5000 + i, " ".join(w + "xy"[: 1 + k % 2] for k, w in enumerate(words(300 + i, 8000 + i).split())), "en", "a") for i in range(10)]
+    rows = {r.doc_id: r for r in quality.judge(awkward_documents(spark, clean + odd)).collect()}
+    assert not any(rows[5000 + i].kept for i in range(10))
+    assert sum(rows[i].kept for i in range(13, 400)) >= 380
+
+
+def test_labelled_texts_of_the_test_table(spark, sf_small):
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+    good = spark.read.parquet(f"{sf_small}/labels.parquet").where("quality = 1").select("doc_id").distinct()
+    rows = quality.judge(docs).where("not base_failed").join(good, "doc_id").collect()
+    assert sum(r.kept for r in rows) >= 0.99 * len(rows)

@@ -3,7 +3,11 @@
 Base rules reject short and self-repeating texts. Of the others, each text's
 statistics are turned into a vector (logs and shares), and a minimum-covariance-
 determinant (MCD) estimate of location and scatter is found for each language
-and source; texts at a large Mahalanobis distance go.
+and source; texts at a large Mahalanobis distance go. The scatter of the subset,
+times its consistency factor, sets the scale; a small share of the variance over
+all rows keeps it regular where most of a group's texts are at one value. A share
+of a short text rests on few lines or words, so its sampling variance widens the
+scale of that text's own gap.
 
 The MCD runs on the cluster: a concentration step gives every vector its
 distance under the current estimates, counts vectors and sums their moments
@@ -15,6 +19,7 @@ is ever gathered in a task.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,10 +34,10 @@ MAX_REPEAT_PERCENT = 50
 SYMBOLS = "#*$%&|<>"
 
 FEATURES = ("x_words", "x_word_length", "x_symbols", "x_dup_lines", "x_repeats", "x_upper")
-# Smallest standard deviation of each feature in an estimate: what a text may
-# differ by even where a group's texts are all alike (log words, log length of
-# a word, log symbols a word, and the shares of lines, words and letters).
-FLOORS = (1.0, 0.08, 0.06, 0.20, 0.12, 0.06)
+# Share of each feature's variance over all rows that is added to a group's
+# scatter, and the least that is added.
+RIDGE = 0.01
+LEAST_RIDGE = 1e-6
 SUBSET = 0.75
 STEPS = 3
 MIN_GROUP = 200
@@ -40,7 +45,7 @@ MIN_GROUP = 200
 # chi-square with six degrees of freedom.
 CUTOFF = 24.1
 BINS_PER_DOUBLING = 8
-FINE = 64  # bins a unit for medians
+FINE = 512  # bins a unit for medians
 
 
 def text_statistics(texts: pd.Series) -> pd.DataFrame:
@@ -128,10 +133,29 @@ def statistic_vector() -> dict[str, Column]:
     }
 
 
+def sampling_variance() -> dict[str, Column]:
+    """Variance each feature has because a text is a finite sample.
+
+    Counts are taken as Poisson, plus one so that a count of 0 has a variance;
+    a repeated window covers three words, hence the 9. Words vary in length by
+    about 0.6 of their mean.
+    """
+    words = F.greatest(F.col("n_words"), F.lit(1)).cast("double")
+    share = lambda n, of, each=1: each * (F.col(n) + 1) / (of * of)
+    return {
+        "e_0": F.lit(0.0),
+        "e_1": 0.36 / words,
+        "e_2": share("n_symbols", words + F.col("n_symbols")),
+        "e_3": share("n_dup_lines", F.greatest(F.col("n_lines"), F.lit(1)).cast("double")),
+        "e_4": share("n_repeat_words", words, 9),
+        "e_5": share("n_upper", F.greatest(F.col("n_letters"), F.lit(1)).cast("double")),
+    }
+
+
 _D = len(FEATURES)
 _PAIRS = [(i, j) for i in range(_D) for j in range(i, _D)]
 _MOMENTS = ["m_n", *[f"m_{i}" for i in range(_D)], *[f"m_{i}_{j}" for i, j in _PAIRS]]
-_STATE = [*[f"c_{i}" for i in range(_D)], *[f"v_{i}_{j}" for i, j in _PAIRS]]
+_STATE = [*[f"c_{i}" for i in range(_D)], *[f"s_{i}" for i in range(_D)], *[f"v_{i}_{j}" for i, j in _PAIRS]]
 
 
 def _moments() -> list[Column]:
@@ -141,31 +165,67 @@ def _moments() -> list[Column]:
     return [F.count(F.lit(1)).alias("m_n"), *sums, *[F.sum(x[i] * x[j]).alias(f"m_{i}_{j}") for i, j in _PAIRS]]
 
 
-def _estimates(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Location and inverse scatter of each group from its moments (one row a group)."""
-    floor = np.diag(np.square(FLOORS))
-    for frame in frames:
-        rows = []
-        for group, *m in frame[["group", *_MOMENTS]].itertuples(index=False):
-            n, mean = m[0], np.array(m[1 : _D + 1], dtype=float) / m[0]
-            second = np.zeros((_D, _D))
-            for (i, j), v in zip(_PAIRS, m[_D + 1 :]):
-                second[i, j] = second[j, i] = v / n
-            inverse = np.linalg.inv(second - np.outer(mean, mean) + floor)
-            rows.append((group, *mean, *[inverse[i, j] for i, j in _PAIRS]))
-        yield pd.DataFrame(rows, columns=["group", *_STATE])
+def consistency(share: float) -> float:
+    """What the scatter of the ``share`` of normal vectors nearest the centre is multiplied by."""
+    if share >= 1:
+        return 1.0
+
+    def below(x: float, terms: int) -> float:  # chi-square with 2 * terms degrees of freedom
+        part, total = 1.0, 1.0
+        for k in range(1, terms):
+            part *= x / 2 / k
+            total += part
+        return 1 - math.exp(-x / 2) * total
+
+    low, high = 0.0, 200.0
+    for _ in range(60):
+        middle = (low + high) / 2
+        low, high = (middle, high) if below(middle, _D // 2) < share else (low, middle)
+    return share / below(low, _D // 2 + 1)
 
 
-def _with_distance(vectors: DataFrame, state: DataFrame) -> DataFrame:
-    """Squared Mahalanobis distance; null where the group has no estimate."""
+def _ridge(vectors: DataFrame) -> list[float]:
+    """What is added to the variances of each group's scatter: a share of those over all rows."""
+    row = vectors.agg(*[F.var_pop(f) for f in FEATURES]).first()
+    return [RIDGE * (v or 0.0) + LEAST_RIDGE for v in row]
+
+
+def _estimator(ridge: list[float]):
+    def estimates(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Location, variances and inverse scatter of each group from its moments (one row a group)."""
+        for frame in frames:
+            rows = []
+            for group, n_all, *m in frame[["group", "all", *_MOMENTS]].itertuples(index=False):
+                n, mean = m[0], np.array(m[1 : _D + 1], dtype=float) / m[0]
+                second = np.zeros((_D, _D))
+                for (i, j), v in zip(_PAIRS, m[_D + 1 :]):
+                    second[i, j] = second[j, i] = v / n
+                scatter = (second - np.outer(mean, mean)) * consistency(n / n_all) + np.diag(ridge)
+                inverse = np.linalg.inv(scatter)
+                rows.append((group, *mean, *np.diag(scatter), *[inverse[i, j] for i, j in _PAIRS]))
+            yield pd.DataFrame(rows, columns=["group", *_STATE])
+
+    return estimates
+
+
+def _with_distance(vectors: DataFrame, state: DataFrame, sampled: bool = False) -> DataFrame:
+    """Squared Mahalanobis distance; null where the group has no estimate.
+
+    With ``sampled`` each gap is measured on a scale widened by the text's own
+    sampling variance (columns ``e_0`` ...).
+    """
     near = state.withColumnRenamed("group", "state_group")
     joined = vectors.join(near, vectors["group"] == near["state_group"], "left")
     gap = [F.col(f) - F.col(f"c_{i}") for i, f in enumerate(FEATURES)]
+    if sampled:
+        gap = [g * F.sqrt(F.col(f"s_{i}") / (F.col(f"s_{i}") + F.col(f"e_{i}"))) for i, g in enumerate(gap)]
+    joined = joined.withColumns({f"gap_{i}": g for i, g in enumerate(gap)})
+    gap = [F.col(f"gap_{i}") for i in range(_D)]
     terms = [(1 if i == j else 2) * gap[i] * gap[j] * F.col(f"v_{i}_{j}") for i, j in _PAIRS]
     total = terms[0]
     for t in terms[1:]:
         total = total + t
-    return joined.withColumn("distance2", total).drop("state_group", *_STATE)
+    return joined.withColumn("distance2", total).drop("state_group", *_STATE, *[f"gap_{i}" for i in range(_D)])
 
 
 def _medians(values: DataFrame) -> DataFrame:
@@ -179,7 +239,7 @@ def _medians(values: DataFrame) -> DataFrame:
     return half.groupBy("group", "feature").agg(((F.min("bin") + 0.5) / FINE).alias("median"))
 
 
-def _robust_start(vectors: DataFrame) -> DataFrame:
+def _robust_start(vectors: DataFrame, ridge: list[float]) -> DataFrame:
     """First estimates: medians and median absolute deviations, features apart."""
     each = vectors.select(
         "group", F.posexplode(F.array(*[F.col(f) for f in FEATURES])).alias("feature", "value")
@@ -190,17 +250,22 @@ def _robust_start(vectors: DataFrame) -> DataFrame:
     spread = _medians(gaps.select("group", "feature", F.abs(F.col("value") - F.col("median")).alias("value")))
     both = middle.join(spread.withColumnRenamed("median", "mad"), ["group", "feature"])
     pick = lambda c, i: F.max(F.when(F.col("feature") == i, F.col(c)))
+    scatter = [F.pow(pick("mad", i) * 1.4826, 2) + ridge[i] for i in range(_D)]
     columns = [pick("median", i).alias(f"c_{i}") for i in range(_D)]
+    columns += [scatter[i].alias(f"s_{i}") for i in range(_D)]
     for i, j in _PAIRS:
-        inverse = 1 / (F.pow(pick("mad", i) * 1.4826, 2) + FLOORS[i] ** 2) if i == j else F.lit(0.0)
+        inverse = 1 / scatter[i] if i == j else F.lit(0.0)
         columns.append(inverse.alias(f"v_{i}_{j}"))
     return stored(both.groupBy("group").agg(*columns), "quality_state")
 
 
-def robust_estimates(vectors: DataFrame, subset: float = SUBSET, steps: int = STEPS) -> DataFrame:
-    """MCD location and inverse scatter per ``group`` of the feature columns."""
+def robust_estimates(
+    vectors: DataFrame, subset: float = SUBSET, steps: int = STEPS, ridge: list[float] | None = None
+) -> DataFrame:
+    """MCD location, variances and inverse scatter per ``group`` of the feature columns."""
+    ridge = ridge or _ridge(vectors)
     schema = "group string, " + ", ".join(f"{s} double" for s in _STATE)
-    state = _robust_start(vectors)
+    state = _robust_start(vectors, ridge)
     up_to = Window.partitionBy("group").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("group")
     for _ in range(steps):
@@ -211,8 +276,8 @@ def robust_estimates(vectors: DataFrame, subset: float = SUBSET, steps: int = ST
         before = F.coalesce(F.sum("m_n").over(up_to), F.lit(0))
         lowest = by_bin.withColumn("before", before).withColumn("all", F.sum("m_n").over(whole))
         kept = lowest.where(F.col("before") < F.col("all") * F.lit(subset))
-        moments = kept.groupBy("group").agg(*[F.sum(m).alias(m) for m in _MOMENTS])
-        state = stored(moments.mapInPandas(_estimates, schema), "quality_state")
+        moments = kept.groupBy("group").agg(F.max("all").alias("all"), *[F.sum(m).alias(m) for m in _MOMENTS])
+        state = stored(moments.mapInPandas(_estimator(ridge), schema), "quality_state")
     return state
 
 
@@ -244,11 +309,12 @@ def judge(
     told = docs.select("doc_id", "lang", "source", statistics(F.col("text")).alias("s"), *own)
     flat = told.select("doc_id", "lang", "source", "s.*", *(["row"] if carry else []))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    flat = flat.withColumn("base_failed", failed).withColumns(statistic_vector())
+    flat = flat.withColumn("base_failed", failed).withColumns(statistic_vector() | sampling_variance())
     flat = flat.withColumn("own", F.to_json(F.struct("lang", "source"))).withColumn("language", F.to_json(F.struct("lang")))
     flat = stored(flat.drop("lang", "source"), "quality_statistics")
 
     distinct = flat.where(~F.col("base_failed")).select("own", "language", *FEATURES).distinct()
+    distinct = stored(distinct, "quality_distinct")
     per_own = distinct.groupBy("own", "language").count()
     large = F.when(F.col("count") >= min_group, F.concat(F.lit("own "), F.col("own")))
     named = per_own.withColumn("group", large)
@@ -260,9 +326,9 @@ def judge(
     groups = named.join(sizes.where("enough").select("group"), "group").select("of", "group")
 
     vectors = stored(distinct.join(groups, distinct["own"] == groups["of"]).select("group", *FEATURES), "quality_vectors")
-    state = robust_estimates(vectors, subset, steps)
+    state = robust_estimates(vectors, subset, steps, _ridge(distinct))
     placed = flat.join(groups, flat["own"] == groups["of"], "left")
-    measured = _with_distance(placed, state)
+    measured = _with_distance(placed, state, sampled=True)
     kept = ~F.col("base_failed") & ~F.coalesce(F.col("distance2") > cutoff, F.lit(False))
     columns = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     return measured.select("doc_id", *columns, kept.alias("kept"), "distance2", *(["row"] if carry else []))
