@@ -81,3 +81,13 @@ def test_labelled_texts_of_the_test_table(spark, sf_small):
     good = spark.read.parquet(f"{sf_small}/labels.parquet").where("quality = 1").select("doc_id").distinct()
     rows = quality.judge(docs).where("not base_failed").join(good, "doc_id").collect()
     assert sum(r.kept for r in rows) >= 0.99 * len(rows)
+
+
+def test_small_sources_and_languages_are_held_against_larger_ones(spark):
+    clean = [(i, words(100 + i % 50, i), "en", "a") for i in range(300)]
+    clean += [(1000 + i, words(100 + i, 2000 + i), *("en b" if i % 2 else "fr c").split()) for i in range(40)]
+    junk = [(5000 + i, " ".join(w + "$$$" for w in words(100, 7000 + i).split()), *("en b" if i % 2 else "fr c").split()) for i in range(12)]
+    rows = quality.judge(awkward_documents(spark, clean + junk)).collect()
+    assert all(r.distance2 is not None for r in rows if not r.base_failed)
+    kept = {r.doc_id for r in rows if r.kept}
+    assert not any(5000 + i in kept for i in range(12)) and sum(1000 + i in kept for i in range(40)) >= 38

@@ -184,13 +184,12 @@ def consistency(share: float) -> float:
     return share / below(low, _D // 2 + 1)
 
 
-def _ridge(vectors: DataFrame) -> list[float]:
-    """What is added to the variances of each group's scatter: a share of those over all rows."""
-    row = vectors.agg(*[F.var_pop(f) for f in FEATURES]).first()
-    return [RIDGE * (v or 0.0) + LEAST_RIDGE for v in row]
+def _variances(vectors: DataFrame) -> list[float]:
+    """Variance of each feature over all rows, of which a share is added to each group's scatter."""
+    return [v or 0.0 for v in vectors.agg(*[F.var_pop(f) for f in FEATURES]).first()]
 
 
-def _estimator(ridge: list[float]):
+def _estimator(variances: list[float]):
     def estimates(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Location, variances and inverse scatter of each group from its moments (one row a group)."""
         for frame in frames:
@@ -200,7 +199,10 @@ def _estimator(ridge: list[float]):
                 second = np.zeros((_D, _D))
                 for (i, j), v in zip(_PAIRS, m[_D + 1 :]):
                     second[i, j] = second[j, i] = v / n
-                scatter = (second - np.outer(mean, mean)) * consistency(n / n_all) + np.diag(ridge)
+                # Below MIN_GROUP vectors, which only a pool of all rows can have, the share grows.
+                share = RIDGE + max(0.0, _D / n_all - _D / MIN_GROUP)
+                scatter = (second - np.outer(mean, mean)) * consistency(n / n_all)
+                scatter += np.diag(share * np.array(variances) + LEAST_RIDGE)
                 inverse = np.linalg.inv(scatter)
                 rows.append((group, *mean, *np.diag(scatter), *[inverse[i, j] for i, j in _PAIRS]))
             yield pd.DataFrame(rows, columns=["group", *_STATE])
@@ -239,7 +241,7 @@ def _medians(values: DataFrame) -> DataFrame:
     return half.groupBy("group", "feature").agg(((F.min("bin") + 0.5) / FINE).alias("median"))
 
 
-def _robust_start(vectors: DataFrame, ridge: list[float]) -> DataFrame:
+def _robust_start(vectors: DataFrame, variances: list[float]) -> DataFrame:
     """First estimates: medians and median absolute deviations, features apart."""
     each = vectors.select(
         "group", F.posexplode(F.array(*[F.col(f) for f in FEATURES])).alias("feature", "value")
@@ -250,7 +252,7 @@ def _robust_start(vectors: DataFrame, ridge: list[float]) -> DataFrame:
     spread = _medians(gaps.select("group", "feature", F.abs(F.col("value") - F.col("median")).alias("value")))
     both = middle.join(spread.withColumnRenamed("median", "mad"), ["group", "feature"])
     pick = lambda c, i: F.max(F.when(F.col("feature") == i, F.col(c)))
-    scatter = [F.pow(pick("mad", i) * 1.4826, 2) + ridge[i] for i in range(_D)]
+    scatter = [F.pow(pick("mad", i) * 1.4826, 2) + RIDGE * variances[i] + LEAST_RIDGE for i in range(_D)]
     columns = [pick("median", i).alias(f"c_{i}") for i in range(_D)]
     columns += [scatter[i].alias(f"s_{i}") for i in range(_D)]
     for i, j in _PAIRS:
@@ -260,12 +262,12 @@ def _robust_start(vectors: DataFrame, ridge: list[float]) -> DataFrame:
 
 
 def robust_estimates(
-    vectors: DataFrame, subset: float = SUBSET, steps: int = STEPS, ridge: list[float] | None = None
+    vectors: DataFrame, subset: float = SUBSET, steps: int = STEPS, variances: list[float] | None = None
 ) -> DataFrame:
     """MCD location, variances and inverse scatter per ``group`` of the feature columns."""
-    ridge = ridge or _ridge(vectors)
+    variances = variances or _variances(vectors)
     schema = "group string, " + ", ".join(f"{s} double" for s in _STATE)
-    state = _robust_start(vectors, ridge)
+    state = _robust_start(vectors, variances)
     up_to = Window.partitionBy("group").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("group")
     for _ in range(steps):
@@ -277,7 +279,7 @@ def robust_estimates(
         lowest = by_bin.withColumn("before", before).withColumn("all", F.sum("m_n").over(whole))
         kept = lowest.where(F.col("before") < F.col("all") * F.lit(subset))
         moments = kept.groupBy("group").agg(F.max("all").alias("all"), *[F.sum(m).alias(m) for m in _MOMENTS])
-        state = stored(moments.mapInPandas(_estimator(ridge), schema), "quality_state")
+        state = stored(moments.mapInPandas(_estimator(variances), schema), "quality_state")
     return state
 
 
@@ -294,9 +296,9 @@ def judge(
     ``docs`` has ``doc_id, text, lang, source``. Estimates are fitted on the
     distinct vectors of the texts that pass the base rules, so copies of a
     text count once and cannot make up a group's majority. A language and
-    source with fewer than ``min_group`` such vectors is pooled with the small
-    ones of its language, then with all small ones; a pool below the minimum
-    rejects nothing (``distance2`` null).
+    source with fewer than ``min_group`` such vectors is held against its whole
+    language, large sources included, and a language with fewer against all
+    rows, so every text that passes the base rules gets a distance.
 
     Defined results: null or empty text has no words and fails the base rules;
     null language and source are values of their own; equal rows get equal
@@ -315,18 +317,23 @@ def judge(
 
     distinct = flat.where(~F.col("base_failed")).select("own", "language", *FEATURES).distinct()
     distinct = stored(distinct, "quality_distinct")
+    by_language = stored(distinct.drop("own").distinct(), "quality_languages")
     per_own = distinct.groupBy("own", "language").count()
-    large = F.when(F.col("count") >= min_group, F.concat(F.lit("own "), F.col("own")))
-    named = per_own.withColumn("group", large)
-    rest = F.sum(F.when(F.col("group").isNull(), F.col("count"))).over(Window.partitionBy("language"))
-    pooled = F.when(rest >= min_group, F.concat(F.lit("language "), F.col("language"))).otherwise(F.lit("rest"))
-    named = named.select(F.col("own").alias("of"), F.coalesce(F.col("group"), pooled).alias("group"), "count")
-    named = stored(named, "quality_groups")
-    sizes = named.groupBy("group").agg((F.sum("count") >= min_group).alias("enough"))
-    groups = named.join(sizes.where("enough").select("group"), "group").select("of", "group")
-
-    vectors = stored(distinct.join(groups, distinct["own"] == groups["of"]).select("group", *FEATURES), "quality_vectors")
-    state = robust_estimates(vectors, subset, steps, _ridge(distinct))
+    per_language = by_language.groupBy(F.col("language").alias("in_language")).agg(F.count("*").alias("n_language"))
+    named = per_own.join(per_language, F.col("language") == F.col("in_language"))
+    group = F.when(F.col("count") >= min_group, F.concat(F.lit("own "), F.col("own")))
+    group = group.when(F.col("n_language") >= min_group, F.concat(F.lit("language "), F.col("language"))).otherwise(F.lit("rest"))
+    groups = stored(named.select(F.col("own").alias("of"), "language", group.alias("group")), "quality_groups")
+
+    large = groups.where(F.col("group").startswith("own ")).select("of", "group")
+    vectors = distinct.join(large, distinct["own"] == large["of"]).select("group", *FEATURES)
+    pools = groups.where(F.col("group").startswith("language ")).select(F.col("language").alias("of"), "group").distinct()
+    vectors = vectors.unionAll(by_language.join(pools, by_language["language"] == pools["of"]).select("group", *FEATURES))
+    if not groups.where("group = 'rest'").isEmpty():
+        vectors = vectors.unionAll(by_language.select(*FEATURES).distinct().select(F.lit("rest").alias("group"), *FEATURES))
+    vectors = stored(vectors, "quality_vectors")
+    groups = groups.drop("language")
+    state = robust_estimates(vectors, subset, steps, _variances(distinct))
     placed = flat.join(groups, flat["own"] == groups["of"], "left")
     measured = _with_distance(placed, state, sampled=True)
     kept = ~F.col("base_failed") & ~F.coalesce(F.col("distance2") > cutoff, F.lit(False))
