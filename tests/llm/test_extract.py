@@ -24,6 +24,31 @@ def test_broken_pages_do_not_fail():
     assert text("plain <b>words</b>") == "plain words"
 
 
+def test_all_articles_and_main_beside_them_are_kept():
+    page = "<body><nav>menu</nav><main><h1>Title</h1><p>Lead</p><article><p>Part one</p></article><article><p>Part two</p></article><p>End</p></main></body>"
+    assert text(page) == "Title\n\nLead\n\nPart one\n\nPart two\n\nEnd"
+    assert text("<article>One</article><div class=ad>Buy</div><article>Two</article>") == "One\n\nTwo"
+
+
+def test_a_wrapper_does_not_win_over_the_article_in_it():
+    for wrapper in ("form", "div class=menu-open", "div id=has-cookie-banner"):
+        end = wrapper.split()[0]
+        story = "<div class=sidebar><article>teaser</article></div><article><p>Story</p><form>login</form></article>"
+        assert text(f"<body><{wrapper}>{story}</{end}></body>") == "Story"
+        assert text(f"<main><h1>Title</h1><{wrapper}>{story}</{end}></main>") == "Title\n\nStory"
+        assert text(f"<body><{wrapper}><p>Plain story of a page</p></{end}><p>x</p></body>") == "Plain story of a page\n\nx"
+    assert text("<p>A story of some length</p><div class=sidebar>side</div>") == "A story of some length"
+
+
+def test_what_recurs_beside_the_article_goes(spark):
+    rows = []
+    for i in range(8):
+        more = "<section><p>Advert for all</p></section><article><p>Teaser for all</p></article>"
+        rows.append((i, f"https://h.example/{i}", f"<main><h1>T{i}</h1><article><p>Story {i}</p><p>Quoted</p></article>{more}</main>", "", ""))
+    got = extract.extract_text(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.text for r in got} == {f"T{i}\n\nStory {i}\n\nQuoted" for i in range(8)}
+
+
 def test_recurring_subtrees_go_per_host(spark):
     shared = "<div><span>All rights kept</span><a href=/>Home</a></div>"
     rows = []

@@ -3,11 +3,14 @@
 Pages are parsed leniently into blocks of text. Every element subtree gets a
 hash over its tag, class and content; Spark counts on how many different pages
 of a host each subtree stands, and blocks inside a subtree that recurs on many
-pages of its host are deleted. Two things are known before counting: elements
-whose tag, role or class says that they are no article text (menus, forms,
-adverts, comments...) go, and a page that marks its article keeps the article
-alone, whose paragraphs are text even where many pages quote them: in an
-article only groups made up of links count as template.
+pages of its host are deleted. Two things are known before counting. Elements
+whose tag, role or class says that they are no article text (menus, adverts,
+comments...) go; where only a class or a form says so, an article or main
+element inside is text all the same. A page that marks its articles or its main
+element keeps all of those, and their paragraphs are text even where many pages
+quote them: in an article only groups made up of links count as template. What
+stands in main beside an article, and an article among several, is template
+where it recurs.
 """
 
 from __future__ import annotations
@@ -76,6 +79,7 @@ class Element:
     tag: str
     names: str = ""
     dropped: bool = False
+    doubt: int = 0  # elements around that are template by class or as a form
     article: int = -1
     start: int = 0
     letters: int = 0
@@ -88,6 +92,8 @@ class Block:
     text: str
     marks: list[int]
     article: int
+    doubt: int = 0
+    beside: list[int] = field(default_factory=list)  # marks that count if the block's main has an article
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -95,8 +101,8 @@ def _attributes(raw: str) -> dict[str, str]:
 
 
 def is_template(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
-    """Whether tag, role or class says that an element is no article text."""
-    if tag in DROPPED or (tag == "header" and not in_article):
+    """Whether tag, role or class says for sure that an element is no article text."""
+    if (tag in DROPPED and tag != "form") or (tag == "header" and not in_article):
         return True
     if not attributes or tag in ("html", "body"):
         return False
@@ -104,14 +110,27 @@ def is_template(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
         return True
     if "display:none" in attributes.get("style", "").replace(" ", ""):
         return True
-    if attributes.get("role") in ROLES:
+    if attributes.get("role") in ROLES - {"form"}:
         return True
-    names = set(_NAME.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}"))
-    if names & COMMENT_NAMES:
+    return bool(_names(attributes) & COMMENT_NAMES)
+
+
+def may_be_template(tag: str, attributes: dict[str, str]) -> bool:
+    """Whether an element is no article text unless it holds an article: a form, or by a word of its class."""
+    if tag == "form":
+        return True
+    if not attributes or tag in ("html", "body"):
+        return False
+    if attributes.get("role") == "form":
         return True
+    names = _names(attributes)
     return bool(names & TEMPLATE_NAMES) and not names & CONTENT_NAMES and tag not in ("article", "main")
 
 
+def _names(attributes: dict[str, str]) -> set[str]:
+    return set(_NAME.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}"))
+
+
 class Page:
     """Blocks of one page, each with the hashes of the subtrees around it."""
 
@@ -120,11 +139,25 @@ class Page:
         self.buffer: list[str] = []
         self.articles: list[int] = []  # characters of each article or main element
         self.kinds: list[str] = []
+        self.doubts: list[int] = []
+        self.within: list[int] = []  # the main element around an article
+        self.seals: dict[int, int] = {}
         self.stack = [Element("#root")]
         self._read(source)
         while len(self.stack) > 1:
             self._close()
         self._flush()
+        self._settle()
+
+    def _settle(self) -> None:
+        """Add the marks that depend on which articles the page has."""
+        articles = [i for i, size in enumerate(self.articles) if size and self.kinds[i] == "article"]
+        holders = {self.within[i] for i in articles}
+        for block in self.blocks:
+            if block.article in holders:
+                block.marks.extend(block.beside)
+            if len(articles) > 1 and block.article >= 0 and self.kinds[block.article] == "article":
+                block.marks.append(self.seals[block.article])
 
     def _flush(self) -> None:
         if self.buffer:
@@ -132,8 +165,8 @@ class Page:
             self.buffer = []
             if text:
                 top = self.stack[-1]
-                self.blocks.append(Block(text, [], top.article))
-                if top.article >= 0:
+                self.blocks.append(Block(text, [], top.article, top.doubt))
+                if top.article >= 0 and top.doubt == self.doubts[top.article]:
                     self.articles[top.article] += len(text)
 
     def _open(self, tag: str, raw: str) -> None:
@@ -152,26 +185,33 @@ class Page:
         attributes = _attributes(raw)
         if tag in VOID:
             return
-        element = Element(tag, f"{attributes.get('class', '')}#{attributes.get('id', '')}", parent.dropped, parent.article, len(self.blocks))
+        names = f"{attributes.get('class', '')}#{attributes.get('id', '')}"
+        element = Element(tag, names, parent.dropped, parent.doubt, parent.article, len(self.blocks))
         if not element.dropped and is_template(tag, attributes, parent.article >= 0):
             self._flush()
+            element.start = len(self.blocks)
             element.dropped = True
-        if not element.dropped and element.article < 0 and (tag in ("article", "main") or attributes.get("role") == "main"):
-            self._flush()
-            element.article = len(self.articles)
-            self.articles.append(0)
-            self.kinds.append("article" if tag == "article" else "main")
-        elif not element.dropped and tag == "article" and parent.article >= 0 and self.kinds[parent.article] == "main":
-            self._flush()
-            element.article = len(self.articles)
-            self.articles.append(0)
-            self.kinds.append("article")
+        if not element.dropped:
+            if may_be_template(tag, attributes):
+                self._flush()
+                element.start = len(self.blocks)
+                element.doubt += 1
+            main = tag == "main" or attributes.get("role") == "main"
+            inside = parent.article >= 0 and self.kinds[parent.article] == "main"
+            if (parent.article < 0 and (main or tag == "article")) or (tag == "article" and inside):
+                self._flush()
+                element.start = len(self.blocks)
+                element.article = len(self.articles)
+                self.articles.append(0)
+                self.kinds.append("article" if tag == "article" else "main")
+                self.doubts.append(element.doubt)
+                self.within.append(parent.article)
         self.stack.append(element)
 
     def _close(self) -> None:
         element = self.stack[-1]
         parent = self.stack[-2]
-        if element.tag in BLOCKS or element.dropped != parent.dropped or element.article != parent.article:
+        if element.tag in BLOCKS or (element.dropped, element.doubt, element.article) != (parent.dropped, parent.doubt, parent.article):
             self._flush()
         self.stack.pop()
         seal = blake2b(f"{element.tag}\0{element.names}\0".encode("utf-8", "replace"), digest_size=8)
@@ -183,10 +223,16 @@ class Page:
         parent.linked += element.letters if element.tag == "a" else element.linked
         if element.dropped or element.tag in ("html", "body") or not element.letters:
             return
+        mark = int.from_bytes(digest, "big", signed=True)
+        if element.article >= 0 and element.article != parent.article:
+            self.seals[element.article] = mark
+        elif element.article >= 0 and self.kinds[element.article] == "main":
+            for block in self.blocks[element.start :]:
+                if block.article == element.article:
+                    block.beside.append(mark)
         if element.article < 0 or (
             element.tag not in ("article", "main") and element.linked >= LINK_SHARE * element.letters
         ):
-            mark = int.from_bytes(digest, "big", signed=True)
             for block in self.blocks[element.start :]:
                 block.marks.append(mark)
 
@@ -236,20 +282,32 @@ class Page:
                 self._close()
 
     def main_blocks(self) -> list[Block]:
-        """Blocks of the article with the most text, of the main element, or of the whole page."""
+        """Blocks of all articles and of main beside them, or of the whole page.
+
+        Of articles, as of main elements, those least in doubt are taken. On a
+        page without either, blocks in doubt stay out unless they hold most of
+        its text; then the counts decide.
+        """
+        kept = set()
         for kind in ("article", "main"):
-            sizes = [(size, -i) for i, size in enumerate(self.articles) if self.kinds[i] == kind and size]
-            if sizes:
-                best = -max(sizes)[1]
-                return [b for b in self.blocks if b.article == best]
-        return self.blocks
+            which = [i for i, size in enumerate(self.articles) if size and self.kinds[i] == kind]
+            kept.update(i for i in which if self.doubts[i] == min(self.doubts[k] for k in which))
+        if kept:
+            return [b for b in self.blocks if b.article in kept and b.doubt == self.doubts[b.article]]
+        total = sum(len(b.text) for b in self.blocks)
+        level, held = 0, sum(len(b.text) for b in self.blocks if not b.doubt)
+        while 2 * held < total:
+            level += 1
+            held += sum(len(b.text) for b in self.blocks if b.doubt == level)
+        return [b for b in self.blocks if b.doubt <= level]
 
 
 def parse_page(source: str | None) -> tuple[list[Block], list[int], int]:
     """Main blocks, marks of all template candidates, and a hash of the main text."""
     page = Page(source or "")
     kept = page.main_blocks()
-    marks = {m for b in page.blocks for m in b.marks}
+    level = max((b.doubt for b in kept), default=0)
+    marks = {m for b in page.blocks if b.doubt <= level for m in b.marks}
     text = blake2b("\n".join(b.text for b in kept).encode("utf-8", "replace"), digest_size=8).digest()
     return kept, sorted(marks), int.from_bytes(text, "big", signed=True)
 
