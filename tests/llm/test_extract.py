@@ -76,3 +76,11 @@ def test_articles_of_the_test_table(spark, sf_small):
     assert len(rows) == pages.count()
     found = sum(" ".join(r.text.split("\n\n", 1)[1].split()) in docs for r in rows)
     assert found == len(rows)
+
+
+def test_the_size_of_a_host_does_not_change_a_page(spark):
+    notice = "<div><p>Notice on few pages</p></div>"
+    page = lambda i: (i, f"https://big.example/{i}", f"<body>{notice if i < 5 else ''}<p>Own text number {i}</p></body>", "", "")
+    for n in (20, 700):
+        rows = extract.extract_text(spark.createDataFrame([page(i) for i in range(n)], SCHEMA)).collect()
+        assert {r.text for r in rows} == {f"Own text number {i}" for i in range(n)}

@@ -28,7 +28,6 @@ from pyspark.sql import functions as F
 from tillcast.llm.common import prepare, stored
 
 MIN_PAGES = 4
-MIN_SHARE = 0.01
 LINK_SHARE = 0.6
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -324,13 +323,12 @@ def _parse(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["blocks", "marks", "main"])
 
 
-def extract_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def extract_text(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """``page_id, url, text, n_chars`` of every row of ``page_id, url, html``.
 
     A subtree is template when it stands on at least ``min_pages`` pages of
-    its host with different main texts, and on at least ``min_share`` of them
-    (which also bounds a host's list of templates). Copies of a page count
-    once.
+    its host with different main texts, however many pages the host has.
+    Copies of a page count once.
 
     Defined results: a null or empty html, or one without main text, gives an
     empty text; a null url belongs to a host of its own; repeated rows give
@@ -342,17 +340,19 @@ def extract_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float
     # Pages are parsed twice, once for the marks and once for the texts: the
     # texts are as large as the pages, and are not written in between.
     parsed = pages.select("page_id", "url", host.alias("host"), parse("html").alias("p"))
-    marks = stored(parsed.select("host", "p.main", "p.marks"), "extract_marks")
-    seen = marks.select("host", "main", F.explode("marks").alias("mark")).distinct()
-    counts = seen.groupBy("host", "mark").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
-    sizes = marks.select("host", "main").distinct().groupBy("host").agg(F.count("*").alias("pages"))
-    recurring = counts.join(sizes, "host").where(F.col("n") >= F.col("pages") * min_share)
-    lists = recurring.groupBy(F.col("host").alias("at_host")).agg(F.collect_set("mark").alias("template"))
+    marks = parsed.select("host", F.col("p.main").alias("main"), F.explode("p.marks").alias("mark"))
+    seen = stored(marks.distinct(), "extract_marks")
+    counts = seen.groupBy(F.col("host").alias("at_host"), F.col("mark").alias("at_mark")).agg(F.count("*").alias("n"))
+    recurring = counts.where(F.col("n") >= min_pages).drop("n")
+    # A text gets the recurring marks it has itself; no list is kept for a host.
+    hits = seen.join(recurring, (F.col("host") == F.col("at_host")) & (F.col("mark") == F.col("at_mark")))
+    page = lambda main: F.concat_ws("\n", "host", F.col(main).cast("string"))
+    lists = hits.groupBy(page("main").alias("at_page")).agg(F.collect_set("mark").alias("template"))
     # Pages without a marked block need no list; a key of their own spreads them.
     marked = F.exists("p.blocks", lambda b: F.size(b["marks"]) > 0)
     own = F.concat(F.lit("\n"), F.xxhash64("page_id", "p.main").cast("string"))
-    keyed = parsed.withColumn("key", F.when(marked, F.col("host")).otherwise(own))
-    joined = keyed.join(lists, keyed["key"] == lists["at_host"], "left")
+    keyed = parsed.withColumn("key", F.when(marked, page("p.main")).otherwise(own))
+    joined = keyed.join(lists, keyed["key"] == lists["at_page"], "left")
     none = F.array().cast("array<bigint>")
     kept = F.filter("p.blocks", lambda b: ~F.arrays_overlap(b["marks"], F.coalesce("template", none)))
     text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n\n")
