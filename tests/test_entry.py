@@ -33,3 +33,13 @@ def test_entry_runs_on_smoke_data(spark):
 def test_non_oracle_queries_run(spark, sf_small):
     for name in ["arima_forecast", "forecast_evaluation", "batch_score"]:
         assert E.queries()[name](spark, sf_small).count() > 0
+
+
+def test_the_report_is_on_the_delivered_model(monkeypatch):
+    from tillcast.plans import registry
+
+    trained = []
+    monkeypatch.setattr(registry, "_trained", lambda spark, sf_dir, params=registry.P: trained.append(params.n_trees) or {"scored": None})
+    monkeypatch.setattr(registry.ml, "regression_report", lambda *a: None)
+    registry.q_prediction_report(None, "")
+    assert trained == [registry.P.n_trees]

@@ -364,7 +364,7 @@ def q_prediction_counts(spark, sf_dir):
 
 def q_prediction_report(spark, sf_dir):
     """The quality report on the model's own predictions."""
-    scored = _trained(spark, sf_dir, FEW_TREES)["scored"]
+    scored = _trained(spark, sf_dir)["scored"]
     return ml.regression_report(scored, "target", "prediction")
 
 
