@@ -5,11 +5,27 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from tillcast.llm import bagminhash, extract, langid, mixing, pii, piece, quality, topk, toxicity, warc
+from pyspark.sql import functions as F
+
+from tillcast.llm import (
+    bagminhash,
+    bytebpe,
+    extract,
+    langid,
+    lexical,
+    mixing,
+    negatives,
+    pii,
+    piece,
+    quality,
+    topk,
+    toxicity,
+    warc,
+)
 from tillcast.llm.common import table
 
 PIECE_MODEL = "piece_bpe_32k.model"
+BYTE_RANKS = "byte_bpe_50k.tiktoken"
 
 
 def piece_model() -> bytes:
@@ -58,6 +74,23 @@ def q_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"))
 
 
+def q_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(vectors.withColumn("label", moved))
+
+
+def q_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def q_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = bytebpe.read_ranks(public_tokenizers.path(BYTE_RANKS))
+    return bytebpe.encode_digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": q_pii,
     "op2_warc": q_warc,
@@ -69,6 +102,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_topk": q_topk,
     "op9_mixing": q_mixing,
     "op10_toxicity": q_toxicity,
+    "op11_negatives": q_negatives,
+    "op12_lexical": q_lexical,
+    "op13_byte_bpe": q_byte_bpe,
 }
 
 MIXING_SQL = r"""
@@ -136,4 +172,73 @@ WITH usable AS (
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_warc": WARC_SQL, "op8_topk": TOPK_SQL, "op9_mixing": MIXING_SQL}
+NEGATIVES_SQL = """
+WITH usable AS (
+  SELECT vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END)::BIGINT AS label,
+    row_number() OVER () AS uid, embedding
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS (
+  SELECT uid, unnest(range(len(embedding))) AS i, unnest(embedding) AS x FROM usable
+), whole AS (
+  SELECT uid, i, floor(256 * x::DOUBLE)::BIGINT AS n FROM parts
+), products AS (
+  SELECT a.uid AS a_uid, c.uid AS c_uid, sum(q.n * w.n)::BIGINT AS score
+  FROM usable a JOIN whole q ON q.uid = a.uid JOIN whole w ON w.i = q.i AND w.uid <> q.uid JOIN usable c ON c.uid = w.uid
+  WHERE a.vec_id % 100 = 0 GROUP BY ALL
+), scored AS (
+  SELECT p.*, a.vec_id AS anchor_id, a.label AS a_label, c.vec_id, c.label
+  FROM products p JOIN usable a ON a.uid = p.a_uid JOIN usable c ON c.uid = p.c_uid
+), positives AS (
+  SELECT *, row_number() OVER (PARTITION BY a_uid ORDER BY score DESC, vec_id) AS nth FROM scored WHERE label = a_label
+), negatives AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, p.score AS positive_score, n.vec_id AS negative_id, n.score AS negative_score,
+    row_number() OVER (PARTITION BY p.a_uid, p.nth ORDER BY n.score DESC, n.vec_id) AS rank
+  FROM positives p JOIN scored n ON n.a_uid = p.a_uid AND n.label <> n.a_label
+  WHERE p.nth <= 5 AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 10
+"""
+
+LEXICAL_SQL = r"""
+WITH doc_rows AS (
+  SELECT row_number() OVER () AS uid, doc_id, text FROM documents
+), doc_terms AS (
+  SELECT uid, doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM doc_rows
+), item_rows AS (
+  SELECT row_number() OVER () AS item, item_id, text FROM benchmark
+), item_terms AS (
+  SELECT item, item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM item_rows
+), lengths AS (
+  SELECT uid, doc_id, count(*) AS n FROM doc_terms GROUP BY ALL
+), totals AS (
+  SELECT count(*)::BIGINT AS big_n, sum(n)::BIGINT AS big_l FROM lengths
+), counts AS (
+  SELECT uid, term, count(*) AS tf FROM doc_terms GROUP BY ALL
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(big_n) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM counts, totals GROUP BY term
+), gains AS (
+  SELECT c.uid, c.term, (w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * big_n) // big_l))))::BIGINT AS gain
+  FROM counts c JOIN weights USING (term) JOIN lengths USING (uid), totals
+), scored AS (
+  SELECT i.item, i.item_id, g.uid, sum(g.gain)::BIGINT AS score FROM item_terms i JOIN gains g USING (term) GROUP BY ALL
+), ranked AS (
+  SELECT s.item_id, l.doc_id, s.score, row_number() OVER (PARTITION BY s.item ORDER BY s.score DESC, l.doc_id NULLS LAST) AS rank
+  FROM scored s JOIN lengths l USING (uid) WHERE s.score > 0
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_warc": WARC_SQL,
+    "op8_topk": TOPK_SQL,
+    "op9_mixing": MIXING_SQL,
+    "op11_negatives": NEGATIVES_SQL,
+    "op12_lexical": LEXICAL_SQL,
+}
