@@ -215,3 +215,69 @@ def test_scoring_survives_drop_of_written_tables(spark, sf_small):
     registry.q_prediction_counts(spark, sf_small).collect()
     drop_materialized(spark)
     assert registry.q_prediction_counts(spark, sf_small).count() == 2
+
+
+class _Written:
+    """A model whose saving can be watched or broken off."""
+
+    def __init__(self, model, during=lambda: None):
+        self.model, self.during = model, during
+
+    def write(self):
+        return self
+
+    def save(self, path):
+        self.model.write().save(path)
+        self.during()
+
+
+@pytest.fixture(scope="module")
+def small_model(frame):
+    return ml.train_gbt(frame.withColumnRenamed("target", "t"), FEATURES, "t", n_trees=1)
+
+
+def test_a_half_written_version_is_never_loaded(spark, small_model, tmp_path):
+    root = str(tmp_path / "models")
+    first = ml.save_version(small_model, root)
+
+    def die():
+        raise RuntimeError("saver lost")
+
+    with pytest.raises(RuntimeError):
+        ml.save_version(_Written(small_model, die), root)
+    # moved into place, but its saver died before publishing
+    (tmp_path / "models" / "v=1").mkdir()
+    (tmp_path / "models" / "_claims" / "v=1").touch()
+    assert ml.latest_version(root) == 0 and ml.load_latest(root).stages
+    seen = []
+    path = ml.save_version(_Written(small_model, lambda: seen.append(ml.latest_version(root))), root)
+    assert seen == [0] and (first[-3:], path[-3:]) == ("v=0", "v=2") and ml.latest_version(root) == 2
+
+
+def test_concurrent_savers_get_versions_of_their_own(spark, small_model, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+    from threading import Barrier
+
+    root, together = str(tmp_path / "models"), Barrier(4)
+    with ThreadPoolExecutor(4) as pool:
+        paths = list(pool.map(lambda _: ml.save_version(_Written(small_model, together.wait), root), range(4)))
+    assert sorted(p[-3:] for p in paths) == ["v=0", "v=1", "v=2", "v=3"] and ml.latest_version(root) == 3
+    for p in paths:
+        assert ml.PipelineModel.load(p).stages[-1].getNumTrees == 1
+
+
+def test_fitted_once_for_the_same_files_and_parameters(spark, small_model, frame, tmp_path):
+    path, fits = str(tmp_path / "in"), []
+    frame.write.parquet(path)
+
+    def fit():
+        fits.append(1)
+        return small_model
+
+    name = lambda *p: "test-" + ml.fingerprint([spark.read.parquet(path)], *p)
+    for parameters in ((1,), (1,), (2,)):
+        assert ml.fitted_once(name(*parameters), fit).stages
+    assert len(fits) == 2
+    frame.limit(3).write.mode("append").parquet(path)
+    ml.fitted_once(name(1), fit)
+    assert len(fits) == 3

@@ -7,9 +7,11 @@ the split is a hash predicate, and training/scoring are ``pyspark.ml``.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
@@ -322,36 +324,86 @@ def error_histogram(
 
 
 # --------------------------------------------------------------------------- M7
-def save_version(model: PipelineModel, root: str) -> str:
-    """M7: save as ``root/v=N`` with N one past the latest version."""
-    latest = latest_version(root)
-    path = f"{root.rstrip('/')}/v={0 if latest is None else latest + 1}"
-    model.write().save(path)
+# A version is a folder v=N. It is written under _staging, moved into place, and
+# counts only once its marker _published/v=N exists; a number is taken by
+# creating _claims/v=N, which one saver alone can do. A version that is still
+# being written, or whose saver died, is therefore never loaded.
+def save_version(model, root: str) -> str:
+    """M7: publish ``model`` (anything with ``write().save``) as the next version; returns its folder."""
+    root = root.rstrip("/")
+    staging = f"{root}/_staging/{uuid.uuid4().hex}"
+    model.write().save(staging)
+    number = max([*_versions(root, "_claims"), -1]) + 1
+    while not _create_new(f"{root}/_claims/v={number}"):
+        number += 1
+    path = f"{root}/v={number}"
+    fs, hadoop_path = _fs(path)
+    if not fs.rename(_fs(staging)[1], hadoop_path):
+        raise OSError(f"could not move {staging} to {path}")
+    if not _create_new(f"{root}/_published/v={number}"):
+        raise OSError(f"{path} was published by another saver")
     return path
 
 
+def _fs(path: str):
+    sc = SparkSession.active().sparkContext
+    hadoop_path = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(sc._jsc.hadoopConfiguration()), hadoop_path
+
+
+def _create_new(path: str) -> bool:
+    """Create an empty file; false if it exists. One caller alone gets true."""
+    fs, hadoop_path = _fs(path)
+    fs.mkdirs(hadoop_path.getParent())
+    if fs.getScheme() == "file":  # Hadoop's local file system looks first and creates then
+        jvm = SparkSession.active().sparkContext._jvm
+        return jvm.java.io.File(hadoop_path.toUri().getPath()).createNewFile()
+    try:
+        fs.create(hadoop_path, False).close()
+        return True
+    except Py4JJavaError as e:
+        if "AlreadyExists" in e.java_exception.getClass().getName():
+            return False
+        raise
+
+
+def _versions(root: str, folder: str) -> list[int]:
+    fs, path = _fs(f"{root.rstrip('/')}/{folder}")
+    names = [st.getPath().getName() for st in fs.listStatus(path)] if fs.exists(path) else []
+    return [int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit()]
+
+
 def latest_version(root: str) -> int | None:
-    spark = SparkSession.getActiveSession()
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return None
-    versions = []
-    for st in fs.listStatus(path):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("v=") and name[2:].isdigit():
-            versions.append(int(name[2:]))
-    return max(versions) if versions else None
+    """The largest published version (None if there is none)."""
+    return max(_versions(root, "_published"), default=None)
 
 
 def load_latest(root: str) -> PipelineModel:
     v = latest_version(root)
     if v is None:
-        raise FileNotFoundError(f"no saved model version under {root}")
+        raise FileNotFoundError(f"no published model version under {root}")
     return PipelineModel.load(f"{root.rstrip('/')}/v={v}")
 
 
+def fitted_once(name: str, fit: Callable[[], PipelineModel]) -> PipelineModel:
+    """The latest version under the checkpoint folder's ``models/name``, fitted and published
+    if there is none. ``name`` must tell the inputs and parameters apart (``fingerprint``)."""
+    root = f"{checkpoint_dir(SparkSession.active()).rstrip('/')}/models/{name}"
+    if latest_version(root) is None:
+        remember_written(SparkSession.active(), root)
+        save_version(fit(), root)
+    return load_latest(root)
+
+
+def fingerprint(inputs: Sequence[DataFrame], *parameters) -> str:
+    """A hash of the inputs' files (path, size, time of change) and of the parameters."""
+    told = [repr(parameters)]
+    for folder in sorted({f.rsplit("/", 1)[0] for df in inputs for f in df.inputFiles()}):
+        fs, path = _fs(folder)
+        told += sorted(f"{s.getPath()} {s.getLen()} {s.getModificationTime()}" for s in fs.listStatus(path))
+    return hashlib.sha256("\n".join(told).encode()).hexdigest()[:32]
+
+
 # --------------------------------------------------------------------------- M8
 def vector_input(df: DataFrame, column: str, width: int) -> DataFrame:
     """Rows whose array is not ``width`` long fail the job with a clear error

@@ -141,24 +141,31 @@ def train_predict_report(
     p: RunParams,
     target: str = "target",
     algorithm: str = "gbt",
+    inputs: tuple[DataFrame, ...] = (),
 ) -> dict:
     """M2 -> M1 (fit on train only) -> M3 -> M4 -> M5, M6, A12.
 
     Returns a dict of the fitted model and the result frames (lazy; the
-    A12 report is built on request from ``scored``). The encoded
-    frame is written once: training reads it many times and scoring,
-    scores and importance read it again.
+    A12 report is built on request from ``scored``). The encoded frame is
+    written once, dealt evenly by its keys: training reads it many times, as
+    many tasks at a time as the session sets, whatever files it came from.
+
+    ``inputs``: the tables that ``frame`` reads. With them the fitted model is
+    published under the checkpoint folder and the next caller with the same
+    files and parameters loads it.
     """
     from pyspark.sql import functions as F
 
     from tillcast.operators import ml
 
     ml.require_target(frame, target)
-    split = ml.hash_split(frame, keys, p.test_fraction, p.seed)
-    enc = ml.fit_label_encoder(split.where(~F.col("is_test")), strings)
-    data = materialize(ml.apply_label_encoder(split, enc, strings), "ml-encoded")
-    features = [f"{c}_idx" for c in strings] + list(numbers)
-    model = ml.train_gbt(data.where(~F.col("is_test")), features, target, algorithm, p.n_trees, p.seed)
+    data, features = encoded_frame(frame, keys, strings, numbers, p)
+    fit = lambda: ml.train_gbt(data.where(~F.col("is_test")), features, target, algorithm, p.n_trees, p.seed)
+    if inputs:
+        told = (algorithm, p.n_trees, p.seed, p.test_fraction, target, features, list(keys))
+        model = ml.fitted_once(f"l5-{ml.fingerprint(inputs, *told)}", fit)
+    else:
+        model = fit()
     scored = model.transform(data).withColumn(
         "dataset", F.when(F.col("is_test"), "test").otherwise("train")
     )
@@ -174,3 +181,18 @@ def train_predict_report(
         # is built on request: ml.regression_report(out["scored"], target, "prediction", "dataset")
         "scored": scored,
     }
+
+
+def encoded_frame(frame: DataFrame, keys, strings, numbers, p: RunParams) -> tuple[DataFrame, list[str]]:
+    """M2, M1: the written frame with ``is_test`` and codes fitted on the training part, and
+    the names of its features."""
+    from pyspark.sql import functions as F
+
+    from tillcast.operators import ml
+
+    split = ml.hash_split(frame, keys, p.test_fraction, p.seed)
+    enc = ml.fit_label_encoder(split.where(~F.col("is_test")), strings)
+    encoded = ml.apply_label_encoder(split, enc, strings)
+    spread = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    data = materialize(encoded.repartition(spread, *keys), "ml-encoded")
+    return data, [f"{c}_idx" for c in strings] + list(numbers)

@@ -372,5 +372,73 @@ SELECTS: dict[str, str] = {
 }
 
 
+# Additive attribution by its definition: the worth of every coalition of the three features
+# (bits 1, 2, 4), members follow the row, the others are averaged by cover.
+_ML_ROWS = """select l.l_orderkey, l.l_linenumber, l.l_quantity::double as q, p.p_size::double as p,
+      l.l_linenumber::double as n, l.l_extendedprice::double as y
+    from lineitem l join part p on p.p_partkey = l.l_partkey"""
+SELECTS["tree_attribution_fixed"] = f"""select l_orderkey, l_linenumber, round(v[8], 6) as prediction, round(v[1], 6) as base,
+      round((v[2] - v[1]) / 3 + (v[4] - v[3] + v[6] - v[5]) / 6 + (v[8] - v[7]) / 3, 6) as part_l_quantity,
+      round((v[3] - v[1]) / 3 + (v[4] - v[2] + v[7] - v[5]) / 6 + (v[8] - v[6]) / 3, 6) as part_p_size,
+      round((v[5] - v[1]) / 3 + (v[6] - v[2] + v[7] - v[3]) / 6 + (v[8] - v[4]) / 3, 6) as part_l_linenumber
+    from (
+      select l_orderkey, l_linenumber, id, list(t0 + t1 order by s) as v from (
+        select *,
+          case when s & 1 = 1 then case when q <= 24 then low else high end else 0.48::double * low + 0.52::double * high end as t0,
+          case when s & 2 = 2 then case when p <= 25 then -500.0::double else deep end else 0.5 * -500.0::double + 0.5 * deep end as t1
+        from (
+          select *, case when s & 4 = 4 then case when n <= 3 then 4000.0::double else far end
+              else (300 * 4000.0::double + 220 * far) / 520 end as high,
+            case when s & 2 = 2 then case when p <= 10 then 1000.0::double else 2000.0 end
+              else (100 * 1000.0::double + 380 * 2000.0) / 480 end as low,
+            case when s & 1 = 1 then case when q <= 10 then 250.0::double else 900.0 end
+              else (90 * 250.0::double + 410 * 900.0) / 500 end as deep
+          from (
+            select r.*, c.s, case when s & 1 = 1 then case when q <= 40 then 5000.0::double else 7000.0 end
+                else (120 * 5000.0::double + 100 * 7000.0) / 220 end as far
+            from (select row_number() over () as id, * from ({_ML_ROWS})) r cross join (select range as s from range(0, 8)) c
+          )
+        )
+      ) group by l_orderkey, l_linenumber, id
+    )"""
+
+# One leaf-wise tree with three leaves: the root's best split, then the better of its children's.
+SELECTS["leafwise_tree"] = f"""select * from (
+      with f as (
+        select y - avg(y) over () as r, least(floor(q / 5), 9)::int as bq, least(floor(p / 5), 9)::int as bp from ({_ML_ROWS})
+      ), h0 as (
+        select 1 as node, 0 as feature, bq as bin, -sum(r) as g, count(*) as h from f group by all
+        union all select 1, 1, bp, -sum(r), count(*) from f group by all
+      ), s0 as (
+        select node, feature, bin, gl, hl, g, h, gl * gl / (hl + 1) + (g - gl) * (g - gl) / (h - hl + 1) - g * g / (h + 1) as gain
+        from (select node, feature, bin, sum(g) over c as gl, sum(h) over c as hl, sum(g) over w as g, sum(h) over w as h from h0
+              window c as (partition by node, feature order by bin), w as (partition by node, feature))
+        where hl >= 20 and h - hl >= 20
+      ), b0 as (
+        select * from s0 where gain > 0 order by gain desc, feature, bin limit 1
+      ), f1 as (
+        select f.*, case when case b.feature when 0 then bq else bp end <= b.bin then 2 else 3 end as node from f, b0 b
+      ), h1 as (
+        select node, 0 as feature, bq as bin, -sum(r) as g, count(*) as h from f1 group by all
+        union all select node, 1, bp, -sum(r), count(*) from f1 group by all
+      ), s1 as (
+        select node, feature, bin, gl, hl, g, h, gl * gl / (hl + 1) + (g - gl) * (g - gl) / (h - hl + 1) - g * g / (h + 1) as gain
+        from (select node, feature, bin, sum(g) over c as gl, sum(h) over c as hl, sum(g) over w as g, sum(h) over w as h from h1
+              window c as (partition by node, feature order by bin), w as (partition by node, feature))
+        where hl >= 20 and h - hl >= 20
+      ), b1 as (
+        select * from s1 where gain > 0 order by gain desc, node, feature, bin limit 1
+      ), f2 as (
+        select f1.*, case when f1.node <> b.node then f1.node
+          when case b.feature when 0 then bq else bp end <= b.bin then 2 * f1.node else 2 * f1.node + 1 end as leaf from f1, b1 b
+      )
+      select node::int as node, case feature when 0 then 'l_quantity' else 'p_size' end as feature, 5.0::double * (bin + 1) as threshold,
+        round(sqrt(gain / h), 4) as gain, null::double as value, h::bigint as cover
+      from (select * from b0 union all select * from b1)
+      union all
+      select leaf::int, null, null, null, round(0.5 * sum(r) / (count(*) + 1), 6), count(*)::bigint from f2 group by leaf
+    )"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {k: _with(v) for k, v in SELECTS.items()}

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillcast.config import FIXTURE, ForecastConfig
-from tillcast.operators import clean, daily, forecast, ml, outliers, quality
+from tillcast.operators import clean, daily, forecast, leafwise, ml, outliers, quality, trees
 from tillcast.plans import compositions as L
 from tillcast.session import checkpoint_dir, materialize, remember_written
 from tillcast.sources import files, jdbc
@@ -331,8 +331,9 @@ ML_FEATURES = [f"{c}_idx" for c in L.ML_STRINGS] + list(L.ML_NUMBERS)
 
 def _trained(spark, sf_dir, params=P) -> dict:
     """L5 over one input folder."""
-    frame = L.ml_frame(load_tables(spark, sf_dir, ("lineitem", "part")))
-    return L.train_predict_report(frame, L.ML_KEYS, L.ML_STRINGS, L.ML_NUMBERS, params)
+    tables = load_tables(spark, sf_dir, ("lineitem", "part"))
+    inputs = (tables["lineitem"], tables["part"])
+    return L.train_predict_report(L.ml_frame(tables), L.ML_KEYS, L.ML_STRINGS, L.ML_NUMBERS, params, inputs=inputs)
 
 
 def q_gbt_predict(spark, sf_dir):
@@ -353,6 +354,77 @@ def q_feature_importance(spark, sf_dir):
     return ml.feature_importance(t["model"], t["features"]).join(perm, on="feature", how="left")
 
 
+def q_tree_attribution(spark, sf_dir):
+    """M6: additive attribution of the boosted model's predictions over all training rows."""
+    t = _trained(spark, sf_dir)
+    ensemble = trees.ensemble_of_gbt(t["model"], t["features"], _folder(spark, "trees"))
+    train = t["data"].where(~F.col("is_test")).select(*t["features"])
+    return trees.attribution_summary(trees.attribute(ensemble, train), t["features"])
+
+
+# Two given trees over quantity, size and line number, with the rows that reached each node.
+GIVEN_FEATURES = ["l_quantity", "p_size", "l_linenumber"]
+GIVEN_TREES = [
+    trees.Node(0, 1, 0, 24.0, 2, 3, 0.0, 1000.0),
+    trees.Node(0, 2, 1, 10.0, 4, 5, 0.0, 480.0),
+    trees.Node(0, 3, 2, 3.0, 6, 7, 0.0, 520.0),
+    trees.Node(0, 4, -1, 0.0, -1, -1, 1000.0, 100.0),
+    trees.Node(0, 5, -1, 0.0, -1, -1, 2000.0, 380.0),
+    trees.Node(0, 6, -1, 0.0, -1, -1, 4000.0, 300.0),
+    trees.Node(0, 7, 0, 40.0, 14, 15, 0.0, 220.0),
+    trees.Node(0, 14, -1, 0.0, -1, -1, 5000.0, 120.0),
+    trees.Node(0, 15, -1, 0.0, -1, -1, 7000.0, 100.0),
+    trees.Node(1, 1, 1, 25.0, 2, 3, 0.0, 1000.0),
+    trees.Node(1, 2, -1, 0.0, -1, -1, -500.0, 500.0),
+    trees.Node(1, 3, 0, 10.0, 6, 7, 0.0, 500.0),
+    trees.Node(1, 6, -1, 0.0, -1, -1, 250.0, 90.0),
+    trees.Node(1, 7, -1, 0.0, -1, -1, 900.0, 410.0),
+]
+
+
+def _given_frame(spark, sf_dir):
+    return L.ml_frame(load_tables(spark, sf_dir, ("lineitem", "part")))
+
+
+def q_tree_attribution_fixed(spark, sf_dir):
+    """M6 for given trees: every row's parts, which SQL finds by all coalitions."""
+    rows = _given_frame(spark, sf_dir).select(*L.ML_KEYS, "l_quantity", "p_size")
+    told = trees.attribute(trees.Ensemble(GIVEN_FEATURES, GIVEN_TREES), rows)
+    values = ["prediction", "base", *[f"part_{f}" for f in GIVEN_FEATURES]]
+    return told.select(*L.ML_KEYS, *[F.round(v, 6).alias(v) for v in values])
+
+
+ONE_TREE = leafwise.LeafwiseParams(n_trees=1, learning_rate=0.5, max_leaves=3, max_depth=2, min_rows=20, l2=1.0)
+FIVES = {c: [float(v) for v in range(5, 50, 5)] for c in ("l_quantity", "p_size")}
+
+
+def q_leafwise_tree(spark, sf_dir):
+    """M3: the nodes of one leaf-wise tree with given bins."""
+    grown = leafwise.train_leafwise(_given_frame(spark, sf_dir), list(FIVES), "target", ONE_TREE, FIVES)
+    nodes = grown.frame(spark).where("tree >= 0")
+    names = F.array(*[F.lit(f) for f in FIVES])
+    split = F.col("feature") >= 0
+    return nodes.select(
+        "node",
+        F.when(split, F.element_at(names, F.col("feature") + 1)).alias("feature"),
+        F.when(split, F.round("threshold", 6)).alias("threshold"),
+        F.when(split, F.round(F.sqrt(F.col("gain") / F.col("cover")), 4)).alias("gain"),
+        F.when(~split, F.round("value", 6)).alias("value"),
+        F.col("cover").cast("long").alias("cover"),
+    )
+
+
+LEAFWISE = leafwise.LeafwiseParams(n_trees=10, learning_rate=0.3)
+
+
+def q_leafwise_scores(spark, sf_dir):
+    """M3-M5 with the leaf-wise learner (ten trees): scores of both parts."""
+    data, features = L.encoded_frame(_given_frame(spark, sf_dir), L.ML_KEYS, L.ML_STRINGS, L.ML_NUMBERS, P)
+    ensemble = leafwise.train_leafwise(data.where(~F.col("is_test")), features, "target", LEAFWISE)
+    scored = trees.predict(ensemble, data).withColumn("dataset", F.when(F.col("is_test"), "test").otherwise("train"))
+    return ml.regression_scores(scored, "target", "dataset")
+
+
 FEW_TREES = dataclasses.replace(P, n_trees=5)
 
 
@@ -469,6 +541,10 @@ QUERIES: dict[str, Query] = {
     "gbt_predict": q_gbt_predict,
     "model_scores": q_model_scores,
     "feature_importance": q_feature_importance,
+    "tree_attribution": q_tree_attribution,
+    "tree_attribution_fixed": q_tree_attribution_fixed,
+    "leafwise_tree": q_leafwise_tree,
+    "leafwise_scores": q_leafwise_scores,
     "prediction_counts": q_prediction_counts,
     "prediction_report": q_prediction_report,
     "regression_report": q_regression_report,
