@@ -89,3 +89,54 @@ def test_multiset_counts_matter():
     few, many = "a b c d e " * 2, "a b c d e " * 40
     x, y = B.occurrence_hashes(few), B.occurrence_hashes(many)
     assert len(set(x) & set(y)) == len(x) == 6 and len(y) == 196
+
+
+def classes_of(links):
+    label = {}
+    for a, b in links:
+        label.setdefault(a, a), label.setdefault(b, b)
+    changed = True
+    while changed:
+        changed = False
+        for a, b in links:
+            low = min(label[a], label[b])
+            changed |= (label[a], label[b]) != (low, low)
+            label[a] = label[b] = low
+    return label
+
+
+def test_connected_parts_of_chains_stars_and_cliques(spark):
+    r = random.Random(4)
+    names = r.sample(range(-(10**12), 10**12), 400)
+    links = [(names[i], names[i + 1]) for i in range(60)]  # a chain in any order of ids
+    links += [(names[100], n) for n in names[101:160]] + [(a, b) for a in names[200:215] for b in names[200:215] if a != b]
+    links += [(r.choice(names[300:]), r.choice(names[300:])) for _ in range(70)]
+    links = [(a, b) for a, b in links if a != b]
+    frame = spark.createDataFrame(links, "a long, b long")
+    assert {x.id: x.label for x in B.connected(frame).collect()} == classes_of(links)
+    # in three rounds, each joining the classes of those before
+    labels = None
+    for part in (links[::3], links[1::3], links[2::3]):
+        labels = B.joined_classes(labels, spark.createDataFrame(part, "a long, b long"))
+    assert {x.id: x.label for x in labels.collect()} == classes_of(links)
+    assert B.connected(frame.limit(0)).count() == 0
+
+
+def test_bitmaps_bound_what_two_texts_share():
+    r = random.Random(6)
+    for n in (3, 80, 900, 6000):
+        base = words(n, n).split()
+        other = [w if r.random() < 0.9 else f"x{r.randrange(10**6)}" for w in base]
+        x, y = B.occurrence_hashes(" ".join(base)), B.occurrence_hashes(" ".join(other))
+        shared = len(set(x.tolist()) & set(y.tolist()))
+        lacks = [sum(int(v).bit_count() for v in (p & ~q).view(np.uint64)) for p, q in ((B.bitmap(x), B.bitmap(y)), (B.bitmap(y), B.bitmap(x)))]
+        assert shared <= min(len(x) - lacks[0], len(y) - lacks[1])
+        if n == 900:  # and closely so
+            assert min(len(x) - lacks[0], len(y) - lacks[1]) < shared + 0.25 * (len(x) - shared)
+
+
+def test_large_buckets_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(B, "SALT_MEMBERS", 4)
+    texts = near_corpus(8, groups=2, copies=40)
+    docs = spark.createDataFrame([(i, t) for i, t in texts.items()], "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in B.near_classes(docs).collect()} == brute(texts)

@@ -16,15 +16,21 @@ texts that agree in a band are candidates, and candidates are verified on their
 exact multisets. In each bucket all members are compared with one centre, the
 text in the largest company, then with more in the next rounds, until every
 bucket lies within one class: a centre's comparisons are complete once made.
-A pair is spared only if an exact bound says that it is too far: two texts have
-in common at most what each of them shares with any open text. So no link is
-left out, yet a bucket of thousands of near copies costs about one comparison
-each. Classes are the connected parts of the graph of verified links.
+A pair that shares several buckets is taken in the first of them. It is spared
+only if both texts are in one class by then or an exact bound says that they
+are too far: every text has a bitmap of its shingles' hashes, a bit that one
+text has and the other lacks stands for a shingle that they do not share, and
+so two texts share at most their size less the number of such bits. So no link
+is left out, yet a bucket of thousands of near copies costs about one exact
+comparison each. Classes are the connected parts of the graph of verified
+links; each round's links join the classes found so far, never the texts again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pandas as pd
@@ -37,6 +43,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 25
 ROWS = 5
+BITMAP_LONGS = 32  # 2,048 bits: telling for texts of up to some 1,000 shingles, an exact bound for all
+SALT_MEMBERS = 1024  # members of a bucket that meet its centres in one task
 SEED = np.uint64(0x5DEECE66D1234567)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -163,32 +171,63 @@ def occurrence_hashes(text: str | None) -> np.ndarray:
     return _mixed(hashes + _GOLDEN * number).view(np.int64)
 
 
+def bitmap(items: np.ndarray) -> np.ndarray:
+    """One bit for each hash of ``items``, by its leading bits, as 64-bit integers."""
+    bits = np.zeros(64 * BITMAP_LONGS, dtype=np.uint8)
+    bits[items.view(np.uint64) >> np.uint64(64 - (64 * BITMAP_LONGS - 1).bit_length())] = 1
+    return np.packbits(bits).view(np.int64)
+
+
 def connected(links: DataFrame) -> DataFrame:
     """``id, label``: the smallest id of each connected part of ``a, b`` links.
 
-    Labels spread along links and jump to their label's label until nothing
-    changes; every step is a partial minimum, so an id with thousands of links
-    is spread like any other.
+    Every id hooks to its smallest neighbour by one aggregation, labels jump to
+    their label's label, and the links are carried over to labels, where
+    those within a label go. Each pass at least halves the ids that are left,
+    so a clique or a star of thousands is one pass, and an id with thousands of
+    links is a partial minimum like any other.
     """
-    both = stored(links.select("a", "b").union(links.select("b", "a")).distinct(), "near_links")
-    labels = stored(both.groupBy(F.col("a").alias("id")).agg(F.least(F.col("id"), F.min("b")).alias("label")), "near_labels")
+    # Smallest end first: what is left of a link between two labels is one row.
+    edges = stored(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), "near_edges")
+    labels: DataFrame | None = None
     while True:
-        other = labels.select(F.col("id").alias("other"), F.col("label").alias("l"))
-        spread = both.join(other, both["b"] == other["other"]).groupBy(F.col("a").alias("n")).agg(F.min("l").alias("near"))
-        jump = labels.select(F.col("id").alias("j"), F.col("label").alias("far"))
-        step = labels.join(spread, labels["id"] == spread["n"], "left").select(
-            "id", F.col("label").alias("old"), F.least("label", F.coalesce("near", "label")).alias("label")
-        )
-        step = step.join(jump, step["label"] == jump["j"], "left").select(
-            "id", F.least("label", F.coalesce("far", "label")).alias("label"), "old"
-        )
-        step = stored(step, "near_labels")
-        changed = step.where(F.col("label") < F.col("old")).limit(1).count()
-        labels = step.select("id", "label")
-        if not changed:
+        both = edges.select("a", "b").union(edges.select("b", "a"))
+        hooked = both.groupBy(F.col("a").alias("id")).agg(F.least(F.col("id"), F.min("b")).alias("label"))
+        hooked = stored(hooked, "near_hooked")
+        above = hooked.select(F.col("id").alias("j"), F.col("label").alias("far"))
+        step = stored(hooked.join(above, hooked["label"] == above["j"]).select("id", F.col("far").alias("label")), "near_step")
+        labels = step if labels is None else stored(_moved(labels, step), "near_labels")
+        ends = edges.join(_named(step, "a", "la"), "a").join(_named(step, "b", "lb"), "b")
+        ends = ends.where("la <> lb").select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")).distinct()
+        edges = stored(ends, "near_edges")
+        if edges.limit(1).count() == 0:
             return labels
 
 
+def _named(labels: DataFrame, id: str, label: str) -> DataFrame:
+    return labels.select(F.col("id").alias(id), F.col("label").alias(label))
+
+
+def _moved(labels: DataFrame, step: DataFrame) -> DataFrame:
+    """``labels`` after their labels were given the labels of ``step``."""
+    far = labels.join(_named(step, "at", "to"), labels["label"] == F.col("at"), "left")
+    return far.select("id", F.coalesce("to", "label").alias("label"))
+
+
+def joined_classes(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``id, label`` after new ``a, b`` links, given that of the links before.
+
+    The new links are carried over to the classes of their ends, so that only a
+    link between two classes, or to a text without one, is followed.
+    """
+    if labels is None:
+        return connected(links)
+    ends = links.join(_named(labels, "a", "la"), "a", "left").join(_named(labels, "b", "lb"), "b", "left")
+    step = connected(ends.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")))
+    new = step.join(labels.select("id"), "id", "left_anti")
+    return stored(_moved(labels, step).unionByName(new), "near_labels")
+
+
 def text_ids(docs: DataFrame) -> tuple[DataFrame, int]:
     """``doc_id, text_id, worded`` of every row, and the seed of the ids.
 
@@ -215,11 +254,10 @@ def text_id(seed: int, column: str = "text"):
 
 
 def near_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``doc_id, class_id, copy_of, links`` for every row of ``doc_id, text``.
+    """``doc_id, class_id, copy_of`` for every row of ``doc_id, text``.
 
     ``class_id`` is the smallest id in the row's class, ``copy_of`` the
-    smallest id with the same text, ``links`` the number of other texts that
-    the row's text was verified to be near (of candidates compared).
+    smallest id with the same text.
 
     Defined results: a null or empty text or one of white space alone is a
     class of its own (both ids are the row's own); texts of fewer than five
@@ -232,15 +270,13 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = B
 
 
 def _placed(docs: DataFrame, similarity: float, bands: int, rows: int) -> tuple[DataFrame, DataFrame, int]:
-    """Rows with their classes; ``text_id, class_id, copy_of, links`` of worded texts; the seed."""
+    """Rows with their classes; ``text_id, class_id, copy_of`` of worded texts; the seed."""
     prepare(docs.sparkSession)
     members, seed = text_ids(docs)
     firsts = members.where("worded").groupBy("text_id").agg(F.min("doc_id").alias("copy_of"))
-    linked, labels = _linked_texts(docs.select(text_id(seed).alias("uid"), "text"), similarity, bands, rows)
-    degree = linked.select(F.col("a").alias("lid")).union(linked.select("b")).groupBy("lid").agg(F.count("*").alias("links"))
-    known = labels.join(degree, labels["id"] == degree["lid"], "left").select("id", "label", "links")
-    named = firsts.join(known, firsts["text_id"] == known["id"], "left").select(
-        "text_id", "copy_of", F.coalesce("label", "text_id").alias("label"), F.coalesce("links", F.lit(0)).alias("links")
+    labels = _text_classes(docs.select(text_id(seed).alias("uid"), "text"), similarity, bands, rows)
+    named = firsts.join(labels, firsts["text_id"] == labels["id"], "left").select(
+        "text_id", "copy_of", F.coalesce("label", "text_id").alias("label")
     )
     named = stored(named, "near_named")
     order = F.struct(F.coalesce("copy_of", F.lit((1 << 63) - 1)).alias("o"), F.col("text_id").alias("t"))
@@ -248,13 +284,12 @@ def _placed(docs: DataFrame, similarity: float, bands: int, rows: int) -> tuple[
         F.min("copy_of").alias("class_id"), F.min(order)["t"].alias("first_tid")
     )
     classes = named.join(ids, named["label"] == ids["class_label"]).select(
-        F.col("text_id").alias("tid"), "class_id", "copy_of", "links", (F.col("text_id") == F.col("first_tid")).alias("first")
+        F.col("text_id").alias("tid"), "class_id", "copy_of", (F.col("text_id") == F.col("first_tid")).alias("first")
     )
     classes = stored(classes, "near_classes")
     found = members.join(classes, F.when(F.col("worded"), F.col("text_id")) == F.col("tid"), "left")
     own = lambda c: F.when(F.col("worded"), F.col(c)).otherwise(F.col("doc_id")).alias(c)
-    placed = found.select("doc_id", own("class_id"), own("copy_of"), F.coalesce("links", F.lit(0)).alias("links"))
-    return placed, classes, seed
+    return found.select("doc_id", own("class_id"), own("copy_of")), classes, seed
 
 
 def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -278,8 +313,8 @@ def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands:
     return kept.select("row.*").unionByName(packed.where(~F.col("worded")).select("row.*"))
 
 
-def _linked_texts(texts_by_id: DataFrame, similarity: float, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
-    """Verified links ``a, b`` between different texts, and ``id, label`` of all that are linked."""
+def _text_classes(texts_by_id: DataFrame, similarity: float, bands: int, rows: int) -> DataFrame:
+    """``id, label`` of all texts that are linked to another; the links are verified."""
 
     def keys(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
@@ -288,62 +323,66 @@ def _linked_texts(texts_by_id: DataFrame, similarity: float, bands: int, rows: i
             yield pd.Series(out, dtype=object)
 
     keyed = texts_by_id.select("uid", F.pandas_udf(keys, "array<long>")("text").alias("keys"))
-    buckets = keyed.select(F.posexplode("keys").alias("band", "key"), "uid").distinct()
-    buckets = stored(buckets, "near_buckets")
+    # Copies of a text have its keys: they meet here, before the keys are spread.
+    keyed = stored(keyed.where(F.size("keys") > 0).dropDuplicates(["uid"]), "near_keys")
+    buckets = keyed.select(F.posexplode("keys").alias("band", "key"), "uid")
     shared = buckets.groupBy("band", "key").agg(F.count("*").alias("members")).where(F.col("members") > 1)
     buckets = stored(buckets.join(shared, ["band", "key"]), "near_shared")
 
-    candidates = buckets.select(F.col("uid").alias("text_uid")).distinct()
-    texts = texts_by_id.join(candidates, F.col("uid") == F.col("text_uid"), "left_semi").dropDuplicates(["uid"])
+    candidates = buckets.groupBy("uid").agg(F.sum("members").alias("weight"))
+    texts = texts_by_id.join(candidates.select("uid"), "uid", "left_semi").dropDuplicates(["uid"])
 
-    def sets(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def sets(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.Series([occurrence_hashes(t) for t in batch], dtype=object)
+            items = [occurrence_hashes(t) for t in batch]
+            yield pd.DataFrame({"items": items, "bits": [bitmap(x) for x in items]})
 
-    multisets = texts.select("uid", F.pandas_udf(sets, "array<long>")("text").alias("items"))
-    multisets = stored(multisets, "near_multisets")
+    told = texts.select("uid", F.pandas_udf(sets, "items array<long>, bits array<long>")("text").alias("t"))
+    multisets = stored(told.select("uid", "t.items", "t.bits"), "near_multisets")
 
-    links: DataFrame | None = None
-    degree = buckets.groupBy(F.col("uid").alias("of")).agg(F.sum("members").cast("double").alias("weight"))
-    unknown = F.lit(None).cast("long")
-    open_buckets = buckets.join(degree, F.col("uid") == F.col("of")).select(
-        "band", "key", "uid", "members", "weight", F.col("uid").alias("label"), unknown.alias("size"), unknown.alias("common")
-    )
+    known = multisets.select("uid", F.size("items").alias("size"), "bits").join(keyed, "uid").join(candidates, "uid")
+    open_buckets = buckets.join(known, "uid").withColumn("label", F.col("uid"))
+    labels: DataFrame | None = None
     centres_wanted, number = 1.0, 0
     while True:
         # The member of most weight of each bucket, and a few others by a hash of this round.
         drawn = F.xxhash64("uid", "band", F.lit(number)).bitwiseAND(F.lit((1 << 30) - 1)) / F.lit(float(1 << 30))
-        first = open_buckets.groupBy("band", "key").agg(F.max(F.struct(F.col("weight"), F.col("uid").alias("u"))).alias("f"))
-        first = first.select(F.col("band").alias("fb"), F.col("key").alias("fk"), F.col("f.u").alias("first"))
-        ranked = open_buckets.join(first, (F.col("band") == F.col("fb")) & (F.col("key") == F.col("fk")))
+        open_buckets = stored(open_buckets, "near_open")
+        first = open_buckets.groupBy("band", "key").agg(F.max(F.struct("weight", "uid")).alias("f"))
+        first = first.select("band", "key", F.col("f.uid").alias("first"))
         centre = (F.col("uid") == F.col("first")) | (drawn < (centres_wanted - 1) / F.col("members"))
-        ranked = stored(ranked.select(*open_buckets.columns, centre.alias("centre")), "near_round")
-        centres = ranked.where("centre").select(
-            F.col("band").alias("cb"), F.col("key").alias("ck"), F.col("uid").alias("c"), F.col("label").alias("cl"),
-            F.col("size").alias("cs"), F.col("common").alias("cc"),
-        )
-        # What two texts have in common is at most what each has in common with any other.
-        most = F.least("common", "cc")
-        possible = F.coalesce(most >= F.lit(similarity) * (F.col("size") + F.col("cs") - most) - F.lit(1e-6), F.lit(True))
-        pairs = ranked.join(
-            centres,
-            (F.col("band") == F.col("cb")) & (F.col("key") == F.col("ck")) & (F.col("label") != F.col("cl")) & possible,
-        ).select(F.least("uid", "c").alias("a"), F.greatest("uid", "c").alias("b"))
-        pairs = stored(pairs.distinct(), "near_pairs")
-        fresh = stored(_verified(pairs, multisets, similarity), "near_verified")
-        links = fresh if links is None else links.union(fresh)
-        labels = connected(links)
-        rest = ranked.where(~F.col("centre")).drop("centre", "label")
-        rest = rest.join(labels.withColumnRenamed("id", "lid"), F.col("uid") == F.col("lid"), "left")
-        rest = rest.withColumn("label", F.coalesce("label", "uid")).drop("lid")
-        open_buckets = stored(_unsettled(rest), "near_open")
-        if number == 0:
-            open_buckets = _measured(open_buckets, multisets)
-        open_buckets = stored(_unsettled(_viable(open_buckets, similarity)), "near_open")
+        ranked = open_buckets.join(first, ["band", "key"]).withColumn("centre", centre).drop("first")
+        ranked = stored(ranked, "near_round")
+        pairs = stored(_pairs(ranked, similarity, bands).distinct(), "near_pairs")
+        labels = joined_classes(labels, stored(_verified(pairs, multisets, similarity), "near_verified"))
+        rest = ranked.where(~F.col("centre")).drop("centre", "label").join(_named(labels, "uid", "label"), "uid", "left")
+        open_buckets = _unsettled(rest.withColumn("label", F.coalesce("label", "uid")))
         number += 1
         centres_wanted *= 4
         if open_buckets.limit(1).count() == 0:
-            return links, labels
+            return labels
+
+
+def _pairs(ranked: DataFrame, similarity: float, bands: int) -> DataFrame:
+    """``a, b``: members of a bucket with its centres, of different classes, that may be near.
+
+    A large bucket's members are dealt out by a hash of their id, and each
+    part meets the centres.
+    """
+    salts = F.ceil(F.col("members") / SALT_MEMBERS)
+    members = ranked.withColumn("salt", F.pmod(F.xxhash64("uid"), salts))
+    centres = ranked.where("centre").select(
+        F.col("band").alias("cb"), F.col("key").alias("ck"), F.col("uid").alias("c"), F.col("label").alias("cl"),
+        F.col("size").alias("csize"), F.col("bits").alias("cbits"), F.col("keys").alias("ckeys"),
+        F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("cs"),
+    )
+    met_before = reduce(or_, [(F.col("band") > j) & (F.col("keys")[j] == F.col("ckeys")[j]) for j in range(bands)])
+    lacks = lambda x, y: sum(F.bit_count(F.col(x)[i].bitwiseAND(F.bitwise_not(F.col(y)[i]))) for i in range(BITMAP_LONGS))
+    most = F.least(F.col("size") - lacks("bits", "cbits"), F.col("csize") - lacks("cbits", "bits"))
+    viable = most >= F.lit(similarity) * (F.col("size") + F.col("csize") - most) - F.lit(1e-6)
+    met = (F.col("band") == F.col("cb")) & (F.col("key") == F.col("ck")) & (F.col("salt") == F.col("cs"))
+    pairs = members.join(centres, met & (F.col("label") != F.col("cl")) & ~met_before & viable)
+    return pairs.select(F.least("uid", "c").alias("a"), F.greatest("uid", "c").alias("b"))
 
 
 def _unsettled(members: DataFrame) -> DataFrame:
@@ -352,33 +391,6 @@ def _unsettled(members: DataFrame) -> DataFrame:
     return members.join(apart.where(F.col("lo") != F.col("hi")).select("band", "key"), ["band", "key"])
 
 
-def _measured(members: DataFrame, multisets: DataFrame) -> DataFrame:
-    """Adds each text's ``size`` and how much of it is ``common``: found in any other
-    text that is still open. Texts made up of common parts make the best centres."""
-    open_texts = members.select(F.col("uid").alias("open_uid")).distinct()
-    items = multisets.join(open_texts, F.col("uid") == F.col("open_uid"), "left_semi")
-    each = items.select("uid", F.explode("items").alias("item"))
-    met = each.groupBy(F.col("item").alias("met")).agg(F.count("*").alias("n")).where(F.col("n") > 1)
-    common = each.join(met, F.col("item") == F.col("met")).groupBy(F.col("uid").alias("cu")).agg(F.count("*").alias("found"))
-    sizes = items.select(F.col("uid").alias("su"), F.size("items").cast("long").alias("n_items"))
-    known = sizes.join(common, F.col("su") == F.col("cu"), "left").select(
-        "su", "n_items", F.coalesce("found", F.lit(0)).alias("found")
-    )
-    joined = members.drop("size", "common", "weight").join(known, F.col("uid") == F.col("su"))
-    joined = joined.withColumnsRenamed({"n_items": "size", "found": "common"}).drop("su")
-    return joined.withColumn("weight", F.col("common") / F.col("size")).select(*members.columns)
-
-
-def _viable(members: DataFrame, similarity: float) -> DataFrame:
-    """Without the texts that cannot be near any other of their bucket: even a partner
-    of the smallest size there that holds all the common part would be too far."""
-    least = members.groupBy(F.col("band").alias("lb"), F.col("key").alias("lk")).agg(F.min("size").alias("least"))
-    joined = members.join(least, (F.col("band") == F.col("lb")) & (F.col("key") == F.col("lk")))
-    partner = F.greatest(F.col("least"), F.col("size") * F.lit(similarity))
-    far = F.col("common") < F.lit(similarity) * (F.col("size") + partner - F.col("common")) - F.lit(1e-6)
-    return joined.where(~far).select(*members.columns)
-
-
 def _verified(pairs: DataFrame, multisets: DataFrame, similarity: float) -> DataFrame:
     """The pairs whose multisets have at least this weighted Jaccard index."""
     one = multisets.select(F.col("uid").alias("ua"), F.col("items").alias("xa"))
