@@ -295,3 +295,60 @@ def test_null_keys_and_key_types_are_kept(spark):
     assert dict(fc.dtypes)["k"] == "int"
     assert sorted(((r.k or 0), r.status) for r in fc.collect()) == [(0, "ok")] * 2 + [(7, "ok")] * 2
     assert forecast.arima_forecast(df.where("k = 99"), dt.date(2024, 1, 31), 2, "v", keys=["k"]).count() == 0
+
+
+def test_score_recursion_equals_differences():
+    rng = np.random.default_rng(2)
+    w = np.zeros((3, 60))
+    n = np.array([60, 41, 7])
+    for i, k in enumerate(n):
+        w[i, :k] = rng.normal(size=k)
+    phi, theta = rng.uniform(-0.9, 0.9, (3, 4)), rng.uniform(-0.9, 0.9, (3, 4))
+    by_phi, by_theta = arima.score_many(w, n, phi, theta)
+    h = 1e-6
+    for got, dp, dt_ in ((by_phi, h, 0.0), (by_theta, 0.0, h)):
+        f = [arima.neg_profile_loglik_many(w, n, phi + s * dp, theta + s * dt_) for s in (1, -1)]
+        assert np.allclose(got, (f[0] - f[1]) / (2 * h), rtol=1e-5, atol=1e-4)
+
+
+def test_newton_steps_reach_a_stationary_point():
+    rng = np.random.default_rng(7)
+    n = np.array([400, 300, 200, 90, 40])
+    w = np.zeros((5, 400))
+    for i, (k, p, t) in enumerate(zip(n, (0.6, -0.4, 0.2, 0.8, 0.0), (0.3, 0.5, -0.6, 0.1, 0.7))):
+        z = rng.normal(size=k + 1)
+        for j in range(k):
+            w[i, j] = p * (w[i, j - 1] if j else 0.0) + z[j + 1] + t * z[j]
+    start = np.zeros(5), np.zeros(5)
+    phi, theta = arima.newton_steps(w, n, *start, True, True)
+    best = arima.neg_profile_loglik_many(w, n, phi[:, None], theta[:, None])[:, 0]
+    grid_phi, grid_theta = arima.fit_arma11_many(w, n, True, True)
+    on_grid = arima.neg_profile_loglik_many(w, n, grid_phi[:, None], grid_theta[:, None])[:, 0]
+    assert (best <= arima.neg_profile_loglik_many(w, n, *(s[:, None] for s in start))[:, 0] + 1e-12).all()
+    inside = (np.abs(grid_phi) < 0.98) & (np.abs(grid_theta) < 0.98)
+    scores = np.stack(arima.score_many(w, n, grid_phi[:, None], grid_theta[:, None]))[:, :, 0]
+    assert inside.sum() >= 3 and (np.abs(scores[:, inside]) < 1e-4).all() and (on_grid <= best + 1e-6).all()
+    only = arima.newton_steps(w, n, *start, True, False)
+    assert not only[1].any() and np.abs(only[0]).max() > 0.1
+
+
+def test_certificate_tells_a_fit_from_a_miss(spark):
+    rng = np.random.default_rng(9)
+    z = rng.normal(size=301)
+    w = np.zeros(300)
+    for j in range(300):
+        w[j] = 0.5 * (w[j - 1] if j else 0.0) + z[j + 1] + 0.3 * z[j]
+    y = np.concatenate([[10.0], 10.0 + np.cumsum(w)])
+    start = dt.date(2023, 1, 1)
+    rows = [("B1", k, start + dt.timedelta(days=i), float(v)) for k in (None, "X") for i, v in enumerate(y)]
+    series = spark.createDataFrame(rows, "branch string, ite_desc_std string, date date, quantity_cap double")
+    end = dt.date(2024, 6, 30)
+    fits = forecast.arima_forecast(series, end, 3, "quantity_cap")
+    told = forecast.certify_arma11(series, fits, end, "quantity_cap", [-0.5, 0.0, 0.5]).collect()
+    assert len(told) == 2 and all(r.beats_grid and r.better_neighbours == 0 and r.n_diffs == 300 for r in told)
+    grid = np.array([[p, t] for p in (-0.5, 0.0, 0.5) for t in (-0.5, 0.0, 0.5)])
+    want = arima.neg_profile_loglik(w, grid[:, 0], grid[:, 1]).min()
+    assert told[0].grid_best == pytest.approx(want, abs=1e-6)
+    off = fits.selectExpr("branch", "ite_desc_std", "date", "forecast", "status", "-0.2D as phi", "0.1D as theta")
+    missed = forecast.certify_arma11(series, off, end, "quantity_cap", [-0.5, 0.0, 0.5]).collect()
+    assert not any(r.beats_grid for r in missed) and all(r.better_neighbours > 0 for r in missed)

@@ -15,7 +15,9 @@ Gaussian likelihood comes from the innovations recursion for ARMA(1,1)
     x_{t+1} = phi*w_t + (theta / r) * e_t;  r <- 1 + theta^2 - theta^2 / r
 
 and ``n*ln(S/n) + L`` is minimised over a (phi, theta) grid that is
-refined around the best point a few times: deterministic and robust.
+refined around the best point a few times, deterministic and robust, and then
+by Newton steps: the recursion is differentiated along with itself (the score
+recursion), and a step counts only where the likelihood rises.
 Forecasts: ``w_{T+h} = phi^(h-1) * x_{T+1}``, then undo the difference.
 
 Other orders use the same concentrated likelihood computed by a Kalman
@@ -34,6 +36,8 @@ GRID = 15
 ZOOMS = 5
 LIMIT = 0.99
 MIN_DIFFS = 3
+NEWTON_STEPS = 12
+SCORE_STEP = 1e-5
 
 STATUS_OK = "ok"
 STATUS_FLAT = "flat"
@@ -143,7 +147,78 @@ def fit_arma11_many(w: np.ndarray, n: np.ndarray, use_phi: bool, use_theta: bool
         rows = np.arange(S)
         c_phi, c_th = pp[rows, i], tt[rows, i]
         half = 2.0 * half / (GRID - 1)
-    return c_phi, c_th
+    return newton_steps(w, n, c_phi, c_th, use_phi, use_theta)
+
+
+def score_many(w: np.ndarray, n: np.ndarray, phi: np.ndarray, theta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Derivatives of ``n*ln(S/n) + L`` by phi and by theta; layout as ``neg_profile_loglik_many``.
+
+    Every quantity of the recursion carries its two derivatives.
+    """
+    th2, gap = theta * theta, 1.0 - phi * phi
+    top = 1.0 + 2.0 * theta * phi + th2
+    r, r_p, r_t = top / gap, (2.0 * theta * gap + 2.0 * phi * top) / (gap * gap), 2.0 * (phi + theta) / gap
+    x, x_p, x_t, s, s_p, s_t, l_p, l_t = (np.zeros_like(phi) for _ in range(8))
+    live = _live_counts(n, w.shape[1])
+    for t in range(w.shape[1]):
+        k = live[t]
+        wt, th, q = w[:k, t : t + 1], theta[:k], th2[:k]
+        rk, rp, rt = r[:k], r_p[:k], r_t[:k]
+        e, ep, et = wt - x[:k], -x_p[:k], -x_t[:k]
+        s[:k] += e * e / rk
+        s_p[:k] += (2.0 * ep - e * rp / rk) * e / rk
+        s_t[:k] += (2.0 * et - e * rt / rk) * e / rk
+        l_p[:k] += rp / rk
+        l_t[:k] += rt / rk
+        gain = th / rk
+        x[:k] = phi[:k] * wt + gain * e
+        x_p[:k] = wt - gain * rp / rk * e + gain * ep
+        x_t[:k] = (1.0 - gain * rt) / rk * e + gain * et
+        r[:k], r_p[:k], r_t[:k] = 1.0 + q - q / rk, q * rp / (rk * rk), 2.0 * th - 2.0 * gain + q * rt / (rk * rk)
+    nn = n[:, None].astype(float)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return nn * s_p / s + l_p, nn * s_t / s + l_t
+
+
+def newton_steps(
+    w: np.ndarray, n: np.ndarray, phi: np.ndarray, theta: np.ndarray, use_phi: bool, use_theta: bool
+) -> tuple[np.ndarray, np.ndarray]:
+    """Newton steps from a good start, all series at once.
+
+    The second derivatives are differences of the score. Where they do not
+    curve upwards the score alone gives the direction. Of the full step and its
+    halves the best is taken if it is better than staying.
+    """
+    at = np.stack([phi, theta])
+    used = [i for i, u in enumerate((use_phi, use_theta)) if u]
+    for _ in range(NEWTON_STEPS):
+        points = np.repeat(at[:, :, None], 1 + 2 * len(used), axis=2)
+        for j, i in enumerate(used):
+            points[i, :, 1 + 2 * j] += SCORE_STEP
+            points[i, :, 2 + 2 * j] -= SCORE_STEP
+        score = np.stack(score_many(w, n, *np.clip(points, -LIMIT, LIMIT)))[used]
+        width = np.stack([np.clip(at[i] + SCORE_STEP, -LIMIT, LIMIT) - np.clip(at[i] - SCORE_STEP, -LIMIT, LIMIT) for i in used])
+        curve = np.stack([(score[:, :, 1 + 2 * j] - score[:, :, 2 + 2 * j]) / width[j] for j in range(len(used))])
+        curve = (curve + curve.transpose(1, 0, 2)) / 2
+        here = score[:, :, 0]
+        if len(used) == 2:
+            det = curve[0, 0] * curve[1, 1] - curve[0, 1] ** 2
+            upward = (det > 1e-9) & (curve[0, 0] > 0)
+            safe = np.where(upward, det, 1.0)
+            step = -np.stack([curve[1, 1] * here[0] - curve[0, 1] * here[1], curve[0, 0] * here[1] - curve[0, 1] * here[0]]) / safe
+        else:
+            upward = curve[0, 0] > 1e-9
+            step = -here / np.where(upward, curve[0, 0], 1.0)
+        step = np.where(upward & np.isfinite(step).all(axis=0), step, -here / (1e-9 + np.abs(here).sum(axis=0)) * 1e-3)
+        move = np.zeros_like(at)
+        move[used] = np.nan_to_num(step)
+        tried = np.clip(at[:, :, None] + move[:, :, None] * np.array([0.0, *(0.5**k for k in range(10))]), -LIMIT, LIMIT)
+        f = neg_profile_loglik_many(w, n, *tried)
+        best = np.argmin(np.where(np.isfinite(f), f, np.inf), axis=1)
+        at = tried[:, np.arange(len(w)), best]
+        if not best.any():
+            break
+    return at[0], at[1]
 
 
 def fit_arma11(w: np.ndarray, use_phi: bool, use_theta: bool) -> tuple[float, float]:

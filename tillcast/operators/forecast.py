@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillcast.config import DATE_COL, SERIES_KEYS
@@ -266,3 +268,71 @@ def arima_forecast(
 def scored_only(forecasts: DataFrame) -> DataFrame:
     """Forecasts of series that were really fitted: flat and failed ones do not count."""
     return forecasts.where(F.col("status") == arima.STATUS_OK)
+
+
+def arma_objective(w: Column, phi: Column, theta: Column) -> Column:
+    """``n*ln(S/n) + L`` of an array of differences in order: the exact Gaussian likelihood of
+    an ARMA(1,1), by the same recursion as ``arima`` but as an expression."""
+    start = F.struct(
+        F.lit(0.0).alias("s"), F.lit(0.0).alias("l"), F.lit(0.0).alias("x"),
+        ((1 + 2 * theta * phi + theta * theta) / (1 - phi * phi)).alias("r"),
+    )
+
+    def step(a, v):
+        e = v - a["x"]
+        return F.struct(
+            (a["s"] + e * e / a["r"]).alias("s"), (a["l"] + F.log(a["r"])).alias("l"),
+            (phi * v + theta / a["r"] * e).alias("x"), (1 + theta * theta - theta * theta / a["r"]).alias("r"),
+        )
+
+    n = F.size(w).cast("double")
+    return F.aggregate(w, start, step, lambda a: n * F.log(a["s"] / n) + a["l"])
+
+
+def certify_arma11(
+    series: DataFrame,
+    forecasts: DataFrame,
+    train_end: dt.date,
+    value: str,
+    grid: Sequence[float],
+    step: float = 0.01,
+    keys: Sequence[str] = SERIES_KEYS,
+    date_col: str = DATE_COL,
+    tolerance: float = 1e-6,
+) -> DataFrame:
+    """Whether each fitted ARIMA(1,1,1) is a maximum of its likelihood.
+
+    One row a fitted series: ``n_diffs``; ``grid_best``, the least objective over
+    all pairs of ``grid`` values; ``beats_grid``, whether the fit is as good as
+    that; ``better_neighbours``, how many of the four points ``step`` beside the
+    fit are better. The likelihood is evaluated by an expression of its own
+    (``arma_objective``), not by the fit's code.
+    """
+    keys = list(keys)
+    train = series.where((F.col(date_col) <= F.lit(train_end)) & F.col(value).isNotNull())
+    # A series is one value a day; its list is what a window over it would hold.
+    gathered = train.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(date_col, value))).alias("_rows"))
+    values = F.transform("_rows", lambda r: r[value].cast("double"))
+    diffs = F.zip_with(F.slice("_v", 2, F.greatest(F.size("_v") - 1, F.lit(0))), F.slice("_v", 1, F.greatest(F.size("_v") - 1, F.lit(0))), lambda a, b: a - b)
+    arrays = gathered.select(*[F.col(k).alias(f"_{k}") for k in keys], values.alias("_v")).withColumn("_w", diffs)
+    fits = scored_only(forecasts).groupBy(*keys).agg(F.first("phi").alias("phi"), F.first("theta").alias("theta"))
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    held = fits.join(arrays, same).select(*keys, "phi", "theta", "_w")
+    inside = lambda c, d: F.greatest(F.least(F.col(c) + F.lit(d), F.lit(arima.LIMIT)), F.lit(-arima.LIMIT))
+    point = lambda kind, p, t: F.struct(F.lit(kind).alias("kind"), p.alias("p"), t.alias("t"))
+    points = [point("fit", F.col("phi"), F.col("theta"))]
+    points += [point("beside", inside("phi", d), F.col("theta")) for d in (-step, step)]
+    points += [point("beside", F.col("phi"), inside("theta", d)) for d in (-step, step)]
+    points += [point("grid", F.lit(float(p)), F.lit(float(t))) for p in grid for t in grid]
+    each = held.select(*keys, "_w", F.explode(F.array(*points)).alias("at"))
+    told = each.select(*keys, F.size("_w").alias("n"), F.col("at.kind").alias("kind"), arma_objective(F.col("_w"), F.col("at.p"), F.col("at.t")).alias("f"))
+    told = told.groupBy(*keys).agg(
+        F.max("n").cast("long").alias("n_diffs"),
+        F.min(F.when(F.col("kind") == "grid", F.col("f"))).alias("grid_best"),
+        F.max(F.when(F.col("kind") == "fit", F.col("f"))).alias("_fit"),
+        F.collect_list(F.when(F.col("kind") == "beside", F.col("f"))).alias("_beside"),
+    )
+    better = F.size(F.filter("_beside", lambda f: f < F.col("_fit") - F.lit(tolerance)))
+    return told.select(
+        *keys, "n_diffs", "grid_best", (F.col("_fit") <= F.col("grid_best") + F.lit(tolerance)).alias("beats_grid"), better.alias("better_neighbours")
+    )

@@ -318,8 +318,12 @@ SELECTS: dict[str, str] = {
         from ahead""",
     "arima_random_walk": "select branch, ite_desc_std, date, round(y_last, 2) as forecast, status from ahead",
     "arima_random_walk_evaluation": "select * from walk_scores",
-    "arima_random_walk_listing": """select cast(row_number() over (order by branch, ite_desc_std) as integer) as place,
-          branch, ite_desc_std, mae, n from walk_scores""",
+    "arima_random_walk_listing": f"""select branch || ' | ' || ite_desc_std || ': MAE=' || round(mae::varchar::decimal(38, 10), 2)::varchar
+          || ', MAPE=' || case when mape >= 1e15 then printf('%.5e', mape)
+            else round(mape::varchar::decimal(38, 10), 2)::varchar end || '%' as line
+        from (select branch, ite_desc_std, round(avg(abs(y - f)), 6) as mae,
+                (avg(abs(y - f) / greatest(abs(y), {EPS})) * 100.0)::float::double as mape
+              from walk_pairs group by all)""",
     "csv_mappings": """select 'item' as mapping, ite_desc as name, cat_flag from v_item_map
         union all select 'department', dep_desc, cat_flag from v_dept_map""",
     "csv_daily": "select * from daily_top",
@@ -440,5 +444,68 @@ SELECTS["leafwise_tree"] = f"""select * from (
     )"""
 
 
+# Two-sample distances by plain windows over all rows of a column.
+_DRIFT_NUMBERS = ["quantity", "quantity_cap", "gap", "month", "dayofweek"]
+_DRIFT_TEXTS = ["branch", "ite_desc_std"]
+SELECTS["column_drift"] = f"""select * from (
+      with base as (
+        select *, date <= date '{TRAIN_END}' as ref, case when anomaly then quantity - typical end as gap,
+          month(date) as mm, isodow(date) - 1 as dow from capped_all
+      ), nums as (
+        {" union all ".join(f"select '{c}' as col, ref, {dict(month='mm', dayofweek='dow').get(c, c)}::double as v from base" for c in _DRIFT_NUMBERS)}
+      ), vals as (
+        select col, v, count(*) filter (ref) as r, count(*) filter (not ref) as c from nums where v is not null group by all
+      ), cum as (
+        select *, coalesce(sum(r) over b, 0) as rb, coalesce(sum(c) over b, 0) as cb, sum(r) over w as rn, sum(c) over w as cn from vals
+        window b as (partition by col order by v rows between unbounded preceding and 1 preceding), w as (partition by col)
+      ), gaps as (
+        select *, round(abs((rb + r) / rn - (cb + c) / cn), 12) as g, least((rb * 10) // rn, 9) as bin from cum
+      ), far as (
+        select col, max(rn)::bigint as n_reference, max(cn)::bigint as n_current, max(g) as ks,
+          min(v) filter (g = mg) as ks_at from (select *, max(g) over (partition by col) as mg from gaps) group by col
+      ), bins as (
+        select col, greatest(sum(r) / max(rn), 1e-4) as p, greatest(sum(c) / max(cn), 1e-4) as q from gaps group by col, bin
+      ), texts as (
+        {" union all ".join(f"select '{c}' as col, ref, {c} as v from base" for c in _DRIFT_TEXTS)}
+      ), tvals as (
+        select col, coalesce(v, 'None') as v, count(*) filter (ref) as r, count(*) filter (not ref) as c from texts group by all
+      ), tshare as (
+        select col, greatest(r / sum(r) over (partition by col), 1e-4) as p, greatest(c / sum(c) over (partition by col), 1e-4) as q from tvals
+      ), none as (
+        select col, count(*) filter (ref and v is null) as nr, count(*) filter (not ref and v is null) as nc from nums group by col
+        union all select col, count(*) filter (ref and v is null), count(*) filter (not ref and v is null) from texts group by col
+      )
+      select f.col as "column", n_reference, n_current, nr as nulls_reference, nc as nulls_current, round(ks, 6) as ks, ks_at,
+        (select round(sum((q - p) * ln(q / p)), 6) from bins b where b.col = f.col) as psi
+      from far f join none n on n.col = f.col
+      union all
+      select t.col, t.n_reference, t.n_current, nr, nc, null, null,
+        (select round(sum((q - p) * ln(q / p)), 6) from tshare b where b.col = t.col)
+      from (select col, sum(r)::bigint as n_reference, sum(c)::bigint as n_current from tvals group by col) t join none n on n.col = t.col
+    )"""
+
+# The likelihood by its recursion at every point of the grid, for every series that can be
+# fitted: no fit may be worse than the grid's best, and none has a better neighbour.
+SELECTS["arima_certificate"] = """select * from (
+      with recursive points as (
+        select i.v / 10.0::double as phi, j.v / 10.0::double as theta
+        from (select unnest([-9, -6, -3, 0, 3, 6, 9]) as v) i cross join (select unnest([-9, -6, -3, 0, 3, 6, 9]) as v) j
+      ), walk as (
+        select k.branch, k.ite_desc_std, p.phi, p.theta, 0 as t, 0.0::double as s, 0.0::double as l, 0.0::double as x,
+          (1 + 2 * p.theta * p.phi + p.theta * p.theta) / (1 - p.phi * p.phi) as r
+        from fit_kind k cross join points p where k.status = 'ok'
+        union all
+        select a.branch, a.ite_desc_std, phi, theta, a.t + 1, s + (f.w - x) * (f.w - x) / r, l + ln(r),
+          phi * f.w + theta / r * (f.w - x), 1 + theta * theta - theta * theta / r
+        from walk a join fit_rows f on f.branch = a.branch and f.ite_desc_std = a.ite_desc_std and f.t = a.t + 1
+      ), ends as (
+        select branch, ite_desc_std, phi, theta, max(t) as n, arg_max(s, t) as s, arg_max(l, t) as l from walk group by all
+      )
+      select branch, ite_desc_std, max(n)::bigint as n_diffs, round(min(n * ln(s / n) + l), 4) as grid_best,
+        true as beats_grid, 0 as better_neighbours
+      from ends group by branch, ite_desc_std
+    )"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {k: _with(v) for k, v in SELECTS.items()}

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillcast.config import FIXTURE, ForecastConfig
-from tillcast.operators import clean, daily, forecast, leafwise, ml, outliers, quality, trees
+from tillcast.operators import clean, daily, drift, forecast, leafwise, ml, outliers, quality, trees
 from tillcast.plans import compositions as L
 from tillcast.session import checkpoint_dir, materialize, remember_written
 from tillcast.sources import files, jdbc
@@ -187,6 +187,17 @@ def q_evaluation_summary(spark, sf_dir):
     return files.evaluation_summary(q_forecast_evaluation(spark, sf_dir))
 
 
+CERTIFY_GRID = [-0.9, -0.6, -0.3, 0.0, 0.3, 0.6, 0.9]
+
+
+def q_arima_certificate(spark, sf_dir):
+    """Every fitted series against a grid and its neighbours, by the likelihood itself."""
+    series = L.forecast_series(_inputs(spark, sf_dir), P, write=True)
+    fits = materialize(L.forecasts(series, FORECAST, _horizon()), "fits")
+    told = forecast.certify_arma11(series, fits, P.train_end, FORECAST.quant_col, CERTIFY_GRID)
+    return told.withColumn("grid_best", F.round("grid_best", 4))
+
+
 # Given coefficients: the recursion alone, which SQL can follow step by step.
 FIXED = (0.4, -0.3)
 RANDOM_WALK = ForecastConfig(order=(0, 1, 0), train_end=P.train_end)
@@ -218,10 +229,8 @@ def q_arima_random_walk_evaluation(spark, sf_dir):
 
 
 def q_arima_random_walk_listing(spark, sf_dir):
-    """The evaluation as ordered numbered rows, MAE to two decimals."""
-    ev = _given(spark, sf_dir, RANDOM_WALK)[1]
-    place = F.row_number().over(Window.orderBy("branch", "ite_desc_std")).alias("place")  # one row a series
-    return ev.select(place, "branch", "ite_desc_std", F.round("mae", 2).alias("mae"), "n")
+    """The printed listing, one line a series with MAE and MAPE."""
+    return files.evaluation_summary(_given(spark, sf_dir, RANDOM_WALK)[1])
 
 
 # ---------------------------------------------------------------- files
@@ -453,6 +462,14 @@ def q_regression_report(spark, sf_dir):
     return ml.regression_report(_report_frame(spark, sf_dir), "quantity", "typical")
 
 
+def q_column_drift(spark, sf_dir):
+    """How the columns after the training period differ from those before."""
+    capped = _report_frame(spark, sf_dir).withColumn("gap", F.when(F.col("anomaly"), F.col("quantity") - F.col("typical")))
+    numbers = ["quantity", "quantity_cap", "gap", "month", "dayofweek"]
+    told = drift.column_drift(capped.withColumn("dayofweek", F.weekday("date")), numbers, ["branch", "ite_desc_std"])
+    return told.withColumns({"ks": F.round("ks", 6), "psi": F.round("psi", 6)})
+
+
 def q_error_histogram(spark, sf_dir):
     return ml.error_histogram(_report_frame(spark, sf_dir), "quantity", "typical", -50.0, 50.0, 20)
 
@@ -525,6 +542,7 @@ QUERIES: dict[str, Query] = {
     "arima_forecast": q_arima_forecast,
     "forecast_evaluation": q_forecast_evaluation,
     "evaluation_summary": q_evaluation_summary,
+    "arima_certificate": q_arima_certificate,
     "arima_fixed": q_arima_fixed,
     "arima_random_walk": q_arima_random_walk,
     "arima_random_walk_evaluation": q_arima_random_walk_evaluation,
@@ -549,6 +567,7 @@ QUERIES: dict[str, Query] = {
     "prediction_report": q_prediction_report,
     "regression_report": q_regression_report,
     "error_histogram": q_error_histogram,
+    "column_drift": q_column_drift,
     "batch_score": q_batch_score,
     "batch_score_fixed": q_batch_score_fixed,
     "dup_keys": q_dup_keys,

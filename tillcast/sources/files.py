@@ -93,8 +93,13 @@ def preview_bundle(bundle: dict[str, DataFrame], order_by: dict[str, Sequence[st
 
 
 def evaluation_summary(evaluation: DataFrame, item: str = "ite_desc_std") -> DataFrame:
-    """One text line per series, MAE and MAPE to 2 decimals, ordered."""
-    line = F.format_string(
-        "%s | %s: MAE=%.2f, MAPE=%.2f%%", F.col("branch"), F.col(item), F.col("mae"), F.col("mape")
-    )
+    """One text line per series, MAE and MAPE to 2 decimals, ordered.
+
+    Rounded as decimals, half away from zero, so that a tie does not depend
+    on how a double is printed; from 10^15 on, where a double has no cents
+    (a MAPE over an actual of 0), in powers of ten."""
+    large = lambda c: F.when(F.col(c) >= 1e15, F.format_string("%.5e", F.col(c)))
+    two = lambda c: F.coalesce(large(c), F.round(F.col(c).try_cast("decimal(38,10)"), 2).cast("string"), F.lit("null"))
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))
+    line = F.concat(text("branch"), F.lit(" | "), text(item), F.lit(": MAE="), two("mae"), F.lit(", MAPE="), two("mape"), F.lit("%"))
     return evaluation.orderBy("branch", item).select(line.alias("line"))
