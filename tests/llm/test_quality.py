@@ -1,6 +1,7 @@
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 
 from llm.helpers import awkward_documents, empty_documents, words
 from tillcast.llm import quality
@@ -91,3 +92,15 @@ def test_small_sources_and_languages_are_held_against_larger_ones(spark):
     assert all(r.distance2 is not None for r in rows if not r.base_failed)
     kept = {r.doc_id for r in rows if r.kept}
     assert not any(5000 + i in kept for i in range(12)) and sum(1000 + i in kept for i in range(40)) >= 38
+
+
+def test_one_more_character_moves_no_statistic_by_a_jump():
+    """Capitals and letters are counted by one definition at every length."""
+    russian = ("Привет Мир это Текст " * 40)[:600]
+    mixed = ("Grüße AUS Köln und ÉCOLE " * 40)[:600]
+    for text in (russian, mixed):
+        told = quality.text_statistics(pd.Series([text[:n] for n in range(1, 600)]))
+        for column in ("n_upper", "n_letters", "word_chars"):
+            assert told[column].diff().dropna().between(0, 1).all()
+    last = quality.text_statistics(pd.Series([russian])).iloc[0]
+    assert last.n_upper == sum(map(str.isupper, russian)) and last.n_letters == sum(map(str.isalpha, russian))

@@ -104,9 +104,10 @@ def mix(
     returned. The order key is md5 of the id and size, so runs agree.
     """
     own = [F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")] if carry else []
-    base = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), *own)
-    order_text = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("size").cast("string"))
-    base = base.withColumn("key", F.md5(order_text)).withColumn(
+    digest = F.coalesce(F.md5("text"), F.lit("")).alias("digest")
+    base = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), digest, *own)
+    order_text = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("size").cast("string"), "digest")
+    base = base.withColumn("key", F.md5(order_text)).drop("digest").withColumn(
         "source_key", F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n"))
     )
     sizes = stored(base.drop("row"), "mix_sizes")
@@ -153,6 +154,19 @@ def mix(
     return joined.select(*columns, *(["row"] if carry else []))
 
 
+def mix_report(docs: DataFrame, **settings) -> DataFrame:
+    """``mix`` with the training time of each document's first and last pass (null if none) in
+    place of all, range-sorted by the first: partitions follow one another in training."""
+    mixed = mix(docs, **settings)
+    some = F.size("positions") > 0
+    times = {
+        "first_position": F.when(some, F.round(F.try_element_at("positions", F.lit(1)), 9)),
+        "last_position": F.when(some, F.round(F.try_element_at("positions", F.lit(-1)), 9)),
+    }
+    told = mixed.withColumns(times).drop("positions")
+    return told.repartitionByRange("first_position", "doc_id").sortWithinPartitions("first_position", "doc_id")
+
+
 def training_order(docs: DataFrame, **settings) -> DataFrame:
     """The documents in training order: one row for each pass, whole texts.
 

@@ -27,8 +27,11 @@ from pyspark.sql import functions as F
 from tillcast.llm.common import prepare
 
 SPACE = "▁"
-REMEMBERED_WORDS = 500_000
+# What a Python worker remembers: two tables of words, some 200 bytes a word, and one of
+# pairs, some 150 bytes a pair; about 110 MB together at most, whatever the texts hold.
+REMEMBERED_WORDS = 200_000
 REMEMBERED_LENGTH = 48
+REMEMBERED_PAIRS = 200_000
 MAX_MODEL_BYTES = 64 << 20
 
 
@@ -66,9 +69,9 @@ class Encoder:
         self.vocabulary = Vocabulary(model)
         self.ids = self.vocabulary.ids
         self.pairs: dict[tuple[str, str], bool] = {}
-        # What words came out as; when the newer table is full it replaces the older.
-        self.newer: dict[str, tuple[str, int, str]] = {}
-        self.older: dict[str, tuple[str, int, str]] = {}
+        # The ids of words as text; when the newer table is full it replaces the older.
+        self.newer: dict[str, str] = {}
+        self.older: dict[str, str] = {}
         self.automaton = ahocorasick.Automaton()
         # A piece that its own characters do not merge into never appears.
         live = {p for p in self.ids if len(p) == 1 or self.merge(p) == [p]}
@@ -116,7 +119,7 @@ class Encoder:
         known = self.pairs.get((left, right))
         if known is None:
             known = self.merge(left + right) == [left, right]
-            if len(self.pairs) > 2_000_000:
+            if len(self.pairs) >= REMEMBERED_PAIRS:
                 self.pairs.clear()
             self.pairs[left, right] = known
         return known
@@ -236,19 +239,17 @@ class Encoder:
         text = self.plain(ids)
         return text[1:] if text.startswith(" ") else text
 
-    def told(self, word: str) -> tuple[str, int, str]:
-        """Of one word: its ids as text, how many, and what they decode to."""
-        known = self.newer.get(word) or self.older.get(word)
+    def told(self, word: str) -> str:
+        """The ids of one word as text; remembered if the word is short and its ids decode to it."""
+        known = self.older.get(word)
         if known is None:
             joins = self.joins
             cuts = [i for i in range(1, len(word)) if word[i - 1 : i + 1] not in joins]
             if cuts:  # no piece holds these two characters in a row
-                parts = [self.told(word[i:j]) for i, j in zip([0, *cuts], [*cuts, len(word)])]
-                known = (" ".join([p[0] for p in parts]), sum([p[1] for p in parts]), "".join([p[2] for p in parts]))
+                known = " ".join([self.told(word[i:j]) for i, j in zip([0, *cuts], [*cuts, len(word)])])
             else:
-                ids = self.word_ids(word)
-                known = (" ".join(map(str, ids)), len(ids), self.plain(ids))
-        if len(word) <= REMEMBERED_LENGTH:
+                known = " ".join(map(str, self.word_ids(word)))
+        if len(word) <= REMEMBERED_LENGTH and self.plain(list(map(int, known.split()))) == word.replace(SPACE, " "):
             if len(self.newer) >= REMEMBERED_WORDS:
                 self.older, self.newer = self.newer, {}
             self.newer[word] = known
@@ -256,14 +257,24 @@ class Encoder:
 
     def digests(self, text: str) -> tuple[int, str, str]:
         """Number of ids, SHA-256 of the ids as text, and of the decoded text."""
-        told = [self.newer.get(w) or self.told(w) for w in self.split(text)]
-        parts = [t[0] for t in told]
+        known = self.newer.get
+        parts: list[str] = []
+        spelled: list[str] = []  # what the ids decode to
+        for word in self.split(text):
+            ids = known(word)
+            if ids is not None:
+                spelled.append(word.replace(SPACE, " "))
+            else:
+                ids = self.told(word)
+                spelled.append(self.plain(list(map(int, ids.split()))))
+            parts.append(ids)
         parts.append(str(self.vocabulary.end_id))
-        decoded = "".join([t[2] for t in told])
+        joined = " ".join(parts)
+        decoded = "".join(spelled)
         decoded = decoded[1:] if decoded.startswith(" ") else decoded
         return (
-            sum([t[1] for t in told]) + 1,
-            hashlib.sha256(" ".join(parts).encode()).hexdigest(),
+            joined.count(" ") + 1,
+            hashlib.sha256(joined.encode()).hexdigest(),
             hashlib.sha256(decoded.encode()).hexdigest(),
         )
 

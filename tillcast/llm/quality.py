@@ -20,6 +20,7 @@ is ever gathered in a task.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,6 +47,7 @@ MIN_GROUP = 200
 CUTOFF = 24.1
 BINS_PER_DOUBLING = 8
 FINE = 512  # bins a unit for medians
+SALTS = 32  # parts that a group's rows are dealt into where they meet its one row of estimates
 
 
 def text_statistics(texts: pd.Series) -> pd.DataFrame:
@@ -60,8 +62,9 @@ def text_statistics(texts: pd.Series) -> pd.DataFrame:
         n = len(words)
         blanks = sum(map(raw.count, (b" ", b"\t", b"\n", b"\v", b"\f", b"\r")))
         lines = [line for line in raw.split(b"\n") if line and not line.isspace()]
-        upper = sum(map(str.isupper, text)) if len(text) < 256 else int(_count(raw, _UPPER))
-        letters = max(1, int(_count(raw, _LETTER)))
+        beyond = "".join(_BEYOND_ASCII.findall(text)) if len(raw) > len(text) else ""
+        upper = int(_count(raw, _UPPER)) + sum(map(str.isupper, beyond))
+        letters = max(1, int(_count(raw, _LETTER)) + sum(map(str.isalpha, beyond)))
         rows.append(
             (
                 n,
@@ -77,6 +80,8 @@ def text_statistics(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=STATISTICS).astype("int64")
 
 
+# Capitals and letters are Unicode's: counted as bytes in ASCII, by character beyond it.
+_BEYOND_ASCII = re.compile(r"[^\x00-\x7F]+")
 _UPPER = np.zeros(256, dtype=bool)
 _UPPER[65:91] = True
 _LETTER = _UPPER.copy()
@@ -210,14 +215,24 @@ def _estimator(variances: list[float]):
     return estimates
 
 
+def _looked_up(rows: DataFrame, key: str, few: DataFrame, of: str, by) -> DataFrame:
+    """``rows`` with what ``few`` (one row a key) holds for their key, null if nothing.
+
+    Where the join is a shuffle, a key's rows are spread over ``SALTS`` tasks by a
+    hash of ``by`` and its one row is repeated for each.
+    """
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64(*by), F.lit(SALTS)).cast("int"))
+    repeated = few.withColumn("of_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(repeated, (F.col(key) == F.col(of)) & (F.col("salt") == F.col("of_salt")), "left").drop("salt", "of_salt")
+
+
 def _with_distance(vectors: DataFrame, state: DataFrame, sampled: bool = False) -> DataFrame:
     """Squared Mahalanobis distance; null where the group has no estimate.
 
     With ``sampled`` each gap is measured on a scale widened by the text's own
     sampling variance (columns ``e_0`` ...).
     """
-    near = state.withColumnRenamed("group", "state_group")
-    joined = vectors.join(near, vectors["group"] == near["state_group"], "left")
+    joined = _looked_up(vectors, "group", state.withColumnRenamed("group", "state_group"), "state_group", FEATURES)
     gap = [F.col(f) - F.col(f"c_{i}") for i, f in enumerate(FEATURES)]
     if sampled:
         gap = [g * F.sqrt(F.col(f"s_{i}") / (F.col(f"s_{i}") + F.col(f"e_{i}"))) for i, g in enumerate(gap)]
@@ -247,9 +262,11 @@ def _robust_start(vectors: DataFrame, variances: list[float]) -> DataFrame:
         "group", F.posexplode(F.array(*[F.col(f) for f in FEATURES])).alias("feature", "value")
     )
     middle = stored(_medians(each), "quality_medians")
-    near = middle.select(F.col("group").alias("g"), F.col("feature").alias("f"), "median")
-    gaps = each.join(near, (F.col("group") == F.col("g")) & (F.col("feature") == F.col("f")))
-    spread = _medians(gaps.select("group", "feature", F.abs(F.col("value") - F.col("median")).alias("value")))
+    near = middle.groupBy(F.col("group").alias("g")).agg(F.map_from_entries(F.collect_list(F.struct("feature", "median"))).alias("medians"))
+    gaps = _looked_up(vectors, "group", near, "g", FEATURES).select(
+        "group", F.posexplode(F.array(*[F.abs(F.col(f) - F.col("medians")[i]) for i, f in enumerate(FEATURES)])).alias("feature", "value")
+    )
+    spread = _medians(gaps)
     both = middle.join(spread.withColumnRenamed("median", "mad"), ["group", "feature"])
     pick = lambda c, i: F.max(F.when(F.col("feature") == i, F.col(c)))
     scatter = [F.pow(pick("mad", i) * 1.4826, 2) + RIDGE * variances[i] + LEAST_RIDGE for i in range(_D)]
@@ -326,15 +343,16 @@ def judge(
     groups = stored(named.select(F.col("own").alias("of"), "language", group.alias("group")), "quality_groups")
 
     large = groups.where(F.col("group").startswith("own ")).select("of", "group")
-    vectors = distinct.join(large, distinct["own"] == large["of"]).select("group", *FEATURES)
+    vectors = _looked_up(distinct, "own", large, "of", FEATURES).where(F.col("group").isNotNull()).select("group", *FEATURES)
     pools = groups.where(F.col("group").startswith("language ")).select(F.col("language").alias("of"), "group").distinct()
-    vectors = vectors.unionAll(by_language.join(pools, by_language["language"] == pools["of"]).select("group", *FEATURES))
+    in_pools = _looked_up(by_language, "language", pools, "of", FEATURES).where(F.col("group").isNotNull())
+    vectors = vectors.unionAll(in_pools.select("group", *FEATURES))
     if not groups.where("group = 'rest'").isEmpty():
         vectors = vectors.unionAll(by_language.select(*FEATURES).distinct().select(F.lit("rest").alias("group"), *FEATURES))
     vectors = stored(vectors, "quality_vectors")
     groups = groups.drop("language")
     state = robust_estimates(vectors, subset, steps, _variances(distinct))
-    placed = flat.join(groups, flat["own"] == groups["of"], "left")
+    placed = _looked_up(flat, "own", groups, "of", ["doc_id", *FEATURES])
     measured = _with_distance(placed, state, sampled=True)
     kept = ~F.col("base_failed") & ~F.coalesce(F.col("distance2") > cutoff, F.lit(False))
     columns = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]

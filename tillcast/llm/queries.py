@@ -63,7 +63,7 @@ def q_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).drop("positions")
+    return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
 def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,14 +109,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 MIXING_SQL = r"""
 WITH sized AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+    coalesce(md5(text), '') AS digest
   FROM documents
 ), keyed AS (
-  SELECT *, md5(concat(coalesce(doc_id::VARCHAR, ''), ':', size::VARCHAR)) AS key FROM sized
+  SELECT *, md5(concat(coalesce(doc_id::VARCHAR, ''), ':', size::VARCHAR, ':', digest)) AS key FROM sized
 ), per_source AS (
   SELECT source, sum(size)::BIGINT AS source_size FROM keyed GROUP BY source
 ), weighed AS (
-  SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 3.0::DOUBLE WHEN 1 THEN 1.0 ELSE 2.0 END AS weight
+  SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 3.0::DOUBLE WHEN 1 THEN 1.0 ELSE 2.0 END AS weight,
+    (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS turn
   FROM per_source
 ), ranked AS (
   SELECT *, source_size * 2.0::DOUBLE AS cap, source_size * 2.0::DOUBLE / weight AS ratio,
@@ -129,16 +131,29 @@ WITH sized AS (
 ), final AS (
   SELECT *, max(CASE WHEN level <= ratio THEN level END) OVER () AS lvl FROM leveled
 ), targets AS (
-  SELECT source, source_size, (CASE WHEN lvl IS NULL THEN cap ELSE least(cap, lvl * weight) END)::DOUBLE AS target FROM final
+  SELECT source, source_size, turn, (CASE WHEN lvl IS NULL THEN cap ELSE least(cap, lvl * weight) END)::DOUBLE AS target FROM final
 ), placed AS (
-  SELECT k.doc_id, k.size, t.source_size, t.target,
+  SELECT k.doc_id, k.size, t.source_size, t.target, t.turn,
     coalesce(sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key, k.doc_id NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
     CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size)::BIGINT ELSE 0 END AS whole
   FROM keyed k JOIN targets t ON k.source IS NOT DISTINCT FROM t.source
+), dealt AS (
+  SELECT *, (whole * size + greatest(0, least(size, floor(target)::BIGINT - whole * source_size - before)))::BIGINT AS taken FROM placed
+), passed AS (
+  SELECT *, CASE WHEN size = 0 THEN 0 ELSE ceil(taken / size) END AS passes,
+    CASE turn WHEN 0 THEN 0.5::DOUBLE WHEN 1 THEN 1.0 ELSE 1.5 END AS w0,
+    CASE turn WHEN 0 THEN 1.5::DOUBLE WHEN 1 THEN 1.0 ELSE 0.5 END AS w1 FROM dealt
+), shares AS (
+  -- share of the source's demand met at the middle of the first and of the last pass
+  SELECT *, least(1, (before + size / 2) / target)::DOUBLE AS s0,
+    least(1, ((passes - 1) * source_size + before + size / 2) / target)::DOUBLE AS s1
+  FROM passed
 )
-SELECT doc_id, size, source_size, target,
-  (whole * size + greatest(0, least(size, floor(target)::BIGINT - whole * source_size - before)))::BIGINT AS taken
-FROM placed
+SELECT doc_id, size, source_size, target, taken,
+  -- the weight runs linearly from w0 to w1, so its integral is quadratic in time
+  CASE WHEN passes > 0 THEN round(CASE WHEN turn = 1 THEN s0 ELSE (sqrt(w0 * w0 + (w1 * w1 - w0 * w0) * s0) - w0) / (w1 - w0) END, 9) END AS first_position,
+  CASE WHEN passes > 0 THEN round(CASE WHEN turn = 1 THEN s1 ELSE (sqrt(w0 * w0 + (w1 * w1 - w0 * w0) * s1) - w0) / (w1 - w0) END, 9) END AS last_position
+FROM shares
 """
 
 WARC_SQL = """
