@@ -4,7 +4,8 @@ SCHEMA = "page_id long, url string, html string, text string, host string"
 
 
 def text(html):
-    return "\n\n".join(b.text for b in extract.parse_page(html)[0])
+    page, kept, _ = extract.parse_page(html)
+    return "\n\n".join(page.blocks[i].text for i in kept)
 
 
 def test_article_without_surroundings():
@@ -84,3 +85,73 @@ def test_the_size_of_a_host_does_not_change_a_page(spark):
     for n in (20, 700):
         rows = extract.extract_text(spark.createDataFrame([page(i) for i in range(n)], SCHEMA)).collect()
         assert {r.text for r in rows} == {f"Own text number {i}" for i in range(n)}
+
+
+def test_names_that_tell_of_comments_keep_the_article():
+    for wrapper in ('<div class="has-comments"><article>{}</article></div>', '<article class="post comments-open">{}</article>',
+                    '<main class="page reply-on">{}</main>', '<div id="comments-wrap"><article>{}</article></div>'):
+        assert text(f"<body><nav>menu</nav>{wrapper.format('<p>Story</p>')}<footer>f</footer></body>") == "Story"
+
+
+def test_reader_comments_go():
+    comments = "<section id=comments><article class=comment><p>a reader</p></article><ol class=commentlist><li>" + "words " * 40 + "</ol></section>"
+    assert text(f"<article><p>Story</p>{comments}</article>") == "Story"
+    assert text(f"<article><p>Story</p></article>{comments}") == "Story"
+    assert text(f"<main><p>Story</p>{comments}</main>") == "Story"
+    assert text(f"<body><p>Story</p>{comments}</body>") == "Story"
+    assert text("<article><p>Story</p><div class=related-content><p>Related</p></div></article>") == "Story"
+
+
+def plain_counts(pages, min_pages=4):
+    """Subtrees by hand: every page's marks, counted on pages with different main text."""
+    parsed = {i: (host, *extract.parse_page(html)) for i, (host, html) in pages.items()}
+    seen = {(host, mark): set() for host, page, _, _ in parsed.values() for mark in (t.mark for t in page.subtrees)}
+    for host, page, _, main in parsed.values():
+        for t in page.subtrees:
+            seen[host, t.mark].add(main)
+    out = {}
+    for i, (host, page, kept, _) in parsed.items():
+        hits = [t for t in page.subtrees if len(seen[host, t.mark]) >= min_pages]
+        covers = lambda t, k: t.first <= k < t.last and t.article in (extract.ANY, page.blocks[k].article)
+        out[i] = "\n\n".join(page.blocks[k].text for k in kept if not any(covers(t, k) for t in hits))
+    return out
+
+
+def test_counting_equals_a_plain_version(spark):
+    import random
+
+    r = random.Random(2)
+    parts = [f"<div><p>Part {k}</p><ul><li><a href=/>l{k}</a></ul></div>" for k in range(9)] + ["<nav>n</nav>", "<section><p>s</p><article><p>t</p></article></section>"]
+    pages = {}
+    for i in range(60):
+        body = "".join(r.sample(parts, 4)) + f"<p>own {i % 40}</p>"
+        pages[i] = (f"h{i % 3}.example", f"<main>{body}<article><p>story {i}</p>{r.choice(parts)}</article></main>" if i % 2 else body)
+    frame = spark.createDataFrame([(i, f"https://{h}/{i}", p, "", "") for i, (h, p) in pages.items()], SCHEMA)
+    got = {x.page_id: x for x in extract.extract_text(frame).collect()}
+    assert {i: x.text for i, x in got.items()} == plain_counts(pages)
+    assert sum(x.n_template for x in got.values()) > 60
+
+
+def test_templates_of_a_made_up_host_are_deleted_by_counts(spark):
+    page = lambda i: (i, f"https://x.example/{i}", f"<body><div class=q><p>Site words</p></div><nav>Menu</nav><article><p>Story {i}</p></article></body>", "", "")
+    rows = extract.extract_text(spark.createDataFrame([page(i) for i in range(6)], SCHEMA)).collect()
+    assert {(x.text, x.n_template) for x in rows} == {(f"Story {i}", 2) for i in range(6)}
+    few = extract.extract_text(spark.createDataFrame([page(i) for i in range(3)], SCHEMA)).collect()
+    assert {(x.text, x.n_template) for x in few} == {(f"Story {i}", 0) for i in range(3)}
+
+
+def test_a_deep_page_stays_small(spark):
+    import tracemalloc
+
+    page = "<body>" + "<div>x" * 33_000 + "</body>"  # 200 KB, nested blocks
+    tracemalloc.start()
+    parsed, kept, _ = extract.parse_page(page)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(kept) == 33_000 and peak < 100 << 20
+    trees = parsed.subtrees
+    told = extract.without_templates(
+        kept, [b.article for b in parsed.blocks], [b.text for b in parsed.blocks], [t.mark for t in trees], [t.first for t in trees],
+        [t.last for t in trees], [t.article for t in trees], [t.mark for t in trees if t.first >= 20],
+    )
+    assert told == ("\n\n".join(["x"] * 20), 1)
