@@ -107,7 +107,7 @@ class Searches:
         self.score = np.full((len(of), top), LEAST, dtype=np.int64)
         self.place = np.full((len(of), top), -1, dtype=np.int64)  # row of the block; -1: none
         self.vec_id = np.full((len(of), top), MOST, dtype=np.int64)
-        self.evaluated = 0
+        self.evaluated = 0  # vectors compared with, split points included
 
     def evaluate(self, active: np.ndarray, block: dict, rows: np.ndarray) -> None:
         """Compare the searches ``active`` with some rows of the block, exactly."""
@@ -184,7 +184,9 @@ def visit(node, block: dict, searches: Searches, active: np.ndarray) -> None:
     if not isinstance(node, dict):
         searches.evaluate(active, block, node)
         return
-    far = distances(searches.v[searches.of[active]], _matrix(node["split"], searches.v.shape[1]))
+    asked, back = np.unique(searches.of[active], return_inverse=True)
+    far = distances(searches.v[asked], _matrix(node["split"], searches.v.shape[1]))[back]
+    searches.evaluated += len(asked) * len(node["split"])
     own = far[:, node["home"]].argmin(axis=1)
     for first in (True, False):
         for j, child in enumerate(node["children"]):
