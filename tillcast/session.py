@@ -138,7 +138,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{root}/tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     remember_written(spark, path)
-    return spark.read.parquet(path)
+    back = spark.read.parquet(path)
+    back.written_at = path
+    return back
 
 
 _WRITTEN: dict[str, list[str]] = {}
@@ -161,9 +163,16 @@ def drop_materialized(spark: SparkSession, name: str | None = None) -> int:
     written = _WRITTEN.get(sc.applicationId, [])
     match = lambda p: name is None or p.rsplit("/", 1)[-1].rsplit("-", 1)[0] == name
     paths = [p for p in written if match(p)]
-    _WRITTEN[sc.applicationId] = [p for p in written if not match(p)]
-    jvm = sc._jvm
     for p in paths:
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        hp.getFileSystem(sc._jsc.hadoopConfiguration()).delete(hp, True)
+        drop_written(spark, p)
     return len(paths)
+
+
+def drop_written(spark: SparkSession, path: str) -> None:
+    """Delete one folder that this application wrote."""
+    sc = spark.sparkContext
+    written = _WRITTEN.get(sc.applicationId, [])
+    if path in written:
+        written.remove(path)
+        hp = sc._jvm.org.apache.hadoop.fs.Path(path)
+        hp.getFileSystem(sc._jsc.hadoopConfiguration()).delete(hp, True)
