@@ -37,13 +37,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillcast.llm.common import keep_row, prepare, stored
+from tillcast.llm.common import keep_row, prepare, released, stored
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 25
 ROWS = 5
 BITMAP_LONGS = 32  # 2,048 bits: telling for texts of up to some 1,000 shingles, an exact bound for all
+AT_A_TIME = 1 << 20  # characters of texts whose signatures are made together
 SALT_MEMBERS = 1024  # members of a bucket that meet its centres in one task
 SEED = np.uint64(0x5DEECE66D1234567)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -136,6 +137,18 @@ def signatures(elements: np.ndarray, weights: np.ndarray, owner: np.ndarray, own
     return registers
 
 
+def _few_at_a_time(texts: pd.Series) -> Iterator[pd.Series]:
+    """Pieces of a batch for which the working arrays, that hold all shingles, stay small."""
+    start, size = 0, 0
+    for i, text in enumerate(texts):
+        if i > start and (i - start >= 256 or size + len(text or "") > AT_A_TIME):
+            yield texts.iloc[start:i]
+            start, size = i, 0
+        size += len(text or "")
+    if len(texts):
+        yield texts.iloc[start:]
+
+
 def band_keys(texts: pd.Series, bands: int, rows: int) -> list[list[int]]:
     """Keys of the bands of each text (none for a text without words)."""
     parts, weights, owner = [], [], []
@@ -196,11 +209,17 @@ def connected(links: DataFrame) -> DataFrame:
         hooked = stored(hooked, "near_hooked")
         above = hooked.select(F.col("id").alias("j"), F.col("label").alias("far"))
         step = stored(hooked.join(above, hooked["label"] == above["j"]).select("id", F.col("far").alias("label")), "near_step")
-        labels = step if labels is None else stored(_moved(labels, step), "near_labels")
         ends = edges.join(_named(step, "a", "la"), "a").join(_named(step, "b", "lb"), "b")
         ends = ends.where("la <> lb").select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")).distinct()
-        edges = stored(ends, "near_edges")
+        before, edges = edges, stored(ends, "near_edges")
+        if labels is None:
+            labels = step
+        else:
+            old, labels = labels, stored(_moved(labels, step), "near_labels")
+            released(old, step)
+        released(before, hooked)
         if edges.limit(1).count() == 0:
+            released(edges)
             return labels
 
 
@@ -225,7 +244,9 @@ def joined_classes(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     ends = links.join(_named(labels, "a", "la"), "a", "left").join(_named(labels, "b", "lb"), "b", "left")
     step = connected(ends.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")))
     new = step.join(labels.select("id"), "id", "left_anti")
-    return stored(_moved(labels, step).unionByName(new), "near_labels")
+    moved = stored(_moved(labels, step).unionByName(new), "near_labels")
+    released(labels, step)
+    return moved
 
 
 def text_ids(docs: DataFrame) -> tuple[DataFrame, int]:
@@ -318,9 +339,7 @@ def _text_classes(texts_by_id: DataFrame, similarity: float, bands: int, rows: i
 
     def keys(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            # Few texts at a time: the working arrays hold all their shingles.
-            out = [k for s in range(0, len(texts), 256) for k in band_keys(texts.iloc[s : s + 256], bands, rows)]
-            yield pd.Series(out, dtype=object)
+            yield pd.Series([k for few in _few_at_a_time(texts) for k in band_keys(few, bands, rows)], dtype=object)
 
     keyed = texts_by_id.select("uid", F.pandas_udf(keys, "array<long>")("text").alias("keys"))
     # Copies of a text have its keys: they meet here, before the keys are spread.
@@ -328,6 +347,7 @@ def _text_classes(texts_by_id: DataFrame, similarity: float, bands: int, rows: i
     buckets = keyed.select(F.posexplode("keys").alias("band", "key"), "uid")
     shared = buckets.groupBy("band", "key").agg(F.count("*").alias("members")).where(F.col("members") > 1)
     buckets = stored(buckets.join(shared, ["band", "key"]), "near_shared")
+    shared_buckets = buckets
 
     candidates = buckets.groupBy("uid").agg(F.sum("members").alias("weight"))
     texts = texts_by_id.join(candidates.select("uid"), "uid", "left_semi").dropDuplicates(["uid"])
@@ -344,6 +364,7 @@ def _text_classes(texts_by_id: DataFrame, similarity: float, bands: int, rows: i
     open_buckets = buckets.join(known, "uid").withColumn("label", F.col("uid"))
     labels: DataFrame | None = None
     centres_wanted, number = 1.0, 0
+    over: list[DataFrame] = []
     while True:
         # The member of most weight of each bucket, and a few others by a hash of this round.
         drawn = F.xxhash64("uid", "band", F.lit(number)).bitwiseAND(F.lit((1 << 30) - 1)) / F.lit(float(1 << 30))
@@ -354,12 +375,16 @@ def _text_classes(texts_by_id: DataFrame, similarity: float, bands: int, rows: i
         ranked = open_buckets.join(first, ["band", "key"]).withColumn("centre", centre).drop("first")
         ranked = stored(ranked, "near_round")
         pairs = stored(_pairs(ranked, similarity, bands).distinct(), "near_pairs")
-        labels = joined_classes(labels, stored(_verified(pairs, multisets, similarity), "near_verified"))
+        verified = stored(_verified(pairs, multisets, similarity), "near_verified")
+        labels = joined_classes(labels, verified)
+        released(pairs, verified, *over)
+        over = [open_buckets, ranked]  # read once more, for the next round's buckets
         rest = ranked.where(~F.col("centre")).drop("centre", "label").join(_named(labels, "uid", "label"), "uid", "left")
         open_buckets = _unsettled(rest.withColumn("label", F.coalesce("label", "uid")))
         number += 1
         centres_wanted *= 4
         if open_buckets.limit(1).count() == 0:
+            released(*over, keyed, shared_buckets, multisets)
             return labels
 
 

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.session import materialize, ship_package
+from tillcast.session import drop_written, materialize, ship_package
 
 # Java and Python forms of the contract's word: a run without space, \t, \n, \v, \f, \r.
 WORD_JAVA = r"[^\x20\x09-\x0D]+"
 
 # A batch handed to Python ends at whichever comes first, so a batch of very
 # long texts stays as small as one of short texts.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 BATCH_ROWS = 2000
 
 
@@ -45,3 +45,10 @@ def keep_row(df: DataFrame, name: str = "row") -> DataFrame:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage, survives lost executors."""
     return materialize(df, f"llm_{name}")
+
+
+def released(*tables: DataFrame | None) -> None:
+    """Delete tables that ``stored`` returned once nothing reads them any more."""
+    for table in tables:
+        if table is not None:
+            drop_written(table.sparkSession, table.written_at)
