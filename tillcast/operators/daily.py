@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillcast.sources.files import within
+
 
 def daily_totals(
     master: DataFrame,
@@ -29,10 +31,9 @@ def daily_totals(
 
 
 def year_range(df: DataFrame, start_year: int, end_year: int, date_col: str = "date") -> DataFrame:
-    """inclusive year range written on the raw date, so Parquet can prune."""
-    return df.where(
-        F.col(date_col).between(F.lit(dt.date(start_year, 1, 1)), F.lit(dt.date(end_year, 12, 31)))
-    )
+    """inclusive year range written on the raw date, so Parquet can prune (and, of a
+    table stored by month, folders)."""
+    return within(df, dt.date(start_year, 1, 1), dt.date(end_year, 12, 31), date_col)
 
 
 def branch_item_totals(

@@ -17,6 +17,7 @@ from tillcast.functions import metrics as M
 from tillcast.functions import scalar as S
 from tillcast.operators import arima
 from tillcast.session import ship_package
+from tillcast.sources.files import within
 
 START_MODES = ("train_end", "last_date")
 EVAL_MODES = ("reference", "days")
@@ -257,7 +258,8 @@ def arima_forecast(
             yield fitted(waiting)
 
     train = (
-        series.where((F.col(date_col) <= F.lit(train_end)) & F.col(value).isNotNull())
+        within(series, None, train_end, date_col)
+        .where(F.col(value).isNotNull())
         .select(*keys, date_col, value)
         .repartition(parts, *keys)
         .sortWithinPartitions(*keys, date_col)

@@ -276,6 +276,7 @@ SELECTS: dict[str, str] = {
     "dept_overrides": "select * from pm_std",
     "item_dept_flags": "select * from pm",
     "transaction_product_join": "select * from tx_joined",
+    "transaction_product_join_bucketed": "select * from tx_joined",
     "transaction_master": "select * from master",
     "daily_quantity": "select * from daily",
     "branch_item_totals": "select * from totals",

@@ -12,7 +12,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillcast.config import FIXTURE, ForecastConfig
-from tillcast.operators import clean, daily, drift, forecast, leafwise, ml, outliers, quality, trees
+from tillcast.operators import (
+    clean,
+    daily,
+    drift,
+    forecast,
+    layout,
+    leafwise,
+    ml,
+    outliers,
+    quality,
+    trees,
+)
 from tillcast.plans import compositions as L
 from tillcast.session import checkpoint_dir, materialize, remember_written
 from tillcast.sources import files, jdbc
@@ -61,6 +72,18 @@ def q_transaction_product_join(spark, sf_dir):
     return clean.join_transactions(clean.clean_transactions(inp.transactions), pm, P.null_safe)
 
 
+LAYOUT_BUCKETS = 16
+
+
+def q_transaction_product_join_bucketed(spark, sf_dir):
+    """J4 on stored buckets: neither the transactions nor the catalogue are shuffled by the join."""
+    inp = _inputs(spark, sf_dir)
+    keys = ["branch", "ite_code", "dep_code"]
+    fact = layout.lay_out_fact(clean.clean_transactions(inp.transactions), keys, LAYOUT_BUCKETS, "transactions")
+    master = L.product_master(inp, P).withColumnRenamed("incode", "ite_code")
+    return layout.join_laid_out(spark, fact, layout.lay_out_lookup(master, keys, fact, "products"))
+
+
 def q_transaction_master(spark, sf_dir):
     return L.transaction_master(_inputs(spark, sf_dir), P)
 
@@ -520,6 +543,7 @@ QUERIES: dict[str, Query] = {
     "dept_overrides": q_dept_overrides,
     "item_dept_flags": q_item_dept_flags,
     "transaction_product_join": q_transaction_product_join,
+    "transaction_product_join_bucketed": q_transaction_product_join_bucketed,
     "transaction_master": q_transaction_master,
     "daily_quantity": q_daily_quantity,
     "branch_item_totals": q_branch_item_totals,

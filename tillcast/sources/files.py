@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
@@ -65,6 +66,48 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
     w.parquet(path)
 
 
+MONTH = "month_no"
+
+
+def month_number(date_col: str = "date") -> Column:
+    """2024-03-15 -> 202403: the partition of a date."""
+    return (F.year(date_col) * 100 + F.month(date_col)).cast("int")
+
+
+def write_by_month(df: DataFrame, path: str, date_col: str = "date", months: Sequence[int] | None = None) -> None:
+    """S6 for tables by date: one folder a month, and only the months of ``df`` are replaced.
+
+    With ``months`` (a rerun of these alone) a month that no longer has rows
+    goes too. A month's rows are dealt over as many tasks as their size asks
+    for (AQE splits a large one). Rows without a date are a month of their own.
+    """
+    spark = df.sparkSession
+    folders = [spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{MONTH}={m}") for m in months or ()]
+    before = [_names(spark, f) for f in folders]
+    placed = df.withColumn(MONTH, month_number(date_col)).hint("rebalance", MONTH)
+    placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
+    for folder, names in zip(folders, before):
+        if names and _names(spark, folder) == names:  # not replaced: the month has no rows any more
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _names(spark: SparkSession, folder) -> set[str]:
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return {s.getPath().getName() for s in fs.listStatus(folder)} if fs.exists(folder) else set()
+
+
+def within(df: DataFrame, start: dt.date | None, end: dt.date | None, date_col: str = "date") -> DataFrame:
+    """Rows from ``start`` to ``end`` (inclusive, either may be open); of a table by month only
+    the folders that can hold them are read."""
+    d = F.col(date_col)
+    for bound, holds in ((start, lambda c, v: c >= v), (end, lambda c, v: c <= v)):
+        if bound is not None:
+            df = df.where(holds(d, F.lit(bound)))
+            if MONTH in df.columns:
+                df = df.where(holds(F.col(MONTH), F.lit(bound.year * 100 + bound.month)))
+    return df
+
+
 def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Count rows while the next action runs (no extra pass).
 
