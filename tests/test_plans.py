@@ -17,10 +17,22 @@ def q(spark, sf_small):
     return lambda name: E.queries()[name](spark, sf_small)
 
 
-def test_master_never_shuffles_the_fact_table_for_joins(q):
-    plan = executed(q("transaction_master"))
-    assert "BroadcastHashJoin" in plan
-    assert "SortMergeJoin" not in plan and "CartesianProduct" not in plan
+def test_master_never_shuffles_the_fact_table_for_joins(spark, q):
+    """With a threshold between the catalogue's and the transactions' size; without one the join does shuffle."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",)}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(100 << 10))
+        plan = executed(q("transaction_master"))
+        assert "BroadcastHashJoin" in plan
+        assert "SortMergeJoin" not in plan and "CartesianProduct" not in plan
+        assert "Exchange hashpartitioning" not in plan
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+        assert "Exchange hashpartitioning" in executed(q("transaction_master"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        for k, v in old.items():
+            spark.conf.set(k, v)
 
 
 def test_daily_totals_aggregate_before_the_shuffle(q):

@@ -62,9 +62,8 @@ def with_time_of_day(df: DataFrame, src: str, dst: str | None = None) -> DataFra
     us = F.col("__tod_us")
     secs = (us / 1_000_000).cast("long")
     rest = us % 1_000_000
-    base = F.format_string(
-        "%02d:%02d:%02d", (secs / 3600).cast("int"), ((secs % 3600) / 60).cast("int"), (secs % 60).cast("int")
-    )
+    two = lambda n: F.lpad(n.cast("int").cast("string"), 2, "0")  # noqa: E731  (no formatter for each row)
+    base = F.concat(two(secs / 3600), F.lit(":"), two((secs % 3600) / 60), F.lit(":"), two(secs % 60))
     text = F.when(rest == 0, base).otherwise(F.concat(base, F.lit("."), F.lpad(rest.cast("string"), 6, "0")))
     return out.withColumn(dst, text).drop(*tmp)
 
