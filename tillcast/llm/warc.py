@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillcast.llm.common import prepare, stored
-from tillcast.session import checkpoint_dir
+from tillcast.session import checkpoint_dir, remember_written
 
 END = b"\r\n\r\n"
 LEAST_REVISIT = 1000
@@ -199,20 +199,22 @@ def normalise(spark: SparkSession, source: str, target: str, level: int = LEVEL)
             base = name.rsplit("/", 1)[-1].split(".", 1)[0]
             archive = f"{out}/{base}.warc.gz"
             attempt = f"{out}/_{base}.{uuid.uuid4().hex}"
-            lines: list[tuple[int, int, str, str]] = []
-            offset = 0
-            with in_fs.open_input_stream(name, compression=None) as stream, out_fs.open_output_stream(attempt, compression=None) as sink:
+            offset = records = 0
+            with (
+                in_fs.open_input_stream(name, compression=None) as stream,
+                out_fs.open_output_stream(attempt, compression=None) as sink,
+                out_fs.open_output_stream(attempt + ".idx", compression=None) as index,
+            ):
                 pieces = iter(lambda: stream.read(PIECE), b"")
                 for headers, record, _ in parse_records(inflate(pieces)):
                     packed = member(record, level)
                     sink.write(packed)
-                    lines.append((offset, len(packed), headers["warc-record-id"], headers["warc-type"]))
+                    index.write(f"{offset} {len(packed)} {headers['warc-record-id']} {headers['warc-type']}\n".encode())
                     offset += len(packed)
-            with out_fs.open_output_stream(attempt + ".idx", compression=None) as sink:
-                sink.write("".join("{} {} {} {}\n".format(*x) for x in lines).encode())
+                    records += 1
             out_fs.move(attempt + ".idx", archive + ".idx")
             out_fs.move(attempt, archive)
-            yield pd.DataFrame({"archive": [archive], "records": [len(lines)]})
+            yield pd.DataFrame({"archive": [archive], "records": [records]})
 
     _file_system(target)[0].create_dir(_file_system(target)[1], recursive=True)
     tasks = files.repartition(max(1, files.count()), "path")
@@ -292,6 +294,10 @@ def archive_round_trip(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFram
     """
     spark = pages.sparkSession
     folder = f"{checkpoint_dir(spark).rstrip('/')}/warc/{uuid.uuid4().hex}"
+    remember_written(spark, folder)  # drop_materialized deletes it
     write_monolithic(record_text(plan_records(pages, least)), f"{folder}/monolithic")
     index = normalise(spark, f"{folder}/monolithic", f"{folder}/archives")
-    return read_records(index).drop("body_ok")
+    records = read_records(index)
+    wrong = F.raise_error(F.concat(F.lit("body and headers differ, page "), F.coalesce(F.col("page_id").cast("string"), F.lit("null"))))
+    digest = F.when(F.col("body_ok"), F.col("payload_digest")).otherwise(wrong.cast("string"))
+    return records.withColumn("payload_digest", digest).drop("body_ok")
