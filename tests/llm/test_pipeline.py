@@ -1,5 +1,5 @@
 import corpus_pipeline
-from llm.helpers import awkward_documents, words
+from llm.helpers import awkward_documents, empty_documents, words
 from tillcast.llm import queries
 
 
@@ -16,11 +16,21 @@ def test_stages_chain_on_awkward_documents(spark):
     assert 1 in ids and not ids & {2, 3, 4, 5, 6, 8, 9, 10} and docs.where("n_tokens < 50").count() == 0
 
 
-def test_all_eleven_are_registered():
+def test_an_empty_table_passes_through(spark):
+    docs = empty_documents(spark)
+    columns = docs.columns
+    for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        docs = corpus_pipeline.stored(stage(spark, docs, ""), f"empty_{number}")
+        assert docs.count() == 0
+        if number < len(corpus_pipeline.STAGES) - 1:
+            assert docs.columns == columns
+
+
+def test_all_fourteen_are_registered():
     import __spark_entry__ as E
 
     names = set(E.queries())
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert set(queries.ORACLE_SQL) <= names
