@@ -8,6 +8,8 @@ NO_ORACLE = {
     "gbt_predict",
     "model_scores",
     "feature_importance",
+    "tree_attribution",
+    "leafwise_scores",
     "batch_score",
     "prediction_report",
     "evaluation_summary",
