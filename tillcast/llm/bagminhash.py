@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillcast.llm.common import keep_row, prepare, released, stored
+from tillcast.llm.common import give_back_memory, keep_row, prepare, released, stored
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -340,6 +340,7 @@ def _text_classes(texts_by_id: DataFrame, similarity: float, bands: int, rows: i
     def keys(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([k for few in _few_at_a_time(texts) for k in band_keys(few, bands, rows)], dtype=object)
+        give_back_memory()
 
     keyed = texts_by_id.select("uid", F.pandas_udf(keys, "array<long>")("text").alias("keys"))
     # Copies of a text have its keys: they meet here, before the keys are spread.
@@ -356,6 +357,7 @@ def _text_classes(texts_by_id: DataFrame, similarity: float, bands: int, rows: i
         for batch in batches:
             items = [occurrence_hashes(t) for t in batch]
             yield pd.DataFrame({"items": items, "bits": [bitmap(x) for x in items]})
+        give_back_memory()
 
     told = texts.select("uid", F.pandas_udf(sets, "items array<long>, bits array<long>")("text").alias("t"))
     multisets = stored(told.select("uid", "t.items", "t.bits"), "near_multisets")

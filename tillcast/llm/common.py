@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,3 +55,15 @@ def released(*tables: DataFrame | None) -> None:
     for table in tables:
         if table is not None:
             drop_written(table.sparkSession, table.written_at)
+
+
+def give_back_memory() -> None:
+    """At the end of a task: Python workers are kept for later tasks, and what they once held
+    stays with them unless the allocators are asked to return it."""
+    import pyarrow
+
+    gc.collect()
+    pyarrow.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)

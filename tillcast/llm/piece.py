@@ -24,10 +24,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillcast.llm.common import prepare
+from tillcast.llm.common import give_back_memory, prepare
 
 SPACE = "▁"
-# What a Python worker remembers: two tables of words, some 200 bytes a word, and one of
+# What a Python worker remembers during a task: two tables of words, some 200 bytes a word, and one of
 # pairs, some 150 bytes a pair; about 190 MB together at most, whatever the texts hold.
 REMEMBERED_WORDS = 350_000
 REMEMBERED_LENGTH = 48
@@ -246,15 +246,23 @@ class Encoder:
             joins = self.joins
             cuts = [i for i in range(1, len(word)) if word[i - 1 : i + 1] not in joins]
             if cuts:  # no piece holds these two characters in a row
-                known = " ".join([self.told(word[i:j]) for i, j in zip([0, *cuts], [*cuts, len(word)])])
+                newer = self.newer.get
+                parts = [word[i:j] for i, j in zip([0, *cuts], [*cuts, len(word)])]
+                known = " ".join([newer(p) or self.told(p) for p in parts])
             else:
                 known = " ".join(map(str, self.word_ids(word)))
-        if len(word) <= REMEMBERED_LENGTH and self.plain(list(map(int, known.split()))) == word.replace(SPACE, " "):
-            if len(self.newer) >= REMEMBERED_WORDS:
-                self.older, self.newer = self.newer, {}
-            self.newer[word] = known
+            if len(word) > REMEMBERED_LENGTH or self.plain(list(map(int, known.split()))) != word.replace(SPACE, " "):
+                return known
+        if len(self.newer) >= REMEMBERED_WORDS:
+            self.older, self.newer = self.newer, {}
+        self.newer[word] = known
         return known
 
+    def forget(self) -> None:
+        """Empty the tables, so that an idle worker holds no more than the vocabulary."""
+        self.newer, self.older = {}, {}
+        self.pairs.clear()
+
     def digests(self, text: str) -> tuple[int, str, str]:
         """Number of ids, SHA-256 of the ids as text, and of the decoded text."""
         known = self.newer.get
@@ -306,6 +314,7 @@ def encode_column(text: Column, model: bytes) -> Column:
         encoder = _encoder(model)
         for texts in batches:
             yield pd.Series([encoder.encode(t or "") for t in texts], dtype=object)
+        encoder.forget()
 
     return encode(text)
 
@@ -337,6 +346,8 @@ def encode_digests(docs: DataFrame, model: bytes) -> DataFrame:
         for texts in batches:
             rows = [encoder.digests(t or "") for t in texts]
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+        encoder.forget()
+        give_back_memory()
 
     told = docs.select("doc_id", digest(F.col("text")).alias("told"))
     return told.select("doc_id", "told.n_tokens", "told.ids_sha256", "told.decoded_sha256")

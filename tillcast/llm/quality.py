@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillcast.llm.common import prepare, stored
+from tillcast.llm.common import give_back_memory, prepare, stored
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -124,6 +124,7 @@ STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_wor
 def _statistics(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for texts in batches:
         yield text_statistics(texts)
+    give_back_memory()
 
 
 def statistic_vector() -> dict[str, Column]:
