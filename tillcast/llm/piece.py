@@ -28,10 +28,10 @@ from tillcast.llm.common import prepare
 
 SPACE = "▁"
 # What a Python worker remembers: two tables of words, some 200 bytes a word, and one of
-# pairs, some 150 bytes a pair; about 110 MB together at most, whatever the texts hold.
-REMEMBERED_WORDS = 200_000
+# pairs, some 150 bytes a pair; about 290 MB together at most, whatever the texts hold.
+REMEMBERED_WORDS = 500_000
 REMEMBERED_LENGTH = 48
-REMEMBERED_PAIRS = 200_000
+REMEMBERED_PAIRS = 600_000
 MAX_MODEL_BYTES = 64 << 20
 
 
