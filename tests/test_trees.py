@@ -163,3 +163,16 @@ def test_constant_target_and_empty_frame(spark):
     assert np.allclose(e.predict(np.array([[1.0], [np.nan]])), 3.0) and len(e.by_tree[0]) == 1
     with pytest.raises(ValueError):
         leafwise.train_leafwise(flat.limit(0), ["a"])
+
+
+def test_leafwise_trains_on_cells(spark, monkeypatch):
+    """Rows that share all bins are one cell; the nodes count rows."""
+    df = spark.range(5000).select((F.col("id") % 7).cast("double").alias("a"), (F.col("id") % 2).cast("double").alias("b")).withColumn(
+        "target", F.col("a") + F.col("b") * 3
+    )
+    sizes = []
+    grow = leafwise.grow_tree
+    monkeypatch.setattr(leafwise, "grow_tree", lambda rows, n, p: sizes.append(rows.count()) or grow(rows, n, p))
+    e = leafwise.train_leafwise(df, ["a", "b"], "target", LeafwiseParams(n_trees=2))
+    assert sizes == [14, 14]
+    assert {t[r].cover for t, r in zip(e.by_tree.values(), e.roots)} == {5000.0}

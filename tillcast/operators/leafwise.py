@@ -1,8 +1,11 @@
 """M3: gradient boosting by second-order, leaf-wise trees.
 
-Rows are binned once. For each level of a tree one aggregation gathers the sums
-of gradients and Hessians per (open leaf, feature, bin) of all leaves that are
-still open, and a window over the bins finds every leaf's best split in Spark;
+Rows are binned once, and rows that agree in all bins become one cell with their
+number and the sum of their targets: every tree sends them to the same leaf, so
+nothing is lost, and the cells are at most the product of the bins however many
+rows there are. For each level of a tree one aggregation gathers the sums of
+gradients and Hessians per (open leaf, feature, bin) of all leaves that are still
+open, and a window over the bins finds every leaf's best split in Spark;
 one row a leaf reaches the driver.
 
 Growth is best first: the split with the largest gain is next, until the tree has
@@ -69,6 +72,13 @@ def binned(df: DataFrame, features: Sequence[str], edges: Mapping[str, Sequence[
     return inputs.where(F.col("y").isNotNull()).select("y", *[F.col(f"b{i}").cast("int").alias(f"b{i}") for i in range(len(features))])
 
 
+def cells(df: DataFrame, features: Sequence[str], edges: Mapping[str, Sequence[float]], target: str) -> DataFrame:
+    """``b0, b1, ...``, ``n`` and ``y``: the rows that share their bins as one, with their number
+    and the sum of their targets (rows with a null target are left out)."""
+    rows = binned(df, features, edges, target)
+    return rows.groupBy(*[f"b{i}" for i in range(len(features))]).agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("y"))
+
+
 @dataclass
 class _Split:
     feature: int
@@ -89,11 +99,13 @@ def _reached(splits: Mapping[int, _Split], leaf_value) -> Column:
 
 
 def _best_splits(rows: DataFrame, splits: Mapping[int, _Split], open_leaves: Sequence[int], n_features: int, p: LeafwiseParams):
-    """One row an open leaf: its sums and its best split (null if it has none)."""
+    """One row an open leaf: its sums and its best split (null if it has none). Without a number
+    of rows ``n``, each is one."""
+    n = F.col("n") if "n" in rows.columns else F.lit(1).alias("n")
     node = _reached(splits, lambda n: F.lit(n if n in open_leaves else 0))
-    placed = rows.select(node.alias("node"), F.col("g"), *[f"b{i}" for i in range(n_features)]).where("node > 0")
+    placed = rows.select(node.alias("node"), F.col("g"), n, *[f"b{i}" for i in range(n_features)]).where("node > 0")
     each = F.array(*[F.struct(F.lit(i).alias("feature"), F.col(f"b{i}").alias("bin")) for i in range(n_features)])
-    sums = placed.select("node", "g", F.inline(each)).groupBy("node", "feature", "bin").agg(F.sum("g").alias("g"), F.count("*").alias("h"))
+    sums = placed.select("node", "g", "n", F.inline(each)).groupBy("node", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("n").alias("h"))
     upto = Window.partitionBy("node", "feature").orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = Window.partitionBy("node", "feature")
     cum = sums.select(
@@ -113,7 +125,8 @@ def _best_splits(rows: DataFrame, splits: Mapping[int, _Split], open_leaves: Seq
 
 def grow_tree(rows: DataFrame, n_features: int, p: LeafwiseParams) -> tuple[dict[int, _Split], dict[int, tuple[float, int]]]:
     """The splits of one tree, by node (root 1, children 2n and 2n + 1), and every visited
-    node's sums of gradients and Hessians. ``rows`` has ``g`` and the bins."""
+    node's sums of gradients and Hessians. ``rows`` has the bins of each cell, its number of rows
+    ``n`` and the sum of their gradients ``g``."""
     splits: dict[int, _Split] = {}
     sums: dict[int, tuple[float, int]] = {}
     open_leaves = [1]
@@ -161,16 +174,16 @@ def train_leafwise(
     """
     p = params
     edges = edges or bin_edges(train, features, p.max_bins)
-    # One shuffle: training reads these rows many times, in as many tasks as the session sets.
+    # Training reads the cells many times, in as many tasks as the session sets.
     spread = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = binned(train, features, edges, target).repartition(spread)
-    start = rows.agg(F.avg("y")).first()[0]
+    rows = materialize(cells(train, features, edges, target).repartition(spread), "leafwise")
+    start = rows.agg(F.sum("y") / F.sum("n")).first()[0]
     if start is None:
         raise ValueError("no training rows")
-    rows = materialize(rows.withColumn("margin", F.lit(float(start))), "leafwise")
+    rows = rows.withColumn("margin", F.lit(float(start)))
     nodes: list[Node] = []
     for t in range(p.n_trees):
-        splits, sums = grow_tree(rows.withColumn("g", F.col("margin") - F.col("y")), len(features), p)
+        splits, sums = grow_tree(rows.withColumn("g", F.col("n") * F.col("margin") - F.col("y")), len(features), p)
         values = _values(splits, sums, p)
         for n in [*splits, *values]:
             s = splits.get(n)
