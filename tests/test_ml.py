@@ -281,3 +281,11 @@ def test_fitted_once_for_the_same_files_and_parameters(spark, small_model, frame
     frame.limit(3).write.mode("append").parquet(path)
     ml.fitted_once(name(1), fit)
     assert len(fits) == 3
+
+
+def test_few_codes_are_not_dealt_by_value(spark):
+    df = spark.range(100).select(F.when(F.col("id") < 90, "N").otherwise("R").alias("s"))
+    out = ml.apply_label_encoder(df, ml.fit_label_encoder(df, ["s"]), ["s"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan
+    assert {(r.s, r.s_idx) for r in out.collect()} == {("N", 0), ("R", 1)}

@@ -29,6 +29,7 @@ ALGORITHMS: dict[str, dict] = {
     "xgboost": {"maxDepth": 6, "stepSize": 0.3, "maxBins": 256, "minInstancesPerNode": 1},
     "lightgbm": {"maxDepth": 5, "stepSize": 0.1, "maxBins": 255, "minInstancesPerNode": 20},
 }
+MAX_BROADCAST_CODES = 500_000  # a column's codes are sent to all tasks up to this number
 _PARTITION_SHIFT = 33  # monotonically_increasing_id keeps the partition index above bit 33
 
 
@@ -88,12 +89,19 @@ def apply_label_encoder(
     suffix: str = "_idx",
     unseen: int = -1,
 ) -> DataFrame:
-    """M1 transform: add ``{col}{suffix}``; values not seen at fit get ``unseen``."""
+    """M1 transform: add ``{col}{suffix}``; values not seen at fit get ``unseen``.
+
+    Codes that are few go to the rows: dealt by value, a column of three values
+    would put a third or more of all rows into one task.
+    """
     out = df
+    sizes = {r["column"]: r["count"] for r in encoder.groupBy("column").count().collect()}  # one row a column
     for c in columns:
         codes = encoder.where(F.col("column") == c).select(
             F.col("value").alias(f"__v_{c}"), F.col("code").alias(f"{c}{suffix}")
         )
+        if sizes.get(c, 0) <= MAX_BROADCAST_CODES:
+            codes = F.broadcast(codes)
         out = (
             out.withColumn(f"__v_{c}", S.category_text(c))
             .join(codes, on=f"__v_{c}", how="left")
