@@ -283,6 +283,46 @@ def test_fitted_once_for_the_same_files_and_parameters(spark, small_model, frame
     assert len(fits) == 3
 
 
+def test_equal_bins_are_trained_on_as_one_cell(spark, monkeypatch):
+    """The learner gets one weighted row a cell, and its model is that of all rows."""
+    from pyspark.ml.feature import Bucketizer
+
+    rows = spark.range(6000).select(
+        (F.col("id") % 6).cast("double").alias("a"), (F.col("id") * 7919 % 11).cast("double").alias("b"),
+        (F.col("id") * 31 % 97).cast("double").alias("noise"),
+    ).withColumn("target", F.col("a") * F.col("b") + F.col("noise"))
+    seen = []
+    fit = ml.Pipeline.fit
+    monkeypatch.setattr(ml.Pipeline, "fit", lambda self, df: seen.append(df.count()) or fit(self, df))
+    model = ml.train_gbt(rows, ["a", "b"], n_trees=4)
+    assert seen == [66] and isinstance(model.stages[0], Bucketizer)
+    plain = fit(ml.gbt_pipeline(["a", "b"], n_trees=4), rows)
+    both = model.transform(rows).select("a", "b", F.col("prediction").alias("p")).distinct().join(
+        plain.transform(rows).select("a", "b", F.col("prediction").alias("q")).distinct(), ["a", "b"]
+    ).collect()
+    assert len(both) == 66 and all(abs(r.p - r.q) < 1e-6 for r in both)
+
+
+def test_cells_keep_the_smallest_leaf_in_rows(spark):
+    """Twenty rows a leaf are twenty rows, not twenty cells."""
+    df = spark.range(400).select((F.col("id") % 4).cast("double").alias("a"), (F.col("id") % 4 * 10).cast("double").alias("target"))
+    model = ml.train_gbt(df, ["a"], algorithm="lightgbm", n_trees=1)
+    assert model.stages[-1].trees[0].numNodes > 1
+    few = ml.train_gbt(df.limit(30), ["a"], algorithm="lightgbm", n_trees=1)
+    assert few.stages[-1].trees[0].numNodes == 1
+
+
+def test_missing_and_constant_features(spark):
+    nan = float("nan")
+    rows = [(float(i % 3) if i % 5 else nan, 7.0, None if i % 7 == 0 else 1.0, float(i % 3 if i % 5 else 9)) for i in range(210)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, target double")
+    model = ml.train_gbt(df, ["a", "b", "c"], n_trees=30)
+    told = model.transform(df).select("target", "prediction").collect()
+    assert len(told) == 210 and max(abs(r.target - r.prediction) for r in told) < 0.5
+    with pytest.raises(Exception, match="must not be null"):
+        ml.train_gbt(df.withColumn("target", F.lit(None).cast("double")), ["a"], n_trees=1)
+
+
 def test_few_codes_are_not_dealt_by_value(spark):
     df = spark.range(100).select(F.when(F.col("id") < 90, "N").otherwise("R").alias("s"))
     out = ml.apply_label_encoder(df, ml.fit_label_encoder(df, ["s"]), ["s"])

@@ -23,6 +23,7 @@ from functools import cached_property
 import numpy as np
 import pandas as pd
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -187,6 +188,15 @@ def ensemble_of_gbt(model: PipelineModel, features: Sequence[str], path: str) ->
     """The node table of a fitted boosted pipeline, from its saved form; ``path`` is a folder
     on shared storage that the model is written to."""
     spark = SparkSession.getActiveSession()
+    binner = model.stages[0] if isinstance(model.stages[0], Bucketizer) else None
+
+    def threshold(feature: int, told: float) -> float:
+        """In the feature's values where the trees split bins: just below the next bin's lower edge."""
+        if binner is None:
+            return told
+        splits = binner.getSplitsArray()[feature]
+        return math.nextafter(splits[math.floor(told) + 1], -math.inf) if math.floor(told) + 2 < len(splits) else math.inf
+
     model.stages[-1].write().overwrite().save(path)
     weights = model.stages[-1].treeWeights
     saved = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").collect()  # trees x nodes
@@ -198,8 +208,9 @@ def ensemble_of_gbt(model: PipelineModel, features: Sequence[str], path: str) ->
         nodes.append(
             Node(
                 r.treeID, r.id, r.split.featureIndex if split else -1,
-                float(r.split.leftCategoriesOrThreshold[0]) if split else 0.0, r.leftChild, r.rightChild,
-                0.0 if split else r.prediction * weights[r.treeID], float(r.rawCount), float(r.gain) if split else 0.0,
+                threshold(r.split.featureIndex, r.split.leftCategoriesOrThreshold[0]) if split else 0.0, r.leftChild, r.rightChild,
+                # The first statistic is the weight of the node's rows.
+                0.0 if split else r.prediction * weights[r.treeID], float(r.impurityStats[0]), float(r.gain) if split else 0.0,
             )
         )
     return Ensemble(features, nodes)
