@@ -176,3 +176,16 @@ def test_leafwise_trains_on_cells(spark, monkeypatch):
     e = leafwise.train_leafwise(df, ["a", "b"], "target", LeafwiseParams(n_trees=2))
     assert sizes == [14, 14]
     assert {t[r].cover for t, r in zip(e.by_tree.values(), e.roots)} == {5000.0}
+
+
+def test_rows_on_the_same_paths_are_attributed_once(spark):
+    e = random_ensemble(5, n_features=3, n_trees=3, depth=3)
+    df = spark.range(4000).select(
+        *[(F.pmod(F.xxhash64("id", F.lit(i)), F.lit(9)) / 2.0 - 2).alias(f) for i, f in enumerate(e.features)]
+    ).withColumn("f1", F.when(F.rand(1) > 0.1, F.col("f1")))
+    held = trees.same_paths(e, df)
+    assert held.count() < 700 and held.agg(F.sum("n_rows")).first()[0] == 4000
+    one = {r.feature: r for r in trees.attribution_summary(trees.attribute(e, held), e.features, count="n_rows").collect()}
+    for r in trees.attribution_summary(trees.attribute(e, df), e.features).collect():
+        assert one[r.feature].n == r.n == 4000
+        assert abs(one[r.feature].mean_abs - r.mean_abs) < 1e-9 and abs(one[r.feature].mean_part - r.mean_part) < 1e-9

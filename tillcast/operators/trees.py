@@ -256,10 +256,41 @@ def attribute(ensemble: Ensemble, df: DataFrame, prefix: str = "part_") -> DataF
     )
 
 
-def attribution_summary(attributed: DataFrame, features: Sequence[str], prefix: str = "part_") -> DataFrame:
-    """M6: ``feature, mean_abs, mean_part, n`` over all rows, in one aggregation."""
-    aggs = [a for f in features for a in (F.avg(F.abs(prefix + f)).alias(f"a_{f}"), F.avg(prefix + f).alias(f"m_{f}"))]
-    wide = attributed.agg(F.count(F.lit(1)).alias("n"), *aggs)
+def same_paths(ensemble: Ensemble, df: DataFrame, count: str = "n_rows") -> DataFrame:
+    """The rows that every tree sends the same way as one: ``ensemble.features`` (the largest
+    value of each) and their number.
+
+    Rows between the same two thresholds in every feature have the same
+    prediction and parts, whatever else they hold; there are at most as many
+    groups as the thresholds have cells.
+    """
+    numbers = range(len(ensemble.features))
+    splits = [
+        sorted({math.nextafter(n.threshold, math.inf) for n in ensemble.nodes if n.feature == i and math.isfinite(n.threshold)}) for i in numbers
+    ]
+    told = df.select(*[F.coalesce(F.col(f).cast("double"), F.lit(float("nan"))).alias(f"x{i}") for i, f in enumerate(ensemble.features)])
+    split = [i for i in numbers if splits[i]]
+    if split:
+        told = Bucketizer(
+            inputCols=[f"x{i}" for i in split], outputCols=[f"b{i}" for i in split],
+            splitsArray=[[-math.inf, *splits[i], math.inf] for i in split], handleInvalid="keep",
+        ).transform(told)
+    told = told.withColumns({f"b{i}": F.isnan(f"x{i}").cast("double") for i in numbers if i not in split})
+    held = told.groupBy(*[f"b{i}" for i in numbers]).agg(
+        F.count(F.lit(1)).alias(count), *[F.max(f"x{i}").alias(f) for i, f in enumerate(ensemble.features)]
+    )
+    # Few bytes and much work: not to be coalesced into one task.
+    spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return held.select(*ensemble.features, count).repartition(spread)
+
+
+def attribution_summary(attributed: DataFrame, features: Sequence[str], prefix: str = "part_", count: str | None = None) -> DataFrame:
+    """M6: ``feature, mean_abs, mean_part, n`` over all rows, in one aggregation; a row stands for
+    as many as the column ``count`` says."""
+    n = F.sum(count) if count else F.count(F.lit(1))
+    mean = lambda c: F.sum(c * F.col(count)) / n if count else F.avg(c)
+    aggs = [a for f in features for a in (mean(F.abs(prefix + f)).alias(f"a_{f}"), mean(F.col(prefix + f)).alias(f"m_{f}"))]
+    wide = attributed.agg(n.alias("n"), *aggs)
     each = F.array(
         *[F.struct(F.lit(f).alias("feature"), F.col(f"a_{f}").alias("mean_abs"), F.col(f"m_{f}").alias("mean_part"), "n") for f in features]
     )

@@ -391,7 +391,8 @@ def q_tree_attribution(spark, sf_dir):
     t = _trained(spark, sf_dir)
     ensemble = trees.ensemble_of_gbt(t["model"], t["features"], _folder(spark, "trees"))
     train = t["data"].where(~F.col("is_test")).select(*t["features"])
-    return trees.attribution_summary(trees.attribute(ensemble, train), t["features"])
+    attributed = trees.attribute(ensemble, trees.same_paths(ensemble, train))
+    return trees.attribution_summary(attributed, t["features"], count="n_rows")
 
 
 # Two given trees over quantity, size and line number, with the rows that reached each node.
