@@ -1,8 +1,11 @@
 import hashlib
 import re
 
+from pyspark.sql import functions as F
+
 from llm.helpers import awkward_documents, empty_documents
 from tillcast.llm import pii
+from tillcast.llm.common import stored
 
 
 def luhn(d):
@@ -94,3 +97,15 @@ def test_cards_beside_other_digits_and_numbers_that_are_no_phones(spark):
     assert spans[9004] == "email:9:28" and spans[9005] == "card:0:19"
     texts = {r.doc_id: r.text for r in pii.redact(docs).collect()}
     assert texts[9000] == "card [CARD] 2027 ok" and texts[9002] == "order number 504-555-2652 shipped"
+
+
+def test_trees_are_trained_on_the_candidates_of_all_texts(spark, monkeypatch):
+    """Twelve thousand texts with an address each: the address and its three disguises are all there."""
+    tables = []
+    monkeypatch.setattr(pii, "stored", lambda df, name: tables.append(stored(df, name)) or tables[-1])
+    docs = spark.range(12_000).select(F.col("id").alias("doc_id"), F.format_string("write to u%d@site.org number 12.5", "id").alias("text"))
+    assert pii.train(docs) is not None
+    (table,) = tables
+    weights = {(r.label, r.k): r.n for r in table.groupBy("label", "k").agg(F.sum("n").alias("n")).collect()}
+    assert weights[(1.0, 0)] == 48_000 and weights[(0.0, 2)] == 12_000  # a word of each text for every kind
+    assert table.count() < 200

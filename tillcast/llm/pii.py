@@ -10,14 +10,15 @@ nothing kept.
 
 The trees are trained without labels of people: base spans, and base spans in
 the disguises that the generators look for, are positive; proposals that fail
-their checks are negative. They are fitted on candidates of a sample of about
-``max_training`` documents at most, with a threshold for each kind at which
+their checks are negative. They are fitted on the candidates of all documents, those
+with equal features as one weighted row, with a threshold for each kind at which
 the held-out precision reaches ``precision``. The fitted trees become one SQL
-expression, so the main path is a scan without shuffle and without Python.
+expression, so a second scan finds the spans without shuffle and without Python.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -28,8 +29,6 @@ from pyspark.sql import functions as F
 from tillcast.llm.common import keep_row, stored
 
 KINDS = ("email", "ip", "card", "phone")
-MAX_TRAINING = 10_000
-MAX_CANDIDATES = 40_000
 TREES = 15
 DEPTH = 4
 PRECISION = 0.995
@@ -278,52 +277,72 @@ def _disguised(form: Callable[[Column], Column]) -> Callable[[Column], Column]:
     return lambda c: c.withField("m", form(c["m"]))
 
 
-def train(docs: DataFrame, max_training: int = MAX_TRAINING, precision: float = PRECISION) -> Trees | None:
-    """Fit trees and thresholds; None where the sample holds no positive or no negative candidate."""
-    from pyspark.ml.classification import GBTClassifier
-    from pyspark.ml.functions import array_to_vector, vector_to_array
+def _candidates(found: DataFrame) -> DataFrame:
+    """``label, k, m, before, after, n``: the training candidates of ``proposals``' rows, equal ones as one.
 
-    rows = docs.select("text").count()
-    drawn = F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 30) - 1)) / F.lit(float(1 << 30))
-    sample = docs.select("doc_id", "text").where(drawn < F.lit(max_training / max(1, rows)))
-    found = proposals(base_spans(sample.select("text")))
+    Ordinary words, in a candidate's place what none of the kinds looks like,
+    have kind -1 here: each stands for one candidate of every kind.
+    """
     positive, disguised = [], []
     for number, kind in enumerate(KINDS):
         located = _located(f"b_{kind}", "clean", number)
         positive.append(located)
         disguised += [F.transform(located, _disguised(form)) for form in DISGUISES[kind]]
-    one = found.select(F.explode(F.concat(*positive, *disguised)).alias("c"), F.lit(1.0).alias("label"))
-    failed = F.filter("proposed", lambda c: ~_plausible(c))
-    none = found.select(F.explode(failed).alias("c"), F.lit(0.0).alias("label"))
     contexts = F.array(*[F.lit(c) for c in OTHER_CONTEXTS])
     of_other = lambda c: c.withField("before", F.get(contexts, F.pmod(F.xxhash64(c["m"]), F.lit(len(OTHER_CONTEXTS))).cast("int")))
-    numbers = F.filter(F.concat(*disguised), lambda c: c["k"].isin(1, 3))  # a card's check digit outweighs its context
-    none = none.unionByName(found.select(F.explode(F.transform(numbers, of_other)).alias("c"), F.lit(0.0).alias("label")))
-    # Ordinary words in a candidate's place: what none of the kinds looks like.
-    words = F.filter(F.split("clean", r"[\x20\x09-\x0D]+"), lambda w: w.rlike("^[A-Za-z]{3,}"))
-    word = F.struct(
-        F.lit(0).alias("k"), F.lit(0).alias("s"), F.lit(0).alias("e"), F.get(words, F.lit(0)).alias("m"), F.lit("").alias("before"), F.lit(" ").alias("after")
-    )
-    plain = found.where(F.size(words) > 0).select(
-        F.explode(F.transform(F.sequence(F.lit(0), F.lit(len(KINDS) - 1)), lambda k: word.withField("k", k))).alias("c"),
-        F.lit(0.0).alias("label"),
+    numbers = F.filter("_disguised", lambda c: c["k"].isin(1, 3))  # a card's check digit outweighs its context
+    word = F.regexp_extract("clean", r"(?:^|[\x20\x09-\x0D])([A-Za-z]{3}[^\x20\x09-\x0D]*+)", 1)
+    plain = F.when(
+        word != "", F.array(F.struct(F.lit(-1).alias("k"), word.alias("m"), F.lit("").alias("before"), F.lit(" ").alias("after")))
+    ).otherwise(F.array())
+
+    def labelled(candidates: Column, label: float) -> Column:
+        told = lambda c: F.struct(
+            F.lit(label).alias("label"), c["k"].alias("k"), c["m"].alias("m"), c["before"].alias("before"), c["after"].alias("after")
+        )
+        return F.transform(candidates, told)
+
+    found = found.withColumn("_disguised", F.concat(*disguised))
+    every = F.concat(
+        *[labelled(p, 1.0) for p in positive],
+        labelled(F.col("_disguised"), 1.0),
+        labelled(F.filter("proposed", lambda c: ~_plausible(c)), 0.0),
+        labelled(F.transform(numbers, of_other), 0.0),
+        labelled(plain, 0.0),
     )
-    labelled = one.unionByName(none).unionByName(plain)
-    table = labelled.select("label", F.col("c.k").alias("k"), F.array(*features(F.col("c"))).alias("x"))
-    order = F.xxhash64("label", "x")
-    table = stored(table.orderBy(order).limit(MAX_CANDIDATES), "pii_training")
+    each = found.select(F.explode(every).alias("c")).select("c.*")
+    return each.groupBy("label", "k", "m", "before", "after").agg(F.count(F.lit(1)).alias("n"))
+
+
+def train(docs: DataFrame, precision: float = PRECISION) -> Trees | None:
+    """Fit trees and thresholds on the candidates of all texts; None where they hold no positive or
+    no negative candidate.
+
+    Candidates with equal features are one row that weighs as many.
+    """
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    held = _candidates(proposals(base_spans(docs.select("text"))))
+    kinds = F.when(F.col("k") < 0, F.array(*[F.lit(k) for k in range(len(KINDS))])).otherwise(F.array("k"))
+    held = held.withColumn("k", F.explode(kinds))
+    c = F.struct("k", "m", "before", "after")
+    table = held.select("label", "k", "n", F.array(*features(c)).alias("x"))
+    table = stored(table.groupBy("label", "k", "x").agg(F.sum("n").cast("double").alias("n")), "pii_training")
     present = {r["label"] for r in table.select("label").distinct().collect()}
     if present != {0.0, 1.0}:
         return None
     held_out = F.pmod(F.xxhash64("x", F.lit("held out")), F.lit(4)) == 0
-    vectors = table.select("label", "k", array_to_vector("x").alias("features"), held_out.alias("held_out"))
+    vectors = table.select("label", "k", "n", array_to_vector("x").alias("features"), held_out.alias("held_out"))
     fitted = vectors.where(~F.col("held_out"))
     if fitted.select("label").distinct().count() < 2:
         fitted = vectors
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7, stepSize=0.2).fit(fitted)
-    scored = model.transform(vectors.where("held_out")).select("k", "label", vector_to_array("probability")[1].alias("p"))
+    # The learner looks for split points in a sample of max(maxBins^2, 10000) rows: let that be all.
+    bins = max(32, math.isqrt(fitted.count()) + 1)
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7, stepSize=0.2, weightCol="n", maxBins=bins).fit(fitted)
+    scored = model.transform(vectors.where("held_out")).select("k", "label", "n", vector_to_array("probability")[1].alias("p"))
     binned = scored.groupBy("k", F.floor(F.col("p") * 200).cast("int").alias("bin")).agg(
-        F.sum("label").alias("yes"), F.count("*").alias("n")
+        F.sum(F.col("label") * F.col("n")).alias("yes"), F.sum("n").alias("n")
     )
     by_kind: dict[int, list] = {}
     for r in binned.collect():  # at most 201 bins a kind
@@ -355,7 +374,7 @@ def _plausible(c: Column) -> Column:
     )
 
 
-def detect(docs: DataFrame, max_training: int = MAX_TRAINING, keep: tuple[str, ...] = ("doc_id",), trees: Trees | None = None) -> DataFrame:
+def detect(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), trees: Trees | None = None) -> DataFrame:
     """``keep`` columns, ``b_kind`` base spans and ``s_kind`` all spans of each kind.
 
     ``docs`` has ``doc_id, text``. A null or empty text has no spans; texts of
@@ -365,7 +384,7 @@ def detect(docs: DataFrame, max_training: int = MAX_TRAINING, keep: tuple[str, .
     then the first kind; a number inside a card is no span of its own. The trees
     are fitted on the table itself unless given.
     """
-    trees = trees if trees is not None else train(docs, max_training)
+    trees = trees if trees is not None else train(docs)
     found = proposals(base_spans(docs.select(*keep, "text")))
     if trees is None:
         chosen = F.filter("proposed", lambda c: F.lit(False))
@@ -410,14 +429,14 @@ def _listed(prefix: str) -> Column:
     return F.array_join(F.concat(*[F.transform(f"{prefix}_{k}", _named(k)) for k in KINDS]), ",")
 
 
-def span_report(docs: DataFrame, max_training: int = MAX_TRAINING) -> DataFrame:
+def span_report(docs: DataFrame) -> DataFrame:
     """Counts and digest of the base spans, and all spans, of every document."""
-    found = detect(docs, max_training)
+    found = detect(docs)
     counts = [F.size(f"b_{k}").cast("long").alias(f"n_{k}") for k in KINDS]
     return found.select("doc_id", *counts, F.sha2(_listed("b"), 256).alias("base_sha256"), _listed("s").alias("spans"))
 
 
-def redact(docs: DataFrame, max_training: int = MAX_TRAINING) -> DataFrame:
+def redact(docs: DataFrame) -> DataFrame:
     """The documents with every span replaced by its kind in brackets.
 
     Keeps the columns of ``docs``; ``n_chars``, where there, follows the text.
@@ -425,7 +444,7 @@ def redact(docs: DataFrame, max_training: int = MAX_TRAINING) -> DataFrame:
     for the whole stretch.
     """
     packed = keep_row(docs).select("row", F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text"))
-    found = detect(packed, max_training, keep=("row", "doc_id"))
+    found = detect(packed, keep=("row", "doc_id"))
     tagged = [F.transform(f"s_{k}", _tagged(k)) for k in KINDS]
     found = found.select("row", "clean", F.array_sort(F.concat(*tagged)).alias("spans"))
     found = found.withColumn("ends", F.transform("spans", lambda x: x["e"]))
