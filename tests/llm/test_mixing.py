@@ -1,5 +1,8 @@
+import re
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from llm.helpers import awkward_documents, empty_documents, words
 from tillcast.llm import mixing
 
@@ -73,3 +76,13 @@ def test_training_order_repeats_whole_documents(spark):
         got[r.text] = got.get(r.text, 0) + 1
     assert got == {t: n for t, n in mixed.items() if n}
     assert mixing.training_order(empty_documents(spark)).count() == 0
+
+
+def test_words_are_counted_without_a_list_of_them(spark):
+    from tillcast.llm.common import word_count
+
+    texts = [None, "", " \t\n\x0b\x0c\r", "a", " a  b\tc\n", "é\U0001f642 \u00a0 x\x1cy", "one " * 5000, "w w\x00w"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string").select("i", "text", word_count(F.col("text")).alias("n"))
+    assert "regexp_extract_all" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    for r in rows.collect():
+        assert r.n == len(re.findall(r"[^ \t\n\x0b\x0c\r]+", r.text or ""))
