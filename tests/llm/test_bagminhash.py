@@ -140,3 +140,56 @@ def test_large_buckets_are_dealt_out(spark, monkeypatch):
     texts = near_corpus(8, groups=2, copies=40)
     docs = spark.createDataFrame([(i, t) for i, t in texts.items()], "doc_id long, text string")
     assert {r.doc_id: r.class_id for r in B.near_classes(docs).collect()} == brute(texts)
+
+
+def passage_corpus(n, seed=0):
+    """Texts that share a passage but are far apart; every third is a near copy of the one before."""
+    r = random.Random(seed)
+    passage, texts = words(60, 700), {}
+    for i in range(n):
+        if i % 3 == 2:
+            own = texts[i - 1].split()[60:]
+            own[r.randrange(3, 35)] = f"edit{i}"
+            texts[i] = " ".join([passage, *own])
+        else:
+            texts[i] = f"{passage} {words(40, 1000 + i)}"
+    return texts
+
+
+def test_a_bucket_of_many_classes_is_carried_once(spark, monkeypatch):
+    carried, written = [], B.stored
+
+    def stored(df, name):
+        table = written(df, name)
+        if "band" in table.columns and "centre" in table.columns:
+            carried.append(table.count())
+        return table
+
+    monkeypatch.setattr(B, "stored", stored)
+    for n in (30, 90):
+        carried.clear()
+        texts = passage_corpus(n)
+        docs = spark.createDataFrame([(i, t) for i, t in texts.items()], "doc_id long, text string")
+        want = brute(texts)
+        assert len(set(want.values())) == n - n // 3
+        # One register a band: most texts share buckets with most others.
+        assert {r.doc_id: r.class_id for r in B.near_classes(docs, rows=1).collect()} == want
+        assert len(carried) == 1 and carried[0] <= B.BANDS * n
+
+
+def test_rare_shingles_bring_all_near_pairs_of_different_classes(spark, monkeypatch):
+    monkeypatch.setattr(B, "SALT_MEMBERS", 4)
+    texts = near_corpus(5, groups=3, copies=20) | {1000 + i: t for i, t in passage_corpus(30, 1).items()}
+    ids, bags = list(texts), {i: multiset(t) for i, t in texts.items()}
+    near = {(a, b) for a in ids for b in ids if a < b and (bags[a] & bags[b]).total() >= 0.8 * (bags[a] | bags[b]).total()}
+    items = {i: B.occurrence_hashes(t) for i, t in texts.items()}
+    sets = spark.createDataFrame([(i, x.tolist()) for i, x in items.items()], "uid long, items array<long>")
+    schema = "uid long, label long, size int, bits array<long>, keys array<long>"
+    # A class of its own each; then the first group's first half one class; then one without a shared bucket.
+    for label, key in ((lambda i: i, lambda i: 1), (lambda i: min(i, 110) if i > 110 else 100, lambda i: 1), (lambda i: i, lambda i: i if i == 1001 else 1)):
+        rows = [(i, label(i), len(x), B.bitmap(x).tolist(), [key(i), i]) for i, x in items.items()]
+        pairs = B._rare_pairs(spark.createDataFrame(rows, schema), sets, 0.8, 2)
+        found = [(p.a, p.b) for p in pairs.collect()]
+        want = {(a, b) for a, b in near if label(a) != label(b) and key(a) == key(b)}
+        assert want and want <= set(found)
+        assert all(label(a) != label(b) and key(a) == key(b) for a, b in found)

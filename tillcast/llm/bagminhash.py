@@ -13,17 +13,22 @@ are expected to be full, so nearly all shingles cost one hash.
 
 Equal texts are one class from the start. Registers are grouped in bands;
 texts that agree in a band are candidates, and candidates are verified on their
-exact multisets. In each bucket all members are compared with one centre, the
-text in the largest company, then with more in the next rounds, until every
-bucket lies within one class: a centre's comparisons are complete once made.
-A pair that shares several buckets is taken in the first of them. It is spared
-only if both texts are in one class by then or an exact bound says that they
-are too far: every text has a bitmap of its shingles' hashes, a bit that one
-text has and the other lacks stands for a shingle that they do not share, and
-so two texts share at most their size less the number of such bits. So no link
-is left out, yet a bucket of thousands of near copies costs about one exact
-comparison each. Classes are the connected parts of the graph of verified
-links; each round's links join the classes found so far, never the texts again.
+exact multisets. First, in each bucket all members are compared with one
+centre, the text in the largest company. A pair that shares several buckets is
+taken in the first of them. It is spared only if an exact bound says that the
+texts are too far: every text has a bitmap of its shingles' hashes, a bit that
+one text has and the other lacks stands for a shingle that they do not share,
+and so two texts share at most their size less the number of such bits. So a
+bucket of thousands of near copies costs about one exact comparison each.
+
+Buckets that then hold several classes hold texts that are alike, by a common
+passage for instance, but not near; to compare all with all would take the
+square of their number. Their texts meet by rare shingles instead: two texts
+this similar share one among the rarest fifth of their shingles, and a common
+passage is not rare. Pairs that share no bucket, are of one class, or are too
+far by size, bitmap or the places of the shared shingle are spared. So no link
+is left out. Classes are the connected parts of the graph of verified links;
+the second links join the classes of the first, never the texts again.
 """
 
 from __future__ import annotations
@@ -34,7 +39,7 @@ from operator import or_
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillcast.llm.common import give_back_memory, keep_row, prepare, released, stored
@@ -348,7 +353,6 @@ def _text_classes(texts_by_id: DataFrame, similarity: float, bands: int, rows: i
     buckets = keyed.select(F.posexplode("keys").alias("band", "key"), "uid")
     shared = buckets.groupBy("band", "key").agg(F.count("*").alias("members")).where(F.col("members") > 1)
     buckets = stored(buckets.join(shared, ["band", "key"]), "near_shared")
-    shared_buckets = buckets
 
     candidates = buckets.groupBy("uid").agg(F.sum("members").alias("weight"))
     texts = texts_by_id.join(candidates.select("uid"), "uid", "left_semi").dropDuplicates(["uid"])
@@ -362,53 +366,109 @@ def _text_classes(texts_by_id: DataFrame, similarity: float, bands: int, rows: i
     told = texts.select("uid", F.pandas_udf(sets, "items array<long>, bits array<long>")("text").alias("t"))
     multisets = stored(told.select("uid", "t.items", "t.bits"), "near_multisets")
 
-    known = multisets.select("uid", F.size("items").alias("size"), "bits").join(keyed, "uid").join(candidates, "uid")
-    open_buckets = buckets.join(known, "uid").withColumn("label", F.col("uid"))
-    labels: DataFrame | None = None
-    centres_wanted, number = 1.0, 0
-    over: list[DataFrame] = []
-    while True:
-        # The member of most weight of each bucket, and a few others by a hash of this round.
-        drawn = F.xxhash64("uid", "band", F.lit(number)).bitwiseAND(F.lit((1 << 30) - 1)) / F.lit(float(1 << 30))
-        open_buckets = stored(open_buckets, "near_open")
-        first = open_buckets.groupBy("band", "key").agg(F.max(F.struct("weight", "uid")).alias("f"))
-        first = first.select("band", "key", F.col("f.uid").alias("first"))
-        centre = (F.col("uid") == F.col("first")) | (drawn < (centres_wanted - 1) / F.col("members"))
-        ranked = open_buckets.join(first, ["band", "key"]).withColumn("centre", centre).drop("first")
-        ranked = stored(ranked, "near_round")
-        pairs = stored(_pairs(ranked, similarity, bands).distinct(), "near_pairs")
+    known = multisets.select("uid", F.size("items").alias("size"), "bits").join(keyed, "uid")
+    members = stored(buckets.join(known.join(candidates, "uid"), "uid"), "near_open")
+    # The member of most weight of each bucket.
+    first = members.groupBy("band", "key").agg(F.max(F.struct("weight", "uid")).alias("f"))
+    first = first.select("band", "key", F.col("f.uid").alias("first"))
+    ranked = members.join(first, ["band", "key"]).withColumn("centre", F.col("uid") == F.col("first")).drop("first")
+    ranked = stored(ranked, "near_round")
+    pairs = stored(_pairs(ranked, similarity, bands).distinct(), "near_pairs")
+    verified = stored(_verified(pairs, multisets, similarity), "near_verified")
+    labels = joined_classes(None, verified)
+    released(members, pairs, verified)
+
+    # Read twice, so written: one narrow row for each member that was no centre.
+    rest = ranked.where(~F.col("centre")).select("band", "key", "uid").join(_named(labels, "uid", "label"), "uid", "left")
+    rest = stored(rest.withColumn("label", F.coalesce("label", "uid")), "near_rest")
+    open_texts = stored(_unsettled(rest).select("uid", "label").distinct().join(known, "uid"), "near_unsettled")
+    released(ranked, rest)
+    if open_texts.limit(1).count() > 0:
+        pairs = stored(_rare_pairs(open_texts, multisets, similarity, bands).distinct(), "near_pairs")
         verified = stored(_verified(pairs, multisets, similarity), "near_verified")
         labels = joined_classes(labels, verified)
-        released(pairs, verified, *over)
-        over = [open_buckets, ranked]  # read once more, for the next round's buckets
-        rest = ranked.where(~F.col("centre")).drop("centre", "label").join(_named(labels, "uid", "label"), "uid", "left")
-        open_buckets = _unsettled(rest.withColumn("label", F.coalesce("label", "uid")))
-        number += 1
-        centres_wanted *= 4
-        if open_buckets.limit(1).count() == 0:
-            released(*over, keyed, shared_buckets, multisets)
-            return labels
+        released(pairs, verified)
+    released(open_texts, keyed, buckets, multisets)
+    return labels
 
 
 def _pairs(ranked: DataFrame, similarity: float, bands: int) -> DataFrame:
-    """``a, b``: members of a bucket with its centres, of different classes, that may be near.
+    """``a, b``: members of a bucket with its centre that may be near.
 
     A large bucket's members are dealt out by a hash of their id, and each
-    part meets the centres.
+    part meets the centre.
     """
     salts = F.ceil(F.col("members") / SALT_MEMBERS)
     members = ranked.withColumn("salt", F.pmod(F.xxhash64("uid"), salts))
     centres = ranked.where("centre").select(
-        F.col("band").alias("cb"), F.col("key").alias("ck"), F.col("uid").alias("c"), F.col("label").alias("cl"),
+        F.col("band").alias("cb"), F.col("key").alias("ck"), F.col("uid").alias("c"),
         F.col("size").alias("csize"), F.col("bits").alias("cbits"), F.col("keys").alias("ckeys"),
         F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("cs"),
     )
     met_before = reduce(or_, [(F.col("band") > j) & (F.col("keys")[j] == F.col("ckeys")[j]) for j in range(bands)])
+    met = (F.col("band") == F.col("cb")) & (F.col("key") == F.col("ck")) & (F.col("salt") == F.col("cs"))
+    pairs = members.join(centres, met & (F.col("uid") != F.col("c")) & ~met_before & _viable(similarity))
+    return pairs.select(F.least("uid", "c").alias("a"), F.greatest("uid", "c").alias("b"))
+
+
+def _viable(similarity: float) -> Column:
+    """Whether ``size, bits`` and ``csize, cbits`` allow the similarity."""
     lacks = lambda x, y: sum(F.bit_count(F.col(x)[i].bitwiseAND(F.bitwise_not(F.col(y)[i]))) for i in range(BITMAP_LONGS))
     most = F.least(F.col("size") - lacks("bits", "cbits"), F.col("csize") - lacks("cbits", "bits"))
-    viable = most >= F.lit(similarity) * (F.col("size") + F.col("csize") - most) - F.lit(1e-6)
-    met = (F.col("band") == F.col("cb")) & (F.col("key") == F.col("ck")) & (F.col("salt") == F.col("cs"))
-    pairs = members.join(centres, met & (F.col("label") != F.col("cl")) & ~met_before & viable)
+    return _enough(most, similarity)
+
+
+def _enough(shared: Column, similarity: float) -> Column:
+    """Whether texts of ``size`` and ``csize`` that share so many are similar enough."""
+    return shared * F.lit(1 + similarity) >= F.lit(similarity) * (F.col("size") + F.col("csize")) - F.lit(1e-6)
+
+
+def _rare_items(texts: DataFrame, multisets: DataFrame, similarity: float) -> DataFrame:
+    """``uid, item, place``: of each text's hashes, rarest first, those before which no near text can part.
+
+    A near text shares at least ``similarity`` of them, so one at least of the
+    others and one more; in one order of all hashes the first that two near
+    texts share is then among these for both. Hashes of one text alone come
+    first and meet nothing, so they are only counted.
+    """
+    spread = multisets.join(texts.select("uid"), "uid", "left_semi").select("uid", F.explode("items").alias("item"))
+    often = spread.groupBy("item").agg(F.count("*").alias("n")).where("n > 1")
+    ordered = spread.join(often, "item").groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("n", "item"))).alias("ordered"))
+    ordered = ordered.join(texts.select("uid", "size"), "uid").withColumn("alone", F.col("size") - F.size("ordered"))
+    wanted = F.col("size") - F.ceil(F.col("size") * F.lit(similarity) - F.lit(1e-6)) + 1 - F.col("alone")
+    rare = F.slice("ordered", F.lit(1), F.greatest(F.lit(0), wanted).cast("int"))
+    rows = ordered.select("uid", "alone", F.posexplode(rare).alias("i", "x"))
+    return rows.select("uid", F.col("x.item").alias("item"), (F.col("alone") + F.col("i")).alias("place"))
+
+
+def _rare_pairs(texts: DataFrame, multisets: DataFrame, similarity: float, bands: int) -> DataFrame:
+    """``a, b``: texts of different classes that share a bucket and may be near.
+
+    ``texts`` has ``uid, label, size, bits, keys``. Of two texts of different
+    classes one at least is not of the class that most of a hash's texts
+    belong to: those meet all, and the others never meet among themselves. A
+    hash of many texts has them dealt out as in ``_pairs``.
+    """
+    items = stored(_rare_items(texts, multisets, similarity).join(texts.select("uid", "label"), "uid"), "near_items")
+    of_class = items.groupBy("item", "label").agg(F.count("*").alias("n"))
+    met = of_class.groupBy("item").agg(
+        F.sum("n").alias("members"), F.max(F.struct("n", "label"))["label"].alias("most"), F.count("*").alias("classes")
+    )
+    met = met.where("classes > 1").drop("classes")
+    held = stored(items.join(met, "item").join(texts.drop("label"), "uid"), "near_meeting")
+    salts = F.ceil(F.col("members") / SALT_MEMBERS)
+    one = held.withColumn("salt", F.pmod(F.xxhash64("uid"), salts))
+    other = held.where("label <> most").select(
+        F.col("item").alias("ci"), F.col("uid").alias("c"), F.col("label").alias("cl"), F.col("place").alias("cplace"),
+        F.col("size").alias("csize"), F.col("bits").alias("cbits"), F.col("keys").alias("ckeys"),
+        F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("cs"),
+    )
+    met_here = (F.col("item") == F.col("ci")) & (F.col("salt") == F.col("cs"))
+    apart = (F.col("label") != F.col("cl")) & ((F.col("label") == F.col("most")) | (F.col("uid") < F.col("c")))
+    # At the first hash that two texts share, all that they share is from there on.
+    by_place = F.least(F.col("size") - F.col("place"), F.col("csize") - F.col("cplace"))
+    in_bucket = reduce(or_, [F.col("keys")[j] == F.col("ckeys")[j] for j in range(bands)])
+    pairs = one.join(other, met_here & apart & _enough(by_place, similarity) & in_bucket & _viable(similarity))
     return pairs.select(F.least("uid", "c").alias("a"), F.greatest("uid", "c").alias("b"))
 
 
