@@ -449,7 +449,12 @@ def _rare_pairs(texts: DataFrame, multisets: DataFrame, similarity: float, bands
     belong to: those meet all, and the others never meet among themselves. A
     hash of many texts has them dealt out as in ``_pairs``.
     """
-    items = stored(_rare_items(texts, multisets, similarity).join(texts.select("uid", "label"), "uid"), "near_items")
+    # At the first hash that two texts share, all that they share is from there on: here of
+    # a text and the smallest that has the hash, below of the two texts.
+    rare = stored(_rare_items(texts, multisets, similarity).join(texts.select("uid", "label", "size"), "uid"), "near_rare")
+    smallest = rare.groupBy("item").agg(F.min("size").alias("csize"))
+    early = rare.join(smallest, "item").where(_enough(F.col("size") - F.col("place"), similarity))
+    items = stored(early.select("uid", "item", "place", "label"), "near_items")
     of_class = items.groupBy("item", "label").agg(F.count("*").alias("n"))
     met = of_class.groupBy("item").agg(
         F.sum("n").alias("members"), F.max(F.struct("n", "label"))["label"].alias("most"), F.count("*").alias("classes")
@@ -465,7 +470,6 @@ def _rare_pairs(texts: DataFrame, multisets: DataFrame, similarity: float, bands
     )
     met_here = (F.col("item") == F.col("ci")) & (F.col("salt") == F.col("cs"))
     apart = (F.col("label") != F.col("cl")) & ((F.col("label") == F.col("most")) | (F.col("uid") < F.col("c")))
-    # At the first hash that two texts share, all that they share is from there on.
     by_place = F.least(F.col("size") - F.col("place"), F.col("csize") - F.col("cplace"))
     in_bucket = reduce(or_, [F.col("keys")[j] == F.col("ckeys")[j] for j in range(bands)])
     pairs = one.join(other, met_here & apart & _enough(by_place, similarity) & in_bucket & _viable(similarity))
