@@ -9,11 +9,13 @@ is left out when for some split point the triangle inequality keeps its whole
 range of distances outside that annulus. Leaves are evaluated exactly, in
 integers. The lower end of a window rises to the worst of the best found.
 
-The root's split points come from a bounded sample. Rows are sorted by the
-root's subtree, packed into blocks of bounded size that carry the root's ranges,
-and every block holds the rest of its tree. The queries, in blocks, meet every
-block as pairs of a keyed join; a task hands on at most the wanted rows of each
-search and block, and carries the worst score still wanted from block to block.
+The root's split points come from a bounded sample. The driver counts each of the
+root's subtrees, at most 64, and so knows how many blocks each one fills: a row's
+block follows from its subtree and its hash, without a sort of all rows by range,
+whose sample on the driver grows with the number of blocks. Every block carries
+the root's ranges and holds the rest of its tree. A task holds a part of the
+blocks, of bounded size, and is sent the queries in blocks: each search goes
+through all blocks of the part, and a task hands on at most the wanted rows of it.
 
 Mining is two searches over the same blocks: an anchor's nearest rows of its own
 label, then for each of these positives a window of scores among other labels.
@@ -23,13 +25,14 @@ from __future__ import annotations
 
 import pickle
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillcast.llm.common import prepare, stored
+from tillcast.llm.common import give_back_memory, prepare, released, stored
 
 LEVELS = 256
 ANCHOR_EVERY = 100
@@ -42,10 +45,13 @@ POINTS = 16
 LEAF = 64
 BLOCK = 4096
 QUERY_BLOCK = 512
-PART_BYTES = 256 << 20
-CARRIED = 1 << 22  # searches whose worst wanted score a task remembers between blocks
+HELD_BYTES = 128 << 20  # packed blocks that a task of a search holds
+PACKED_TOGETHER = 16  # blocks that a task packs one after the other
+TOGETHER = 512  # rows compared at once
+TRIED, PAYING, AGAIN = 1 << 16, 0.05, 8  # see Searches.worth_testing
 LEAST, MOST = -(1 << 63), (1 << 63) - 1
 _EXACT = float(1 << 53)
+_EXACT_SINGLE = float(1 << 24)
 
 
 def usable(vectors: DataFrame, levels: int = LEVELS) -> DataFrame:
@@ -64,18 +70,25 @@ def usable(vectors: DataFrame, levels: int = LEVELS) -> DataFrame:
 
 
 def products(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Inner products as integers, queries x rows: exact in doubles below 2**53, else by
-    integers and held within 64 bits."""
-    if np.abs(rows).max(initial=0) * np.abs(queries).max(initial=0) * max(1, rows.shape[1]) < _EXACT:
-        return (queries @ rows.T).astype(np.int64)
+    """Inner products as whole numbers, queries x rows: exact in floating point while all sums
+    stay below its limit, else by integers and held within 64 bits. The shorter end in zeros."""
+    width = min(queries.shape[1], rows.shape[1])
+    queries, rows = queries[:, :width], rows[:, :width]
+    most = float(np.abs(rows).max(initial=0)) * float(np.abs(queries).max(initial=0)) * max(1, width)
+    if most < _EXACT_SINGLE:
+        return queries.astype(np.float32, copy=False) @ rows.astype(np.float32, copy=False).T
+    if most < _EXACT:
+        return queries.astype(np.float64, copy=False) @ rows.astype(np.float64, copy=False).T
     wide = [[int(c) for c in r] for r in rows]
     exact = [[max(LEAST, min(MOST, sum(a * b for a, b in zip(map(int, q), r)))) for r in wide] for q in queries]
     return np.array(exact, dtype=np.int64).reshape(len(queries), len(rows))
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Euclidean distances, rows of ``a`` x rows of ``b``."""
-    squares = np.square(a).sum(axis=1)[:, None] + np.square(b).sum(axis=1)[None] - 2 * (a @ b.T)
+    """Euclidean distances, rows of ``a`` x rows of ``b``; the shorter end in zeros."""
+    a, b = a.astype(np.float64, copy=False), b.astype(np.float64, copy=False)
+    width = min(a.shape[1], b.shape[1])
+    squares = np.square(a).sum(axis=1)[:, None] + np.square(b).sum(axis=1)[None] - 2 * (a[:, :width] @ b[:, :width].T)
     return np.sqrt(np.maximum(squares, 0))
 
 
@@ -96,59 +109,102 @@ class Searches:
     """Searches over a few vectors and the best rows found for each.
 
     ``of`` names each search's vector; ``low`` and ``high`` its window of scores;
-    ``same`` whether the label must equal the vector's or differ from it.
+    ``same`` whether the label must equal the vector's or differ from it. A vector's
+    searches go through a tree together, within the widest window of them.
     """
 
     def __init__(self, v, label, uid, of, low, high, same: bool, top: int):
-        self.v, self.label, self.uid = v, label, uid
-        self.norm2 = np.square(v).sum(axis=1)
+        self.v, self.label, self.uid = _small(v), label, uid
+        self.norm2 = np.square(v, dtype=np.float64).sum(axis=1)
         self.of, self.low, self.high = of, low.copy(), high
         self.same, self.top = same, top
         self.score = np.full((len(of), top), LEAST, dtype=np.int64)
-        self.place = np.full((len(of), top), -1, dtype=np.int64)  # row of the block; -1: none
+        self.found = np.full((len(of), top), -1, dtype=np.int64)  # the row's uid; -1: none
         self.vec_id = np.full((len(of), top), MOST, dtype=np.int64)
         self.evaluated = 0  # vectors compared with, split points included
-
-    def evaluate(self, active: np.ndarray, block: dict, rows: np.ndarray) -> None:
-        """Compare the searches ``active`` with some rows of the block, exactly."""
-        asked, back = np.unique(self.of[active], return_inverse=True)
-        self.evaluated += len(asked) * len(rows)
-        scores = products(self.v[asked], block["v"][rows])
-        label_fits = self.label[asked][:, None] == block["label"][rows][None]
-        if not self.same:
-            label_fits = ~label_fits
-        label_fits &= self.uid[asked][:, None] != block["uid"][rows][None]
-        scores, fits = scores[back], label_fits[back]
-        fits &= (scores >= self.low[active][:, None]) & (scores <= self.high[active][:, None])
-        some = np.flatnonzero(fits.any(axis=1))
+        self.tested = self.gone = self.passed = 0
+        self.order = np.argsort(of, kind="stable")  # a vector's searches stand together
+        self.start = np.searchsorted(of[self.order], np.arange(len(v) + 1))
+        self.most = np.full(len(v), LEAST, dtype=np.int64)
+        np.maximum.at(self.most, of, high)
+        self._narrow()
+
+    def _narrow(self) -> None:
+        """The lower end of each vector's widest window; whether all its searches have enough."""
+        self.least = np.full(len(self.v), MOST, dtype=np.int64)
+        np.minimum.at(self.least, self.of, self.low)
+        self.full = np.ones(len(self.v), dtype=bool)
+        np.logical_and.at(self.full, self.of, self.found[:, -1] >= 0)
+
+    def evaluate(self, active: np.ndarray, block: dict, rows: np.ndarray, met: np.ndarray | None = None) -> None:
+        """Compare the vectors ``active`` with some rows of the block, exactly; ``met``, vectors x
+        rows, tells which of the pairs count."""
+        self.evaluated += len(active) * len(rows) if met is None else int(met.sum())
+        scores = products(self.v[active], block["v"][rows])
+        # A limit that single precision cannot hold lies beyond every score held in it.
+        low = self.least[active].astype(scores.dtype)
+        some = np.flatnonzero(scores.max(axis=1) >= low)
         if not len(some):
             return
-        scores, fits, at = scores[some], fits[some], active[some]
-        new_score = np.where(fits, scores, LEAST)
-        new_place = np.where(fits, rows[None], -1)
-        new_id = np.where(fits, block["vec_id"][rows][None], MOST)
-        score = np.concatenate((self.score[at], new_score), axis=1)
-        place = np.concatenate((self.place[at], new_place), axis=1)
-        vec_id = np.concatenate((self.vec_id[at], new_id), axis=1)
+        hit = scores[some] >= low[some, None]
+        if met is not None:
+            hit &= met[some]
+        label_fits = self.label[active[some]][:, None] == block["label"][rows][None]
+        hit &= label_fits if self.same else ~label_fits
+        i, r = np.nonzero(hit)
+        if not len(i):
+            return
+        asked, score, uid, vec_id = active[some[i]], scores[some[i], r].astype(np.int64), block["uid"][rows[r]], block["vec_id"][rows[r]]
+        # Each of the vector's searches looks at the row.
+        count = self.start[asked + 1] - self.start[asked]
+        row = np.repeat(np.arange(len(asked)), count)
+        first = np.cumsum(count) - count
+        at = self.order[self.start[asked[row]] + np.arange(len(row)) - first[row]]
+        fits = (score[row] <= self.high[at]) & (self.uid[asked[row]] != uid[row])
+        fits &= (score[row] > self.low[at]) | ((score[row] == self.low[at]) & (vec_id[row] <= self.vec_id[at, -1]))
+        if fits.any():
+            at, row = at[fits], row[fits]
+            self._keep(at, score[row], vec_id[row], uid[row])
+
+    def _keep(self, at: np.ndarray, score: np.ndarray, vec_id: np.ndarray, uid: np.ndarray) -> None:
+        """The best of what the searches ``at`` have and of these rows."""
+        touched, back = np.unique(at, return_inverse=True)
+        owner = np.concatenate((np.repeat(np.arange(len(touched)), self.top), back))
+        score = np.concatenate((self.score[touched].ravel(), score))
+        vec_id = np.concatenate((self.vec_id[touched].ravel(), vec_id))
+        uid = np.concatenate((self.found[touched].ravel(), uid))
         # ~score orders downwards without the overflow of -score
-        order = np.lexsort((vec_id, ~score, place < 0), axis=1)[:, : self.top]
-        self.score[at] = np.take_along_axis(score, order, axis=1)
-        self.place[at] = np.take_along_axis(place, order, axis=1)
-        self.vec_id[at] = np.take_along_axis(vec_id, order, axis=1)
-        full = self.place[at][:, -1] >= 0
-        self.low[at[full]] = np.maximum(self.low[at[full]], self.score[at[full], -1])
-
-    def outside(self, active: np.ndarray, far: np.ndarray, near_r, far_r, least2, most2) -> np.ndarray:
-        """Which searches x subtrees cannot meet. ``far``: distances of the searches' vectors to
-        the split points; ``near_r, far_r``: split points x subtrees; ``least2, most2``: squared norms."""
+        order = np.lexsort((uid, vec_id, ~score, uid < 0, owner))
+        owner = owner[order]
+        rank = np.arange(len(order)) - np.searchsorted(owner, owner)
+        order, to, rank = order[rank < self.top], touched[owner[rank < self.top]], rank[rank < self.top]
+        self.score[to, rank], self.vec_id[to, rank], self.found[to, rank] = score[order], vec_id[order], uid[order]
+        full = touched[self.found[touched, -1] >= 0]
+        self.low[full] = np.maximum(self.low[full], self.score[full, -1])
+        self._narrow()
+
+    def worth_testing(self) -> bool:
+        """Whether to look for subtrees to leave out: once the tests have left out next to none,
+        only at every ``AGAIN``-th node; the others are compared as a whole."""
+        if self.tested < TRIED or self.gone >= PAYING * self.tested:
+            return True
+        self.passed += 1
+        return self.passed % AGAIN == 0
+
+    def reach(self, active: np.ndarray, far: np.ndarray, near_r, far_r) -> tuple[np.ndarray, np.ndarray]:
+        """The least and the most distance of the vectors to each subtree. ``far``: distances of the
+        vectors to the split points; ``near_r, far_r``: split points x subtrees."""
         lower = np.maximum(far[:, :, None] - far_r[None], near_r[None] - far[:, :, None]).max(axis=1)
         upper = (far[:, :, None] + far_r[None]).min(axis=1)
-        q2 = self.norm2[self.of[active]][:, None]
-        slack = 1e-6 * (1 + upper + np.sqrt(q2))  # room for rounding of the roots
-        lower, upper = np.maximum(lower - slack, 0), upper + slack
-        # Squared annulus of the window [low, high] for vectors of those norms.
-        inner2 = q2 + least2[None] - 2 * self.high[active].astype(np.float64)[:, None]
-        outer2 = q2 + most2[None] - 2 * self.low[active].astype(np.float64)[:, None]
+        slack = 1e-6 * (1 + upper + np.sqrt(self.norm2[active])[:, None])  # room for rounding of the roots
+        return np.maximum(lower - slack, 0), upper + slack
+
+    def outside(self, active: np.ndarray, lower: np.ndarray, upper: np.ndarray, least2, most2) -> np.ndarray:
+        """Which vectors x subtrees cannot meet. ``least2, most2``: squared norms in the subtrees."""
+        q2 = self.norm2[active][:, None]
+        # Squared annulus of the window [least, most] for vectors of those norms.
+        inner2 = q2 + least2[None] - 2 * self.most[active].astype(np.float64)[:, None]
+        outer2 = q2 + most2[None] - 2 * self.least[active].astype(np.float64)[:, None]
         inner2, outer2 = inner2 - 1 - 1e-9 * np.abs(inner2), outer2 + 1 + 1e-9 * np.abs(outer2)
         return (np.square(lower) > outer2) | (np.square(upper) < inner2)
 
@@ -167,7 +223,8 @@ def build(v: np.ndarray, rows: np.ndarray, points: int = POINTS, leaf: int = LEA
     parts = [np.flatnonzero(nearest == j) for j in used]
     norm2 = np.square(held).sum(axis=1)
     return {
-        "split": split,
+        "rows": rows,
+        "split": _small(split),
         "home": used,
         "near": np.stack([far[p].min(axis=0) for p in parts], axis=1),
         "far": np.stack([far[p].max(axis=0) for p in parts], axis=1),
@@ -178,35 +235,59 @@ def build(v: np.ndarray, rows: np.ndarray, points: int = POINTS, leaf: int = LEA
 
 
 def visit(node, block: dict, searches: Searches, active: np.ndarray) -> None:
-    """Search a subtree: first each search's own subtree, then the others that its window meets."""
+    """Search a subtree with some vectors: while one of them has not found enough, first each
+    one's own subtree, then the others that its window meets."""
     if not len(active):
         return
-    if not isinstance(node, dict):
-        searches.evaluate(active, block, node)
+    leaf = not isinstance(node, dict)
+    if leaf or not searches.worth_testing():
+        rows = node if leaf else node["rows"]
+        for start in range(0, len(rows), TOGETHER):
+            searches.evaluate(active, block, rows[start : start + TOGETHER])
         return
-    asked, back = np.unique(searches.of[active], return_inverse=True)
-    far = distances(searches.v[asked], _matrix(node["split"], searches.v.shape[1]))[back]
-    searches.evaluated += len(asked) * len(node["split"])
-    own = far[:, node["home"]].argmin(axis=1)
-    for first in (True, False):
-        for j, child in enumerate(node["children"]):
-            chosen = np.flatnonzero((own == j) == first)
-            if len(chosen):
-                one = slice(j, j + 1)
-                gone = searches.outside(
-                    active[chosen], far[chosen], node["near"][:, one], node["far"][:, one], node["least2"][one], node["most2"][one]
-                )[:, 0]
-                visit(child, block, searches, active[chosen[~gone]])
+    far = distances(searches.v[active], node["split"])
+    searches.evaluated += far.size
+    lower, upper = searches.reach(active, far, node["near"], node["far"])
+    left = np.ones_like(lower, dtype=bool)
+    if not searches.full[active].all():
+        own = far[:, node["home"]].argmin(axis=1)[:, None] == np.arange(len(node["children"]))[None]
+        _descend(node, block, searches, active, own & ~searches.outside(active, lower, upper, node["least2"], node["most2"]))
+        left &= ~own
+    gone = searches.outside(active, lower, upper, node["least2"], node["most2"])
+    searches.tested += gone.size
+    searches.gone += int(gone.sum())
+    _descend(node, block, searches, active, left & ~gone)
+
+
+def _descend(node: dict, block: dict, searches: Searches, active: np.ndarray, chosen: np.ndarray) -> None:
+    """Search the ``chosen`` subtrees, vectors x subtrees. Leaves that most of the vectors meet
+    are compared together, and what does not count is left out of the result."""
+    leaves = [(j, child) for j, child in enumerate(node["children"]) if not isinstance(child, dict)]
+    some = chosen.any(axis=1)
+    near = [j for j, child in leaves if len(child) <= TOGETHER and 2 * chosen[:, j].sum() > some.sum()]
+    kept: list[int] = []
+    for j in near:
+        kept.append(j)
+        if j == near[-1] or sum(len(node["children"][k]) for k in kept) >= TOGETHER:
+            asks = np.flatnonzero(chosen[:, kept].any(axis=1))
+            met = chosen[np.ix_(asks, kept)]
+            rows = [node["children"][k] for k in kept]
+            met = None if met.all() else np.repeat(met, [len(r) for r in rows], axis=1)
+            searches.evaluate(active[asks], block, np.concatenate(rows), met)
+            kept = []
+    together = set(near)
+    for j, child in enumerate(node["children"]):
+        if j not in together:
+            visit(child, block, searches, active[chosen[:, j]])
 
 
 def search_block(block: dict, searches: Searches, root_far: np.ndarray) -> None:
     """Search one block, unless the root's ranges leave it out. ``root_far``: distances of the
     searches' vectors to the root's split points."""
-    active = np.arange(len(searches.of))
+    active = np.arange(len(searches.v))
     if len(active):
-        gone = searches.outside(
-            active, root_far[searches.of], block["near"][:, None], block["far"][:, None], block["least2"], block["most2"]
-        )[:, 0]
+        lower, upper = searches.reach(active, root_far, block["near"][:, None], block["far"][:, None])
+        gone = searches.outside(active, lower, upper, block["least2"], block["most2"])[:, 0]
         visit(block["tree"], block, searches, active[~gone])
 
 
@@ -250,26 +331,44 @@ def pack_blocks(rows: DataFrame, root: np.ndarray, size: int = BLOCK, points: in
 
     def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kept: list[pd.DataFrame] = []
-        held = 0
+        number, held = -1, 0
         for frame in frames:
-            while len(frame):
-                take = frame.iloc[: size - held]
-                kept.append(take)
-                held += len(take)
-                frame = frame.iloc[len(take) :]
-                if held == size:
-                    yield _packed(pd.concat(kept), root, points, leaf)
+            cuts = np.flatnonzero(np.diff(frame["block"].to_numpy())) + 1
+            for start, end in zip([0, *cuts], [*cuts, len(frame)]):
+                rest = frame.iloc[start:end]
+                if kept and int(rest["block"].iloc[0]) != number:
+                    yield _packed(number, pd.concat(kept), root, points, leaf)
                     kept, held = [], 0
+                number = int(rest["block"].iloc[0])
+                while len(rest):
+                    take = rest.iloc[: size - held]
+                    kept.append(take)
+                    held += len(take)
+                    rest = rest.iloc[len(take) :]
+                    if held == size:
+                        yield _packed(number, pd.concat(kept), root, points, leaf)
+                        kept, held = [], 0
         if held:
-            yield _packed(pd.concat(kept), root, points, leaf)
+            yield _packed(number, pd.concat(kept), root, points, leaf)
+        give_back_memory()
+
+    # A subtree's blocks are about 9/10 full, so that few overflow; one with a third of all rows is cut like any other.
+    counts = {r["cell"]: r["count"] for r in rows.groupBy("cell").count().collect()}
+    filled = [-(-counts.get(cell, 0) * 10 // (9 * size)) for cell in range(max(1, len(root)))]
+    before = [0, *accumulate(filled)]
+    total = max(1, before[-1])
+
+    def of_cell(values: list[int]) -> Column:
+        return F.element_at(F.array(*[F.lit(x).cast("long") for x in values]), F.col("cell") + 1)
 
-    # Ranges of (subtree, hash): a subtree with a third of all rows is cut like any other.
-    ranges = max(1, -(-rows.count() * 10 // (9 * size)))
-    dealt = rows.withColumn("h", F.xxhash64("uid")).repartitionByRange(ranges, "cell", "h").sortWithinPartitions("cell", "h")
-    return dealt.select("vec_id", "label", "v", "uid").mapInPandas(pack, "block long, bytes binary")
+    block = of_cell(before[:-1]) + F.pmod(F.xxhash64("uid"), of_cell([max(1, n) for n in filled]))
+    tasks = max(-(-total // PACKED_TOGETHER), min(total, 2 * rows.sparkSession.sparkContext.defaultParallelism))
+    dealt = rows.select(block.alias("block"), "vec_id", "label", "v", "uid")
+    dealt = dealt.repartitionById(tasks, F.pmod("block", F.lit(tasks)).cast("int")).sortWithinPartitions("block")
+    return dealt.mapInPandas(pack, "block long, bytes binary")
 
 
-def _packed(rows: pd.DataFrame, root: np.ndarray, points: int, leaf: int) -> pd.DataFrame:
+def _packed(number: int, rows: pd.DataFrame, root: np.ndarray, points: int, leaf: int) -> pd.DataFrame:
     v = _matrix(rows["v"], max([root.shape[1], *map(len, rows["v"])]))
     far = distances(v, _matrix(root, v.shape[1]))
     norm2 = np.square(v).sum(axis=1)
@@ -282,91 +381,109 @@ def _packed(rows: pd.DataFrame, root: np.ndarray, points: int, leaf: int) -> pd.
         "far": far.max(axis=0),
         "least2": np.array([norm2.min()]),
         "most2": np.array([norm2.max()]),
-        "tree": build(v, np.arange(len(v)), points, leaf),
+        "tree": build(v, np.arange(len(v), dtype=np.int32), points, leaf),
     }
-    return pd.DataFrame([(int(rows["uid"].iloc[0]), pickle.dumps(block))], columns=["block", "bytes"])
+    return pd.DataFrame([(number, pickle.dumps(block, pickle.HIGHEST_PROTOCOL))], columns=["block", "bytes"])
 
 
-def _pack_queries(queries: DataFrame, root: np.ndarray, size: int) -> DataFrame:
-    """``ask, asked``: vectors with their searches, ``vec_id, label, v, uid, windows``, in blocks."""
+def _pack_queries(queries: DataFrame, size: int) -> DataFrame:
+    """``ask, searches, asked``: vectors with their searches, ``vec_id, label, v, uid, windows``, in blocks."""
 
     def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for start in range(0, len(frame), size):
                 part = frame.iloc[start : start + size]
-                v = _matrix(part["v"], max([root.shape[1], *map(len, part["v"])]))
                 of = np.repeat(np.arange(len(part)), [len(w) for w in part["windows"]])
                 flat = [w if isinstance(w, dict) else w.asDict() for windows in part["windows"] for w in windows]
                 asked = {
-                    "v": _small(v),
+                    "v": _small(_matrix(part["v"], max(map(len, part["v"])))),
                     "vec_id": part["vec_id"].to_numpy(dtype=np.int64),
                     "label": part["label"].to_numpy(dtype=np.int64),
                     "uid": part["uid"].to_numpy(dtype=np.int64),
-                    "root": distances(v, _matrix(root, v.shape[1])),
                     "of": of,
                     "number": np.array([w["number"] for w in flat], dtype=np.int64),
                     "low": np.array([w["low"] for w in flat], dtype=np.int64),
                     "high": np.array([w["high"] for w in flat], dtype=np.int64),
                 }
-                yield pd.DataFrame([(int(part["uid"].iloc[0]), pickle.dumps(asked))], columns=["ask", "asked"])
+                packed = (int(part["uid"].iloc[0]), len(of), pickle.dumps(asked, pickle.HIGHEST_PROTOCOL))
+                yield pd.DataFrame([packed], columns=["ask", "searches", "asked"])
 
     dealt = queries.select("vec_id", "label", "v", "uid", "windows")
     dealt = dealt.repartition(max(1, -(-dealt.count() // size)))
-    return dealt.mapInPandas(pack, "ask long, asked binary")
+    return dealt.mapInPandas(pack, "ask long, searches long, asked binary")
 
 
 _FOUND = "anchor_id long, anchor_uid long, number long, vec_id long, uid long, score long"
+_FOUND_BYTES = 48
 
 
-def search(blocks: DataFrame, queries: DataFrame, root: np.ndarray, same: bool, top: int, query_block: int = QUERY_BLOCK) -> DataFrame:
+def deal(size: int, count: int, asked_size: int, asks: int, searches: int, top: int, wanted: int, held: int) -> tuple[int, int]:
+    """Into how many parts the blocks and into how many groups the queries are dealt; each part
+    meets each group in a task. Every part costs a copy of the queries and the wanted rows of
+    each search, every group a copy of the blocks: up to ``wanted`` tasks, more parts than ``held``
+    bytes of blocks need are made only while their cost stays below the blocks' size."""
+    cost = max(1, asked_size + _FOUND_BYTES * top * searches)
+    parts = max(1, min(count, max(-(-size // held), min(wanted, size // cost))))
+    return parts, max(1, min(asks, -(-wanted // parts)))
+
+
+def search(
+    blocks: DataFrame, queries: DataFrame, root: np.ndarray, same: bool, top: int, query_block: int = QUERY_BLOCK, held: int = HELD_BYTES
+) -> DataFrame:
     """``anchor_id, anchor_uid, number, vec_id, uid, score, rank``: the ``top`` best rows of
     each window (``number``) of each query. ``blocks`` must be a written table."""
-    asked = stored(_pack_queries(queries, root, query_block), "negatives_asked")
+    asked = stored(_pack_queries(queries, query_block), "negatives_asked")
     size, count = blocks.agg(F.coalesce(F.sum(F.octet_length("bytes")), F.lit(0)), F.count("*")).first()
-    spread = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(1, -(-size // PART_BYTES), min(count, spread))
-    left = asked.select("ask", "asked", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("to"))
-    right = blocks.select("bytes", F.pmod(F.xxhash64("block"), F.lit(parts)).cast("int").alias("part"))
-    pairs = left.join(right, left["to"] == right["part"]).select("ask", "asked", "bytes")
+    sums = [F.coalesce(F.sum(c), F.lit(0)) for c in (F.octet_length("asked"), F.col("searches"))]
+    asked_size, searches, asks = asked.agg(*sums, F.count("*")).first()
+    wanted = 2 * blocks.sparkSession.sparkContext.defaultParallelism
+    parts, groups = deal(size, count, asked_size, asks, searches, top, wanted, held)
+
+    # Nothing is joined: a join could send one side, once for each task, to the driver for a broadcast.
+    def every(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    part = F.pmod("block", F.lit(parts)).cast("int")
+    group = F.pmod(F.xxhash64("ask"), F.lit(groups)).cast("int")
+    held_rows = blocks.select("bytes", part.alias("part"), every(groups).alias("group")).withColumn("asks", F.lit(False))
+    ask_rows = asked.select(F.col("asked").alias("bytes"), every(parts).alias("part"), group.alias("group"), F.lit(True).alias("asks"))
+    dealt = held_rows.unionByName(ask_rows).select((F.col("part") * groups + F.col("group")).alias("task"), "asks", "bytes")
+    dealt = dealt.repartitionById(parts * groups, "task").sortWithinPartitions("asks").select("asks", "bytes")
 
     def meet(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        carried: dict[int, np.ndarray] = {}
-        remembered = 0
+        part: list[dict] = []
         for frame in frames:
-            for ask, asked_bytes, block_bytes in zip(frame["ask"], frame["asked"], frame["bytes"]):
-                found, low = _meet(pickle.loads(asked_bytes), pickle.loads(block_bytes), carried.get(ask), same, top)
-                if ask in carried or remembered + len(low) <= CARRIED:
-                    remembered += 0 if ask in carried else len(low)
-                    carried[ask] = low
-                yield found
-
-    found = pairs.mapInPandas(meet, _FOUND)
+            for is_ask, packed in zip(frame["asks"], frame["bytes"]):
+                if is_ask:
+                    yield _meet(pickle.loads(packed), part, root, same, top)
+                else:
+                    part.append(pickle.loads(packed))
+        part.clear()
+        give_back_memory()
+
+    found = dealt.mapInPandas(meet, _FOUND)
     first = Window.partitionBy("anchor_uid", "number").orderBy(F.col("score").desc(), "vec_id", "uid")
     return found.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= top)
 
 
-def _meet(asked: dict, block: dict, low: np.ndarray | None, same: bool, top: int) -> tuple[pd.DataFrame, np.ndarray]:
-    """The best of one block for one block of queries, and the windows' lower ends after it."""
-    width = max(asked["v"].shape[1], block["v"].shape[1])
-    block["v"] = _matrix(block["v"], width)
-    searches = Searches(
-        _matrix(asked["v"], width), asked["label"], asked["uid"], asked["of"],
-        asked["low"] if low is None else low, asked["high"], same, top,
-    )
-    search_block(block, searches, asked["root"])
-    at, k = np.nonzero(searches.place >= 0)
-    place, of = searches.place[at, k], searches.of[at]
-    found = pd.DataFrame(
+def _meet(asked: dict, part: list[dict], root: np.ndarray, same: bool, top: int) -> pd.DataFrame:
+    """The best of a part's blocks for one block of queries."""
+    searches = Searches(asked["v"], asked["label"], asked["uid"], asked["of"], asked["low"], asked["high"], same, top)
+    root_far = distances(asked["v"], root)
+    for block in part:
+        search_block(block, searches, root_far)
+    at, k = np.nonzero(searches.found >= 0)
+    of = searches.of[at]
+    return pd.DataFrame(
         {
             "anchor_id": asked["vec_id"][of],
             "anchor_uid": asked["uid"][of],
             "number": asked["number"][at],
-            "vec_id": block["vec_id"][place],
-            "uid": block["uid"][place],
+            "vec_id": searches.vec_id[at, k],
+            "uid": searches.found[at, k],
             "score": searches.score[at, k],
         }
     )
-    return found, searches.low
 
 
 def mine(
@@ -381,6 +498,7 @@ def mine(
     points: int = POINTS,
     leaf: int = LEAF,
     query_block: int = QUERY_BLOCK,
+    held: int = HELD_BYTES,
 ) -> DataFrame:
     """``anchor_id, positive_id, rank, negative_id, positive_score, negative_score``.
 
@@ -401,12 +519,13 @@ def mine(
     if not len(root):
         return vectors.sparkSession.createDataFrame([], _MINED)
     rows = stored(_nearest(plain, root), "negatives_rows")
+    released(plain)
     blocks = stored(pack_blocks(rows, root, block, points, leaf), "negatives_blocks")
     anchors = rows.where(F.col("vec_id") % anchor_every == 0)
 
     # LEAST and the others are literals of one struct: a window without ends.
     whole = F.array(F.struct(F.lit(0).cast("long").alias("number"), F.lit(LEAST).alias("low"), F.lit(MOST).alias("high")))
-    best = stored(search(blocks, anchors.withColumn("windows", whole), root, True, positives, query_block), "negatives_positives")
+    best = stored(search(blocks, anchors.withColumn("windows", whole), root, True, positives, query_block, held), "negatives_positives")
 
     # low_percent * p <= 100 * s <= high_percent * p for whole s, without leaving 64 bits.
     hundreds, rest = F.expr("score div 100"), F.expr("score % 100")
@@ -415,14 +534,16 @@ def mine(
     best_of = best.where("score >= 0")  # for a negative score the two ends cross
     windows = best_of.select("anchor_uid", F.col("rank").cast("long").alias("number"), low.alias("low"), high.alias("high"))
     windows = windows.where("low <= high").groupBy("anchor_uid").agg(F.collect_list(F.struct("number", "low", "high")).alias("windows"))
-    asked = anchors.join(windows, anchors["uid"] == windows["anchor_uid"]).drop("anchor_uid")
-    found = search(blocks, asked, root, False, negatives, query_block)
+    # Both joins merge: written tables are far smaller than their rows, and a side that grows with
+    # the input would pass for small and go through the driver.
+    asked = anchors.join(windows.hint("merge"), anchors["uid"] == windows["anchor_uid"]).drop("anchor_uid")
+    found = search(blocks, asked, root, False, negatives, query_block, held)
 
     positive = best.select(
         F.col("anchor_uid").alias("of"), F.col("rank").cast("long").alias("nth"),
         F.col("vec_id").alias("positive_id"), F.col("score").alias("positive_score"),
     )
-    met = found.join(positive, (found["anchor_uid"] == positive["of"]) & (found["number"] == positive["nth"]))
+    met = found.join(positive.hint("merge"), (found["anchor_uid"] == positive["of"]) & (found["number"] == positive["nth"]))
     return met.select(
         "anchor_id", "positive_id", "rank", F.col("vec_id").alias("negative_id"),
         "positive_score", F.col("score").alias("negative_score"),
